@@ -8,12 +8,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import datetime as dt
+
+from cellmart import schemas
 from cellmart.functions import rules
+from cellmart.functions.calendar import (date_from_day_key, date_window, day_key, month_key, month_key_str,
+                                         month_key_window, month_start)
+from cellmart.operators import quality
+from cellmart.operators.changes import stamp_missing, upsert
+from cellmart.session import scratch_path
+from cellmart.sinks import writers
+from cellmart.sources import delimited, files
+from cellmart.streaming.landing import landing_stream, run_once
 from cellmart.functions.text import trim_ws
 from cellmart.operators.joins import effective_dated_join
 from cellmart.operators.pivot import conditional_sums
 from cellmart.operators.rank import rank_first
-from cellmart.plans import devices, roles, usage
+from cellmart.plans import devices, loads, network, roles, subscribers, text_flows, usage
 from cellmart.plans.roles import EVENTS_AS_OF, LOAD_TS, ORDERS_AS_OF
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,4 +156,324 @@ def q_usage_pivot(spark, d):
                             {"EVENTS": rules.VOICE_BUCKETS, "VALUE_CENTS": rules.DATA_BUCKETS})
 
 
-__all__ = ["QUERIES", "register", "EVENTS_AS_OF", "trim_ws"]
+
+
+# ---- subscriber base ----------------------------------------------------------------------
+
+@register("subscriber_base")
+def q_subscriber_base(spark, d):
+    return subscribers.subscriber_base(roles.daily_base(spark, d), roles.legacy_base(spark, d), ORDERS_AS_OF)
+
+
+@register("union_distinct")
+def q_union_distinct(spark, d):
+    return subscribers.combined_feed(roles.daily_base(spark, d), roles.legacy_base(spark, d), ORDERS_AS_OF)
+
+
+@register("subscriber_category")
+def q_subscriber_category(spark, d):
+    return subscribers.subscriber_category(q_subscriber_base(spark, d))
+
+
+# ---- row-changing statements ----------------------------------------------------------------
+
+# Fixed adapter choice: the dimension held before the load covers the 2G/3G/4G/WIFI layers,
+# the landed feed the 4G/WIFI/unknown layers (so rows are matched, new and untouched).
+UPSERT_TARGET_TECH = ("2G GSM", "3G UMTS", "4G", "WIFI")
+UPSERT_SOURCE_TECH = ("4G", "WIFI", "-1")
+INITIAL_TS = dt.datetime(2001, 1, 1)
+
+
+def _cell_target_source(spark, d):
+    c = roles.cells(spark, d)
+    target = c.filter(F.col("technology").isin(*UPSERT_TARGET_TECH)).withColumn("record_ts", F.lit(INITIAL_TS))
+    source = c.filter(F.col("technology").isin(*UPSERT_SOURCE_TECH)) \
+              .withColumn("site_name", F.concat(F.col("site_name"), F.lit(" v2")))
+    return target, source
+
+
+@register("upsert_dim")
+def q_upsert_dim(spark, d):
+    target, source = _cell_target_source(spark, d)
+    return upsert(target, source, ["cell_data_id"], stamp_col="record_ts", stamp=LOAD_TS)
+
+
+@register("cell_upsert")
+def q_cell_upsert(spark, d):
+    """Cell dimension upsert from landed pipe-delimited gz files (staging truncate-load)."""
+    target, source = _cell_target_source(spark, d)
+    landing = scratch_path(spark, "cell_landing")
+    writers.write_csv(source, landing, schemas.CELL_FEED.fieldNames(), sep="|", compression="gzip")
+    return loads.cell_upsert(spark, target, f"{landing}/*.csv.gz", LOAD_TS)
+
+
+def _padded_usage(spark, d):
+    u = roles.usage(spark, d)
+    padded = F.when(F.col("work_mo_count") % 2 == 0, F.concat(F.lit(" "), F.col("msisdn"), F.lit("\t"))) \
+              .otherwise(F.col("msisdn"))
+    return u.withColumn("msisdn", padded) \
+            .withColumn("record_ts", F.date_add("call_date", 1).cast("timestamp"))
+
+
+@register("conditional_trim")
+def q_conditional_trim(spark, d):
+    u = _padded_usage(spark, d).select("month_id", "date_of_call", "imei", "imsi", "msisdn")
+    return loads.key_backfill_monthly(u, 200001)
+
+
+@register("key_backfill")
+def q_key_backfill(spark, d):
+    u = _padded_usage(spark, d).select("date_of_call", "imei", "imsi", "msisdn", "record_ts")
+    return loads.key_backfill_daily(u, dt.date(2000, 7, 12))
+
+
+EVENTS_STAMP = dt.datetime(2024, 2, 10, 3, 0, 0)
+
+
+@register("stamp_missing")
+def q_stamp_missing(spark, d):
+    ev = roles.table(spark, d, "events")
+    ev = ev.select("event_id", "user_id", "event_type",
+                   F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.col("ts")).alias("record_ts"))
+    return stamp_missing(ev, "record_ts", EVENTS_STAMP)
+
+
+# ---- windows, keys, retention --------------------------------------------------------------
+
+@register("three_month_slice")
+def q_three_month_slice(spark, d):
+    return network.three_month_slice(roles.usage(spark, d), ORDERS_AS_OF)
+
+
+@register("thirteen_month_window")
+def q_thirteen_month_window(spark, d):
+    u = roles.usage(spark, d).select("month_id", "month_date")
+    w = u.filter(month_key_window("month_id", ORDERS_AS_OF, 13, 0) & date_window("month_date", ORDERS_AS_OF, 13))
+    return w.groupBy("month_id", "month_date").agg(F.count(F.lit(1)).alias("usage_rows"))
+
+
+@register("month_keys")
+def q_month_keys(spark, d):
+    o = roles.table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+    return o.select(
+        "o_orderkey", month_key("d").alias("month_id"), month_key_str("d").alias("agg_mth"),
+        month_start(month_key_str("d")).alias("month_date"), day_key("d").alias("day_key"),
+        date_from_day_key(day_key("d")).alias("order_day"),
+        F.add_months(F.trunc("d", "MM"), -1).alias("prev_month_start"),
+        F.last_day("d").alias("month_end"), F.year("d").alias("order_year"), F.month("d").alias("order_month"))
+
+
+EVENT_TTL_DAYS = 30
+
+
+@register("retain_partitions")
+def q_retain_partitions(spark, d):
+    ev = roles.table(spark, d, "events").select("event_id", "user_id", "event_type",
+                                                F.to_date("ts").alias("event_date"))
+    return writers.retain(ev, "event_date", EVENT_TTL_DAYS, EVENTS_AS_OF)
+
+
+@register("partition_guard_read")
+def q_partition_guard_read(spark, d):
+    ev = roles.table(spark, d, "events").select("event_id", "user_id", "event_type", "value",
+                                                F.to_date("ts").alias("event_date"))
+    path = scratch_path(spark, "events_by_day")
+    writers.append(ev, path, partition_by=["event_date"])
+    return writers.read_period(spark, path, "event_date", dt.date(2024, 1, 8), dt.date(2024, 1, 14)) \
+                  .select("event_id", "user_id", "event_type", "value", "event_date")
+
+
+# ---- files, loads and reconciliation ------------------------------------------------------
+
+PART_SCHEMA = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+
+
+@register("delimited_roundtrip")
+def q_delimited_roundtrip(spark, d):
+    part = roles.table(spark, d, "part")
+    path = scratch_path(spark, "part_pipe")
+    writers.write_csv(part, path, part.columns, sep="|", compression="gzip")
+    return delimited.read_delimited(spark, f"{path}/*.csv.gz", PART_SCHEMA, sep="|")
+
+
+CLEANSE_IN = "p_partkey,p_name,p_brand,p_type,p_size"
+CLEANSE_OUT = "p_partkey,p_name,p_type,p_size,p_flag"
+
+
+@register("csv_cleanse")
+def q_csv_cleanse(spark, d):
+    part = roles.table(spark, d, "part")
+    lines = part.select(F.col("p_partkey").cast("string").alias("p_partkey"),
+                        F.when(F.col("p_size") % 10 == 0, F.lit("")).otherwise(F.col("p_name")).alias("p_name"),
+                        "p_brand", "p_type", F.col("p_size").cast("string").alias("p_size"))
+    path = scratch_path(spark, "cleanse_in")
+    writers.write_csv(lines, path, lines.columns, sep=",", compression="gzip")
+    return delimited.cleanse_csv(spark, f"{path}/*.csv.gz", CLEANSE_IN, CLEANSE_OUT,
+                                 primary_key="p_name", drop="p_brand", sep=",")
+
+
+@register("full_refresh")
+def q_full_refresh(spark, d):
+    src = roles.products2(spark, d)
+    path = scratch_path(spark, "ref_product2")
+    writers.refresh(src.withColumn("record_ts", F.lit(INITIAL_TS)), path)   # the stale content
+    loads.reference_refresh(src, path, LOAD_TS, keep=F.col("product_line") == "BT Mobile",
+                            date_cols=("start_date", "end_date"))
+    return spark.read.parquet(path)
+
+
+@register("file_gate")
+def q_file_gate(spark, d):
+    u = roles.usage(spark, d).select("month_id", "msisdn", "imei", "imsi")
+    landing = scratch_path(spark, "usage_landing")
+    u.repartition("month_id").write.partitionBy("month_id").option("sep", "|").option("header", True) \
+     .option("compression", "gzip").csv(landing)
+    listed = files.list_files(spark, landing + "/*", "*.csv.gz")
+    per_month = listed.select(F.regexp_extract("path", r"month_id=(\d+)", 1).cast("long").alias("month_id")) \
+                      .groupBy("month_id").agg(F.count(F.lit(1)).alias("files"))
+    return quality.gate_frame(spark, per_month, 1).select("month_id", "files", "minimum", "ok")
+
+
+LOAD_MONTH = 200107
+
+
+def _monthly_load(spark, d):
+    """Target table with every month but LOAD_MONTH, landing files + manifest for that month,
+    then the load. Returns (before, after, manifest) frames and the table path."""
+    u = roles.usage(spark, d)
+    staging_cols = ["month_id"] + schemas.USAGE_COLUMNS
+    full = u.select(*[F.col(c) if c in u.columns else F.lit(None).cast(schemas.MONTHLY_STAGING[c].dataType).alias(c)
+                      for c in staging_cols])
+    table = scratch_path(spark, "t_agg_mth")
+    prior = loads.monthly_final_rows(full.filter(F.col("month_id") != LOAD_MONTH), LOAD_TS)
+    writers.append(prior, table, loads.MONTHLY_COLUMNS, partition_by=["month_date"])
+    landing = scratch_path(spark, "mth_landing")
+    month_rows = full.filter(F.col("month_id") == LOAD_MONTH) \
+                     .withColumn("msisdn", F.concat(F.lit(" "), F.col("msisdn")))
+    writers.write_csv(month_rows, f"{landing}/data", staging_cols, sep="|", compression="gzip")
+    expected = spark.read.schema(schemas.MONTHLY_STAGING).option("sep", "|").option("header", True) \
+                    .csv(f"{landing}/data").count()
+    manifest = spark.createDataFrame([(f"HASH {LOAD_MONTH}",), (str(expected),)], "value string")
+    manifest.coalesce(1).write.text(f"{landing}/manifest")
+    before = spark.read.parquet(table).select("month_id")
+    before_count = before.count()
+    loads.load_monthly(spark, f"{landing}/data/*.csv.gz", table, LOAD_TS)
+    return table, before_count, files.manifest_counts(spark, f"{landing}/manifest/*.txt")
+
+
+@register("reconcile_load")
+def q_reconcile_load(spark, d):
+    table, before_count, manifest = _monthly_load(spark, d)
+    after = spark.read.parquet(table).select("month_id")
+    before = after.filter(F.col("month_id") != LOAD_MONTH)
+    return quality.reconcile(before, after, manifest.select("expected_rows"))
+
+
+MONTHLY_OUT = ["month_date", "month_id", "msisdn", "imei", "imsi", "first_cell_data_id",
+               "home_mo_count", "work_mo_count", "home_data_in_volume_kb", "record_ts"]
+
+
+@register("monthly_usage_load")
+def q_monthly_usage_load(spark, d):
+    table, _, _ = _monthly_load(spark, d)
+    start = dt.date(LOAD_MONTH // 100, LOAD_MONTH % 100, 1)
+    return writers.read_period(spark, table, "month_date", start, start).select(*MONTHLY_OUT)
+
+
+DAILY_OUT = ["call_date", "date_of_call", "msisdn", "imei", "imsi", "first_cell_data_id", "exbr_account_num",
+             "home_mo_count", "work_mo_count", "home_mo_duration_secs", "home_data_out_volume_kb", "record_ts"]
+
+
+@register("daily_usage_load")
+def q_daily_usage_load(spark, d):
+    u = roles.usage(spark, d).filter(F.col("month_id") == LOAD_MONTH)
+    staging_cols = ["date_of_call"] + schemas.USAGE_COLUMNS
+    rows = u.select(*[F.col(c) if c in u.columns else F.lit(None).cast(schemas.DAILY_STAGING[c].dataType).alias(c)
+                      for c in staging_cols]).withColumn("msisdn", F.concat(F.lit(" "), F.col("msisdn")))
+    landing = scratch_path(spark, "dly_landing")
+    writers.write_csv(rows, landing, staging_cols, sep="|", compression="gzip")
+    table = scratch_path(spark, "t_agg_dly")
+    loads.load_daily(spark, f"{landing}/*.csv.gz", table, LOAD_TS)
+    start = dt.date(LOAD_MONTH // 100, LOAD_MONTH % 100, 1)
+    return writers.read_period(spark, table, "call_date", start, dt.date(2001, 7, 31)).select(*DAILY_OUT)
+
+
+@register("period_cursor")
+def q_period_cursor(spark, d):
+    latest = roles.usage(spark, d).agg(F.max("month_id").alias("m"))
+    control = latest.select(F.explode(F.array(
+        F.struct(F.lit("latest_mthly_file_mon").alias("property_name"), F.col("m").cast("string").alias("property_value")),
+        F.struct(F.lit("next_mthly_file_mon").alias("property_name"),
+                 month_key_str(F.add_months(month_start("m"), 1)).alias("property_value")))).alias("p")).select("p.*")
+    nxt = control.filter(F.col("property_name") == "next_mthly_file_mon")
+    return nxt.select(F.col("property_value").alias("next_month"),
+                      month_key_str(F.add_months(month_start("property_value"), 1)).alias("following_month"))
+
+
+@register("staging_copy")
+def q_staging_copy(spark, d):
+    staging = scratch_path(spark, "cell_staging")
+    writers.refresh(roles.cells(spark, d), staging)
+    cols = ["cell_data_id", "technology", "cell", "global_cell_id", "site_id"]
+    return loads.staging_copy(spark, spark.read.parquet(staging), cols, scratch_path(spark, "cell_temp"))
+
+
+# ---- text flows ---------------------------------------------------------------------------
+
+RATING_HEADERS = ["event_id", "user_id", "value", "event_type"]
+
+
+@register("ratings_filter")
+def q_ratings_filter(spark, d):
+    ev = roles.table(spark, d, "events").select(*RATING_HEADERS)
+    path = scratch_path(spark, "ratings")
+    writers.write_csv(ev, path, RATING_HEADERS, sep=",")
+    kept = text_flows.ratings_above(spark, f"{path}/*.csv", RATING_HEADERS, rating_field=2, threshold=4.0)
+    return kept.select(F.col("event_id").cast("long").alias("event_id"),
+                       F.col("user_id").cast("long").alias("user_id"),
+                       F.col("value").cast("double").alias("rating"))
+
+
+@register("word_extract")
+def q_word_extract(spark, d):
+    return text_flows.word_counts(roles.table(spark, d, "documents"))
+
+
+# ---- network marts ------------------------------------------------------------------------
+
+@register("site_usage")
+def q_site_usage(spark, d):
+    return network.site_usage(roles.usage(spark, d), roles.cells(spark, d))
+
+
+@register("protocol_site_usage")
+def q_protocol_site_usage(spark, d):
+    return network.protocol_site_usage(roles.usage(spark, d), roles.cells(spark, d), roles.devices(spark, d),
+                                       roles.subscribers(spark, d))
+
+
+# ---- streaming ----------------------------------------------------------------------------
+
+LANDING_SCHEMA = "event_id long, ts_text string, user_id long, event_type string, value double"
+TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+@register("landing_stream")
+def q_landing_stream(spark, d):
+    ev = roles.table(spark, d, "events").select("event_id", F.date_format("ts", TS_FORMAT).alias("ts_text"),
+                                                "user_id", "event_type", "value")
+    landing = scratch_path(spark, "events_landing")
+    ev.repartition(4).write.option("sep", "|").option("header", True).csv(landing)
+    target = scratch_path(spark, "events_final")
+
+    def transform(rows):
+        ts = F.to_timestamp_ntz(F.col("ts_text"), F.lit(TS_FORMAT))
+        return rows.select("event_id", ts.alias("ts"), "user_id", "event_type", "value",
+                           F.to_date(ts).alias("event_date"))
+
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL(LANDING_SCHEMA)
+    q = landing_stream(spark, landing, schema, target, scratch_path(spark, "events_ckpt"),
+                       scratch_path(spark, "events_archive"), transform=transform)
+    run_once(q)
+    return spark.read.parquet(target)

@@ -298,3 +298,261 @@ SELECT user_id, month_date,
 {",".join(f"{chr(10)}  CAST(SUM(CASE WHEN tech = '{v}' THEN 1 ELSE 0 END) AS BIGINT) AS EVENTS_{s}" for v, s in VOICE)},
 {",".join(f"{chr(10)}  CAST(SUM(CASE WHEN tech = '{v}' THEN value_cents ELSE 0 END) AS BIGINT) AS VALUE_CENTS_{s}" for v, s in DATA)}
 FROM ev GROUP BY 1, 2"""
+
+# ---- subscriber base ----------------------------------------------------------------------
+
+_FEEDS = f""",
+bvp_d AS (
+  SELECT DISTINCT subscriber_num, account_type, agg_mth, current_brand, contract_start_date FROM legacy_base
+),
+cdm_bvp AS (
+  SELECT cdm.account_num,
+         CAST(CAST(year(cdm.snapshot_date) AS VARCHAR) || lpad(CAST(month(cdm.snapshot_date) AS VARCHAR), 2, '0') AS VARCHAR) AS agg_mth,
+         cdm.csm_stack AS stack, cdm.service_product_code AS price_plan, cdm.service_id AS sub_id,
+         cdm.service_product_type AS base_type,
+         CASE WHEN TRY_CAST(cdm.ctn AS BIGINT) = bvp.subscriber_num THEN bvp.current_brand ELSE cdm.brand END AS current_brand,
+         cdm.service_id_status AS subscriber_status, cdm.ctn AS subscriber_num, 'PAYM' AS billing_base,
+         cdm.total_service_product_rev_pm AS arpu,
+         CASE WHEN TRY_CAST(cdm.ctn AS BIGINT) = bvp.subscriber_num THEN bvp.account_type ELSE 'N/A' END AS account_type,
+         'Consumer' AS business_type, CAST(-1 AS BIGINT) AS active_30d_payg, CAST(-1 AS BIGINT) AS active_90d_payg,
+         cdm.contract_start_date, cdm.contract_end_date
+  FROM daily_base AS cdm
+  LEFT JOIN bvp_d AS bvp
+    ON TRY_CAST(cdm.ctn AS BIGINT) = bvp.subscriber_num
+   AND CAST(CAST(year(cdm.snapshot_date) AS VARCHAR) || lpad(CAST(month(cdm.snapshot_date) AS VARCHAR), 2, '0') AS VARCHAR) = CAST(bvp.agg_mth AS VARCHAR)
+   AND cdm.contract_start_date = bvp.contract_start_date
+  WHERE cdm.service = 'Mobile'
+    AND cdm.snapshot_date = last_day({months_back(1)})
+  UNION
+  SELECT CAST(bvp.account_num AS VARCHAR) AS account_num, CAST(bvp.agg_mth AS VARCHAR) AS agg_mth, bvp.stack,
+         bvp.price_plan, CAST(bvp.sub_id AS VARCHAR) AS sub_id, bvp.base_type, bvp.current_brand,
+         bvp.subscriber_status,
+         CASE WHEN CAST(bvp.subscriber_num AS VARCHAR) NOT LIKE '0%' THEN '0' || CAST(bvp.subscriber_num AS VARCHAR)
+              ELSE CAST(bvp.subscriber_num AS VARCHAR) END AS subscriber_num,
+         bvp.billing_base, CAST(CAST(bvp.arpu AS DECIMAL(38, 9)) AS DOUBLE) AS arpu, bvp.account_type,
+         bvp.business_type, bvp.active_30d_payg, bvp.active_90d_payg, bvp.contract_start_date, bvp.contract_end_date
+  FROM legacy_base AS bvp
+  WHERE CAST(bvp.agg_mth AS VARCHAR) = strftime(CAST(date_trunc('month', {AS_OF}) - INTERVAL 1 MONTH AS DATE), '%Y%m')
+    AND (bvp.business_type <> 'Consumer'
+         OR (bvp.business_type = 'Consumer' AND bvp.billing_base = 'PAYG'
+             AND (bvp.current_brand <> 'Orange' AND bvp.billing_base = 'PAYG')))
+)"""
+
+_BASE_SELECT = """
+SELECT CASE WHEN subscriber_num NOT LIKE '0%' THEN '0' || subscriber_num ELSE subscriber_num END AS subscriber_num,
+       price_plan, agg_mth, stack, current_brand, business_type, billing_base, arpu, subscriber_status,
+       active_30d_payg, active_90d_payg, account_num, sub_id, base_type, account_type,
+       CAST(contract_start_date AS DATE) AS contract_start_date, CAST(contract_end_date AS DATE) AS contract_end_date
+FROM cdm_bvp"""
+
+ORACLES["subscriber_base"] = with_roles(["daily_base", "legacy_base"], _FEEDS + _BASE_SELECT)
+ORACLES["union_distinct"] = with_roles(["daily_base", "legacy_base"], _FEEDS + "\nSELECT * FROM cdm_bvp")
+ORACLES["subscriber_category"] = with_roles(["daily_base", "legacy_base"], _FEEDS + f""",
+sb AS ({_BASE_SELECT})
+SELECT DISTINCT CAST(strptime(agg_mth, '%Y%m') AS DATE) AS date_mth, subscriber_num AS msisdn,
+       current_brand AS Brand, billing_base, business_type
+FROM sb""")
+
+# ---- row-changing statements ----------------------------------------------------------------
+
+_UPSERT = """,
+t AS (SELECT *, TIMESTAMP '2001-01-01 00:00:00' AS record_ts FROM cells
+      WHERE technology IN ('2G GSM', '3G UMTS', '4G', 'WIFI')),
+s AS (SELECT cell_data_id, technology, cell, global_cell_id, site_id, site_name || ' v2' AS site_name,
+             latitude, longitude FROM cells WHERE technology IN ('4G', 'WIFI', '-1'))
+SELECT t.* FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.cell_data_id = t.cell_data_id)
+UNION ALL
+SELECT s.*, TIMESTAMP '2001-08-15 06:00:00' AS record_ts FROM s"""
+
+ORACLES["upsert_dim"] = with_roles(["cells"], _UPSERT)
+ORACLES["cell_upsert"] = with_roles(["cells"], _UPSERT)
+
+_PADDED = """,
+padded AS (
+  SELECT month_id, date_of_call, imei, imsi,
+         CASE WHEN work_mo_count % 2 = 0 THEN ' ' || msisdn || chr(9) ELSE msisdn END AS msisdn,
+         CAST(call_date + 1 AS TIMESTAMP) AS record_ts
+  FROM usage
+)"""
+
+ORACLES["conditional_trim"] = with_roles(["usage"], _PADDED + f"""
+SELECT month_id, date_of_call, imei, imsi,
+       CASE WHEN month_id >= 200001 THEN {trim_ws('msisdn')} ELSE msisdn END AS msisdn
+FROM padded""")
+
+ORACLES["key_backfill"] = with_roles(["usage"], _PADDED + f"""
+SELECT date_of_call, imei, imsi,
+       CASE WHEN CAST(record_ts AS DATE) > DATE '2000-07-12' THEN {trim_ws('msisdn')} ELSE msisdn END AS msisdn,
+       record_ts
+FROM padded""")
+
+ORACLES["stamp_missing"] = """
+SELECT event_id, user_id, event_type,
+       coalesce(CASE WHEN event_type = 'error' THEN NULL ELSE ts END, TIMESTAMP '2024-02-10 03:00:00') AS record_ts
+FROM events"""
+
+# ---- windows, keys, retention --------------------------------------------------------------
+
+ORACLES["three_month_slice"] = with_roles(["usage"], f"""
+SELECT call_date, date_of_call, msisdn, exbr_account_num, imei, imsi, first_cell_data_id, home_mo_count,
+       home_mt_count, home_mo_sms_count, home_mt_sms_count, home_mo_duration_secs, home_mt_duration_secs,
+       home_data_in_volume_kb, work_mo_count, work_mt_count, work_mo_sms_count, work_mt_sms_count,
+       work_mo_duration_secs, work_mt_duration_secs, work_data_in_volume_kb, home_data_out_volume_kb,
+       work_data_out_volume_kb, home_data_duration_secs, work_data_duration_secs
+FROM usage
+WHERE call_date BETWEEN CAST(date_trunc('month', {months_back(3)}) AS DATE) AND last_day({months_back(1)})""")
+
+ORACLES["thirteen_month_window"] = with_roles(["usage"], f"""
+SELECT month_id, month_date, CAST(count(*) AS BIGINT) AS usage_rows
+FROM usage
+WHERE month_id BETWEEN CAST(strftime({months_back(13)}, '%Y%m') AS BIGINT) AND CAST(strftime({AS_OF}, '%Y%m') AS BIGINT)
+  AND month_date BETWEEN {months_back(13)} AND {AS_OF}
+GROUP BY 1, 2""")
+
+ORACLES["month_keys"] = """
+WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)
+SELECT o_orderkey,
+       CAST(year(d) * 100 + month(d) AS BIGINT) AS month_id,
+       strftime(d, '%Y%m') AS agg_mth,
+       CAST(strptime(strftime(d, '%Y%m'), '%Y%m') AS DATE) AS month_date,
+       CAST(year(d) * 10000 + month(d) * 100 + day(d) AS BIGINT) AS day_key,
+       CAST(strptime(CAST(year(d) * 10000 + month(d) * 100 + day(d) AS VARCHAR), '%Y%m%d') AS DATE) AS order_day,
+       CAST(date_trunc('month', d) - INTERVAL 1 MONTH AS DATE) AS prev_month_start,
+       last_day(d) AS month_end,
+       CAST(year(d) AS INTEGER) AS order_year,
+       CAST(month(d) AS INTEGER) AS order_month
+FROM o"""
+
+ORACLES["retain_partitions"] = f"""
+SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS event_date
+FROM events WHERE CAST(ts AS DATE) > CAST({EVENTS_AS_OF} - INTERVAL 30 DAY AS DATE)"""
+
+ORACLES["partition_guard_read"] = """
+SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS event_date
+FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'"""
+
+# ---- files, loads and reconciliation ------------------------------------------------------
+
+ORACLES["delimited_roundtrip"] = "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part"
+
+ORACLES["csv_cleanse"] = """
+WITH lines AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS p_partkey,
+         CASE WHEN p_size % 10 = 0 THEN '' ELSE p_name END AS p_name,
+         p_type, CAST(p_size AS VARCHAR) AS p_size
+  FROM part
+)
+SELECT p_partkey, p_name, p_type, p_size, '' AS p_flag FROM lines WHERE p_name <> ''"""
+
+ORACLES["full_refresh"] = with_roles(["products2"], """
+SELECT curr_product_code, start_date, end_date, mobile_data_speed, product_group, product_name,
+       mobile_service_type, product_line, TIMESTAMP '2001-08-15 06:00:00' AS record_ts
+FROM products2 WHERE product_line = 'BT Mobile'""")
+
+ORACLES["file_gate"] = with_roles(["usage"], """
+SELECT DISTINCT month_id, CAST(1 AS BIGINT) AS files, CAST(1 AS BIGINT) AS minimum, true AS ok FROM usage""")
+
+ORACLES["reconcile_load"] = with_roles(["usage"], """
+SELECT CAST(count(*) FILTER (WHERE month_id <> 200107) AS BIGINT) AS rows_before,
+       CAST(count(*) AS BIGINT) AS rows_after,
+       CAST(count(*) FILTER (WHERE month_id = 200107) AS BIGINT) AS rows_loaded,
+       CAST(count(*) FILTER (WHERE month_id = 200107) AS BIGINT) AS rows_expected,
+       true AS ok
+FROM usage""")
+
+ORACLES["monthly_usage_load"] = with_roles(["usage"], f"""
+SELECT month_date, month_id, {trim_ws("' ' || msisdn")} AS msisdn, imei, imsi, first_cell_data_id,
+       home_mo_count, work_mo_count, home_data_in_volume_kb, TIMESTAMP '2001-08-15 06:00:00' AS record_ts
+FROM usage WHERE month_id = 200107""")
+
+ORACLES["daily_usage_load"] = with_roles(["usage"], f"""
+SELECT call_date, date_of_call, {trim_ws("' ' || msisdn")} AS msisdn, imei, imsi, first_cell_data_id,
+       exbr_account_num, home_mo_count, work_mo_count, home_mo_duration_secs, home_data_out_volume_kb,
+       TIMESTAMP '2001-08-15 06:00:00' AS record_ts
+FROM usage WHERE month_id = 200107""")
+
+ORACLES["period_cursor"] = with_roles(["usage"], """,
+m AS (SELECT max(month_id) AS m FROM usage),
+nxt AS (SELECT strftime(CAST(strptime(CAST(m AS VARCHAR), '%Y%m') AS DATE) + INTERVAL 1 MONTH, '%Y%m') AS next_month FROM m)
+SELECT next_month,
+       strftime(CAST(strptime(next_month, '%Y%m') AS DATE) + INTERVAL 1 MONTH, '%Y%m') AS following_month
+FROM nxt""")
+
+ORACLES["staging_copy"] = with_roles(["cells"], """
+SELECT cell_data_id, technology, cell, global_cell_id, site_id FROM cells""")
+
+# ---- text flows ---------------------------------------------------------------------------
+
+ORACLES["ratings_filter"] = "SELECT event_id, user_id, value AS rating FROM events WHERE value > 4"
+
+ORACLES["word_extract"] = """
+SELECT word, CAST(count(*) AS BIGINT) AS occurrences
+FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z'']+')) AS word FROM documents)
+GROUP BY word"""
+
+# ---- network marts ------------------------------------------------------------------------
+
+SITE_VOICE = [("2G", "2G"), ("3G", "3G"), ("4G", "4G"), ("WIFI", "WIFI"), ("Other", "OTHER")]
+
+
+def _site_measure_sql(totals_only: bool) -> str:
+    mo_calls = "(u.home_mo_count + u.work_mo_count)"
+    mt_calls = "(u.home_mt_count + u.work_mt_count)"
+    mo_secs = "(u.home_mo_duration_secs + u.work_mo_duration_secs)"
+    mt_secs = "(u.home_mt_duration_secs + u.work_mt_duration_secs)"
+    mo_sms = "(u.home_mo_sms_count + u.work_mo_sms_count)"
+    mt_sms = "(u.home_mt_sms_count + u.work_mt_sms_count)"
+    dl = "(u.home_data_in_volume_kb + u.work_data_in_volume_kb)"
+    ul = "(u.home_data_out_volume_kb + u.work_data_out_volume_kb)"
+    out = []
+    for name, mo, mt, div in (("CALLS", mo_calls, mt_calls, None), ("MINS", mo_secs, mt_secs, "60.0"),
+                              ("SMS", mo_sms, mt_sms, None)):
+        parts = [("TOTAL", f"({mo} + {mt})")] if totals_only else [("MO", mo), ("MT", mt), ("TOTAL", f"({mo} + {mt})")]
+        for label, expr in parts:
+            for value, suffix in SITE_VOICE:
+                s = f"SUM(CASE WHEN interp_tech = '{value}' THEN {expr} ELSE 0 END)"
+                s = f"{s} / {div}::DOUBLE" if div else f"CAST({s} AS BIGINT)"
+                out.append(f"  {s} AS {label}_{name}_{suffix}")
+    dparts = [("TOTAL_DATA", f"({dl} + {ul})")] if totals_only else [("UL", ul), ("DL", dl), ("TOTAL_DATA", f"({dl} + {ul})")]
+    for label, expr in dparts:
+        for value, suffix in DATA:
+            out.append(f"  SUM(CASE WHEN interp_tech = '{value}' THEN {expr} ELSE 0 END) / 1024.0::DOUBLE AS {label}_MB_{suffix}")
+    return ",\n".join(out)
+
+
+_SITE_TECH = f""",
+ut AS (
+  SELECT u.*, dcd.site_id, dcd.latitude, dcd.longitude, {_INTERP_TECH} AS interp_tech
+  FROM usage u LEFT JOIN cells dcd ON u.first_cell_data_id = dcd.cell_data_id
+)"""
+
+ORACLES["site_usage"] = with_roles(["usage", "cells"], _SITE_TECH + f"""
+SELECT date_of_call, call_date, msisdn, imei, imsi, exbr_account_num, site_id,
+{_site_measure_sql(False)}
+FROM ut u GROUP BY 1, 2, 3, 4, 5, 6, 7""")
+
+ORACLES["protocol_site_usage"] = with_roles(["usage", "cells", "devices", "subscribers"], _SITE_TECH + f""",
+g AS (
+  SELECT u.month_date AS date_of_call_month_date, u.site_id AS SITE_ID, u.latitude AS LATITUDE,
+         CAST(u.latitude AS DECIMAL(38, 9)) AS LATDD, u.longitude AS LONGITUDE,
+         CAST(u.longitude AS DECIMAL(38, 9)) AS LONGDD, u.msisdn AS MSISDN, u.imei, u.imsi,
+         u.exbr_account_num AS ACCOUNT_NUM, s.business_name AS BUSINESS_NAME, s.segment AS SEGMENT,
+         s.brand AS BRAND, d.protocol AS DEVICE_PROTOCOL, d.device_type AS DEVICE_TYPE, d.model AS MODEL,
+         d.marketing_name AS MARKETING_NAME, d.volte_flag AS VOLTE_FLAG,
+{_site_measure_sql(True)}
+  FROM ut u
+  LEFT JOIN devices d ON substr(u.imei, 1, 8) = d.tac
+  LEFT JOIN subscribers s ON u.msisdn = s.msisdn
+  GROUP BY ALL
+)
+SELECT *,
+       CASE WHEN coalesce(TOTAL_CALLS_3G, 0) + coalesce(TOTAL_MINS_3G, 0) + coalesce(TOTAL_SMS_3G, 0)
+                 + coalesce(TOTAL_DATA_MB_3G, 0) > 0 THEN 'Y' ELSE 'N' END AS FLAG_3G_USAGE,
+       CASE WHEN coalesce(TOTAL_CALLS_4G, 0) + coalesce(TOTAL_MINS_4G, 0) + coalesce(TOTAL_SMS_4G, 0)
+                 + coalesce(TOTAL_DATA_MB_4G, 0) > 0 THEN 'Y' ELSE 'N' END AS FLAG_4G_USAGE
+FROM g""")
+
+# ---- streaming ----------------------------------------------------------------------------
+
+ORACLES["landing_stream"] = """
+SELECT event_id, ts, user_id, event_type, value, CAST(ts AS DATE) AS event_date FROM events"""
