@@ -39,38 +39,33 @@ def _with_tech(usage: DataFrame, cells: DataFrame, cell_cols) -> DataFrame:
     return j.withColumn("interp_tech", tech_of_cell())
 
 
-def _sum(col):
-    return F.col(col)
-
-
-def _bucket(tech, value, expr):
-    return F.sum(F.when(tech == value, expr).otherwise(F.lit(0)))
-
-
 def _site_measures(prefix_totals_only: bool):
-    tech = F.col("interp_tech")
-    mo_calls = F.col("home_mo_count") + F.col("work_mo_count")
-    mt_calls = F.col("home_mt_count") + F.col("work_mt_count")
-    mo_secs = F.col("home_mo_duration_secs") + F.col("work_mo_duration_secs")
-    mt_secs = F.col("home_mt_duration_secs") + F.col("work_mt_duration_secs")
-    mo_sms = F.col("home_mo_sms_count") + F.col("work_mo_sms_count")
-    mt_sms = F.col("home_mt_sms_count") + F.col("work_mt_sms_count")
-    dl = F.col("home_data_in_volume_kb") + F.col("work_data_in_volume_kb")
-    ul = F.col("home_data_out_volume_kb") + F.col("work_data_out_volume_kb")
+    """Generated bucket sums as SQL expression strings (one JVM parse per column)."""
+    mo_calls, mt_calls = "(home_mo_count + work_mo_count)", "(home_mt_count + work_mt_count)"
+    mo_secs = "(home_mo_duration_secs + work_mo_duration_secs)"
+    mt_secs = "(home_mt_duration_secs + work_mt_duration_secs)"
+    mo_sms, mt_sms = "(home_mo_sms_count + work_mo_sms_count)", "(home_mt_sms_count + work_mt_sms_count)"
+    dl = "(home_data_in_volume_kb + work_data_in_volume_kb)"
+    ul = "(home_data_out_volume_kb + work_data_out_volume_kb)"
+
+    def bucket(value, expr, div=None):
+        s = f"sum(CASE WHEN interp_tech = '{value}' THEN {expr} ELSE 0 END)"
+        return F.expr(f"{s} / {div}D" if div else s)
+
     out = []
-    groups = [("CALLS", mo_calls, mt_calls, None, SITE_VOICE),
-              ("MINS", mo_secs, mt_secs, 60.0, SITE_VOICE),
-              ("SMS", mo_sms, mt_sms, None, SITE_VOICE)]
-    for name, mo, mt, div, buckets in groups:
-        parts = [("TOTAL", mo + mt)] if prefix_totals_only else [("MO", mo), ("MT", mt), ("TOTAL", mo + mt)]
+    groups = [("CALLS", mo_calls, mt_calls, None), ("MINS", mo_secs, mt_secs, 60.0),
+              ("SMS", mo_sms, mt_sms, None)]
+    for name, mo, mt, div in groups:
+        total = f"({mo} + {mt})"
+        parts = [("TOTAL", total)] if prefix_totals_only else [("MO", mo), ("MT", mt), ("TOTAL", total)]
         for label, expr in parts:
-            for value, suffix in buckets:
-                s = _bucket(tech, value, expr)
-                out.append((s / F.lit(div) if div else s).alias(f"{label}_{name}_{suffix}"))
-    data_parts = [("TOTAL_DATA", dl + ul)] if prefix_totals_only else [("UL", ul), ("DL", dl), ("TOTAL_DATA", dl + ul)]
+            for value, suffix in SITE_VOICE:
+                out.append(bucket(value, expr, div).alias(f"{label}_{name}_{suffix}"))
+    total = f"({dl} + {ul})"
+    data_parts = [("TOTAL_DATA", total)] if prefix_totals_only else [("UL", ul), ("DL", dl), ("TOTAL_DATA", total)]
     for label, expr in data_parts:
         for value, suffix in SITE_DATA:
-            out.append((_bucket(tech, value, expr) / F.lit(1024.0)).alias(f"{label}_MB_{suffix}"))
+            out.append(bucket(value, expr, 1024.0).alias(f"{label}_MB_{suffix}"))
     return out
 
 
@@ -96,8 +91,8 @@ def protocol_site_usage(usage_mth: DataFrame, cells: DataFrame, devices: DataFra
                              F.col("segment").alias("SEGMENT"), F.col("brand").alias("BRAND"))
     j = j.join(sub, j["msisdn"] == sub["__smsisdn"], "left")
     keys = [F.col("month_date").alias("date_of_call_month_date"), F.col("site_id").alias("SITE_ID"),
-            F.col("latitude").alias("LATITUDE"), F.col("latitude").cast("decimal(38,9)").alias("LATDD"),
-            F.col("longitude").alias("LONGITUDE"), F.col("longitude").cast("decimal(38,9)").alias("LONGDD"),
+            F.col("latitude").alias("LATITUDE"), F.col("latitude").cast("double").alias("LATDD"),
+            F.col("longitude").alias("LONGITUDE"), F.col("longitude").cast("double").alias("LONGDD"),
             F.col("msisdn").alias("MSISDN"), "imei", "imsi", F.col("exbr_account_num").alias("ACCOUNT_NUM"),
             "BUSINESS_NAME", "SEGMENT", "BRAND", "DEVICE_PROTOCOL", "DEVICE_TYPE", "MODEL", "MARKETING_NAME",
             "VOLTE_FLAG"]

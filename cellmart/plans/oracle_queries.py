@@ -534,8 +534,8 @@ FROM ut u GROUP BY 1, 2, 3, 4, 5, 6, 7""")
 ORACLES["protocol_site_usage"] = with_roles(["usage", "cells", "devices", "subscribers"], _SITE_TECH + f""",
 g AS (
   SELECT u.month_date AS date_of_call_month_date, u.site_id AS SITE_ID, u.latitude AS LATITUDE,
-         CAST(u.latitude AS DECIMAL(38, 9)) AS LATDD, u.longitude AS LONGITUDE,
-         CAST(u.longitude AS DECIMAL(38, 9)) AS LONGDD, u.msisdn AS MSISDN, u.imei, u.imsi,
+         CAST(u.latitude AS DOUBLE) AS LATDD, u.longitude AS LONGITUDE,
+         CAST(u.longitude AS DOUBLE) AS LONGDD, u.msisdn AS MSISDN, u.imei, u.imsi,
          u.exbr_account_num AS ACCOUNT_NUM, s.business_name AS BUSINESS_NAME, s.segment AS SEGMENT,
          s.brand AS BRAND, d.protocol AS DEVICE_PROTOCOL, d.device_type AS DEVICE_TYPE, d.model AS MODEL,
          d.marketing_name AS MARKETING_NAME, d.volte_flag AS VOLTE_FLAG,

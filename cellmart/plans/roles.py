@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellmart.functions.calendar import day_key, month_key
+from cellmart.sources.tables import read_table
 
 # Fixed dates of the driver data: orders span 1995-01..2001-08, events 2024-01.
 ORDERS_AS_OF = dt.date(2001, 8, 15)
@@ -29,8 +30,12 @@ EVENTS_AS_OF = dt.date(2024, 2, 10)
 LOAD_TS = dt.datetime(2001, 8, 15, 6, 0, 0)
 
 
+# Tables large enough to be worth spreading over all task slots when they scan as one split.
+LARGE_TABLES = {"lineitem", "orders", "events", "documents", "conversations", "pages"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", spread=name in LARGE_TABLES)
 
 
 def _s(c: str | Column) -> Column:
