@@ -83,7 +83,8 @@ class MonthlyLoadReport:
 def monthly_load_with_checks(spark: SparkSession, *, landing_dir: str, month: str, table_path: str,
                              record_ts, min_files: int, manifest_glob: str, data_glob: str) -> MonthlyLoadReport:
     """File gate -> manifest -> load -> reconciliation, for one month."""
-    files = quality.require_files(count_files(spark, landing_dir, f"*{month}*"), min_files)
+    # Prefix count of the month's objects (data files and manifest), as the landing gate does.
+    files = quality.require_files(count_files(spark, landing_dir, recursive=True, contains=month), min_files)
     expected = manifest_counts(spark, f"{landing_dir}/{manifest_glob}").agg(F.sum("expected_rows")).head()[0]
     before = _count(spark, table_path)
     load_monthly(spark, f"{landing_dir}/{data_glob}", table_path, record_ts)

@@ -157,7 +157,7 @@ daily_base AS (
   SELECT 'A' || CAST(o.o_custkey AS VARCHAR) AS account_num,
          last_day(CAST(o.o_orderdate AS DATE)) AS snapshot_date,
          'CSM' AS csm_stack,
-         substr(o.o_orderpriority, 3, 20) AS service_product_code,
+         'X' || CAST(o.o_custkey AS VARCHAR) AS service_product_code,
          CAST(o.o_orderkey AS VARCHAR) AS service_id,
          c.c_mktsegment AS service_product_type,
          CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'BT' WHEN 'BUILDING' THEN 'EE'
@@ -175,7 +175,7 @@ legacy_base AS (
   SELECT o.o_custkey AS account_num,
          CAST(year(o.o_orderdate) * 100 + month(o.o_orderdate) AS BIGINT) AS agg_mth,
          'LEGACY' AS stack,
-         o.o_orderpriority AS price_plan,
+         'X' || CAST(o.o_custkey AS VARCHAR) AS price_plan,
          o.o_orderkey AS sub_id,
          c.c_mktsegment AS base_type,
          CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN 'BT' WHEN 'BUILDING' THEN 'EE'

@@ -229,7 +229,7 @@ def daily_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("A"), _s("o_custkey")).alias("account_num"),
         F.last_day(day).alias("snapshot_date"),
         F.lit("CSM").alias("csm_stack"),
-        F.substring("o_orderpriority", 3, 20).alias("service_product_code"),
+        F.concat(F.lit("X"), _s("o_custkey")).alias("service_product_code"),
         _s("o_orderkey").alias("service_id"),
         F.col("c_mktsegment").alias("service_product_type"),
         _case("c_mktsegment", SEGMENT_BRAND, SEGMENT_BRAND_DEFAULT).alias("brand"),
@@ -252,7 +252,7 @@ def legacy_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("account_num"),
         month_key(day).alias("agg_mth"),
         F.lit("LEGACY").alias("stack"),
-        F.col("o_orderpriority").alias("price_plan"),
+        F.concat(F.lit("X"), _s("o_custkey")).alias("price_plan"),
         F.col("o_orderkey").alias("sub_id"),
         F.col("c_mktsegment").alias("base_type"),
         _case("c_mktsegment", SEGMENT_BRAND, SEGMENT_BRAND_DEFAULT).alias("current_brand"),

@@ -6,21 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def list_files(spark: SparkSession, directory: str, glob: str = "*") -> DataFrame:
-    """Paths (and sizes) of files matching ``glob`` in ``directory``. Only file metadata is
-    read: the ``binaryFile`` source is pruned to ``path`` / ``length``, so no content is loaded."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "false").load(directory)
-            .select("path", "length"))
+def list_files(spark: SparkSession, directory: str, glob: str = "*", recursive: bool = False,
+               contains: str | None = None) -> DataFrame:
+    """Paths (and sizes) of files matching ``glob`` below ``directory``; with ``contains``,
+    only paths containing that marker (an object-store prefix listing counts nested objects
+    too). Only file metadata is read: the ``binaryFile`` source is pruned to ``path`` /
+    ``length``, so no content is loaded. Hidden files (``_SUCCESS``, ``.crc``) are skipped."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", str(recursive).lower()).load(directory)
+             .select("path", "length"))
+    return files.filter(F.col("path").contains(contains)) if contains else files
 
 
-def count_files(spark: SparkSession, directory: str, glob: str = "*") -> int:
-    return list_files(spark, directory, glob).count()
+def count_files(spark: SparkSession, directory: str, glob: str = "*", recursive: bool = False,
+                contains: str | None = None) -> int:
+    return list_files(spark, directory, glob, recursive, contains).count()
 
 
-def file_counts(spark: SparkSession, directory: str, glob: str = "*") -> DataFrame:
+def file_counts(spark: SparkSession, directory: str, glob: str = "*", recursive: bool = False) -> DataFrame:
     """One row: number of files (as a DataFrame, for gates kept inside Spark)."""
-    return list_files(spark, directory, glob).agg(F.count(F.lit(1)).alias("files"))
+    return list_files(spark, directory, glob, recursive).agg(F.count(F.lit(1)).alias("files"))
 
 
 def manifest_counts(spark: SparkSession, paths: str) -> DataFrame:
