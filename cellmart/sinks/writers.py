@@ -18,10 +18,15 @@ from cellmart.functions.calendar import lit_date
 
 
 def _layout(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]):
+    if partition_by:
+        # Rows of one partition value go to the same tasks, so each folder gets a few large
+        # files instead of one small file per writing task. REBALANCE (unlike a plain
+        # repartition on the partition column) lets AQE split a month that is larger than
+        # the advisory partition size over several tasks and merge small ones.
+        df = df.hint("rebalance", *partition_by)
     if cluster_by:
-        # Clustering: rows of one partition value written together, sorted by the cluster
-        # keys, so parquet row-group statistics prune reads on those keys.
-        df = df.repartition(*[F.col(c) for c in partition_by]) if partition_by else df
+        # Clustering: sorted by the cluster keys within each file, so parquet row-group
+        # statistics prune reads on those keys.
         df = df.sortWithinPartitions(*partition_by, *cluster_by)
     w = df.write
     if partition_by:
