@@ -25,6 +25,8 @@ from cellmart.sources.files import count_files, manifest_counts
 
 DAILY_COLUMNS = ["call_date", "date_of_call"] + schemas.USAGE_COLUMNS + ["record_ts"]
 MONTHLY_COLUMNS = ["month_date", "month_id"] + schemas.USAGE_COLUMNS + ["record_ts"]
+# Clustering keys of the monthly usage table (the month is the partition folder).
+MONTHLY_CLUSTER = ["msisdn", "imei", "imsi"]
 
 
 def staged_daily(spark: SparkSession, landing_glob: str, sep: str = "|") -> DataFrame:
@@ -63,7 +65,7 @@ def load_monthly(spark: SparkSession, landing_glob: str, table_path: str, record
     so the files are parsed once)."""
     rows = monthly_final_rows(staged_monthly(spark, landing_glob, sep), record_ts)
     rows, obs = quality.observed_count(rows)
-    writers.append(rows, table_path, MONTHLY_COLUMNS, partition_by=["month_date"])
+    writers.append(rows, table_path, MONTHLY_COLUMNS, partition_by=["month_date"], cluster_by=MONTHLY_CLUSTER)
     return int(obs.get["rows"])
 
 
