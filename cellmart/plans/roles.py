@@ -34,14 +34,30 @@ LOAD_TS = dt.datetime(2001, 8, 15, 6, 0, 0)
 LARGE_TABLES = {"lineitem", "orders", "events", "documents", "conversations", "pages"}
 
 
+_SCANS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", spread=name in LARGE_TABLES)
+    """Scan of a driver table. The driver tables are read-only inputs, so one DataFrame per
+    (session, path) is built and shared: the file listing and footer read happen once, and
+    every use of the table is the same relation in the plan."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCANS:
+        _SCANS[key] = read_table(spark, path, spread=name in LARGE_TABLES)
+    return _SCANS[key]
 
 
 def _s(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
+def _case_sql(col: str, mapping: dict, default) -> str:
+    lit = lambda v: repr(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
+    whens = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in mapping.items())
+    return f"CASE {col} {whens} ELSE {lit(default)} END"
+
+
 def _case(col: str, mapping: dict, default) -> Column:
     expr = None
     for k, v in mapping.items():
@@ -67,39 +83,35 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
-    ship = F.to_date("l_shipdate")
-    q = F.floor("l_quantity")
-    ln = F.col("l_linenumber").cast("long")
-    price = F.col("l_extendedprice")
-    return j.select(
-        _s("o_custkey").alias("msisdn"),
-        F.trunc(ship, "MM").alias("month_date"),
-        month_key(ship).alias("month_id"),
-        ship.alias("call_date"),
-        day_key(ship).alias("date_of_call"),
-        F.concat(F.lpad(_s("l_partkey"), 8, "0"), F.lpad(_s("l_suppkey"), 7, "0")).alias("imei"),
-        F.concat(F.lit("2343"), F.lpad(_s(F.col("l_linenumber") - 1), 11, "0")).alias("imsi"),
-        F.col("o_custkey").alias("exbr_account_num"),
-        F.col("l_suppkey").alias("first_cell_data_id"),
-        F.col("l_suppkey").alias("last_cell_data_id"),
-        q.alias("home_mo_count"),
-        ln.alias("work_mo_count"),
-        F.floor(F.col("l_quantity") / 2).alias("home_mt_count"),
-        (ln % 3).alias("work_mt_count"),
-        F.floor(F.col("l_quantity") / 3).alias("home_mo_sms_count"),
-        (ln % 2).alias("work_mo_sms_count"),
-        F.floor(F.col("l_quantity") / 5).alias("home_mt_sms_count"),
-        F.lit(1).cast("long").alias("work_mt_sms_count"),
-        F.floor(price / 10).alias("home_mo_duration_secs"),
-        (q * 7).alias("work_mo_duration_secs"),
-        F.floor(price / 20).alias("home_mt_duration_secs"),
-        (q * 11).alias("work_mt_duration_secs"),
-        F.floor(price).alias("home_data_in_volume_kb"),
-        F.floor(F.col("o_totalprice") / 100).alias("work_data_in_volume_kb"),
-        F.floor(price / 4).alias("home_data_out_volume_kb"),
-        (q * 13).alias("work_data_out_volume_kb"),
-        F.floor(price / 3).alias("home_data_duration_secs"),
-        (ln * 5).alias("work_data_duration_secs"),
+    return j.selectExpr(
+        "cast(o_custkey as string) AS msisdn",
+        "trunc(to_date(l_shipdate), 'MM') AS month_date",
+        "cast(year(l_shipdate) * 100 + month(l_shipdate) AS bigint) AS month_id",
+        "to_date(l_shipdate) AS call_date",
+        "cast(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS bigint) AS date_of_call",
+        "lpad(cast(l_partkey as string), 8, '0') || lpad(cast(l_suppkey as string), 7, '0') AS imei",
+        "'2343' || lpad(cast(l_linenumber - 1 as string), 11, '0') AS imsi",
+        "o_custkey AS exbr_account_num",
+        "l_suppkey AS first_cell_data_id",
+        "l_suppkey AS last_cell_data_id",
+        "floor(l_quantity) AS home_mo_count",
+        "cast(l_linenumber AS bigint) AS work_mo_count",
+        "floor(l_quantity / 2) AS home_mt_count",
+        "cast(l_linenumber AS bigint) % 3 AS work_mt_count",
+        "floor(l_quantity / 3) AS home_mo_sms_count",
+        "cast(l_linenumber AS bigint) % 2 AS work_mo_sms_count",
+        "floor(l_quantity / 5) AS home_mt_sms_count",
+        "cast(1 AS bigint) AS work_mt_sms_count",
+        "floor(l_extendedprice / 10) AS home_mo_duration_secs",
+        "floor(l_quantity) * 7 AS work_mo_duration_secs",
+        "floor(l_extendedprice / 20) AS home_mt_duration_secs",
+        "floor(l_quantity) * 11 AS work_mt_duration_secs",
+        "floor(l_extendedprice) AS home_data_in_volume_kb",
+        "floor(o_totalprice / 100) AS work_data_in_volume_kb",
+        "floor(l_extendedprice / 4) AS home_data_out_volume_kb",
+        "floor(l_quantity) * 13 AS work_data_out_volume_kb",
+        "floor(l_extendedprice / 3) AS home_data_duration_secs",
+        "cast(l_linenumber AS bigint) * 5 AS work_data_duration_secs",
     )
 
 
@@ -195,27 +207,25 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner") \
           .join(c, F.col("o_custkey") == c["c_custkey"], "inner")
-    ship = F.to_date("l_shipdate")
-    return j.select(
-        _s("o_custkey").alias("subscriber_num"),
-        F.concat(F.lit("X"), _s("l_partkey")).alias("price_plan"),
-        F.date_format("o_orderdate", "yyyyMM").alias("agg_mth"),
-        F.lit("CSM").alias("stack"),
-        _case("c_mktsegment", SEGMENT_BRAND, SEGMENT_BRAND_DEFAULT).alias("current_brand"),
-        F.when(F.col("c_nationkey") < 20, "Consumer").otherwise("Business").alias("business_type"),
-        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "PAYG").otherwise("PAYM").alias("billing_base"),
-        F.col("o_totalprice").alias("arpu"),
-        _case("o_orderstatus", ORDER_STATUS, ORDER_STATUS_DEFAULT).alias("subscriber_status"),
-        F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", -1)
-         .otherwise(0).cast("long").alias("active_30d_payg"),
-        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).cast("long").alias("active_90d_payg"),
-        F.col("o_custkey").alias("ee_lifetime_id"),
-        F.concat(F.lit("A"), _s("o_custkey")).alias("account_num"),
-        _s("o_orderkey").alias("sub_id"),
-        F.lit("Handset").alias("base_type"),
-        F.when(F.col("c_acctbal") > 5000, "Premium").otherwise("Standard").alias("account_type"),
-        ship.alias("contract_start_date"),
-        F.date_add(ship, 730).alias("contract_end_date"),
+    return j.selectExpr(
+        "cast(o_custkey as string) AS subscriber_num",
+        "'X' || cast(l_partkey as string) AS price_plan",
+        "date_format(o_orderdate, 'yyyyMM') AS agg_mth",
+        "'CSM' AS stack",
+        f"{_case_sql('c_mktsegment', SEGMENT_BRAND, SEGMENT_BRAND_DEFAULT)} AS current_brand",
+        "CASE WHEN c_nationkey < 20 THEN 'Consumer' ELSE 'Business' END AS business_type",
+        "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'PAYG' ELSE 'PAYM' END AS billing_base",
+        "o_totalprice AS arpu",
+        f"{_case_sql('o_orderstatus', ORDER_STATUS, ORDER_STATUS_DEFAULT)} AS subscriber_status",
+        "cast(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN -1 ELSE 0 END AS bigint) AS active_30d_payg",
+        "cast(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS bigint) AS active_90d_payg",
+        "o_custkey AS ee_lifetime_id",
+        "'A' || cast(o_custkey as string) AS account_num",
+        "cast(o_orderkey as string) AS sub_id",
+        "'Handset' AS base_type",
+        "CASE WHEN c_acctbal > 5000 THEN 'Premium' ELSE 'Standard' END AS account_type",
+        "to_date(l_shipdate) AS contract_start_date",
+        "date_add(to_date(l_shipdate), 730) AS contract_end_date",
     )
 
 

@@ -151,15 +151,19 @@ def usage_by_tech(usage: DataFrame, cells: DataFrame, as_of) -> DataFrame:
     return j.groupBy("msisdn", "month_id", "month_date", "interp_tech").agg(*aggs)
 
 
-def _usage_pivot_raw(usage: DataFrame, cells: DataFrame, as_of) -> DataFrame:
-    """Integer bucket sums per (msisdn, month_id, month_date), before unit conversion.
-    The 40 generated aggregates are SQL expression strings: one JVM parse per column instead
-    of a chain of Python-to-JVM calls per operator."""
-    j = usage_by_tech_raw(usage, cells, as_of)
+def _usage_pivot_by_identity(usage: DataFrame, cells: DataFrame, as_of) -> DataFrame:
+    """Integer bucket sums per (raw msisdn, month_id, month_date, imsi): the one pass over the
+    usage rows that feeds both the per-subscriber pivot and the identity list. The generated
+    aggregates are SQL expression strings (one JVM parse per column)."""
+    cols = sorted({c for home, work, _ in MEASURES.values() for c in (home, work)})
+    u = usage.select("msisdn", "month_id", "month_date", "imsi", "first_cell_data_id", *cols) \
+             .filter(date_window("month_date", as_of, HORIZON_MONTHS))
+    cd = cells.select(F.col("cell_data_id").alias("__cell_id"), "technology", "cell", "global_cell_id")
+    j = u.join(cd, u["first_cell_data_id"] == cd["__cell_id"], "left").withColumn("interp_tech", tech_of_cell())
     aggs = [F.expr(f"sum(CASE WHEN interp_tech = '{value}' THEN {home} + {work} ELSE 0 END)")
             .alias(f"{name}_{suffix}")
             for name, (home, work, _) in MEASURES.items() for value, suffix in MEASURE_BUCKETS[name]]
-    return j.groupBy("msisdn", "month_id", "month_date").agg(*aggs)
+    return j.groupBy("msisdn", "month_id", "month_date", "imsi").agg(*aggs)
 
 
 def identity_list(usage: DataFrame) -> DataFrame:
@@ -181,17 +185,24 @@ def usage_mart(base: DataFrame, products: DataFrame, products2: DataFrame, usage
     k = F.count(F.lit(1)).over(Window.partitionBy("msisdn", "__month"))
     c = cdm.withColumn("k", k).filter(F.col("base_type") != "MIFI")
 
-    raw = _usage_pivot_raw(usage, cells, as_of)
-    t = raw.select(F.col("msisdn").alias("t_msisdn"), F.col("month_date").alias("t_month"),
-                   F.lit(True).alias("t_hit"), *[F.col(p).alias(f"t_{p}") for p in PIVOT_COLUMNS])
+    # One aggregate over the usage rows of the 13-month window, per (msisdn, month, imsi),
+    # serves both the pivot and the identity list. A window per subscriber-month (a handful of
+    # rows each after the aggregate) adds the subscriber-month totals to every row; rows of a
+    # valid SIM identity are the identity list, and a subscriber-month without one keeps a
+    # single row with a NULL identity, as the reference's left join does.
+    by_id = _usage_pivot_by_identity(usage, cells, as_of) \
+        .withColumn("t_msisdn", trim_ws("msisdn")).withColumnRenamed("month_date", "t_month")
+    key = Window.partitionBy("t_msisdn", "t_month")
+    valid = F.coalesce(~trim_ws("imsi").isin(*rules.INVALID_IMSI), F.lit(False))
+    first = F.row_number().over(key.orderBy("month_id", "msisdn", "imsi"))
+    t = by_id.select(
+        "t_msisdn", "t_month", F.when(valid, F.col("imsi")).alias("IMSI"), valid.alias("__valid"),
+        F.max(valid.cast("int")).over(key).alias("__any_valid"), first.alias("__first"),
+        *[F.sum(p).over(key).alias(f"t_{p}") for p in PIVOT_COLUMNS])
+    t = t.filter(F.col("__valid") | ((F.col("__any_valid") == 0) & (F.col("__first") == 1))) \
+         .withColumn("t_hit", F.lit(True)).drop("__valid", "__any_valid", "__first")
     f = c.join(t, (c["msisdn"] == t["t_msisdn"]) & (c["__month"] == t["t_month"]), "left")
 
-    imsi = identity_list(usage).select(trim_ws("msisdn").alias("i_msisdn"),
-                                       F.col("month_date").alias("i_month"), F.col("imsi").alias("IMSI"))
-    # The identity list joins on the usage row's keys, which equal the contract's keys when
-    # usage matched (t_hit) and match nothing otherwise.
-    f = f.join(imsi, (f["msisdn"] == imsi["i_msisdn"]) & (f["__month"] == imsi["i_month"]) & f["t_hit"], "left")
-
     def scaled(name, suffix, div):
         v = f"k * t_{name}_{suffix}" + (f" / {div}D" if div else "")
         return F.expr(f"CASE WHEN t_hit THEN {v} ELSE 0 END").alias(f"{name}_{suffix}")
