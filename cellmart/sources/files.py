@@ -11,7 +11,8 @@ def list_files(spark: SparkSession, directory: str, glob: str = "*", recursive:
     """Paths (and sizes) of files matching ``glob`` below ``directory``; with ``contains``,
     only paths containing that marker (an object-store prefix listing counts nested objects
     too). Only file metadata is read: the ``binaryFile`` source is pruned to ``path`` /
-    ``length``, so no content is loaded. Hidden files (``_SUCCESS``, ``.crc``) are skipped."""
+    ``length``, so no content is loaded. Hidden files (``_SUCCESS``, ``.crc``) and empty
+    (zero-byte) files are not counted."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", str(recursive).lower()).load(directory)
              .select("path", "length"))
@@ -32,8 +33,9 @@ def manifest_counts(spark: SparkSession, paths: str) -> DataFrame:
     """Expected row count of each manifest file: its last non-empty line, as a long.
 
     Each manifest is read whole (it is a few lines); a bad last line gives NULL."""
-    raw = spark.read.option("wholetext", True).text(paths)
-    last = F.element_at(F.split(F.rtrim(F.col("value")), "\n"), -1)
+    raw = spark.read.text(paths, wholetext=True)
+    body = F.regexp_replace(F.col("value"), r"\s+$", "")      # trailing blank lines and spaces
+    last = F.element_at(F.split(body, r"\r?\n"), -1)
     return raw.select(F.col("_metadata.file_path").alias("manifest"),
                       F.trim(last).try_cast("long").alias("expected_rows"))
 
