@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 def read_table(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
     """Parquet scan. A table that plans as fewer input splits than the cluster has task
     slots (one large row group, a few big files) is spread over all slots with one
-    round-robin repartition, so the joins and partial aggregates above the scan run in
+    hash repartition on its key column, so the joins and partial aggregates above the scan run in
     parallel. Planning the split count starts no job; a table of many splits (the normal
     case at scale) is returned untouched, without an extra shuffle."""
     df = spark.read.parquet(path)
@@ -18,7 +18,9 @@ def read_table(spark: SparkSession, path: str, spread: bool = True) -> DataFrame
     key = (path, slots)
     if key not in _SPLITS:
         _SPLITS[key] = df.rdd.getNumPartitions()
-    return df.repartition(slots) if _SPLITS[key] < slots else df
+    # Hash on the table's first (key) column: deterministic on retry without the full-row sort
+    # that a round-robin repartition needs.
+    return df.repartition(slots, df.columns[0]) if _SPLITS[key] < slots else df
 
 
 # Planned split count per (path, slots) of this driver process: the driver tables are
