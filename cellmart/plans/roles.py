@@ -131,56 +131,43 @@ def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _product_attrs() -> list[Column]:
-    size = F.col("p_size")
-    name = F.col("p_name")
-    desc = (F.when(size % 7 == 0, F.concat(F.lit("EE 3G PLAN "), name))
-            .when(size % 7 == 1, F.concat(name, F.lit(" 5G")))
-            .when(size % 7 == 2, F.concat(F.lit("smart "), name, F.lit(" sim")))
-            .when(size % 7 == 3, F.concat(F.lit("1 EE HOME "), name))
-            .when(size % 7 == 4, F.concat(name, F.lit(" watch")))
-            .when(size % 7 == 5, F.concat(name, F.lit(" wifi")))
-            .otherwise(name))
-    return [
-        F.concat(F.lit("X"), _s("p_partkey")).alias("product_code"),
-        F.when(F.col("p_type") == "PROMO", "5G").when(F.col("p_type") == "ECONOMY", "3G")
-         .otherwise("4G").alias("protocol"),
-        F.concat(F.col("p_type"), F.lit(" "), F.col("p_brand")).alias("product_rollup"),
-        F.when(size >= 48, F.lit("MIFI")).when(size >= 46, F.lit(None).cast("string"))
-         .otherwise(F.lit("Handset")).alias("base_type"),
-        F.when(size < 20, "Handset").otherwise("SIMO 30D").alias("product_group"),
-        desc.alias("product_description"),
-        F.when(size % 11 == 0, "PAYG SWITCH").when(size % 11 == 1, "EE 3G LEGACY")
-         .otherwise("STANDARD").alias("base_type_level1"),
-        F.lit("Consumer").alias("product_type"),
-        F.col("p_brand").alias("brand"),
-    ]
+# Product attributes of the first catalogue (SQL expressions over the part table).
+_PRODUCT_ATTRS = [
+    "'X' || cast(p_partkey as string) AS product_code",
+    "CASE WHEN p_type = 'PROMO' THEN '5G' WHEN p_type = 'ECONOMY' THEN '3G' ELSE '4G' END AS protocol",
+    "p_type || ' ' || p_brand AS product_rollup",
+    "CASE WHEN p_size >= 48 THEN 'MIFI' WHEN p_size >= 46 THEN CAST(NULL AS string) ELSE 'Handset' END AS base_type",
+    "CASE WHEN p_size < 20 THEN 'Handset' ELSE 'SIMO 30D' END AS product_group",
+    "CASE p_size % 7 WHEN 0 THEN 'EE 3G PLAN ' || p_name WHEN 1 THEN p_name || ' 5G' "
+    "WHEN 2 THEN 'smart ' || p_name || ' sim' WHEN 3 THEN '1 EE HOME ' || p_name "
+    "WHEN 4 THEN p_name || ' watch' WHEN 5 THEN p_name || ' wifi' ELSE p_name END AS product_description",
+    "CASE p_size % 11 WHEN 0 THEN 'PAYG SWITCH' WHEN 1 THEN 'EE 3G LEGACY' ELSE 'STANDARD' END AS base_type_level1",
+    "'Consumer' AS product_type",
+    "p_brand AS brand",
+]
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First tariff catalogue: two validity windows per code that overlap for half a year."""
     p = table(spark, sf_dir, "part")
-    switch_year = F.lit(1996) + F.col("p_size") % 5
-    early = p.select(*_product_attrs(), F.lit(dt.date(1990, 1, 1)).alias("effective_date"),
-                     F.make_date(switch_year, F.lit(12), F.lit(31)).alias("expiration_date"))
-    late = p.select(*_product_attrs(), F.make_date(switch_year, F.lit(7), F.lit(1)).alias("effective_date"),
-                    F.lit(dt.date(2099, 12, 31)).alias("expiration_date"))
+    early = p.selectExpr(*_PRODUCT_ATTRS, "DATE'1990-01-01' AS effective_date",
+                         "make_date(1996 + p_size % 5, 12, 31) AS expiration_date")
+    late = p.selectExpr(*_PRODUCT_ATTRS, "make_date(1996 + p_size % 5, 7, 1) AS effective_date",
+                        "DATE'2099-12-31' AS expiration_date")
     return early.unionByName(late)
 
 
 def products2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second tariff catalogue (codes padded with a trailing blank, one window per code)."""
-    p = table(spark, sf_dir, "part")
-    size = F.col("p_size")
-    return p.select(
-        F.concat(F.lit("X"), _s("p_partkey"), F.lit(" ")).alias("curr_product_code"),
-        F.lit(dt.date(1995, 1, 1)).alias("start_date"),
-        F.make_date(F.lit(2000) + size % 3, F.lit(6), F.lit(30)).alias("end_date"),
-        F.when(size > 25, "5G").otherwise("4G").alias("mobile_data_speed"),
-        F.concat(F.lit("BT "), F.col("p_type")).alias("product_group"),
-        F.concat(F.lit("BT "), F.col("p_name")).alias("product_name"),
-        F.when(size < 25, "Voice").otherwise("Data").alias("mobile_service_type"),
-        F.when(size % 4 == 0, "BT Home").otherwise("BT Mobile").alias("product_line"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "'X' || cast(p_partkey as string) || ' ' AS curr_product_code",
+        "DATE'1995-01-01' AS start_date",
+        "make_date(2000 + p_size % 3, 6, 30) AS end_date",
+        "CASE WHEN p_size > 25 THEN '5G' ELSE '4G' END AS mobile_data_speed",
+        "'BT ' || p_type AS product_group",
+        "'BT ' || p_name AS product_name",
+        "CASE WHEN p_size < 25 THEN 'Voice' ELSE 'Data' END AS mobile_service_type",
+        "CASE WHEN p_size % 4 = 0 THEN 'BT Home' ELSE 'BT Mobile' END AS product_line",
     )
 
 

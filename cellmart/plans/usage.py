@@ -203,10 +203,6 @@ def usage_mart(base: DataFrame, products: DataFrame, products2: DataFrame, usage
          .withColumn("t_hit", F.lit(True)).drop("__valid", "__any_valid", "__first")
     f = c.join(t, (c["msisdn"] == t["t_msisdn"]) & (c["__month"] == t["t_month"]), "left")
 
-    def scaled(name, suffix, div):
-        v = f"k * t_{name}_{suffix}" + (f" / {div}D" if div else "")
-        return F.expr(f"CASE WHEN t_hit THEN {v} ELSE 0 END").alias(f"{name}_{suffix}")
-
     keyed = f.select(
         zero_prefix("msisdn").alias("MSISDN"), "IMSI", F.col("agg_mth").alias("AGG_MTH"),
         F.col("subscriber_status").alias("SUBSCRIBER_STATUS"),
@@ -218,10 +214,17 @@ def usage_mart(base: DataFrame, products: DataFrame, products2: DataFrame, usage
         F.col("product_code").alias("PRODUCT_CODE"), F.col("product_description").alias("PRODUCT_DESCRIPTION"),
         F.col("product_group").alias("PRODUCT_GROUP"), F.col("arpu").alias("ARPU"),
         F.col("contract_start_date").alias("CONTRACT_START_DATE"),
-        F.col("contract_end_date").alias("CONTRACT_END_DATE"),
-        *[scaled(name, suffix, div) for name, (_, _, div) in MEASURES.items()
-          for _, suffix in MEASURE_BUCKETS[name]])
-    return keyed.groupBy(*GROUP_KEYS).agg(*[F.expr(f"sum({p})").alias(p) for p in PIVOT_COLUMNS])
+        F.col("contract_end_date").alias("CONTRACT_END_DATE"), "k", "t_hit",
+        *[f"t_{p}" for p in PIVOT_COLUMNS])
+
+    def scaled(name, suffix, div):
+        v = f"k * t_{name}_{suffix}" + (f" / {div}D" if div else "")
+        return f"CASE WHEN t_hit THEN {v} ELSE 0 END AS {name}_{suffix}"
+
+    # The 40 generated measure columns go to the JVM as one list of SQL expressions.
+    keyed = keyed.selectExpr(*GROUP_KEYS, *[scaled(name, suffix, div) for name, (_, _, div) in MEASURES.items()
+                                            for _, suffix in MEASURE_BUCKETS[name]])
+    return keyed.groupBy(*GROUP_KEYS).agg(*[F.sum(p).alias(p) for p in PIVOT_COLUMNS])
 
 
 def publish(mart: DataFrame) -> DataFrame:
