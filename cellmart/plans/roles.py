@@ -18,10 +18,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellmart.functions.calendar import day_key, month_key
 from cellmart.sources.tables import read_table
 
 # Fixed dates of the driver data: orders span 1995-01..2001-08, events 2024-01.
@@ -48,23 +47,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _SCANS[key]
 
 
-def _s(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
-
-
 def _case_sql(col: str, mapping: dict, default) -> str:
     lit = lambda v: repr(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
     whens = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in mapping.items())
     return f"CASE {col} {whens} ELSE {lit(default)} END"
 
 
-def _case(col: str, mapping: dict, default) -> Column:
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(F.col(col) == k, F.lit(v)) if expr is None else expr.when(F.col(col) == k, F.lit(v))
-    return expr.otherwise(F.lit(default))
-
-
 # Fixed role mappings of the adapter (driver value -> telecom value).
 SEGMENT_BRAND = {"AUTOMOBILE": "BT", "BUILDING": "EE", "FURNITURE": "T-Mobile", "HOUSEHOLD": "EE"}
 SEGMENT_BRAND_DEFAULT = "Orange"
@@ -117,17 +105,15 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Device catalogue keyed on the 8-character type code."""
-    p = table(spark, sf_dir, "part")
-    return p.select(
-        F.lpad(_s("p_partkey"), 8, "0").alias("tac"),
-        F.col("p_name").alias("marketing_name"),
-        F.col("p_brand").alias("manufacturer"),
-        F.concat(F.col("p_brand"), F.lit("-"), _s("p_size")).alias("model"),
-        _case("p_type", PART_TYPE_PROTOCOL, PART_TYPE_PROTOCOL_DEFAULT).alias("protocol"),
-        F.when(F.col("p_size") < 10, "Dongle").when(F.col("p_size") < 40, "Smartphone")
-         .otherwise("Tablet").alias("device_type"),
-        F.when(F.col("p_size") % 2 == 0, "Y").otherwise("N").alias("volte_flag"),
-        F.when(F.col("p_retailprice") >= 1500, "Y").otherwise("N").alias("vowifi_flag"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "lpad(cast(p_partkey as string), 8, '0') AS tac",
+        "p_name AS marketing_name",
+        "p_brand AS manufacturer",
+        "p_brand || '-' || cast(p_size as string) AS model",
+        f"{_case_sql('p_type', PART_TYPE_PROTOCOL, PART_TYPE_PROTOCOL_DEFAULT)} AS protocol",
+        "CASE WHEN p_size < 10 THEN 'Dongle' WHEN p_size < 40 THEN 'Smartphone' ELSE 'Tablet' END AS device_type",
+        "CASE WHEN p_size % 2 = 0 THEN 'Y' ELSE 'N' END AS volte_flag",
+        "CASE WHEN p_retailprice >= 1500 THEN 'Y' ELSE 'N' END AS vowifi_flag",
     )
 
 
@@ -174,16 +160,15 @@ def products2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
-    j = s.join(n, s["s_nationkey"] == n["n_nationkey"], "inner")
-    return j.select(
-        F.col("s_suppkey").alias("cell_data_id"),
-        _case("n_regionkey", REGION_TECHNOLOGY, REGION_TECHNOLOGY_DEFAULT).alias("technology"),
-        _s(F.col("s_suppkey") % 100).alias("cell"),
-        F.concat(F.lit("30"), _s(F.col("n_nationkey") % 6), F.lpad(_s("s_suppkey"), 6, "0")).alias("global_cell_id"),
-        F.concat(F.lit("S"), _s("s_nationkey")).alias("site_id"),
-        F.col("n_name").alias("site_name"),
-        _s(F.lit(50) + F.col("n_nationkey")).alias("latitude"),
-        _s(F.lit(-5) + F.col("n_regionkey")).alias("longitude"),
+    return s.join(n, s["s_nationkey"] == n["n_nationkey"], "inner").selectExpr(
+        "s_suppkey AS cell_data_id",
+        f"{_case_sql('n_regionkey', REGION_TECHNOLOGY, REGION_TECHNOLOGY_DEFAULT)} AS technology",
+        "cast(s_suppkey % 100 as string) AS cell",
+        "'30' || cast(n_nationkey % 6 as string) || lpad(cast(s_suppkey as string), 6, '0') AS global_cell_id",
+        "'S' || cast(s_nationkey as string) AS site_id",
+        "n_name AS site_name",
+        "cast(50 + n_nationkey as string) AS latitude",
+        "cast(-5 + n_regionkey as string) AS longitude",
     )
 
 
@@ -220,22 +205,20 @@ def daily_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily billing base snapshot (one row per order, snapshot = last day of the order month)."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
-    j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
-    day = F.to_date("o_orderdate")
-    return j.select(
-        F.concat(F.lit("A"), _s("o_custkey")).alias("account_num"),
-        F.last_day(day).alias("snapshot_date"),
-        F.lit("CSM").alias("csm_stack"),
-        F.concat(F.lit("X"), _s("o_custkey")).alias("service_product_code"),
-        _s("o_orderkey").alias("service_id"),
-        F.col("c_mktsegment").alias("service_product_type"),
-        _case("c_mktsegment", SEGMENT_BRAND, SEGMENT_BRAND_DEFAULT).alias("brand"),
-        _case("o_orderstatus", ORDER_STATUS, ORDER_STATUS_DEFAULT).alias("service_id_status"),
-        _s("o_custkey").alias("ctn"),
-        F.col("o_totalprice").alias("total_service_product_rev_pm"),
-        day.alias("contract_start_date"),
-        F.date_add(day, 365).alias("contract_end_date"),
-        F.when(F.col("o_orderpriority") == "5-LOW", "Broadband").otherwise("Mobile").alias("service"),
+    return o.join(c, o["o_custkey"] == c["c_custkey"], "inner").selectExpr(
+        "'A' || cast(o_custkey as string) AS account_num",
+        "last_day(to_date(o_orderdate)) AS snapshot_date",
+        "'CSM' AS csm_stack",
+        "'X' || cast(o_custkey as string) AS service_product_code",
+        "cast(o_orderkey as string) AS service_id",
+        "c_mktsegment AS service_product_type",
+        f"{_case_sql('c_mktsegment', SEGMENT_BRAND, SEGMENT_BRAND_DEFAULT)} AS brand",
+        f"{_case_sql('o_orderstatus', ORDER_STATUS, ORDER_STATUS_DEFAULT)} AS service_id_status",
+        "cast(o_custkey as string) AS ctn",
+        "o_totalprice AS total_service_product_rev_pm",
+        "to_date(o_orderdate) AS contract_start_date",
+        "date_add(to_date(o_orderdate), 365) AS contract_end_date",
+        "CASE WHEN o_orderpriority = '5-LOW' THEN 'Broadband' ELSE 'Mobile' END AS service",
     )
 
 
@@ -243,34 +226,32 @@ def legacy_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly legacy base with numeric subscriber numbers (one row per order)."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
-    j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
-    day = F.to_date("o_orderdate")
-    return j.select(
-        F.col("o_custkey").alias("account_num"),
-        month_key(day).alias("agg_mth"),
-        F.lit("LEGACY").alias("stack"),
-        F.concat(F.lit("X"), _s("o_custkey")).alias("price_plan"),
-        F.col("o_orderkey").alias("sub_id"),
-        F.col("c_mktsegment").alias("base_type"),
-        _case("c_mktsegment", SEGMENT_BRAND, SEGMENT_BRAND_DEFAULT).alias("current_brand"),
-        _case("o_orderstatus", ORDER_STATUS, ORDER_STATUS_DEFAULT).alias("subscriber_status"),
-        F.col("o_custkey").alias("subscriber_num"),
-        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "PAYG").otherwise("PAYM").alias("billing_base"),
-        F.col("o_totalprice").alias("arpu"),
-        F.when(F.col("c_acctbal") > 5000, "Premium").otherwise("Standard").alias("account_type"),
-        F.when(F.col("c_nationkey") < 20, "Consumer").otherwise("Business").alias("business_type"),
-        F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", -1)
-         .otherwise(0).cast("long").alias("active_30d_payg"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0).cast("long").alias("active_90d_payg"),
-        day.alias("contract_start_date"),
-        F.date_add(day, 365).alias("contract_end_date"),
+    return o.join(c, o["o_custkey"] == c["c_custkey"], "inner").selectExpr(
+        "o_custkey AS account_num",
+        "cast(year(o_orderdate) * 100 + month(o_orderdate) AS bigint) AS agg_mth",
+        "'LEGACY' AS stack",
+        "'X' || cast(o_custkey as string) AS price_plan",
+        "o_orderkey AS sub_id",
+        "c_mktsegment AS base_type",
+        f"{_case_sql('c_mktsegment', SEGMENT_BRAND, SEGMENT_BRAND_DEFAULT)} AS current_brand",
+        f"{_case_sql('o_orderstatus', ORDER_STATUS, ORDER_STATUS_DEFAULT)} AS subscriber_status",
+        "o_custkey AS subscriber_num",
+        "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'PAYG' ELSE 'PAYM' END AS billing_base",
+        "o_totalprice AS arpu",
+        "CASE WHEN c_acctbal > 5000 THEN 'Premium' ELSE 'Standard' END AS account_type",
+        "CASE WHEN c_nationkey < 20 THEN 'Consumer' ELSE 'Business' END AS business_type",
+        "cast(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN -1 ELSE 0 END AS bigint) AS active_30d_payg",
+        "cast(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS bigint) AS active_90d_payg",
+        "to_date(o_orderdate) AS contract_start_date",
+        "date_add(to_date(o_orderdate), 365) AS contract_end_date",
     )
 
 
 def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subscriber attributes for the site mart (segment, brand, business name)."""
-    c = table(spark, sf_dir, "customer")
-    return c.select(_s("c_custkey").alias("msisdn"),
-                    F.col("c_nationkey").cast("long").alias("business_name"),
-                    F.col("c_mktsegment").alias("segment"),
-                    _case("c_mktsegment", SEGMENT_BRAND, SEGMENT_BRAND_DEFAULT).alias("brand"))
+    return table(spark, sf_dir, "customer").selectExpr(
+        "cast(c_custkey as string) AS msisdn",
+        "cast(c_nationkey as bigint) AS business_name",
+        "c_mktsegment AS segment",
+        f"{_case_sql('c_mktsegment', SEGMENT_BRAND, SEGMENT_BRAND_DEFAULT)} AS brand",
+    )
