@@ -49,10 +49,30 @@ def get_session(app: str = "cellmart", master: str | None = None,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not shuffle_partitions:
+        size_shuffle(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def size_shuffle(spark: SparkSession, per_slot: int = 4, floor: int = 200) -> int:
+    """Shuffle partitions from the cluster's task slots: at least ``per_slot`` partitions per
+    slot, so a large shuffle never lands a few hundred GB on one reducer; AQE merges the small
+    ones back to the advisory size when the data turns out smaller."""
+    n = max(floor, per_slot * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
+def apply_sql_conf(spark: SparkSession) -> None:
+    """Apply the runtime-settable part of ``BASE_CONF`` (the ``spark.sql.*`` keys) to a
+    session built elsewhere, e.g. by a scheduler or a notebook."""
+    for key, value in BASE_CONF.items():
+        if key.startswith("spark.sql."):
+            spark.conf.set(key, value)
+    ensure_checkpoint_dir(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a private one only when none is set."""
     sc = spark.sparkContext
