@@ -43,6 +43,13 @@ def month_start(key: Column | str) -> Column:
     return F.to_date(key.cast("string"), "yyyyMM")
 
 
+def month_start_datetime(key: Column | str) -> Column:
+    """First instant of the month of a ``YYYYMM`` key as a timestamp without zone
+    (``PARSE_DATETIME('%Y%m', key)``)."""
+    key = F.col(key) if isinstance(key, str) else key
+    return F.to_timestamp_ntz(key.cast("string"), F.lit("yyyyMM"))
+
+
 def date_from_day_key(key: Column | str) -> Column:
     """Date of a ``YYYYMMDD`` key (string or long)."""
     key = F.col(key) if isinstance(key, str) else key

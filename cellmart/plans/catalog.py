@@ -380,6 +380,21 @@ def q_monthly_usage_load(spark, d):
     return writers.read_period(spark, table, "month_date", start, start).select(*MONTHLY_OUT)
 
 
+@register("monthly_export_load")
+def q_monthly_export_load(spark, d):
+    """The comma-delimited monthly export loaded into the temp table."""
+    u = roles.usage(spark, d).filter(F.col("month_id") == LOAD_MONTH)
+    staging_cols = ["month_id"] + schemas.USAGE_COLUMNS
+    rows = u.select(*[F.col(c) if c in u.columns else F.lit(None).cast(schemas.MONTHLY_STAGING[c].dataType).alias(c)
+                      for c in staging_cols]).withColumn("msisdn", F.concat(F.lit(" "), F.col("msisdn")))
+    landing = scratch_path(spark, "export_landing")
+    writers.write_csv(rows, landing, staging_cols, sep=",", compression="gzip")
+    table = scratch_path(spark, "t_agg_mth_temp")
+    loads.load_monthly_export(spark, f"{landing}/*.csv.gz", table, LOAD_TS)
+    start = dt.date(LOAD_MONTH // 100, LOAD_MONTH % 100, 1)
+    return writers.read_period(spark, table, "month_date", start, start).select(*MONTHLY_OUT)
+
+
 DAILY_OUT = ["call_date", "date_of_call", "msisdn", "imei", "imsi", "first_cell_data_id", "exbr_account_num",
              "home_mo_count", "work_mo_count", "home_mo_duration_secs", "home_data_out_volume_kb", "record_ts"]
 

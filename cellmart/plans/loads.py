@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellmart import schemas
-from cellmart.functions.calendar import date_from_day_key, month_start
+from cellmart.functions.calendar import date_from_day_key, month_start, month_start_datetime
 from cellmart.functions.text import trim_ws
 from cellmart.operators import quality
 from cellmart.operators.changes import conditional_update, stamp_missing, upsert
@@ -53,6 +53,21 @@ def monthly_final_rows(staging: DataFrame, record_ts) -> DataFrame:
     return stamp_missing(out, "record_ts", record_ts)
 
 
+def export_final_rows(staging: DataFrame, record_ts) -> DataFrame:
+    """Monthly export -> temp table: the month parsed as a datetime and narrowed to its date,
+    number trimmed, load stamp."""
+    out = staging.select(month_start_datetime("month_id").cast("date").alias("month_date"), "month_id",
+                         *[trim_ws(c).alias(c) if c == "msisdn" else F.col(c) for c in schemas.USAGE_COLUMNS],
+                         F.lit(None).cast("timestamp").alias("record_ts"))
+    return stamp_missing(out, "record_ts", record_ts)
+
+
+def load_monthly_export(spark: SparkSession, landing_glob: str, table_path: str, record_ts) -> None:
+    """Comma-delimited monthly export appended to the temp table (created when absent)."""
+    rows = export_final_rows(staged_monthly(spark, landing_glob, sep=","), record_ts)
+    writers.append(rows, table_path, MONTHLY_COLUMNS, partition_by=["month_date"], cluster_by=MONTHLY_CLUSTER)
+
+
 def load_daily(spark: SparkSession, landing_glob: str, table_path: str, record_ts, sep: str = "|") -> None:
     """Daily usage load: append the day's files to the final table (partitioned by day)."""
     rows = daily_final_rows(staged_daily(spark, landing_glob, sep), record_ts)

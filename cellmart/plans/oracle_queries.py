@@ -465,6 +465,8 @@ SELECT month_date, month_id, {trim_ws("' ' || msisdn")} AS msisdn, imei, imsi, f
        home_mo_count, work_mo_count, home_data_in_volume_kb, TIMESTAMP '2001-08-15 06:00:00' AS record_ts
 FROM usage WHERE month_id = 200107""")
 
+ORACLES["monthly_export_load"] = ORACLES["monthly_usage_load"]
+
 ORACLES["daily_usage_load"] = with_roles(["usage"], f"""
 SELECT call_date, date_of_call, {trim_ws("' ' || msisdn")} AS msisdn, imei, imsi, first_cell_data_id,
        exbr_account_num, home_mo_count, work_mo_count, home_mo_duration_secs, home_data_out_volume_kb,

@@ -147,3 +147,14 @@ def test_subscriber_base_feeds(spark):
     assert "07008" in out and "07010" in out and "07009" not in out
     # other snapshot dates and non-mobile services are not in the base
     assert "07003" not in out and "07004" not in out
+
+
+def test_marts_as_sql_views(spark):
+    from cellmart.plans.views import register_views
+    base, products, products2, use, cells = fixtures(spark)
+    dev = spark.createDataFrame([("35000001", "4G", "Phone", "M1", "Mk", "N1", "Y", "N")], DEVICE_SCHEMA)
+    names = register_views(spark, {"base": base, "products": products, "products2": products2, "usage": use,
+                                   "cells": cells, "devices": dev}, AS_OF)
+    assert set(names) == {"usage_mart", "best_device", "recent_device"}
+    got = spark.sql("SELECT MSISDN, sum(MO_CALLS_2G) AS c FROM usage_mart GROUP BY MSISDN").collect()
+    assert {r.MSISDN: r.c for r in got} == {"07700": 32, "07701": 0}

@@ -78,3 +78,12 @@ def test_rank_first_property(spark, data):
         best = None if None in vals else min(vals)
         expected = [v for v in vals if v == best]
         assert sorted((v for kk, v in got if kk == k), key=str) == sorted(expected, key=str)
+
+
+def test_control_value(spark):
+    from cellmart.sources.files import control_value
+    ctl = spark.createDataFrame([("next_mthly_file_mon", "202108"), ("other", "x")],
+                                "property_name string, property_value string")
+    assert control_value(ctl, "next_mthly_file_mon") == "202108"
+    with pytest.raises(KeyError):
+        control_value(ctl, "missing")
