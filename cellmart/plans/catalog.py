@@ -137,7 +137,12 @@ def q_usage_mart_published(spark, d):
 
 @register("update_from_aggregate")
 def q_update_from_aggregate(spark, d):
-    return usage.active90d_update(usage.publish(_mart(spark, d)), ORDERS_AS_OF)
+    """The published mart is written as a table (as the publish step does), then the flag is
+    computed from that table: the mart is built once, and the update's aggregate and its
+    target both read the stored rows."""
+    path = scratch_path(spark, "usage_agg_mth")
+    writers.refresh(usage.publish(_mart(spark, d)), path)
+    return usage.active90d_update(spark.read.parquet(path), ORDERS_AS_OF)
 
 
 @register("usage_pivot")
