@@ -6,7 +6,7 @@ numbers reach the driver, never the rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -21,7 +21,7 @@ def require_files(count: int, minimum: int) -> int:
     return count
 
 
-def gate_frame(spark: SparkSession, counts: DataFrame, minimum: int) -> DataFrame:
+def gate_frame(counts: DataFrame, minimum: int) -> DataFrame:
     """Per-group file counts with a pass/fail flag (``counts`` has a ``files`` column)."""
     return counts.withColumn("minimum", F.lit(minimum).cast("long")) \
                  .withColumn("ok", F.col("files") >= F.col("minimum"))

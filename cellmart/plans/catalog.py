@@ -3,13 +3,12 @@ run on the driver tables through the role adapter. Every query reads whole table
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import datetime as dt
-
 from cellmart import schemas
 from cellmart.functions import rules
 from cellmart.functions.calendar import (date_from_day_key, date_window, day_key, month_key, month_key_str,
@@ -20,7 +19,6 @@ from cellmart.session import scratch_path
 from cellmart.sinks import writers
 from cellmart.sources import delimited, files
 from cellmart.streaming.landing import landing_stream, run_once
-from cellmart.functions.text import trim_ws
 from cellmart.operators.joins import effective_dated_join
 from cellmart.operators.pivot import conditional_sums
 from cellmart.operators.rank import rank_first
@@ -336,7 +334,7 @@ def q_file_gate(spark, d):
     listed = files.list_files(spark, landing + "/*", "*.csv.gz")
     per_month = listed.select(F.regexp_extract("path", r"month_id=(\d+)", 1).cast("long").alias("month_id")) \
                       .groupBy("month_id").agg(F.count(F.lit(1)).alias("files"))
-    return quality.gate_frame(spark, per_month, 1).select("month_id", "files", "minimum", "ok")
+    return quality.gate_frame(per_month, 1).select("month_id", "files", "minimum", "ok")
 
 
 LOAD_MONTH = 200107
