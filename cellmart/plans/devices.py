@@ -4,9 +4,10 @@ Inputs use the reference's column names: monthly / daily usage facts (``msisdn``
 ``month_id`` / ``date_of_call``, usage counters) and the device catalogue keyed on ``tac``
 (the first 8 characters of the handset id).
 
-Plan: scan (month filter pushed into parquet) -> join to the device catalogue (broadcast only
-if the planner's size check allows) -> partial/final hash aggregate per subscriber x device
--> shuffle on ``msisdn`` -> rank with a partial WindowGroupLimit before that shuffle.
+Plan: scan (month filter pushed into parquet) -> partial/final hash aggregate per
+subscriber x device type code -> join to the device catalogue (broadcast only if the
+planner's size check allows; the join sees aggregated rows, not usage rows) -> shuffle on
+``msisdn`` -> rank with a partial WindowGroupLimit before that shuffle.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 
 from cellmart.functions.calendar import in_prev_month, prev_month_start
 from cellmart.operators.aggregates import pair_sum
-from cellmart.operators.joins import prefix_join
 from cellmart.operators.rank import rank_first
 
 TAC_LENGTH = 8
@@ -41,15 +41,31 @@ def _device_order():
     return [F.desc("protocol"), F.desc("data_secs"), F.desc("calls"), F.desc("sms"), F.desc("tac")]
 
 
+def _with_devices(aggregated: DataFrame, devices: DataFrame) -> DataFrame:
+    """Attach catalogue attributes to per-(subscriber, type code) aggregates.
+
+    Every grouping attribute of the reference query comes from the catalogue row matched by
+    the code, so aggregating usage per code first and joining afterwards gives the same
+    groups while the join sees one row per subscriber-device instead of one per usage row.
+    A code listed twice with different attributes fans out into separate groups either way;
+    identical catalogue rows would have multiplied the joined usage rows, so the sums are
+    scaled by that multiplicity (counted in a small aggregate over the catalogue)."""
+    dev = devices.groupBy(*DEVICE_ATTRS).agg(F.count(F.lit(1)).alias("__copies"))
+    j = aggregated.join(dev, aggregated["imei8"] == dev["tac"], "left")
+    copies = F.coalesce(F.col("__copies"), F.lit(1))
+    return (j.withColumn("data_secs", F.col("data_secs") * copies)
+             .withColumn("calls", F.col("calls") * copies)
+             .withColumn("sms", F.col("sms") * copies)
+             .drop("__copies"))
+
+
 def best_device(usage_mth: DataFrame, devices: DataFrame, as_of) -> DataFrame:
     """Best device of each subscriber in the month before ``as_of`` (ties all kept,
     then duplicates removed)."""
     t = usage_mth.select("month_id", "msisdn", "imei", "month_date", *USAGE_COLS) \
                  .filter(F.col("month_date") == prev_month_start(as_of))
-    dev = devices.select(*DEVICE_ATTRS)
-    j = prefix_join(t, dev, "imei", "tac", TAC_LENGTH, "left", prefix_col="imei8")
-    g = j.groupBy("month_id", "msisdn", "imei8", *DEVICE_ATTRS).agg(*_usage_sums())
-    best = rank_first(g, ["msisdn"], _device_order())
+    g = t.groupBy("month_id", "msisdn", F.substring("imei", 1, TAC_LENGTH).alias("imei8")).agg(*_usage_sums())
+    best = rank_first(_with_devices(g, devices), ["msisdn"], _device_order())
     return best.select("month_id", "msisdn", *DEVICE_ATTRS).distinct()
 
 
@@ -58,11 +74,9 @@ def recent_device(usage_dly: DataFrame, devices: DataFrame, as_of) -> DataFrame:
     call date (``YYYYMMDD``) orders first, then the best-device keys."""
     t = usage_dly.select("msisdn", "imei", "call_date", "date_of_call", *USAGE_COLS) \
                  .filter(in_prev_month("call_date", as_of))
-    dev = devices.select(*DEVICE_ATTRS)
-    j = prefix_join(t, dev, "imei", "tac", TAC_LENGTH, "left", prefix_col="imei8")
-    g = j.groupBy("msisdn", "imei8", *DEVICE_ATTRS).agg(
+    g = t.groupBy("msisdn", F.substring("imei", 1, TAC_LENGTH).alias("imei8")).agg(
         F.max("date_of_call").alias("last_date"), *_usage_sums())
-    recent = rank_first(g, ["msisdn"], [F.desc("last_date")] + _device_order())
+    recent = rank_first(_with_devices(g, devices), ["msisdn"], [F.desc("last_date")] + _device_order())
     return recent.select("msisdn", F.col("imei8").alias("tac"), *DEVICE_ATTRS[1:], "last_date")
 
 

@@ -158,3 +158,18 @@ def test_marts_as_sql_views(spark):
     assert set(names) == {"usage_mart", "best_device", "recent_device"}
     got = spark.sql("SELECT MSISDN, sum(MO_CALLS_2G) AS c FROM usage_mart GROUP BY MSISDN").collect()
     assert {r.MSISDN: r.c for r in got} == {"07700": 32, "07701": 0}
+
+
+def test_best_device_duplicate_catalogue_rows_multiply_sums(spark):
+    # Device 1 is listed twice with identical attributes: the join doubles its usage rows,
+    # so its sums (5 calls -> 10) beat device 2 (8 calls) with an equal protocol.
+    dev = spark.createDataFrame([
+        ("35000001", "4G", "Phone", "M1", "Mk", "N1", "Y", "N"),
+        ("35000001", "4G", "Phone", "M1", "Mk", "N1", "Y", "N"),
+        ("35000002", "4G", "Phone", "M2", "Mk", "N2", "Y", "N"),
+    ], DEVICE_SCHEMA)
+    use = spark.createDataFrame([
+        usage_row("A", 1, "x", imei="3500000100000001", home_mo_count=5),
+        usage_row("A", 1, "x", imei="3500000200000001", home_mo_count=8),
+    ], USAGE_SCHEMA)
+    assert [r["tac"] for r in devices.best_device(use, dev, AS_OF).collect()] == ["35000001"]
