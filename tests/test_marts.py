@@ -173,3 +173,35 @@ def test_best_device_duplicate_catalogue_rows_multiply_sums(spark):
         usage_row("A", 1, "x", imei="3500000200000001", home_mo_count=8),
     ], USAGE_SCHEMA)
     assert [r["tac"] for r in devices.best_device(use, dev, AS_OF).collect()] == ["35000001"]
+
+
+def test_site_marts_totals_buckets_and_flags(spark):
+    from pyspark.sql import functions as F
+
+    from cellmart.plans import network
+    cells = spark.createDataFrame([
+        (1, "2G GSM", "100", "999", "S1", "51", "-1"),
+        (2, "WIFI", "100", "999", "S1", "51", "-1"),
+        (3, "X", "100", "305001", "S2", "52", "-2")],       # global id 305... -> 5G
+        "cell_data_id long, technology string, cell string, global_cell_id string, site_id string, "
+        "latitude string, longitude string")
+    use = spark.createDataFrame([
+        usage_row("A", 1, "i1", home_mo_count=2, work_mt_count=3, home_mo_duration_secs=120),
+        usage_row("A", 2, "i1", home_mo_count=1, home_data_in_volume_kb=1024),
+        usage_row("A", 3, "i1", home_data_out_volume_kb=2048),
+    ], USAGE_SCHEMA).withColumn("exbr_account_num", F.lit(1).cast("long"))
+    site = {r["site_id"]: r.asDict() for r in network.site_usage(use, cells).collect()}
+    s1 = site["S1"]
+    assert (s1["MO_CALLS_2G"], s1["MT_CALLS_2G"], s1["TOTAL_CALLS_2G"]) == (2, 3, 5)
+    assert (s1["MO_CALLS_WIFI"], s1["TOTAL_CALLS_WIFI"], s1["MO_MINS_2G"]) == (1, 1, 2.0)
+    # Data buckets have no WIFI column and OTHER only takes technology 'Other', so the WIFI
+    # cell's download lands in no data bucket (the reference's bucket lists, kept as they are).
+    assert all(s1[f"DL_MB_{b}"] == 0.0 for b in ("2G", "3G", "4G", "5G", "OTHER"))
+    assert site["S2"]["UL_MB_5G"] == 2.0 and site["S2"]["TOTAL_DATA_MB_5G"] == 2.0
+    dev = spark.createDataFrame([("35000001", "4G", "Phone", "M1", "Mk", "N1", "Y", "N")], DEVICE_SCHEMA)
+    subs = spark.createDataFrame([("A", 7, "SEG", "EE")], "msisdn string, business_name long, segment string, "
+                                                          "brand string")
+    out = {r["SITE_ID"]: r for r in network.protocol_site_usage(use, cells, dev, subs).collect()}
+    assert out["S1"]["FLAG_3G_USAGE"] == "N" and out["S1"]["FLAG_4G_USAGE"] == "N"
+    assert out["S1"]["DEVICE_PROTOCOL"] == "4G" and out["S1"]["SEGMENT"] == "SEG"
+    assert out["S1"]["TOTAL_CALLS_2G"] == 5 and out["S1"]["LATDD"] == 51.0
