@@ -17,16 +17,18 @@ Plan, with the scale decisions:
 1. ``contracts``: base scan with the 13-month / status / segment filter pushed down, two
    effective-dated left joins (key equality + range residual; the planner broadcasts a
    catalogue only under its size threshold), the rule columns, then RANK per
-   (month, subscriber) with a partial WindowGroupLimit before the shuffle.
-2. Usage is aggregated *before* any join with the contracts: one hash aggregate per
-   (msisdn, month_id, month_date) computes the 40 technology buckets from raw integer sums
-   (map-side partial aggregation, so a subscriber holding a third of the rows is combined
-   before the shuffle). The reference joins every usage row to every first-ranked contract
-   row of the subscriber-month, which multiplies the sums by the number k of such rows;
+   (month, subscriber) with a partial WindowGroupLimit before the shuffle. A window count
+   per (msisdn, month) gives k, the number of first-ranked contract rows; it leaves the
+   contracts hash-partitioned on the key of the join below.
+2. Usage is read once and aggregated *before* any join with the contracts: one hash
+   aggregate per (msisdn, month, SIM identity) computes the 40 technology buckets from raw
+   integer sums (map-side partial aggregation, so a subscriber holding a third of the rows
+   is combined before the shuffle). A window per subscriber-month adds the month totals to
+   each of its (few) rows; rows of valid identities form the identity list. The reference
+   joins every usage row to every first-ranked contract row, which multiplies the sums by k;
    that factor is applied after the aggregate (k * sum is exact on integers).
-3. The final 19-key aggregate joins contracts, the pre-aggregated usage and the identity
-   list, all keyed on (msisdn, month); its input is already one row per subscriber-month
-   and identity, not per usage row.
+3. Contracts left-join the per-identity usage rows on (msisdn, month); the final 19-key
+   aggregate then sees one row per contract row and identity, not per usage row.
 """
 
 from __future__ import annotations
