@@ -24,9 +24,9 @@ from pyspark.sql.types import StructType
 from cellmart.functions.text import split_cells
 from cellmart.operators.projection import conform, drop_columns
 
-# A separator that never occurs in text lines: lets the CSV reader return whole lines while
-# still dropping the header line of every file.
-_LINE_SEP_SENTINEL = "\u0000"
+# A separator that does not occur in text lines (three control characters in a row): lets
+# the CSV reader return whole lines while still dropping the header line of every file.
+_LINE_SEP_SENTINEL = "\u0000\u0001\u0002"
 
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str,

@@ -122,3 +122,9 @@ def test_header_dropped_per_file(spark, tmp_path):
     write(d / "b.csv.gz", "h1,h2\n2,b\n", gz=True)
     df = cleanse_csv(spark, str(d / "*.csv.gz"), "h1,h2", "h1,h2")
     assert sorted(r["h1"] for r in df.collect()) == ["1", "2"]
+
+
+def test_line_with_control_characters_stays_whole(spark, tmp_path):
+    p = write(tmp_path / "ctl.csv", "A,B\nx\u0000y,z\n")
+    df = cleanse_csv(spark, str(p), "A,B", "A,B")
+    assert [(r.A, r.B) for r in df.collect()] == [("x\u0000y", "z")]
