@@ -43,3 +43,30 @@ def test_conditional_sums_match_case_model(spark, data):
             non_null = [x for x in terms if x is not None]
             expected = sum(non_null) if non_null else None
             assert got[k][f"X_{suffix}"] == expected
+
+
+import datetime as _dt
+
+from cellmart.operators.joins import effective_dated_join
+
+codes = st.one_of(st.none(), st.sampled_from(["A", " A", "B ", "B", "C"]))
+days = st.integers(0, 20).map(lambda n: _dt.date(2021, 1, 1) + _dt.timedelta(days=n))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(codes, days), max_size=10),
+       st.lists(st.tuples(codes, days, st.integers(0, 8)), max_size=8))
+def test_effective_dated_join_matches_model(spark, facts, windows):
+    fact = spark.createDataFrame([(i, c, d) for i, (c, d) in enumerate(facts)], "fid int, code string, d date")
+    dim = spark.createDataFrame([(j, c, s, s + _dt.timedelta(days=n)) for j, (c, s, n) in enumerate(windows)],
+                                "wid int, pcode string, s date, e date")
+    j = effective_dated_join(fact, dim, fact_key=F.col("code"), dim_key=F.col("pcode"), fact_date=F.col("d"),
+                             start=F.col("s"), end=F.col("e"))
+    got = sorted((r.fid, r.wid if r.wid is not None else -1) for r in j.collect())
+    model = []
+    for i, (c, d) in enumerate(facts):
+        hits = [w for w, (pc, s, n) in enumerate(windows)
+                if c is not None and pc is not None and c.strip() == pc.strip()
+                and s <= d <= s + _dt.timedelta(days=n)]
+        model += [(i, w) for w in hits] or [(i, -1)]
+    assert got == sorted(model)
