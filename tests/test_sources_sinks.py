@@ -87,3 +87,15 @@ def test_control_value(spark):
     assert control_value(ctl, "next_mthly_file_mon") == "202108"
     with pytest.raises(KeyError):
         control_value(ctl, "missing")
+
+
+def test_ratings_text_sink(spark, tmp_path):
+    from cellmart.plans.text_flows import ratings_above, write_ratings
+    src = tmp_path / "ratings.csv"
+    src.write_text("user,movie,rating\n1,m1,4.5\n2,m2,3.0\n3,m3,4.0\n4,m4,5\n")
+    kept = ratings_above(spark, str(src), ["user", "movie", "rating"])
+    out = str(tmp_path / "results")
+    write_ratings(kept, out)
+    lines = sorted(line for f in os.listdir(out) if f.startswith("part-")
+                   for line in open(os.path.join(out, f)).read().splitlines())
+    assert lines == ["1,m1,4.5", "4,m4,5"]
