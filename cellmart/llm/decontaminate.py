@@ -20,9 +20,9 @@ longer than ``SHARD_WORDS`` words is cut into shards that overlap by a window.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import partial
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -177,7 +177,7 @@ def _longest(batches, parts):
     for batch in batches:
         for ids, words, first in _blocks_of(batch):
             for names, sent in parts:
-                q: Queries = sent.value
+                q = sent.value
                 for lo, hi, row_end in shards(words, first, SORT_WORDS):
                     shard = Shard(words[lo:hi], row_end, q.vocabulary)
                     _, _, longest, place = shard.search(q.rows, q.length)
@@ -191,7 +191,7 @@ def _longest(batches, parts):
                         ["item_id", "item_word", "n_words", "doc_id", "doc_word"])
 
 
-def _hits(words: np.ndarray, first: np.ndarray, q: Queries):
+def _hits(words: np.ndarray, first: np.ndarray, q):
     """A flag for each word inside an occurrence of a window, and the pairs (row, window)."""
     lead = np.flatnonzero(q.window > 0)
     change = np.zeros(len(words) + 1, np.int64)
@@ -214,7 +214,7 @@ def _judge(batches, parts):
             hit = np.zeros(len(words), bool)
             items = [set() for _ in range(len(first) - 1)]
             for names, sent in parts:
-                q: Queries = sent.value
+                q = sent.value
                 mask, pairs = _hits(words, first, q)
                 hit |= mask
                 for row, window in pairs.tolist():
@@ -242,7 +242,7 @@ def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iter
 
 def _parts(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text: str, window: int):
     context = docs.sparkSession.sparkContext
-    return [(names, context.broadcast(Queries(texts, window)))
+    return [(names, context.broadcast(SimpleNamespace(**vars(Queries(texts, window)))))
             for names, texts in benchmark_blocks(benchmark, item_col, item_text)]
 
 

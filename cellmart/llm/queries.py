@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup
+from . import bpe, decontaminate, exact_dedup, token_counts
 from .tables import table
 
 
@@ -16,6 +16,24 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file on this machine; every machine has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_tokens(
+        table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"), rule="majority")
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return rows.select(
@@ -25,6 +43,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_token_counts": op3_token_counts,
+    "op6_bpe": op6_bpe,
     "op9_decontamination": op9_decontamination,
 }
 
