@@ -29,7 +29,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import written
 from .textkit import alphanumeric, blocks, expand, lower_ascii, word_hashes
 
 WINDOW = 13
@@ -270,10 +269,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
-                        text_col: str = "text") -> DataFrame:
-    """The documents that are not contaminated, with their columns; all rows of an id go when
-    one of them is contaminated."""
-    gone = contamination(docs, benchmark, id_col, text_col).where("contaminated")
-    gone = written(gone.select(F.col(id_col).alias("__hit_id")).distinct(), "contaminated")
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__hit_id")), "left_anti")
+def _clean(batches, parts, at: int):
+    for batch in batches:
+        column = pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column(at)], ["doc_id", "text"])
+        gone = np.concatenate([np.zeros(0, bool), *(_contaminated(x) for x in _judge([column], parts))])
+        yield batch.filter(pa.array(~gone))
+
+
+def _contaminated(judged) -> np.ndarray:
+    words, hit = (judged.column(k).to_numpy() for k in ("n_words", "n_hit"))
+    return (hit > 0) & (20 * hit >= words)
+
+
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
+                        item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
+    """The rows that are not contaminated, with their columns; no row is shuffled."""
+    parts = _parts(docs, benchmark, item_col, item_text, window)
+    return docs.mapInArrow(partial(_clean, parts=parts, at=docs.columns.index(text_col)), docs.schema)

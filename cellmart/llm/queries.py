@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, token_counts
+from . import bpe, decontaminate, exact_dedup, quality, repeats, token_counts
 from .tables import table
 
 
@@ -28,12 +28,22 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"), rule="majority")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return rows.select(
@@ -44,7 +54,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_counts": op3_token_counts,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_bpe": op6_bpe,
+    "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
 }
 
