@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, quality, repeats, token_counts
+from . import bpe, decontaminate, exact_dedup, jaccard, quality, repeats, token_counts
 from .tables import table
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.exact_dedup(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -52,6 +56,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_counts": op3_token_counts,
     "op5_suffix_dedup": op5_suffix_dedup,
@@ -61,6 +66,27 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_ngram_jaccard": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        links AS (
+            SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+            WHERE 100 * both >= 85 * (p.n + q.n - both)),
+        reach(node, seen) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT r.node, l.y FROM reach r JOIN links l ON l.x = r.seen)
+        SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, min(r.seen) AS component_id
+        FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach r ON r.node = d.doc_id
+        GROUP BY d.doc_id, s.n""",
     "op2_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,
