@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, jaccard, quality, repeats, token_counts
+from . import bpe, decontaminate, exact_dedup, jaccard, quality, repeats, token_counts, warc
 from .tables import table
 
 
@@ -32,6 +32,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"), rule="majority")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"),
@@ -59,6 +64,7 @@ QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_counts": op3_token_counts,
+    "op4_warc": op4_warc,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_bpe": op6_bpe,
     "op8_quality": op8_quality,
@@ -76,11 +82,11 @@ ORACLES = {
             FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
         sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
         common AS (
-            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS hits
             FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
         links AS (
             SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
-            WHERE 100 * both >= 85 * (p.n + q.n - both)),
+            WHERE 100 * hits >= 85 * (p.n + q.n - hits)),
         reach(node, seen) AS (
             SELECT doc_id, doc_id FROM documents
             UNION SELECT r.node, l.y FROM reach r JOIN links l ON l.x = r.seen)
@@ -97,6 +103,14 @@ ORACLES = {
                    first_value(doc_id) OVER (PARTITION BY norm ORDER BY chars DESC, doc_id) AS keep_id
             FROM n)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g""",
+    "op4_warc": r"""
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to FROM f""",
     "op9_decontamination": r"""
         WITH folded AS (
             SELECT 'd' AS kind, CAST(doc_id AS VARCHAR) AS id, coalesce(text, '') AS text FROM documents
