@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, jaccard, quality, repeats, token_counts, warc
+from . import bpe, decontaminate, exact_dedup, jaccard, pii, quality, repeats, token_counts, warc
 from .tables import table
 
 
@@ -20,6 +20,15 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < 4)
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+              for k, name in enumerate(pii.KINDS[:4])]
+    return rows.select("doc_id", *counts, F.sha2(pii.span_text(base), 256).alias("base_sha256"),
+                       pii.span_text(F.col("spans")).alias("spans"))
+
+
 def tokenizer_file(name: str) -> str:
     """Place of a public tokenizer's file on this machine; every machine has the package."""
     import public_tokenizers
@@ -69,6 +78,7 @@ QUERIES = {
     "op6_bpe": op6_bpe,
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
+    "op10_personal_data": op10_personal_data,
 }
 
 ORACLES = {
