@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, jaccard, pii, quality, repeats, token_counts, warc
+from . import bpe, decontaminate, exact_dedup, jaccard, licenses, pii, quality, repeats, token_counts, warc
 from .tables import table
 
 
@@ -58,6 +58,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -76,6 +80,7 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_bpe": op6_bpe,
+    "op7_license_scan": op7_license_scan,
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_personal_data": op10_personal_data,
