@@ -56,10 +56,6 @@ def date_from_day_key(key: Column | str) -> Column:
     return F.to_date(key.cast("string"), "yyyyMMdd")
 
 
-def first_of_month(as_of) -> Column:
-    return F.trunc(lit_date(as_of), "MM")
-
-
 def prev_month_start(as_of) -> Column:
     """First day of the month before ``as_of``."""
     return F.add_months(F.trunc(lit_date(as_of), "MM"), -1)

@@ -34,9 +34,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     """MERGE: matched target rows take every non-key value from the source row, unmatched
     source rows are inserted, target rows absent from the source stay as they are.
 
-    One full outer join on the key. Rows with a NULL key never match (SQL equality), so a
-    NULL-key target row is kept and a NULL-key source row is inserted. Duplicate target keys
-    are all updated, as MERGE does.
+    The target is left-joined to the source and the source rows without a target key are added, so a
+    small feed is broadcast under the checked bound and the target is not shuffled. Rows with a
+    NULL key never match (SQL equality), so a NULL-key target row is kept and a NULL-key source
+    row is inserted. Duplicate target keys are all updated, as MERGE does.
     """
     if check:
         assert_single_match(target, source, keys)
@@ -53,10 +54,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     for k in keys:
         term = F.col(f"t.{k}") == F.col(f"s.{k}")
         cond = term if cond is None else cond & term
-    joined = t.join(s, cond, "full_outer")
     hit = F.col("s.__in_source").isNotNull()
-    return joined.select(*[F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-                           for c in cols])
+    kept = t.join(s, cond, "left").select(*[F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in cols])
+    new = s.join(target.select(*keys).alias("t"), cond, "left_anti").select(*cols)
+    return kept.unionByName(new)
 
 
 def stamp_missing(df: DataFrame, col: str, stamp) -> DataFrame:
@@ -78,13 +79,16 @@ def update_from(target: DataFrame, updates: DataFrame, keys: Sequence[str], pred
                 assignments: Mapping[str, str]) -> DataFrame:
     """UPDATE a SET a.x = b.y FROM updates b WHERE predicate(a) AND a.key = b.key.
 
-    ``updates`` must be unique on ``keys`` (it normally comes from a GROUP BY on them).
-    A left join on the keys keeps every target row; matched rows under the predicate take the
-    new values, the rest keep theirs.
+    ``updates`` must be unique on ``keys``: a target row that several update rows match fails the
+    job. (The check is an aggregate on the keys within the same plan; updates that come from a
+    GROUP BY on them need no further shuffle.) A left join on the keys keeps every target row;
+    matched rows under the predicate take the new values, the rest keep theirs.
     """
     renamed = {src: f"__u_{src}" for src in set(assignments.values())}
-    u = updates.select(*keys, *[F.col(src).alias(dst) for src, dst in renamed.items()]) \
-        .withColumn("__u_hit", F.lit(True))
+    u = updates.groupBy(*keys).agg(*[F.first(src).alias(dst) for src, dst in renamed.items()],
+                                   F.count(F.lit(1)).alias("__u_rows"))
+    u = u.withColumn("__u_hit", F.when(F.col("__u_rows") == 1, F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"several update rows for one key of {list(keys)}")).cast("boolean")))
     joined = target.join(u, list(keys), "left")
     hit = predicate & F.col("__u_hit").isNotNull()
     out = joined

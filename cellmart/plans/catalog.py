@@ -22,7 +22,7 @@ from cellmart.streaming.landing import landing_stream, run_once
 from cellmart.operators.joins import effective_dated_join
 from cellmart.operators.pivot import conditional_sums
 from cellmart.operators.rank import rank_first
-from cellmart.plans import devices, loads, network, roles, subscribers, text_flows, usage
+from cellmart.plans import devices, loads, network, roles, subscribers, text_flows, usage, views
 from cellmart.plans.roles import EVENTS_AS_OF, LOAD_TS, ORDERS_AS_OF
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,8 +50,12 @@ def q_recent_device(spark, d):
 
 @register("best_device_history")
 def q_best_device_history(spark, d):
-    return devices.best_device_history(roles.usage(spark, d), roles.devices(spark, d),
-                                       ORDERS_AS_OF, LOAD_TS)
+    """The stamped rows appended to the history; the query returns the stored history."""
+    path = scratch_path(spark, "device_history")
+    rows = devices.best_device(roles.usage(spark, d), roles.devices(spark, d), ORDERS_AS_OF)
+    rows = rows.select(*[F.col(c).alias(c.upper()) for c in rows.columns])
+    writers.history_append(rows, path, "RECORD_TS", LOAD_TS)
+    return spark.read.parquet(path)
 
 
 # ---- contracts, catalogues and rules ------------------------------------------------------
@@ -135,12 +139,9 @@ def q_usage_mart_published(spark, d):
 
 @register("update_from_aggregate")
 def q_update_from_aggregate(spark, d):
-    """The published mart is written as a table (as the publish step does), then the flag is
-    computed from that table: the mart is built once, and the update's aggregate and its
-    target both read the stored rows."""
-    path = scratch_path(spark, "usage_agg_mth")
-    writers.refresh(usage.publish(_mart(spark, d)), path)
-    return usage.active90d_update(spark.read.parquet(path), ORDERS_AS_OF)
+    """The published mart is written partitioned by month; the flag's aggregate reads three of its
+    months and the update replaces one partition. The query returns the stored table."""
+    return usage.publish_and_flag(_mart(spark, d), scratch_path(spark, "usage_agg_mth"), ORDERS_AS_OF)
 
 
 @register("usage_pivot")
@@ -207,7 +208,9 @@ def q_cell_upsert(spark, d):
     target, source = _cell_target_source(spark, d)
     landing = scratch_path(spark, "cell_landing")
     writers.write_csv(source, landing, schemas.CELL_FEED.fieldNames(), sep="|", compression="gzip")
-    return loads.cell_upsert(spark, target, f"{landing}/*.csv.gz", LOAD_TS)
+    table = scratch_path(spark, "cell_dim")
+    writers.refresh(loads.cell_upsert(spark, target, f"{landing}/*.csv.gz", LOAD_TS), table)
+    return spark.read.parquet(table)
 
 
 def _padded_usage(spark, d):
@@ -271,9 +274,12 @@ EVENT_TTL_DAYS = 30
 
 @register("retain_partitions")
 def q_retain_partitions(spark, d):
+    """The next version of a table stored by day, without its expired partitions."""
     ev = roles.table(spark, d, "events").select("event_id", "user_id", "event_type",
                                                 F.to_date("ts").alias("event_date"))
-    return writers.retain(ev, "event_date", EVENT_TTL_DAYS, EVENTS_AS_OF)
+    path = scratch_path(spark, "events_stored")
+    writers.append(ev, path, partition_by=["event_date"])
+    return writers.expire_partitions(spark, path, scratch_path(spark, "events_kept"), "event_date", EVENT_TTL_DAYS, EVENTS_AS_OF)
 
 
 @register("partition_guard_read")
@@ -325,51 +331,91 @@ def q_full_refresh(spark, d):
     return spark.read.parquet(path)
 
 
+DELIVERIES_REQUIRED = 5
+
+
 @register("file_gate")
 def q_file_gate(spark, d):
-    u = roles.usage(spark, d).select("month_id", "msisdn", "imei", "imsi")
+    """Files landed per month against a minimum that some months miss. A month comes in three to
+    six deliveries (a fixture rule on the month and the account), each one file."""
+    u = roles.usage(spark, d).select("month_id", "msisdn", "imei", "imsi", F.pmod(
+        "exbr_account_num", 3 + F.col("month_id") % 4).alias("delivery"))
     landing = scratch_path(spark, "usage_landing")
-    u.repartition("month_id").write.partitionBy("month_id").option("sep", "|").option("header", True) \
-     .option("compression", "gzip").csv(landing)
-    listed = files.list_files(spark, landing + "/*", "*.csv.gz")
+    (u.repartition("month_id", "delivery").write.partitionBy("month_id", "delivery").option("sep", "|")
+     .option("header", True).option("compression", "gzip").csv(landing))
+    listed = files.list_files(spark, landing, "*.csv.gz", recursive=True)
     per_month = listed.select(F.regexp_extract("path", r"month_id=(\d+)", 1).cast("long").alias("month_id")) \
                       .groupBy("month_id").agg(F.count(F.lit(1)).alias("files"))
-    return quality.gate_frame(per_month, 1).select("month_id", "files", "minimum", "ok")
+    return quality.gate_frame(per_month, DELIVERIES_REQUIRED).select("month_id", "files", "minimum", "ok")
 
 
 LOAD_MONTH = 200107
+STAGED_MONTHLY = ["month_id"] + schemas.USAGE_COLUMNS
 
 
-def _monthly_load(spark, d):
-    """Target table with every month but LOAD_MONTH, landing files + manifest for that month,
-    then the load. Returns (before, after, manifest) frames and the table path."""
+def _landed_rows(spark, d, columns, layout):
+    """The usage rows in a landing layout, with padded numbers as the feeds have them."""
     u = roles.usage(spark, d)
-    staging_cols = ["month_id"] + schemas.USAGE_COLUMNS
-    full = u.select(*[F.col(c) if c in u.columns else F.lit(None).cast(schemas.MONTHLY_STAGING[c].dataType).alias(c)
-                      for c in staging_cols])
-    table = scratch_path(spark, "t_agg_mth")
-    prior = loads.monthly_final_rows(full.filter(F.col("month_id") != LOAD_MONTH), LOAD_TS)
-    writers.append(prior, table, loads.MONTHLY_COLUMNS, partition_by=["month_date"])
+    rows = u.select(*[F.col(c) if c in u.columns else F.lit(None).cast(layout[c].dataType).alias(c) for c in columns])
+    return rows.withColumn("msisdn", F.concat(F.lit(" "), F.col("msisdn")))
+
+
+def _manifest(rows: DataFrame, path: str, surplus: int = 0) -> None:
+    """The sender's manifest: a header line and the number of rows it sent, counted at the source."""
+    rows.agg(F.concat(F.lit("ROWS\n"), (F.count(F.lit(1)) + surplus).cast("string")).alias("value")).write.text(path)
+
+
+def _land_month(spark, d, surplus: int = 0) -> str:
+    """Landing folder of LOAD_MONTH: its files and its manifest."""
     landing = scratch_path(spark, "mth_landing")
-    month_rows = full.filter(F.col("month_id") == LOAD_MONTH) \
-                     .withColumn("msisdn", F.concat(F.lit(" "), F.col("msisdn")))
-    writers.write_csv(month_rows, f"{landing}/data", staging_cols, sep="|", compression="gzip")
-    expected = spark.read.schema(schemas.MONTHLY_STAGING).option("sep", "|").option("header", True) \
-                    .csv(f"{landing}/data").count()
-    manifest = spark.createDataFrame([(f"HASH {LOAD_MONTH}",), (str(expected),)], "value string")
-    manifest.coalesce(1).write.text(f"{landing}/manifest")
-    before = spark.read.parquet(table).select("month_id")
-    before_count = before.count()
-    loads.load_monthly(spark, f"{landing}/data/*.csv.gz", table, LOAD_TS)
-    return table, before_count, files.manifest_counts(spark, f"{landing}/manifest/*.txt")
+    rows = _landed_rows(spark, d, STAGED_MONTHLY, schemas.MONTHLY_STAGING).filter(F.col("month_id") == LOAD_MONTH)
+    writers.write_csv(rows, f"{landing}/{LOAD_MONTH}", STAGED_MONTHLY, sep="|", compression="gzip")
+    _manifest(roles.usage(spark, d).filter(F.col("month_id") == LOAD_MONTH), f"{landing}/manifest", surplus)
+    return landing
+
+
+def _prior_table(spark, d) -> str:
+    """The monthly table before the load: every month but LOAD_MONTH."""
+    table = scratch_path(spark, "t_agg_mth")
+    prior = _landed_rows(spark, d, STAGED_MONTHLY, schemas.MONTHLY_STAGING).filter(F.col("month_id") != LOAD_MONTH)
+    writers.append(loads.monthly_final_rows(prior, LOAD_TS), table, loads.MONTHLY_COLUMNS, partition_by=["month_date"])
+    return table
+
+
+def _checked_load(spark, landing: str, table: str) -> loads.MonthlyLoadReport:
+    return loads.monthly_load_with_checks(
+        spark, landing_dir=landing, month=str(LOAD_MONTH), table_path=table, record_ts=LOAD_TS, min_files=0,
+        manifest_glob="manifest/*.txt", data_glob=f"{LOAD_MONTH}/*.csv.gz")
 
 
 @register("reconcile_load")
 def q_reconcile_load(spark, d):
-    table, before_count, manifest = _monthly_load(spark, d)
-    after = spark.read.parquet(table).select("month_id")
-    before = after.filter(F.col("month_id") != LOAD_MONTH)
-    return quality.reconcile(before, after, manifest.select("expected_rows"))
+    """A load whose manifest is three rows too long is refused and changes nothing; the same load
+    with the right manifest passes. One row for each, with counts taken before and after it."""
+    table = _prior_table(spark, d)
+    out = []
+    for attempt, surplus in ((1, 3), (2, 0)):
+        landing = _land_month(spark, d, surplus)
+        before = spark.read.parquet(table).count()
+        expected = files.manifest_counts(spark, f"{landing}/manifest/*.txt").select("expected_rows").head()[0]
+        try:
+            _checked_load(spark, landing, table)
+            ok = True
+        except quality.GateError:
+            ok = False
+        after = spark.read.parquet(table).count()
+        out.append((attempt, before, after, after - before, expected, ok))
+    return spark.createDataFrame(out, "attempt long, rows_before long, rows_after long, rows_loaded long, rows_expected long, ok boolean")
+
+
+@register("monthly_load_checked")
+def q_monthly_load_checked(spark, d):
+    """Gate, staging, reconciliation and publishing of a month, run twice: the table has each row once."""
+    table = _prior_table(spark, d)
+    landing = _land_month(spark, d)
+    for _ in range(2):
+        _checked_load(spark, landing, table)
+    return spark.read.parquet(table).select("month_id", *MONTHLY_OUT[2:])
 
 
 MONTHLY_OUT = ["month_date", "month_id", "msisdn", "imei", "imsi", "first_cell_data_id",
@@ -378,24 +424,22 @@ MONTHLY_OUT = ["month_date", "month_id", "msisdn", "imei", "imsi", "first_cell_d
 
 @register("monthly_usage_load")
 def q_monthly_usage_load(spark, d):
-    table, _, _ = _monthly_load(spark, d)
-    start = dt.date(LOAD_MONTH // 100, LOAD_MONTH % 100, 1)
-    return writers.read_period(spark, table, "month_date", start, start).select(*MONTHLY_OUT)
+    """All months landed as pipe-delimited files and loaded."""
+    landing = scratch_path(spark, "mth_landing")
+    writers.write_csv(_landed_rows(spark, d, STAGED_MONTHLY, schemas.MONTHLY_STAGING), landing, STAGED_MONTHLY, sep="|", compression="gzip")
+    table = scratch_path(spark, "t_agg_mth")
+    loads.load_monthly(spark, f"{landing}/*.csv.gz", table, LOAD_TS)
+    return spark.read.parquet(table).select(*MONTHLY_OUT)
 
 
 @register("monthly_export_load")
 def q_monthly_export_load(spark, d):
-    """The comma-delimited monthly export loaded into the temp table."""
-    u = roles.usage(spark, d).filter(F.col("month_id") == LOAD_MONTH)
-    staging_cols = ["month_id"] + schemas.USAGE_COLUMNS
-    rows = u.select(*[F.col(c) if c in u.columns else F.lit(None).cast(schemas.MONTHLY_STAGING[c].dataType).alias(c)
-                      for c in staging_cols]).withColumn("msisdn", F.concat(F.lit(" "), F.col("msisdn")))
+    """The comma-delimited monthly export, all months, loaded into the temp table."""
     landing = scratch_path(spark, "export_landing")
-    writers.write_csv(rows, landing, staging_cols, sep=",", compression="gzip")
+    writers.write_csv(_landed_rows(spark, d, STAGED_MONTHLY, schemas.MONTHLY_STAGING), landing, STAGED_MONTHLY, sep=",", compression="gzip")
     table = scratch_path(spark, "t_agg_mth_temp")
     loads.load_monthly_export(spark, f"{landing}/*.csv.gz", table, LOAD_TS)
-    start = dt.date(LOAD_MONTH // 100, LOAD_MONTH % 100, 1)
-    return writers.read_period(spark, table, "month_date", start, start).select(*MONTHLY_OUT)
+    return spark.read.parquet(table).select(*MONTHLY_OUT)
 
 
 DAILY_OUT = ["call_date", "date_of_call", "msisdn", "imei", "imsi", "first_cell_data_id", "exbr_account_num",
@@ -404,16 +448,13 @@ DAILY_OUT = ["call_date", "date_of_call", "msisdn", "imei", "imsi", "first_cell_
 
 @register("daily_usage_load")
 def q_daily_usage_load(spark, d):
-    u = roles.usage(spark, d).filter(F.col("month_id") == LOAD_MONTH)
-    staging_cols = ["date_of_call"] + schemas.USAGE_COLUMNS
-    rows = u.select(*[F.col(c) if c in u.columns else F.lit(None).cast(schemas.DAILY_STAGING[c].dataType).alias(c)
-                      for c in staging_cols]).withColumn("msisdn", F.concat(F.lit(" "), F.col("msisdn")))
+    """All days landed and loaded."""
+    columns = ["date_of_call"] + schemas.USAGE_COLUMNS
     landing = scratch_path(spark, "dly_landing")
-    writers.write_csv(rows, landing, staging_cols, sep="|", compression="gzip")
+    writers.write_csv(_landed_rows(spark, d, columns, schemas.DAILY_STAGING), landing, columns, sep="|", compression="gzip")
     table = scratch_path(spark, "t_agg_dly")
     loads.load_daily(spark, f"{landing}/*.csv.gz", table, LOAD_TS)
-    start = dt.date(LOAD_MONTH // 100, LOAD_MONTH % 100, 1)
-    return writers.read_period(spark, table, "call_date", start, dt.date(2001, 7, 31)).select(*DAILY_OUT)
+    return spark.read.parquet(table).select(*DAILY_OUT)
 
 
 @register("period_cursor")
@@ -423,9 +464,10 @@ def q_period_cursor(spark, d):
         F.struct(F.lit("latest_mthly_file_mon").alias("property_name"), F.col("m").cast("string").alias("property_value")),
         F.struct(F.lit("next_mthly_file_mon").alias("property_name"),
                  month_key_str(F.add_months(month_start("m"), 1)).alias("property_value")))).alias("p")).select("p.*")
-    nxt = control.filter(F.col("property_name") == "next_mthly_file_mon")
-    return nxt.select(F.col("property_value").alias("next_month"),
-                      month_key_str(F.add_months(month_start("property_value"), 1)).alias("following_month"))
+    path = scratch_path(spark, "control")
+    writers.refresh(control, path)
+    due = files.control_value(spark.read.parquet(path), "next_mthly_file_mon")
+    return spark.createDataFrame([(due, quality.next_period(due))], "next_month string, following_month string")
 
 
 @register("staging_copy")
@@ -447,9 +489,11 @@ def q_ratings_filter(spark, d):
     path = scratch_path(spark, "ratings")
     writers.write_csv(ev, path, RATING_HEADERS, sep=",")
     kept = text_flows.ratings_above(spark, f"{path}/*.csv", RATING_HEADERS, rating_field=2, threshold=4.0)
-    return kept.select(F.col("event_id").cast("long").alias("event_id"),
-                       F.col("user_id").cast("long").alias("user_id"),
-                       F.col("value").cast("double").alias("rating"))
+    out = scratch_path(spark, "ratings_out")
+    writers.write_text(kept, out, ["event_id", "user_id", "value"])
+    fields = F.split("value", ",")
+    return spark.read.text(out).select(fields[0].cast("long").alias("event_id"), fields[1].cast("long").alias("user_id"),
+                                       fields[2].cast("double").alias("rating"))
 
 
 @register("word_extract")
@@ -457,6 +501,15 @@ def q_word_extract(spark, d):
     return text_flows.word_counts(roles.table(spark, d, "documents"))
 
 
+@register("view_scan")
+def q_view_scan(spark, d):
+    """The recent-device mart read as a view by SQL."""
+    views.register_views(spark, {
+        "base": roles.base(spark, d), "products": roles.products(spark, d), "products2": roles.products2(spark, d),
+        "usage": roles.usage(spark, d), "cells": roles.cells(spark, d), "devices": roles.devices(spark, d)}, ORDERS_AS_OF)
+    return spark.sql("SELECT device_type, count(*) AS subscribers, max(last_date) AS last_date FROM recent_device GROUP BY device_type")
+
+
 # ---- network marts ------------------------------------------------------------------------
 
 @register("site_usage")
@@ -481,12 +534,14 @@ def q_landing_stream(spark, d):
     ev = roles.table(spark, d, "events").select("event_id", F.date_format("ts", TS_FORMAT).alias("ts_text"),
                                                 "user_id", "event_type", "value")
     landing = scratch_path(spark, "events_landing")
-    ev.repartition(4).write.option("sep", "|").option("header", True).csv(landing)
+    # Quoted text that holds the separator and a quote.
+    ev = ev.withColumn("event_type", F.concat(F.lit('"'), F.col("event_type"), F.lit('" | n')))
+    writers.write_csv(ev, landing, ev.columns, sep="|")
     target = scratch_path(spark, "events_final")
 
     def transform(rows):
         ts = F.to_timestamp_ntz(F.col("ts_text"), F.lit(TS_FORMAT))
-        return rows.select("event_id", ts.alias("ts"), "user_id", "event_type", "value",
+        return rows.select("event_id", ts.alias("ts"), "user_id", F.split_part("event_type", F.lit('"'), F.lit(2)).alias("event_type"), "value",
                            F.to_date(ts).alias("event_date"))
 
     from pyspark.sql.types import StructType

@@ -7,8 +7,8 @@
 Scheduling, retries between runs and cross-run triggers belong to an external scheduler and
 are not built. Every step boundary is a written table, so each step reads its inputs from
 storage (lineage is cut there; a failed step is re-run alone) and a lost executor only
-re-runs tasks of the step in flight. The flag update reads the published mart and writes a
-new version next to it, never overwriting the folder it reads.
+re-runs tasks of the step in flight. The flag update stages last month's rows and replaces that
+partition of the published mart; a close that runs again replaces what it wrote.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from cellmart.functions.calendar import prev_month_start
 from cellmart.plans import devices, loads, subscribers, usage
 from cellmart.sinks import writers
 
@@ -36,8 +35,7 @@ class CloseTables:
     products2: str         # second tariff catalogue
     cells: str             # cell dimension
     device_history: str    # best-device history (appended)
-    mart: str              # published usage mart
-    mart_flagged: str      # published usage mart with the rolling activity flag
+    mart: str              # published usage mart with the rolling activity flag, partitioned by AGG_MTH
 
 
 def month_of(as_of: dt.date) -> str:
@@ -57,16 +55,14 @@ def monthly_close(spark: SparkSession, t: CloseTables, as_of: dt.date, record_ts
 
     use = spark.read.parquet(t.usage)
     dev = spark.read.parquet(t.devices)
-    writers.append(devices.best_device_history(use, dev, as_of, record_ts), t.device_history)
+    # The month's history replaces itself when the close runs again.
+    writers.replace_partitions(devices.best_device_history(use, dev, as_of, record_ts), t.device_history, ["MONTH_ID"])
 
     mart = usage.publish(usage.usage_mart(spark.read.parquet(t.base), spark.read.parquet(t.products),
                                           spark.read.parquet(t.products2), use,
                                           spark.read.parquet(t.cells), as_of))
-    writers.refresh(mart, t.mart)
-    flagged = usage.active90d_update(spark.read.parquet(t.mart), as_of)
-    writers.refresh(flagged, t.mart_flagged)
-    prev = spark.range(1).select(prev_month_start(as_of)).first()[0]
-    return {"month": month, "files": report.files, "rows_loaded": report.rows_after - report.rows_before,
+    flagged = usage.publish_and_flag(mart, t.mart, as_of)
+    return {"month": month, "files": report.files, "rows_loaded": report.rows_loaded,
             "rows_expected": report.rows_expected, "base_rows": spark.read.parquet(t.base)
-            .filter(F.col("agg_mth") == month).count(), "mart_rows": spark.read.parquet(t.mart_flagged).count(),
-            "period_start": prev}
+            .filter(F.col("agg_mth") == month).count(), "mart_rows": flagged.count(),
+            "period_start": dt.date(int(month[:4]), int(month[4:]), 1)}

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from cellmart.functions.calendar import date_from_day_key, month_start, month_st
 from cellmart.functions.text import trim_ws
 from cellmart.operators import quality
 from cellmart.operators.changes import conditional_update, stamp_missing, upsert
+from cellmart.session import scratch_path
 from cellmart.sinks import writers
 from cellmart.sources.delimited import read_delimited
 from cellmart.sources.files import count_files, manifest_counts
@@ -63,24 +65,26 @@ def export_final_rows(staging: DataFrame, record_ts) -> DataFrame:
 
 
 def load_monthly_export(spark: SparkSession, landing_glob: str, table_path: str, record_ts) -> None:
-    """Comma-delimited monthly export appended to the temp table (created when absent)."""
+    """Comma-delimited monthly export into the temp table (created when absent); the months of the
+    export replace what the table has of them."""
     rows = export_final_rows(staged_monthly(spark, landing_glob, sep=","), record_ts)
-    writers.append(rows, table_path, MONTHLY_COLUMNS, partition_by=["month_date"], cluster_by=MONTHLY_CLUSTER)
+    writers.replace_partitions(rows, table_path, ["month_date"], MONTHLY_COLUMNS, MONTHLY_CLUSTER)
 
 
 def load_daily(spark: SparkSession, landing_glob: str, table_path: str, record_ts, sep: str = "|") -> None:
-    """Daily usage load: append the day's files to the final table (partitioned by day)."""
+    """Daily usage load: the landed days replace their partitions of the final table, so a load that
+    runs again does not double them."""
     rows = daily_final_rows(staged_daily(spark, landing_glob, sep), record_ts)
-    writers.append(rows, table_path, DAILY_COLUMNS, partition_by=["call_date"])
+    writers.replace_partitions(rows, table_path, ["call_date"], DAILY_COLUMNS)
 
 
 def load_monthly(spark: SparkSession, landing_glob: str, table_path: str, record_ts,
                  sep: str = "|") -> int:
-    """Monthly usage load; returns the number of rows written (observed during the write,
-    so the files are parsed once)."""
+    """Monthly usage load: the landed months replace their partitions. Returns the number of rows
+    written (observed during the write, so the files are parsed once)."""
     rows = monthly_final_rows(staged_monthly(spark, landing_glob, sep), record_ts)
     rows, obs = quality.observed_count(rows)
-    writers.append(rows, table_path, MONTHLY_COLUMNS, partition_by=["month_date"], cluster_by=MONTHLY_CLUSTER)
+    writers.replace_partitions(rows, table_path, ["month_date"], MONTHLY_COLUMNS, MONTHLY_CLUSTER)
     return int(obs.get["rows"])
 
 
@@ -88,35 +92,51 @@ def load_monthly(spark: SparkSession, landing_glob: str, table_path: str, record
 class MonthlyLoadReport:
     month: str
     files: int
-    rows_before: int
-    rows_after: int
-    rows_expected: int
+    rows_before: int       # rows of the other months, before the load
+    rows_loaded: int       # rows staged for the month
+    rows_expected: int     # what the manifests say
+    rows_after: int        # rows of the table, after the load
 
     @property
     def ok(self) -> bool:
-        return self.rows_after - self.rows_before == self.rows_expected
+        return self.rows_loaded == self.rows_expected and self.rows_after == self.rows_before + self.rows_loaded
 
 
 def monthly_load_with_checks(spark: SparkSession, *, landing_dir: str, month: str, table_path: str,
-                             record_ts, min_files: int, manifest_glob: str, data_glob: str) -> MonthlyLoadReport:
-    """File gate -> manifest -> load -> reconciliation, for one month."""
-    # Prefix count of the month's objects (data files and manifest), as the landing gate does.
-    files = quality.require_files(count_files(spark, landing_dir, recursive=True, contains=month), min_files)
-    expected = manifest_counts(spark, f"{landing_dir}/{manifest_glob}").agg(F.sum("expected_rows")).head()[0]
-    before = _count(spark, table_path)
-    load_monthly(spark, f"{landing_dir}/{data_glob}", table_path, record_ts)
-    after = _count(spark, table_path)
-    report = MonthlyLoadReport(month, files, before, after, int(expected or 0))
+                             record_ts, min_files: int, manifest_glob: str, data_glob: str,
+                             name_glob: str = "*") -> MonthlyLoadReport:
+    """File gate -> staging -> reconciliation with the manifest -> publish, for one month.
+
+    The files are parsed into a staging folder. Only when its rows are the manifest's number and
+    all of the month does it replace the month's partition, so a failed check leaves the table as it was
+    and a repeated load does not double it. ``name_glob`` and the month in a file's name say which files
+    the gate counts."""
+    files = quality.require_files(count_files(spark, landing_dir, name_glob, recursive=True, contains=month), min_files)
+    expected = int(manifest_counts(spark, f"{landing_dir}/{manifest_glob}").agg(F.sum("expected_rows")).head()[0] or 0)
+    staging = scratch_path(spark, f"staged-{month}")
+    loaded = load_monthly(spark, f"{landing_dir}/{data_glob}", staging, record_ts)
+    if loaded != expected:
+        raise quality.GateError(f"{loaded} rows landed for {month}, the manifest says {expected}; nothing was published")
+    staged = spark.read.parquet(staging)
+    if other := staged.filter(F.col("month_id") != int(month)).count():
+        raise quality.GateError(f"{other} landed rows are not of month {month}; nothing was published")
+    before = _count(spark, table_path, F.col("month_id") != int(month))
+    writers.replace_partitions(staged, table_path, ["month_date"], MONTHLY_COLUMNS, MONTHLY_CLUSTER)
+    report = MonthlyLoadReport(month, files, before, loaded, expected, _count(spark, table_path))
     if not report.ok:
-        raise quality.GateError(f"loaded {after - before} rows, manifest says {expected}")
+        raise quality.GateError(f"the table has {report.rows_after} rows, {before} + {loaded} were to be there")
     return report
 
 
-def _count(spark: SparkSession, path: str) -> int:
+def _count(spark: SparkSession, path: str, predicate: Column | None = None) -> int:
+    """Rows of a table; a table that does not exist yet has none. Any other failure is raised."""
     try:
-        return spark.read.parquet(path).count()
-    except Exception:  # noqa: BLE001 - an absent table has no rows yet
-        return 0
+        df = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return 0
+        raise
+    return (df if predicate is None else df.filter(predicate)).count()
 
 
 def reference_refresh(source: DataFrame, table_path: str, record_ts, *, keep: Column | None = None,

@@ -39,49 +39,52 @@ def _with_tech(usage: DataFrame, cells: DataFrame, cell_cols) -> DataFrame:
     return j.withColumn("interp_tech", tech_of_cell())
 
 
-def _site_measures(prefix_totals_only: bool):
-    """Generated bucket sums as SQL expression strings (one JVM parse per column)."""
-    mo_calls, mt_calls = "(home_mo_count + work_mo_count)", "(home_mt_count + work_mt_count)"
-    mo_secs = "(home_mo_duration_secs + work_mo_duration_secs)"
-    mt_secs = "(home_mt_duration_secs + work_mt_duration_secs)"
-    mo_sms, mt_sms = "(home_mo_sms_count + work_mo_sms_count)", "(home_mt_sms_count + work_mt_sms_count)"
-    dl = "(home_data_in_volume_kb + work_data_in_volume_kb)"
-    ul = "(home_data_out_volume_kb + work_data_out_volume_kb)"
-
-    def bucket(value, expr, div=None):
-        s = f"sum(CASE WHEN interp_tech = '{value}' THEN {expr} ELSE 0 END)"
-        return F.expr(f"{s} / {div}D" if div else s)
+# Plain measures of a usage row (SQL expressions).
+_PLAIN = {
+    "mo_calls": "home_mo_count + work_mo_count", "mt_calls": "home_mt_count + work_mt_count",
+    "mo_mins": "home_mo_duration_secs + work_mo_duration_secs", "mt_mins": "home_mt_duration_secs + work_mt_duration_secs",
+    "mo_sms": "home_mo_sms_count + work_mo_sms_count", "mt_sms": "home_mt_sms_count + work_mt_sms_count",
+    "dl_mb": "home_data_in_volume_kb + work_data_in_volume_kb", "ul_mb": "home_data_out_volume_kb + work_data_out_volume_kb",
+}
+_PLAIN |= {f"total_{kind}": f"{_PLAIN[a]} + {_PLAIN[b]}" for kind, a, b in (
+    ("calls", "mo_calls", "mt_calls"), ("mins", "mo_mins", "mt_mins"), ("sms", "mo_sms", "mt_sms"), ("data_mb", "dl_mb", "ul_mb"))}
+TOTALS = [name for name in _PLAIN if name.startswith("total_")]
 
+
+def _plain_sums(names):
+    return [F.expr(f"sum({_PLAIN[name]})").alias(name) for name in names]
+
+
+def _spread(names):
+    """The plain sums of each technology as bucket columns (one JVM parse per column)."""
     out = []
-    groups = [("CALLS", mo_calls, mt_calls, None), ("MINS", mo_secs, mt_secs, 60.0),
-              ("SMS", mo_sms, mt_sms, None)]
-    for name, mo, mt, div in groups:
-        total = f"({mo} + {mt})"
-        parts = [("TOTAL", total)] if prefix_totals_only else [("MO", mo), ("MT", mt), ("TOTAL", total)]
-        for label, expr in parts:
-            for value, suffix in SITE_VOICE:
-                out.append(bucket(value, expr, div).alias(f"{label}_{name}_{suffix}"))
-    total = f"({dl} + {ul})"
-    data_parts = [("TOTAL_DATA", total)] if prefix_totals_only else [("UL", ul), ("DL", dl), ("TOTAL_DATA", total)]
-    for label, expr in data_parts:
-        for value, suffix in SITE_DATA:
-            out.append(bucket(value, expr, 1024.0).alias(f"{label}_MB_{suffix}"))
+    for name in names:
+        label, unit = name.upper().rsplit("_", 1)
+        divisor = {"MINS": " / 60.0D", "MB": " / 1024.0D"}.get(unit, "")
+        for value, suffix in SITE_DATA if unit == "MB" else SITE_VOICE:
+            out.append(F.expr(f"sum(CASE WHEN interp_tech = '{value}' THEN {name} ELSE 0 END){divisor}").alias(f"{label}_{unit}_{suffix}"))
     return out
 
 
 def site_usage(usage_dly: DataFrame, cells: DataFrame) -> DataFrame:
     """Per day x subscriber x handset x SIM x account x site: calls, minutes, SMS (MO, MT,
-    TOTAL) and MB (UL, DL, TOTAL) by technology bucket."""
+    TOTAL) and MB (UL, DL, TOTAL) by technology bucket. Rows are dealt out by the key once; the plain
+    measures are summed by key and technology and spread to the 60 buckets on the same partitioning, so
+    the buckets are never shuffled."""
     j = _with_tech(usage_dly, cells, ["site_id"])
     keys = ["date_of_call", "call_date", "msisdn", "imei", "imsi", "exbr_account_num", "site_id"]
-    return j.groupBy(*keys).agg(*_site_measures(prefix_totals_only=False))
+    sums = j.repartition(*keys).groupBy(*keys, "interp_tech").agg(*_plain_sums(_PLAIN))
+    return sums.groupBy(*keys).agg(*_spread(_PLAIN))
 
 
 def protocol_site_usage(usage_mth: DataFrame, cells: DataFrame, devices: DataFrame,
                         subscribers: DataFrame) -> DataFrame:
     """Per month x site x subscriber x handset: totals by technology, handset attributes and
-    3G / 4G usage flags ('Y' when any 3G / 4G usage was summed)."""
-    j = _with_tech(usage_mth, cells, ["site_id", "latitude", "longitude"])
+    3G / 4G usage flags ('Y' when any 3G / 4G usage was summed). Usage is summed by month, cell,
+    number, handset, SIM and account before the dimensions are joined; an attribute row that
+    matches twice counts the sums twice, as it would count the rows."""
+    own = ["month_date", "first_cell_data_id", "msisdn", "imei", "imsi", "exbr_account_num"]
+    j = _with_tech(usage_mth.groupBy(*own).agg(*_plain_sums(TOTALS)), cells, ["site_id", "latitude", "longitude"])
     j = j.withColumn("__tac", F.substring("imei", 1, 8))
     dev = devices.select(F.col("tac").alias("__dtac"), F.col("protocol").alias("DEVICE_PROTOCOL"),
                          F.col("device_type").alias("DEVICE_TYPE"), F.col("model").alias("MODEL"),
@@ -96,7 +99,7 @@ def protocol_site_usage(usage_mth: DataFrame, cells: DataFrame, devices: DataFra
             F.col("msisdn").alias("MSISDN"), "imei", "imsi", F.col("exbr_account_num").alias("ACCOUNT_NUM"),
             "BUSINESS_NAME", "SEGMENT", "BRAND", "DEVICE_PROTOCOL", "DEVICE_TYPE", "MODEL", "MARKETING_NAME",
             "VOLTE_FLAG"]
-    g = j.groupBy(*keys).agg(*_site_measures(prefix_totals_only=True))
+    g = j.groupBy(*keys).agg(*_spread(TOTALS))
 
     def flag(sfx):
         used = (F.coalesce(F.col(f"TOTAL_CALLS_{sfx}"), F.lit(0)) + F.coalesce(F.col(f"TOTAL_MINS_{sfx}"), F.lit(0))

@@ -67,6 +67,10 @@ ORACLES["recent_device"] = with_roles(["usage", "devices"], _scored(
     f"call_date >= {PREV_MONTH} AND call_date < CAST(date_trunc('month', {AS_OF}) AS DATE)", "", "coalesce(seen.last_day, -1)") + f"""
 SELECT number AS msisdn, type_code AS tac, {_KIND}, last_day AS last_date {_BEST_FROM}""")
 
+ORACLES["view_scan"] = f"""
+SELECT device_type, count(*) AS subscribers, max(last_date) AS last_date
+FROM ({ORACLES["recent_device"]}) GROUP BY device_type"""
+
 # ---- contracts and rules ------------------------------------------------------------------
 
 MONTH_OF_AGG = "CAST(strptime({a}, '%Y%m') AS DATE)"
@@ -485,29 +489,28 @@ SELECT curr_product_code, start_date, end_date, mobile_data_speed, product_group
        mobile_service_type, product_line, TIMESTAMP '2001-08-15 06:00:00' AS record_ts
 FROM products2 WHERE product_line = 'BT Mobile'""")
 
-ORACLES["file_gate"] = with_roles(["usage"], """
-SELECT DISTINCT month_id, CAST(1 AS BIGINT) AS files, CAST(1 AS BIGINT) AS minimum, true AS ok FROM usage""")
+ORACLES["file_gate"] = with_roles(["usage"], """,
+d AS (SELECT DISTINCT month_id, exbr_account_num % (3 + month_id % 4) AS delivery FROM usage)
+SELECT month_id, count(*) AS files, CAST(5 AS BIGINT) AS minimum, count(*) >= 5 AS ok FROM d GROUP BY month_id""")
 
-ORACLES["reconcile_load"] = with_roles(["usage"], """
-SELECT CAST(count(*) FILTER (WHERE month_id <> 200107) AS BIGINT) AS rows_before,
-       CAST(count(*) AS BIGINT) AS rows_after,
-       CAST(count(*) FILTER (WHERE month_id = 200107) AS BIGINT) AS rows_loaded,
-       CAST(count(*) FILTER (WHERE month_id = 200107) AS BIGINT) AS rows_expected,
-       true AS ok
-FROM usage""")
+# The refused load leaves the table as it was; the second attempt adds the month.
+ORACLES["reconcile_load"] = with_roles(["usage"], """,
+c AS (SELECT count(*) AS rows, count(*) FILTER (month_id = 200107) AS month FROM usage)
+SELECT CAST(1 AS BIGINT) AS attempt, rows - month AS rows_before, rows - month AS rows_after, CAST(0 AS BIGINT) AS rows_loaded,
+       month + 3 AS rows_expected, false AS ok FROM c
+UNION ALL SELECT 2, rows - month, rows, month, month, true FROM c""")
 
-ORACLES["monthly_usage_load"] = with_roles(["usage"], f"""
-SELECT month_date, month_id, {trim_ws("' ' || msisdn")} AS msisdn, imei, imsi, first_cell_data_id,
-       home_mo_count, work_mo_count, home_data_in_volume_kb, TIMESTAMP '2001-08-15 06:00:00' AS record_ts
-FROM usage WHERE month_id = 200107""")
+_LOADED = f"""
+SELECT {{key}}, {trim_ws("' ' || msisdn")} AS msisdn, imei, imsi, first_cell_data_id,
+       {{columns}}, TIMESTAMP '2001-08-15 06:00:00' AS record_ts FROM usage"""
 
+_MONTHLY_LOADED = "home_mo_count, work_mo_count, home_data_in_volume_kb"
+ORACLES["monthly_usage_load"] = with_roles(["usage"], _LOADED.format(key="month_date, month_id", columns=_MONTHLY_LOADED))
 ORACLES["monthly_export_load"] = ORACLES["monthly_usage_load"]
-
-ORACLES["daily_usage_load"] = with_roles(["usage"], f"""
-SELECT call_date, date_of_call, {trim_ws("' ' || msisdn")} AS msisdn, imei, imsi, first_cell_data_id,
-       exbr_account_num, home_mo_count, work_mo_count, home_mo_duration_secs, home_data_out_volume_kb,
-       TIMESTAMP '2001-08-15 06:00:00' AS record_ts
-FROM usage WHERE month_id = 200107""")
+ORACLES["monthly_load_checked"] = with_roles(["usage"], _LOADED.format(key="month_id", columns=_MONTHLY_LOADED))
+ORACLES["daily_usage_load"] = with_roles(["usage"], _LOADED.format(
+    key="call_date, date_of_call",
+    columns="exbr_account_num, home_mo_count, work_mo_count, home_mo_duration_secs, home_data_out_volume_kb"))
 
 ORACLES["period_cursor"] = with_roles(["usage"], """,
 m AS (SELECT max(month_id) AS m FROM usage),

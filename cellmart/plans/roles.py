@@ -29,37 +29,9 @@ EVENTS_AS_OF = dt.date(2024, 2, 10)
 LOAD_TS = dt.datetime(2001, 8, 15, 6, 0, 0)
 
 
-# Tables large enough to be worth spreading over all task slots when they scan as one split.
-LARGE_TABLES = {"lineitem", "orders", "events", "documents", "conversations", "pages"}
-
-
-_SCANS: dict = {}
-
-
-def _shared(fn):
-    """One DataFrame per (application, folder) for a role: roles are pure functions of the
-    read-only driver tables, so every use of a role in a query is the same plan subtree
-    (which Spark can reuse), and it is built once per session."""
-    memo: dict = {}
-
-    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-        if key not in memo:
-            memo[key] = fn(spark, sf_dir)
-        return memo[key]
-    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
-    return wrapper
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of a driver table. The driver tables are read-only inputs, so one DataFrame per
-    (session, path) is built and shared: the file listing and footer read happen once, and
-    every use of the table is the same relation in the plan."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _SCANS:
-        _SCANS[key] = read_table(spark, path, spread=name in LARGE_TABLES)
-    return _SCANS[key]
+    """Scan of a driver table."""
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case_sql(col: str, mapping: dict, default) -> str:
@@ -80,7 +52,6 @@ PART_TYPE_PROTOCOL_DEFAULT = "2G"
 EVENT_TECHNOLOGY = {"view": "2G", "click": "3G", "signup": "4G", "error": "WIFI", "purchase": "5G"}
 
 
-@_shared
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Usage fact with both the monthly (month_id, month_date) and daily (date_of_call,
     call_date) keys. Counters are integer functions of the line so that sums are exact."""
@@ -119,7 +90,6 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_shared
 def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Device catalogue keyed on the 8-character type code."""
     return table(spark, sf_dir, "part").selectExpr(
@@ -150,7 +120,6 @@ _PRODUCT_ATTRS = [
 ]
 
 
-@_shared
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First tariff catalogue: two validity windows per code that overlap for half a year."""
     p = table(spark, sf_dir, "part")
@@ -161,7 +130,6 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return early.unionByName(late)
 
 
-@_shared
 def products2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second tariff catalogue (codes padded with a trailing blank, one window per code)."""
     return table(spark, sf_dir, "part").selectExpr(
@@ -176,7 +144,6 @@ def products2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_shared
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
@@ -192,7 +159,6 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_shared
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subscriber base per month: one row per contract line (order line) of a customer."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate", "l_returnflag")
@@ -222,7 +188,6 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_shared
 def daily_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily billing base snapshot (one row per order, snapshot = last day of the order month)."""
     o = table(spark, sf_dir, "orders")
@@ -244,7 +209,6 @@ def daily_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_shared
 def legacy_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly legacy base with numeric subscriber numbers (one row per order)."""
     o = table(spark, sf_dir, "orders")
@@ -270,7 +234,6 @@ def legacy_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_shared
 def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subscriber attributes for the site mart (segment, brand, business name)."""
     return table(spark, sf_dir, "customer").selectExpr(

@@ -61,8 +61,7 @@ def billing_feed(daily: DataFrame, legacy: DataFrame, as_of) -> DataFrame:
 
 def legacy_feed(legacy: DataFrame, as_of) -> DataFrame:
     bt, bb, brand = F.col("business_type"), F.col("billing_base"), F.col("current_brand")
-    segment = (bt != "Consumer") | ((bt == "Consumer") & (bb == "PAYG")
-                                    & ((brand != EXCLUDED_PAYG_BRAND) & (bb == "PAYG")))
+    segment = (bt != "Consumer") | ((bb == "PAYG") & (brand != EXCLUDED_PAYG_BRAND))
     l = legacy.filter((F.col("agg_mth").cast("string") == month_key_str(prev_month_start(as_of))) & segment)
     return l.select(
         F.col("account_num").cast("string").alias("account_num"),

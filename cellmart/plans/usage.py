@@ -36,6 +36,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellmart.session import scratch_path
+from cellmart.sinks import writers
 from cellmart.functions import rules
 from cellmart.functions.calendar import date_window, month_key, month_key_window, month_start, months_back
 from cellmart.functions.text import safe_long, trim_ws, zero_prefix
@@ -239,6 +241,22 @@ def publish(mart: DataFrame) -> DataFrame:
         *PIVOT_COLUMNS)
 
 
+def publish_and_flag(mart: DataFrame, path: str, as_of) -> DataFrame:
+    """Write the published mart partitioned by month, then set last month's activity flag: the three
+    months of the window and last month are read, and only last month's partition is replaced."""
+    spark = mart.sparkSession
+    published = publish(mart).withColumn("NEW_ACTIVE90D_PAYG", F.lit(None).cast("int"))
+    writers.refresh(published, path, partition_by=["AGG_MTH"])
+    stored = spark.read.schema(published.schema).parquet(path)
+    first, last = month_key(months_back(as_of, 4)), month_key(months_back(as_of, 1))
+    window = stored.filter(F.col("AGG_MTH").between(first, last))
+    flagged = active90d_update(window, as_of).filter(F.col("AGG_MTH") == last)
+    staging = scratch_path(spark, "flagged")
+    writers.refresh(flagged, staging)
+    writers.replace_partitions(spark.read.schema(published.schema).parquet(staging), path, ["AGG_MTH"])
+    return spark.read.schema(published.schema).parquet(path)
+
+
 def active90d_update(published: DataFrame, as_of) -> DataFrame:
     """Sign of the 30-day activity flag summed over months -4..-2 written as
     ``NEW_ACTIVE90D_PAYG`` onto last month's rows of the same subscriber; other rows keep

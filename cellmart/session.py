@@ -2,12 +2,12 @@
 
 The engine never picks a machine-local temporary folder on its own: intermediate tables,
 round-trip files and streaming checkpoints live below the shared folder the cluster names in
-``spark.checkpoint.dir``. A session without that setting (a unit test) gets one here.
+``spark.checkpoint.dir``. Only a local session without that setting (a unit test) gets one here;
+on a cluster the setting is required.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -74,14 +74,16 @@ def apply_sql_conf(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a private one only when none is set."""
+    """Return the shared checkpoint folder. A private one is created only when none is set and the
+    master is ``local[...]``: executors on other machines would write to their own disks."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local tests: the cluster always names a shared folder.
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="cellmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -92,12 +94,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder for one job's files."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/cellmart/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python code can open files Spark wrote in local mode."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

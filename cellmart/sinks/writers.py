@@ -44,14 +44,18 @@ def append(df: DataFrame, path: str, columns: Sequence[str] | None = None,
 def refresh(df: DataFrame, path: str, partition_by: Sequence[str] = (),
             cluster_by: Sequence[str] = ()) -> None:
     """Full refresh (delete all + insert) as one overwrite. The new content must not be
-    computed from ``path`` itself: write to a new path and swap instead."""
-    _layout(df, partition_by, cluster_by).mode("overwrite").parquet(path)
+    computed from ``path`` itself: write to a new path and swap instead. The overwrite is static:
+    partitions that the new content lacks go, whatever the session's overwrite mode."""
+    _layout(df, partition_by, cluster_by).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Overwrite only the partitions present in ``df`` (dynamic partition overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_by).parquet(path))
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
+                       columns: Sequence[str] | None = None, cluster_by: Sequence[str] = ()) -> None:
+    """Overwrite only the partitions present in ``df`` (dynamic partition overwrite): a load that
+    runs again replaces what it wrote before. The table is created when absent."""
+    if columns:
+        df = df.select(*columns)
+    (_layout(df, partition_by, cluster_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path))
 
 
 def stamp(df: DataFrame, col: str, value) -> DataFrame:
@@ -64,15 +68,12 @@ def history_append(df: DataFrame, path: str, stamp_col: str, stamp_value) -> Non
 
 
 def write_csv(df: DataFrame, path: str, order: Sequence[str] | None = None, sep: str = ",",
-              header: bool = True, fill: str = "", compression: str | None = None,
-              single_file: bool = False) -> None:
+              header: bool = True, fill: str = "", compression: str | None = None) -> None:
     """Delimited text sink: given column order, missing columns filled, quotes doubled
     (``"a""b"``), fields with the separator or a quote quoted."""
     if order:
         df = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(fill)).alias(c) if c in df.columns
                          else F.lit(fill).alias(c) for c in order])
-    if single_file:
-        df = df.coalesce(1)
     w = (df.write.mode("overwrite").option("sep", sep).option("header", header)
          .option("quote", '"').option("escape", '"').option("emptyValue", ""))
     if compression:
@@ -90,6 +91,15 @@ def write_text(df: DataFrame, path: str, columns: Sequence[str], sep: str = ",",
     w.text(path)
 
 
+def expire_partitions(spark: SparkSession, path: str, kept_path: str, date_col: str, ttl_days: int, as_of) -> DataFrame:
+    """The next version of a table without its expired partitions, written to ``kept_path``. Expired
+    partitions are pruned, not read; the old version stays until the caller drops it, so a
+    failed run loses nothing."""
+    table = spark.read.parquet(path)
+    refresh(retain(table, date_col, ttl_days, as_of), kept_path, [date_col])
+    return spark.read.schema(table.schema).parquet(kept_path)
+
+
 def retain(df: DataFrame, date_col: str, ttl_days: int, as_of) -> DataFrame:
     """Partition expiry: keep rows whose partition date is less than ``ttl_days`` old at
     ``as_of`` (a partition expires when its date + ttl has passed)."""

@@ -29,6 +29,13 @@ from cellmart.operators.projection import conform, drop_columns
 _LINE_SEP_SENTINEL = "\u0000\u0001\u0002"
 
 
+def delimited_options(reader, sep: str = "|", header: bool = True, strict: bool = True):
+    """The dialect of landed files, for batch and stream readers alike: RFC 4180 quoting as the
+    warehouse load expects (a quote inside a quoted field is doubled)."""
+    return (reader.option("sep", sep).option("header", header).option("quote", '"').option("escape", '"')
+            .option("mode", "FAILFAST" if strict else "PERMISSIVE"))
+
+
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str,
                    sep: str = "|", header: bool = True, strict: bool = True) -> DataFrame:
     """Typed scan with a declared schema; ``strict`` fails on a malformed row.
@@ -36,10 +43,7 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: Stru
     A pruned ``count()`` does not parse all columns and so cannot see malformed rows:
     reconcile on a materialised (written) table, not on a bare count of this scan.
     """
-    # RFC 4180 quoting as the warehouse load expects: a quote inside a quoted field is doubled.
-    reader = (spark.read.schema(schema).option("sep", sep).option("header", header)
-              .option("quote", '"').option("escape", '"')
-              .option("mode", "FAILFAST" if strict else "PERMISSIVE"))
+    reader = delimited_options(spark.read.schema(schema), sep, header, strict)
     return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 
 

@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 
 def list_files(spark: SparkSession, directory: str, glob: str = "*", recursive: bool = False,
                contains: str | None = None) -> DataFrame:
-    """Paths (and sizes) of files matching ``glob`` below ``directory``; with ``contains``,
-    only paths containing that marker (an object-store prefix listing counts nested objects
-    too). Only file metadata is read: the ``binaryFile`` source is pruned to ``path`` /
+    """Paths (and sizes) of files matching ``glob`` below ``directory``; with ``contains``, only
+    files whose own name holds that marker, not as part of a longer number (a folder named
+    like the month, or a day of it, does not count). Only file metadata is read: the ``binaryFile`` source is pruned to ``path`` /
     ``length``, so no content is loaded. Hidden files (``_SUCCESS``, ``.crc``) and empty
     (zero-byte) files are not counted."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", str(recursive).lower()).load(directory)
              .select("path", "length"))
-    return files.filter(F.col("path").contains(contains)) if contains else files
+    if not contains:
+        return files
+    name = F.element_at(F.split("path", "/"), -1)
+    return files.filter(F.regexp_like(name, F.lit(rf"(?<![0-9])\Q{contains}\E(?![0-9])")))
 
 
 def count_files(spark: SparkSession, directory: str, glob: str = "*", recursive: bool = False,
@@ -24,11 +27,6 @@ def count_files(spark: SparkSession, directory: str, glob: str = "*", recursive:
     return list_files(spark, directory, glob, recursive, contains).count()
 
 
-def file_counts(spark: SparkSession, directory: str, glob: str = "*", recursive: bool = False) -> DataFrame:
-    """One row: number of files (as a DataFrame, for gates kept inside Spark)."""
-    return list_files(spark, directory, glob, recursive).agg(F.count(F.lit(1)).alias("files"))
-
-
 def manifest_counts(spark: SparkSession, paths: str) -> DataFrame:
     """Expected row count of each manifest file: its last non-empty line, as a long.
 

@@ -2,27 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from weakref import WeakKeyDictionary
 
+from pyspark.sql import DataFrame, SparkSession
 
-def read_table(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
-    """Parquet scan. A table that plans as fewer input splits than the cluster has task
-    slots (one large row group, a few big files) is spread over all slots with one
-    hash repartition on its key column, so the joins and partial aggregates above the scan run in
-    parallel. Planning the split count starts no job; a table of many splits (the normal
-    case at scale) is returned untouched, without an extra shuffle."""
-    df = spark.read.parquet(path)
-    if not spread:
-        return df
-    slots = spark.sparkContext.defaultParallelism
-    key = (path, slots)
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
-    # Hash on the table's first (key) column: deterministic on retry without the full-row sort
-    # that a round-robin repartition needs.
-    return df.repartition(slots, df.columns[0]) if _SPLITS[key] < slots else df
+# Schemas read once for each session and path: reading footers again is a Spark job of its own.
+# Files are listed anew by every scan.
+_SCHEMAS: WeakKeyDictionary = WeakKeyDictionary()
 
 
-# Planned split count per (path, slots) of this driver process: the driver tables are
-# read-only inputs, so their layout is probed once.
-_SPLITS: dict = {}
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet scan. How many splits it has is left to the file layout and
+    ``spark.sql.files.maxPartitionBytes``."""
+    schemas = _SCHEMAS.setdefault(spark, {})
+    if path not in schemas:
+        schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(schemas[path]).parquet(path)

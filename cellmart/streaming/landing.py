@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from cellmart.sources.delimited import delimited_options
+
 
 def landing_stream(spark: SparkSession, directory: str, schema: StructType, target: str,
                    checkpoint: str, archive: str | None = None, *, sep: str = "|",
                    transform: Callable[[DataFrame], DataFrame] | None = None,
                    partition_by=(), max_files_per_trigger: int = 100) -> StreamingQuery:
-    reader = (spark.readStream.schema(schema).option("sep", sep).option("header", True)
-              .option("mode", "FAILFAST").option("maxFilesPerTrigger", max_files_per_trigger))
+    reader = delimited_options(spark.readStream.schema(schema), sep).option("maxFilesPerTrigger", max_files_per_trigger)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     rows = reader.csv(directory)

@@ -11,8 +11,8 @@ from cellmart.plans.text_flows import run_cleanse
 from cellmart.sources.delimited import cleanse_csv, null_key_filter, read_lines, split_fields
 from tests.conftest import rows
 
-VALID = "name,age,description\nBob,34,test\nGeoff,66,another test\n"
-NULL_KEY = "name,age,description\r\n,34,test\r\nGeoff,66,another test"
+VALID = "plan,cells,note\nP7,12,north ring\nQ1,3,late fee waived\n"
+NULL_KEY = "plan,cells,note\r\n,12,north ring\r\nQ1,3,late fee waived"
 
 
 def write(path, text, gz=False):
@@ -31,30 +31,30 @@ def fields(spark, path, headers, sep=","):
 
 def test_map_to_named_fields(spark, tmp_path):
     p = write(tmp_path / "valid.csv.gz", VALID, gz=True)
-    got = fields(spark, p, ["name", "age", "description"]).drop("__cells")
-    assert rows(got) == [{"name": "Bob", "age": "34", "description": "test"},
-                         {"name": "Geoff", "age": "66", "description": "another test"}]
+    got = fields(spark, p, ["plan", "cells", "note"]).drop("__cells")
+    assert rows(got) == [{"plan": "P7", "cells": "12", "note": "north ring"},
+                         {"plan": "Q1", "cells": "3", "note": "late fee waived"}]
 
 
 def test_key_check_without_nulls(spark, tmp_path):
     p = write(tmp_path / "valid.csv.gz", VALID, gz=True)
-    h = ["name", "age", "description"]
-    got = null_key_filter(drop_columns(fields(spark, p, h), ""), "name", h).drop("__cells")
-    assert [r["name"] for r in rows(got)] == ["Bob", "Geoff"]
+    h = ["plan", "cells", "note"]
+    got = null_key_filter(drop_columns(fields(spark, p, h), ""), "plan", h).drop("__cells")
+    assert [r["plan"] for r in rows(got)] == ["P7", "Q1"]
 
 
 def test_key_check_drops_empty_key(spark, tmp_path):
     p = write(tmp_path / "null_pk.csv", NULL_KEY)
-    h = ["name", "age", "description"]
-    got = null_key_filter(fields(spark, p, h), "name", h).drop("__cells")
-    assert rows(got) == [{"name": "Geoff", "age": "66", "description": "another test"}]
+    h = ["plan", "cells", "note"]
+    got = null_key_filter(fields(spark, p, h), "plan", h).drop("__cells")
+    assert rows(got) == [{"plan": "Q1", "cells": "3", "note": "late fee waived"}]
 
 
 def test_remove_columns_to_csv_lines(spark, tmp_path):
     p = write(tmp_path / "valid.csv.gz", VALID, gz=True)
-    df = cleanse_csv(spark, p, "name,age,description", "name,age", drop="description")
-    lines = sorted(r[0] for r in df.select(F.concat_ws(",", "name", "age")).collect())
-    assert lines == ["Bob,34", "Geoff,66"]
+    df = cleanse_csv(spark, p, "plan,cells,note", "plan,cells", drop="note")
+    lines = sorted(r[0] for r in df.select(F.concat_ws(",", "plan", "cells")).collect())
+    assert lines == ["P7,12", "Q1,3"]
 
 
 def _read_output(out):
@@ -67,24 +67,24 @@ def _read_output(out):
 def test_end_to_end_default_options(spark, tmp_path):
     p = write(tmp_path / "valid.csv.gz", VALID, gz=True)
     out = str(tmp_path / "out")
-    run_cleanse(spark, p, out, "NAME,AGE,DESC", "NAME,AGE,DESC")
+    run_cleanse(spark, p, out, "PLAN,CELLS,NOTE", "PLAN,CELLS,NOTE")
     lines = _read_output(out)
-    assert lines[0] == "NAME,AGE,DESC"
-    assert sorted(lines[1:]) == ["Bob,34,test", "Geoff,66,another test"]
+    assert lines[0] == "PLAN,CELLS,NOTE"
+    assert sorted(lines[1:]) == ["P7,12,north ring", "Q1,3,late fee waived"]
 
 
 def test_end_to_end_key_and_removed_column(spark, tmp_path):
     p = write(tmp_path / "valid.csv.gz", VALID, gz=True)
     out = str(tmp_path / "out")
-    run_cleanse(spark, p, out, "NAME,AGE,DESC", "NAME,AGE", primary_key="NAME", columns_to_remove="DESC")
+    run_cleanse(spark, p, out, "PLAN,CELLS,NOTE", "PLAN,CELLS", primary_key="PLAN", columns_to_remove="NOTE")
     lines = _read_output(out)
-    assert lines[0] == "NAME,AGE"
-    assert sorted(lines[1:]) == ["Bob,34", "Geoff,66"]
+    assert lines[0] == "PLAN,CELLS"
+    assert sorted(lines[1:]) == ["P7,12", "Q1,3"]
 
 
 def test_edge_rows(spark, tmp_path):
     text = ("ID,DESC,COMPANY\n"
-            "86922003,THINGS MOB,THINGS LTD\n"   # full row
+            "70011,NORTH SITE,RELAY WEST\n"   # full row
             ",EMPTY KEY,X\n"                     # empty key -> dropped
             "11,SHORT\n"                         # short row: COMPANY absent -> fill
             "12,EXTRA,Y,SURPLUS\n"               # extra cell dropped
@@ -93,7 +93,7 @@ def test_edge_rows(spark, tmp_path):
     p = write(tmp_path / "edge.csv", text)
     df = cleanse_csv(spark, p, "ID,DESC,COMPANY", "ID,DESC,COMPANY", primary_key="ID", fill="?")
     got = {r["ID"]: (r["DESC"], r["COMPANY"]) for r in df.collect()}
-    assert got == {"86922003": ("THINGS MOB", "THINGS LTD"), "11": ("SHORT", "?"),
+    assert got == {"70011": ("NORTH SITE", "RELAY WEST"), "11": ("SHORT", "?"),
                    "12": ("EXTRA", "Y"), "13": ('"A', 'B"')}
 
 
