@@ -1,7 +1,7 @@
 """BPE encoding and decoding with a minimal acyclic transducer as the lexicon.
 
-1. ``count_words`` counts the pre-tokenised words of all documents; the ``LEXICON_WORDS`` most
-   frequent ones (a documented bound, ties by the word's bytes) are brought to the driver.
+1. ``count_words`` counts the pre-tokenised words of all documents; the most
+   frequent ones, at most ``LEXICON_WORDS`` (a documented bound), are brought to the driver.
 2. ``Transducer`` compiles them into a minimal automaton: words share prefixes and suffixes, and
    integers on its arcs add up to a word's number, which selects its row of token ids. Its
    arrays (a few MB, bounded by ``LEXICON_WORDS``) are sent to the tasks, which memory-map them.
@@ -33,10 +33,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import written
 from .textkit import blocks, prefix_sums, span_hashes
 
 LEXICON_WORDS = 1 << 16
-CACHED_WORDS = 1 << 18
+CACHED_WORDS = 1 << 17
 FLUSH_WORDS = 1 << 17
 SHORT_WORD = 64
 
@@ -367,8 +368,19 @@ def count_words(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame
 
 
 def build_lexicon(docs: DataFrame, path: str, size: int = LEXICON_WORDS, text_col: str = "text"):
-    """The most frequent words as a transducer with their ids and decoded tokens."""
-    top = count_words(docs, path, text_col).orderBy(F.desc("n"), "word").limit(size).collect()
+    """The most frequent words, ``size`` at most, as a transducer with their ids and decoded
+    tokens. Words are taken by whole bands of frequency (eighths of a doubling), so the cut needs
+    only the number of words in each band, and the driver gets the chosen words alone."""
+    counts = count_words(docs, path, text_col).where("n > 1").withColumn("band", F.floor(F.log2("n") * 8))
+    counts = written(counts, "word-counts")
+    bands = sorted(counts.groupBy("band").agg(F.count("*").alias("words")).collect(), reverse=True)
+    total, least = 0, None
+    for band, words in bands:
+        total += words
+        if total > size:
+            break
+        least = band
+    top = counts.where(F.col("band") >= least).select("word").collect() if least is not None else []
     words = sorted(bytes(r["word"]) for r in top)
     merges = Merges(path)
     return Transducer.build(words).dump(), [merges.row(w) for w in words]

@@ -48,7 +48,9 @@ def column_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the ``n + 1`` offsets of its rows; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    column = column.cast(pa.large_string())
+    if column.null_count:
+        column = pc.fill_null(column, "")
     if len(column) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
