@@ -21,8 +21,3 @@ def conform(df: DataFrame, order: Sequence[str], fill: str = "") -> DataFrame:
     columns not in ``order`` are dropped."""
     return df.select(*[F.coalesce(F.col(c), F.lit(fill)).alias(c) if c in df.columns
                        else F.lit(fill).alias(c) for c in order])
-
-
-def rename_positional(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Explicit column list with rename (``select a AS b, ...``)."""
-    return df.select(*[F.col(src).alias(dst) for src, dst in pairs])

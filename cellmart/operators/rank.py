@@ -22,10 +22,3 @@ def rank_first(df: DataFrame, partition_by: Sequence[str | Column], order_by: Se
     name = rank_col or "__rank"
     out = df.withColumn(name, fn.over(w)).filter(F.col(name) == 1)
     return out if rank_col else out.drop(name)
-
-
-def with_rank(df: DataFrame, partition_by: Sequence[str | Column], order_by: Sequence[Column],
-              rank_col: str = "r") -> DataFrame:
-    """Attach RANK() without filtering (for steps that reuse the rank in several places)."""
-    w = Window.partitionBy(*partition_by).orderBy(*order_by)
-    return df.withColumn(rank_col, F.rank().over(w))

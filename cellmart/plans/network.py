@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellmart.functions.calendar import trailing_whole_months
+from cellmart.operators.joins import attribute_join, prefix_join
 from cellmart.plans.usage import tech_of_cell
 
 DASHBOARD_COLUMNS = [
@@ -85,14 +86,13 @@ def protocol_site_usage(usage_mth: DataFrame, cells: DataFrame, devices: DataFra
     matches twice counts the sums twice, as it would count the rows."""
     own = ["month_date", "first_cell_data_id", "msisdn", "imei", "imsi", "exbr_account_num"]
     j = _with_tech(usage_mth.groupBy(*own).agg(*_plain_sums(TOTALS)), cells, ["site_id", "latitude", "longitude"])
-    j = j.withColumn("__tac", F.substring("imei", 1, 8))
     dev = devices.select(F.col("tac").alias("__dtac"), F.col("protocol").alias("DEVICE_PROTOCOL"),
                          F.col("device_type").alias("DEVICE_TYPE"), F.col("model").alias("MODEL"),
                          F.col("marketing_name").alias("MARKETING_NAME"), F.col("volte_flag").alias("VOLTE_FLAG"))
-    j = j.join(dev, j["__tac"] == dev["__dtac"], "left")
+    j = prefix_join(j, dev, "imei", "__dtac", 8)
     sub = subscribers.select(F.col("msisdn").alias("__smsisdn"), F.col("business_name").alias("BUSINESS_NAME"),
                              F.col("segment").alias("SEGMENT"), F.col("brand").alias("BRAND"))
-    j = j.join(sub, j["msisdn"] == sub["__smsisdn"], "left")
+    j = attribute_join(j, sub, [(j["msisdn"], sub["__smsisdn"])])
     keys = [F.col("month_date").alias("date_of_call_month_date"), F.col("site_id").alias("SITE_ID"),
             F.col("latitude").alias("LATITUDE"), F.col("latitude").cast("double").alias("LATDD"),
             F.col("longitude").alias("LONGITUDE"), F.col("longitude").cast("double").alias("LONGDD"),

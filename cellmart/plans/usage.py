@@ -41,7 +41,7 @@ from cellmart.sinks import writers
 from cellmart.functions import rules
 from cellmart.functions.calendar import date_window, month_key, month_key_window, month_start, months_back
 from cellmart.functions.text import safe_long, trim_ws, zero_prefix
-from cellmart.operators.aggregates import sign_of_sum
+from cellmart.operators.aggregates import sign_flag
 from cellmart.operators.changes import update_from
 from cellmart.operators.joins import effective_dated_join
 from cellmart.operators.rank import rank_first
@@ -262,8 +262,7 @@ def active90d_update(published: DataFrame, as_of) -> DataFrame:
     ``NEW_ACTIVE90D_PAYG`` onto last month's rows of the same subscriber; other rows keep
     their value (NULL when the column is new)."""
     window = F.col("AGG_MTH").between(month_key(months_back(as_of, 4)), month_key(months_back(as_of, 2)))
-    flags = (published.filter(window).groupBy("MSISDN")
-             .agg(sign_of_sum(F.col("ACTIVE_30D_PAYG")).alias("NEW_ACTIVE90D_FLAG")))
+    flags = sign_flag(published.filter(window), ["MSISDN"], "ACTIVE_30D_PAYG", "NEW_ACTIVE90D_FLAG")
     target = published
     if "NEW_ACTIVE90D_PAYG" not in target.columns:
         target = target.withColumn("NEW_ACTIVE90D_PAYG", F.lit(None).cast("int"))
