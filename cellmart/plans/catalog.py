@@ -202,15 +202,28 @@ def q_upsert_dim(spark, d):
     return upsert(target, source, ["cell_data_id"], stamp_col="record_ts", stamp=LOAD_TS)
 
 
+def _full_cells(df: DataFrame) -> DataFrame:
+    """Cells in the declared 74-column layout; NUMERIC columns hold fractions, others that the role
+    lacks are NULL."""
+    own = {"antenna_bearing": F.expr("cell_data_id * 1.25"), "radius": F.expr("cell_data_id / 8"),
+           "begin_angle": F.expr("-0.5"), "node_id": F.col("cell_data_id") * 10, "cell_generation": F.substring("technology", 1, 2)}
+    extra = [c for c in df.columns if c not in schemas.CELL_FEED.fieldNames()]
+    return df.select(*[(own[c] if c in own else F.col(c) if c in df.columns else F.lit(None)).cast(schemas.CELL_FEED[c].dataType).alias(c)
+                       for c in schemas.CELL_FEED.fieldNames()], *extra)
+
+
 @register("cell_upsert")
 def q_cell_upsert(spark, d):
-    """Cell dimension upsert from landed pipe-delimited gz files (staging truncate-load)."""
+    """Cell dimension in its full layout upserted from landed pipe-delimited gz files through a
+    staging table; the query reads the stored dimension (NUMERIC as double, for the comparison)."""
     target, source = _cell_target_source(spark, d)
     landing = scratch_path(spark, "cell_landing")
-    writers.write_csv(source, landing, schemas.CELL_FEED.fieldNames(), sep="|", compression="gzip")
+    writers.write_csv(_full_cells(source), landing, schemas.CELL_FEED.fieldNames(), sep="|", compression="gzip")
     table = scratch_path(spark, "cell_dim")
-    writers.refresh(loads.cell_upsert(spark, target, f"{landing}/*.csv.gz", LOAD_TS), table)
-    return spark.read.parquet(table)
+    merged = loads.cell_upsert(spark, _full_cells(target), f"{landing}/*.csv.gz", scratch_path(spark, "cell_staging"), LOAD_TS)
+    writers.refresh(merged, table)
+    stored = spark.read.parquet(table)
+    return stored.select(*[F.col(c).cast("double") if t.startswith("decimal") else c for c, t in stored.dtypes])
 
 
 def _padded_usage(spark, d):

@@ -151,9 +151,11 @@ def reference_refresh(source: DataFrame, table_path: str, record_ts, *, keep: Co
     writers.refresh(stamp_missing(df, "record_ts", record_ts), table_path)
 
 
-def cell_upsert(spark: SparkSession, dim: DataFrame, landing_glob: str, stamp, sep: str = "|") -> DataFrame:
-    """Cell dimension upsert from the landed cell feed (keyed on ``cell_data_id``)."""
-    staging = read_delimited(spark, landing_glob, schemas.CELL_FEED, sep=sep)
+def cell_upsert(spark: SparkSession, dim: DataFrame, landing_glob: str, staging_path: str, stamp, sep: str = "|") -> DataFrame:
+    """Cell dimension upsert (keyed on ``cell_data_id``): the landed feed in its 74-column layout replaces
+    the staging table, which is then merged into the dimension."""
+    writers.refresh(read_delimited(spark, landing_glob, schemas.CELL_FEED, sep=sep), staging_path)
+    staging = spark.read.schema(schemas.CELL_FEED).parquet(staging_path)
     return upsert(dim, staging, ["cell_data_id"], stamp_col="record_ts", stamp=stamp)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 
+from cellmart.schemas import CELL74
 from cellmart.plans.oracle_sql import EVENTS_AS_OF, ORDERS_AS_OF, month_key, months_back, trim_ws, with_roles
 
 AS_OF = ORDERS_AS_OF
@@ -405,7 +406,18 @@ UNION ALL
 SELECT s.*, TIMESTAMP '2001-08-15 06:00:00' AS record_ts FROM s"""
 
 ORACLES["upsert_dim"] = with_roles(["cells"], _UPSERT)
-ORACLES["cell_upsert"] = with_roles(["cells"], _UPSERT)
+
+
+def _cell_column(name: str, kind: str) -> str:
+    made = {"antenna_bearing": "cell_data_id * 1.25", "radius": "cell_data_id / 8", "begin_angle": "-0.5",
+            "node_id": "cell_data_id * 10", "cell_generation": "substr(technology, 1, 2)"}
+    given = {"cell_data_id", "technology", "cell", "global_cell_id", "site_id", "site_name", "latitude", "longitude"}
+    value = made.get(name, name if name in given else "NULL")
+    return f"CAST({value} AS {dict(long='BIGINT', string='VARCHAR', numeric='DOUBLE')[kind]}) AS {name}"
+
+
+ORACLES["cell_upsert"] = with_roles(["cells"], _UPSERT.replace("SELECT t.* FROM t", ", merged AS (SELECT t.* FROM t", 1) + f""")
+SELECT {", ".join(_cell_column(*column) for column in CELL74)}, record_ts FROM merged""")
 
 _PADDED = """,
 padded AS (

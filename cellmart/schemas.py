@@ -53,7 +53,30 @@ USAGE_COLUMNS = [n for n, _ in USAGE59]
 DAILY_STAGING = struct([("date_of_call", "long")] + USAGE59)
 MONTHLY_STAGING = struct([("month_id", "long")] + USAGE59)
 
-# Cell dimension columns carried by the engine's cell feed (a subset of the 74-column layout).
-CELL_FEED = struct([("cell_data_id", "long"), ("technology", "string"), ("cell", "string"),
-                    ("global_cell_id", "string"), ("site_id", "string"), ("site_name", "string"),
-                    ("latitude", "string"), ("longitude", "string")])
+# The columns of the cell feed and dimension, in file order.
+CELL74 = [
+    ("cell_data_id", "long"), ("effective_from_date_id", "long"), ("effective_to_date_id", "long"),
+    ("ims_date", "long"), ("node_id", "long"), ("node_name", "string"), ("node_class", "string"),
+    ("configuration_data_1", "long"), ("configuration_data_2", "long"), ("configuration_data_3", "long"),
+    ("site_code", "string"), ("site_name", "string"), ("bst_status", "string"),
+    ("engineering_name", "string"), ("region", "string"), ("parent_node", "string"),
+    ("antenna_bearing", "numeric"), ("cell_generation", "string"), ("site_address_line_1", "string"),
+    ("site_address_line_2", "string"), ("site_address_line_3", "string"), ("site_address_line_4", "string"),
+    ("county", "string"), ("site_number", "string"), ("site_area_description", "string"),
+    ("acquisition_status", "string"), ("radius", "numeric"), ("begin_angle", "numeric"),
+    ("end_angle", "numeric"), ("cellsector_name", "string"), ("node_county", "string"),
+    ("node_site_number", "string"), ("source", "string"), ("cell_id", "numeric"), ("lac", "string"),
+    ("site_id", "string"), ("max_cell_radius", "numeric"), ("mnc", "string"), ("cell_status", "string"),
+    ("latitude", "string"), ("longitude", "string"), ("northing", "string"), ("easting", "string"),
+    ("antenna_type", "string"), ("post_code", "string"), ("mcc", "string"), ("loaded_dt", "long"),
+    ("bsc", "string"), ("altitude", "string"), ("cell", "string"), ("accmin", "string"),
+    ("antenna_gain", "string"), ("bcc", "string"), ("bcchno", "string"), ("bspwr", "string"),
+    ("bspwrb", "string"), ("c_sys_type", "string"), ("cell_dir", "string"), ("cell_type", "string"),
+    ("env_char", "string"), ("height", "string"), ("max_altitude", "string"), ("min_altitude", "string"),
+    ("ncc", "string"), ("sector_angle", "string"), ("talim", "string"), ("antenna_tilt", "string"),
+    ("override_ta", "string"), ("node_status", "string"), ("enodebid", "numeric"),
+    ("global_cell_id", "string"), ("technology", "string"), ("process_run_sequence", "long"),
+    ("sourced_from", "string"),
+]
+
+CELL_FEED = struct(CELL74)
