@@ -16,8 +16,9 @@ A document's set holds its distinct ``k``-word shingles (64-bit hashes); two doc
    on the full sets. This links large families of near copies in a number of pairs that is linear in
    their size.
 5. Second round: lists and groups that still hold different components are paired in full across
-   components, filtered by size, position and bitmap, expanded to members and verified. So no link
-   between components is missed, and no pair inside a component is made.
+   components, filtered by size, position and short parity bitmaps, expanded to members, filtered by
+   full bitmaps and verified. Lists of the same groups are joined once. So no link between components is missed,
+   and no pair inside a component is made.
 
 Links within a component are not all listed; every component is exact. Sets, lists and labels are
 written tables; nothing that grows with the input is broadcast or brought to the driver except the
@@ -46,6 +47,8 @@ K = 4
 PERCENT = 85
 SKETCH_BITS = 20
 _CHUNK = 1 << 12
+#: Width of the short parity bitmap that the second round's join compares.
+FOLD_BITS = 512
 
 
 def _row_shingles(data, off, k: int):
@@ -116,6 +119,9 @@ def _sets(batches, k: int, percent: int, classes):
             at = bit0[row] + (hashes & (width[row] - 1).astype(np.uint64)).astype(np.int64)
             bits = np.packbits((np.bincount(at, minlength=bit0[-1]) & 1).astype(np.uint8))
             bitmap = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((bit0 // 8).astype(np.int32)), pa.py_buffer(bits)])
+            cell = row * FOLD_BITS + (hashes % np.uint64(FOLD_BITS)).astype(np.int64)
+            cells = np.packbits((np.bincount(cell, minlength=len(n) * FOLD_BITS) & 1).astype(np.uint8)).view(np.int64)
+            fold = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * (FOLD_BITS // 64), pa.int32()), pa.array(cells))
             order = np.lexsort((hashes, rank[(hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], row))
             place = np.arange(len(row)) - begin[row]
             size = np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
@@ -125,8 +131,8 @@ def _sets(batches, k: int, percent: int, classes):
                 batch.column(0).slice(row0, len(n)), pa.array(n.astype(np.int64)),
                 _sums(mix(hashes ^ np.uint64(0x5851F42D4C957F2D)), begin), _sums(mix(hashes + np.uint64(0x14057B7EF767814F)), begin),
                 _sums(mix(prefix ^ np.uint64(0x2545F4914F6CDD1D)), cut),
-                pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(prefix.view(np.int64))), bitmap],
-                ["id", "n", "s1", "s2", "ps", "prefix", "bits"])
+                pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(prefix.view(np.int64))), bitmap, fold],
+                ["id", "n", "s1", "s2", "ps", "prefix", "bits", "fold"])
 
 
 def _arrays(batches, k: int):
@@ -167,12 +173,12 @@ class Join:
         classes = spark.sparkContext.broadcast(frequency_classes(self.docs, "text", k).tobytes())
         self.sets = written(self.docs.mapInArrow(
             partial(_sets, k=k, percent=percent, classes=classes),
-            "id long, n long, s1 long, s2 long, ps long, prefix array<long>, bits binary"), "jaccard-sets")
+            "id long, n long, s1 long, s2 long, ps long, prefix array<long>, bits binary, fold array<long>"), "jaccard-sets")
         key = ["s1", "s2", "n"]
         self.classes = written(
             self.sets.where("n > 0 AND id IS NOT NULL").groupBy(*key).agg(F.min("id").alias("node")), "jaccard-classes")
         nodes = self.sets.join(self.classes.withColumnRenamed("node", "id"), [*key, "id"]).dropDuplicates(["id", *key])
-        self.nodes = written(nodes.select("id", "n", "ps", "prefix", "bits"), "jaccard-nodes")
+        self.nodes = written(nodes.select("id", "n", "ps", "prefix", "bits", "fold"), "jaccard-nodes")
         groups = written(self.nodes.groupBy("ps", "n").agg(F.min("id").alias("gid"), F.count("*").alias("members")), "jaccard-groups")
         self.members = written(self.nodes.join(groups, ["ps", "n"]).select("gid", "id", "members"), "jaccard-members")
         entries = self.nodes.join(groups.withColumnRenamed("gid", "id"), ["ps", "n", "id"]).select(
@@ -210,18 +216,27 @@ class Join:
         groups = written(members.groupBy("gid").agg(
             F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("members").alias("members")), "jaccard-group-labels")
         entries = written(self.entries.select("token", "gid", "n", "pos", "entries").join(groups, "gid"), "jaccard-open")
-        mixed = written(entries.groupBy("token").agg(
-            F.min("lo").alias("l"), F.max("hi").alias("h"), F.max("members").alias("m"), F.max("entries").alias("e"))
-            # Lists of up to three single classes are complete after the first round.
-            .where("l < h AND (e > 3 OR m > 1)").select("token"), "jaccard-mixed")
-        entries = written(entries.join(mixed, "token", "left_semi"), "jaccard-mixed-entries")
-        x, y = entries.alias("x"), entries.alias("y")
+        mixed = entries.groupBy("token").agg(
+            F.min("lo").alias("l"), F.max("hi").alias("h"), F.max("members").alias("m"), F.max("entries").alias("e"),
+            F.bit_xor(F.xxhash64("gid")).alias("x"), F.bit_xor(F.xxhash64("gid", F.lit(1))).alias("y"))
+        # Lists of up to three single classes are complete after the first round. A passage that
+        # documents share gives many lists of the same groups: one of them will do.
+        mixed = mixed.where("l < h AND (e > 3 OR m > 1)").groupBy("e", "x", "y").agg(F.min("token").alias("token"))
+        mixed = written(mixed.select("token"), "jaccard-mixed")
+        fold = self.nodes.select(F.col("id").alias("gid"), *[F.col("fold")[i].alias(f"f{i}") for i in range(FOLD_BITS // 64)])
+        # Sizes of a link differ by less than one step, so a group meets its own and the next.
+        step = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / self.percent)) + F.lit(1e-9))
+        entries = written(entries.join(mixed, "token", "left_semi").join(fold, "gid").withColumn("step", step), "jaccard-mixed-entries")
+        x = entries.withColumn("step", F.explode(F.array("step", F.col("step") + 1))).alias("x")
+        y = entries.alias("y")
         need = F.ceil(self.percent * (F.col("x.n") + F.col("y.n")) / (100 + self.percent))
         shared = (F.least("x.pos", "y.pos") + 1
                   + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) - 1)
-        pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.gid") < F.col("y.gid"))
+        pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.step") == F.col("y.step"))
+                       & ((F.col("x.n") < F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.gid") < F.col("y.gid")))
                        & (F.least("x.lo", "y.lo") < F.greatest("x.hi", "y.hi"))
-                       & (F.least("x.n", "y.n") >= need) & (shared >= need)).select(
+                       & (F.col("x.n") >= need) & (shared >= need)
+                       & (_differing_bits() <= F.col("x.n") + F.col("y.n") - 2 * need)).select(
             F.col("x.gid").alias("ga"), F.col("y.gid").alias("gb")).distinct()
         pairs = written(pairs, "jaccard-group-pairs")
         own = members.where("members > 1").join(groups.where("lo < hi").select("gid"), "gid", "left_semi")
@@ -246,6 +261,11 @@ class Join:
             F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
 
 
+def _differing_bits():
+    """Bits in which the short bitmaps of sides x and y differ: not more than shingles that differ."""
+    return F.expr(" + ".join(f"bit_count(x.f{i} ^ y.f{i})" for i in range(FOLD_BITS // 64)))
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
