@@ -46,6 +46,11 @@ GRAM = 64
 COLLECTION = 4096
 BATCH = 8192
 
+# A mark is one number: the anchor's place, the bytes from its first window to it (12 bits), and the
+# number of further windows (12 bits).
+_AT, _LEAD, _LOW = 24, 12, (1 << 12) - 1
+_CODEC = "zstd"
+
 _INDEX = np.uint64((1 << 24) - 1)
 #: A byte that UTF-8 never holds marks columns outside a string.
 _NONE = 255
@@ -101,19 +106,46 @@ def _anchors(batches, length: int, gram: int):
                 doc = pa.array(doc + row)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).take(doc), batch.column(1).take(doc), pa.array(hashes.astype(np.int64)),
-                    pa.array((place - start).astype(np.int64)), pa.array((place - first).astype(np.int32)),
-                    pa.array((last - first).astype(np.int32))], ["doc_id", "text_hash", "gram", "place", "lead", "more"])
+                    pa.array(((place - start) << _AT) | ((place - first) << _LEAD) | (last - first))],
+                    ["doc_id", "text_hash", "gram", "mark"])
+
+
+def _pack(batches):
+    """Documents with their bytes compressed, for the two shuffles of whole texts."""
+    codec = pa.Codec(_CODEC)
+    for batch in batches:
+        for row, data, off in blocks(batch.column(2)):
+            n = len(off) - 1
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).slice(row, n), batch.column(1).slice(row, n), pa.array(np.diff(off).astype(np.int64)),
+                pa.array([codec.compress(data[off[i]:off[i + 1]], asbytes=True) for i in range(n)], pa.binary())],
+                ["doc_id", "text_hash", "n_bytes", "packed"])
+
+
+def _unpacked(batch):
+    """Runs of rows of at most a block: (first row, bytes, offsets)."""
+    codec = pa.Codec(_CODEC)
+    off = np.concatenate(([0], np.cumsum(batch.column("n_bytes").to_numpy())))
+    packed = batch.column("packed")
+    row = 0
+    while row < batch.num_rows:
+        last = max(row + 1, int(np.searchsorted(off, off[row] + BLOCK_BYTES, "right")) - 1)
+        parts = [codec.decompress(packed[i].as_buffer(), int(off[i + 1] - off[i])) for i in range(row, last)]
+        data = np.concatenate([np.frombuffer(x, np.uint8) for x in parts])
+        yield row, data, off[row:last + 1] - off[row]
+        row = last
 
 
 def _cut(batches, length: int):
     """The strings around the surviving anchors of each document."""
     for batch in batches:
-        marks = batch.column(3)
-        for row, data, off in blocks(batch.column(2)):
+        marks = batch.column("marks")
+        for row, data, off in _unpacked(batch):
             own = marks.slice(row, len(off) - 1)
             flat = own.flatten()
             count = np.asarray(own.value_lengths().fill_null(0), np.int64)
-            place, lead, more = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("place", "lead", "more"))
+            mark = flat.field("mark").to_numpy(zero_copy_only=False).astype(np.int64)
+            place, lead, more = mark >> _AT, (mark >> _LEAD) & _LOW, mark & _LOW
             doc = np.repeat(np.arange(len(count)), count)
             begin = off[doc] + place - lead
             size = more + length
@@ -129,8 +161,8 @@ def _cut(batches, length: int):
                 ids = take.slice(at, to - at)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).take(ids), batch.column(1).take(ids),
-                    *(flat.field(k).slice(at, to - at) for k in ("gram", "place", "lead", "share", "many")), strings],
-                    ["doc_id", "text_hash", "gram", "place", "lead", "share", "many", "string"])
+                    *(flat.field(k).slice(at, to - at) for k in ("gram", "mark", "share", "many")), strings],
+                    ["doc_id", "text_hash", "gram", "mark", "share", "many", "string"])
                 at = to
 
 
@@ -195,8 +227,9 @@ def _order(batches, length: int, gram: int):
     that are a share of a gram's places. Input rows come sorted by gram and share."""
     def flush(held):
         column = {k: pa.concat_arrays([b.column(k) for b in held]) for k in held[0].schema.names}
-        gram_id, share, place, lead, many = (
-            column[k].to_numpy(zero_copy_only=False).astype(np.int64) for k in ("gram", "share", "place", "lead", "many"))
+        gram_id, share, mark, many = (
+            column[k].to_numpy(zero_copy_only=False).astype(np.int64) for k in ("gram", "share", "mark", "many"))
+        place, lead = mark >> _AT, (mark >> _LEAD) & _LOW
         strings = column["string"].cast(pa.large_binary())
         _, offsets, body = strings.buffers()
         bounds = np.frombuffer(offsets, np.int64)[strings.offset:strings.offset + len(strings) + 1]
@@ -256,8 +289,8 @@ RANGES = ["doc_id", "text_hash", "start", "end", "gram", "window", "single"]
 
 def _remove(batches):
     for batch in batches:
-        ranges = batch.column(3)
-        for row, data, off in blocks(batch.column(2)):
+        ranges = batch.column("ranges")
+        for row, data, off in _unpacked(batch):
             own = ranges.slice(row, len(off) - 1)
             count = np.asarray(own.value_lengths().fill_null(0), np.int64)
             flat = own.flatten()
@@ -291,23 +324,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per document: id, ``n_bytes``, ``n_removed``, ``removed`` (maximal runs as byte
     ranges) and ``kept`` (the remaining bytes)."""
     kind = docs.schema[id_col].dataType.simpleString()
+    if length - gram > _LOW:
+        raise ValueError(f"length - gram must be below {_LOW + 1}")
     key = f"doc_id {kind}, text_hash long"
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    rows = texts.mapInArrow(_pack, f"{key}, n_bytes long, packed binary")
 
-    anchors = written(rows.mapInArrow(
-        partial(_anchors, length=length, gram=gram), f"{key}, gram long, place long, lead int, more int"), "repeat-anchors")
+    anchors = written(texts.mapInArrow(
+        partial(_anchors, length=length, gram=gram), f"{key}, gram long, mark long"), "repeat-anchors")
     often = written(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "repeat-grams")
     many = F.ceil(F.col("n") / collection).cast("int")
     marks = anchors.join(often, "gram").select(
         "doc_id", "text_hash", F.struct(
-            "gram", "place", "lead", "more", many.alias("many"),
-            F.pmod(F.xxhash64("doc_id", "text_hash", "place"), many.cast("long")).cast("int").alias("share")).alias("mark"))
-    marks = marks.groupBy("doc_id", "text_hash").agg(F.collect_set("mark").alias("marks"))
+            "gram", "mark", many.alias("many"),
+            F.pmod(F.xxhash64("doc_id", "text_hash", "mark"), many.cast("long")).cast("int").alias("share")).alias("m"))
+    marks = marks.groupBy("doc_id", "text_hash").agg(F.collect_set("m").alias("marks"))
 
-    strings = _by_document(rows, marks).select("doc_id", "text_hash", "text", "marks").mapInArrow(
-        partial(_cut, length=length),
-        f"{key}, gram long, place long, lead int, share int, many int, string binary")
+    strings = _by_document(rows, marks).select("doc_id", "text_hash", "n_bytes", "packed", "marks").mapInArrow(
+        partial(_cut, length=length), f"{key}, gram long, mark long, share int, many int, string binary")
     ranges = written(
         strings.repartition("gram", "share").sortWithinPartitions("gram", "share").mapInArrow(
             partial(_order, length=length, gram=gram),
@@ -318,7 +352,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     across = shared.where("single").join(twice, ["gram", "window"], "left_semi").select("doc_id", "text_hash", "start", "end")
     found = ranges.where("gram IS NULL").select("doc_id", "text_hash", "start", "end").unionByName(across)
     found = found.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
-    return _by_document(rows, found, "left").select("doc_id", "text_hash", "text", "ranges").mapInArrow(
+    return _by_document(rows, found, "left").select("doc_id", "text_hash", "n_bytes", "packed", "ranges").mapInArrow(
         _remove, f"doc_id {kind}, n_bytes long, n_removed long, removed array<struct<start:long,end:long>>, kept binary",
     ).withColumnRenamed("doc_id", id_col)
 
