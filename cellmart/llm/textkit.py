@@ -21,13 +21,15 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
 
+# The tables of powers grow in whole steps.
+_STEP = 1 << 18
 _POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``_BASE**i`` and ``_BASE**-i`` modulo 2**64 for ``i < n`` (kept per process)."""
     if len(_POWERS["up"]) < n:
-        size = max(n, 2 * len(_POWERS["up"]))
+        size = -(-n // _STEP) * _STEP
         for name, base in (("up", _BASE), ("down", _BASE_INV)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
