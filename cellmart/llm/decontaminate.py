@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import alphanumeric, blocks, expand, lower_ascii, word_hashes
+from .textkit import BLOCK_BYTES, alphanumeric, blocks, expand, lower_ascii, word_hashes
 
 WINDOW = 13
 SHARD_WORDS = 1 << 19
@@ -167,7 +167,7 @@ def shards(words: np.ndarray, first: np.ndarray, overlap: int) -> Iterator[tuple
 def _blocks_of(batch):
     """(ids, word hashes, first word of each row) for runs of rows of a batch."""
     fold, keep = lower_ascii(), alphanumeric()
-    for row, data, off in blocks(batch.column(1), 8 * SHARD_WORDS):
+    for row, data, off in blocks(batch.column(1), 2 * BLOCK_BYTES):
         words, _, _, first = word_hashes(data, off, keep, fold)
         yield batch.column(0).slice(row, len(off) - 1), words, first
 

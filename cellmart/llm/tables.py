@@ -7,7 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from cellmart.session import scratch_path
 
 
+#: Bytes of the record batches that tasks exchange with Python: with blocks of text this bounds a task.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -15,6 +24,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder of the shared scratch space and read it back: later steps
     start from the files, also after the loss of executors, and know no partitioning that would
     keep adaptive execution from splitting a skewed join."""
+    bounded_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

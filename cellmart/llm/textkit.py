@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 
 # Multipliers of the 64-bit polynomial hashes (odd, so they have an inverse modulo 2**64).
 _BASE = 0x9E3779B97F4A7C15
