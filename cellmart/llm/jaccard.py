@@ -16,8 +16,8 @@ A document's set holds its distinct ``k``-word shingles (64-bit hashes); two doc
    on the full sets. This links large families of near copies in a number of pairs that is linear in
    their size.
 5. Second round: lists and groups that still hold different components are paired in full across
-   components, filtered by size, position and short parity bitmaps, expanded to members, filtered by
-   full bitmaps and verified. Lists of the same groups are joined once. So no link between components is missed,
+   components, filtered by size, position and short parity bitmaps (the bits that all members of a
+   group have in common), expanded to members, filtered by full bitmaps and verified. Lists of the same groups are joined once. So no link between components is missed,
    and no pair inside a component is made.
 
 Links within a component are not all listed; every component is exact. Sets, lists and labels are
@@ -223,7 +223,11 @@ class Join:
         # documents share gives many lists of the same groups: one of them will do.
         mixed = mixed.where("l < h AND (e > 3 OR m > 1)").groupBy("e", "x", "y").agg(F.min("token").alias("token"))
         mixed = written(mixed.select("token"), "jaccard-mixed")
-        fold = self.nodes.select(F.col("id").alias("gid"), *[F.col("fold")[i].alias(f"f{i}") for i in range(FOLD_BITS // 64)])
+        # Members share prefix and size, not the rest of their sets: a group is known by the bits that
+        # are set in all (a) and in any (o) of its members.
+        fold = self.nodes.join(self.members.select("gid", "id"), "id").groupBy("gid").agg(*[
+            end(F.col("fold")[i]).alias(f"{name}{i}")
+            for i in range(FOLD_BITS // 64) for name, end in (("a", F.bit_and), ("o", F.bit_or))])
         # Sizes of a link differ by less than one step, so a group meets its own and the next.
         step = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / self.percent)) + F.lit(1e-9))
         entries = written(entries.join(mixed, "token", "left_semi").join(fold, "gid").withColumn("step", step), "jaccard-mixed-entries")
@@ -262,8 +266,9 @@ class Join:
 
 
 def _differing_bits():
-    """Bits in which the short bitmaps of sides x and y differ: not more than shingles that differ."""
-    return F.expr(" + ".join(f"bit_count(x.f{i} ^ y.f{i})" for i in range(FOLD_BITS // 64)))
+    """Bits in which the short bitmaps of all members of groups x and y differ: not more than the
+    shingles in which any two members differ."""
+    return F.expr(" + ".join(f"bit_count((x.a{i} & ~y.o{i}) | (y.a{i} & ~x.o{i}))" for i in range(FOLD_BITS // 64)))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:

@@ -73,6 +73,36 @@ def test_against_all_pairs(spark, seed, k, percent):
     assert got == brute(rows, k, percent)
 
 
+def shared_passages():
+    """Families of texts with a rare passage in common, so one prefix and size, and tails that many
+    other texts quote; some members have a near copy outside the group."""
+    rnd = random.Random(3)
+    count = iter(range(10**6))
+
+    def fresh(n):
+        return [f"v{next(count)}" for _ in range(n)]
+
+    texts = []
+    for members in (2, 3, 5):
+        passage, bridge = fresh(20), fresh(3)
+        tails = [bridge + fresh(80) for _ in range(members)]
+        for tail in tails:
+            texts.append(passage + tail)
+        for tail in tails[1:]:
+            texts.append(passage + tail[:-rnd.randint(1, 3)])
+        # Quoted often, the tails come after the passage in the order of shingles.
+        texts += [fresh(250) + tail for tail in tails for _ in range(40)]
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("k,percent", [(4, 85), (5, 80)])
+def test_links_of_members_that_differ_from_their_group(spark, k, percent):
+    rows = shared_passages()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(df, k=k, percent=percent).collect()}
+    assert got == brute(rows, k, percent)
+
+
 def test_odd_rows_and_stage(spark):
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (3, "A b  c d e f"), (None, "a b c d e f"), (9, None), (8, ""), (7, "x")]
     df = spark.createDataFrame([(i, t, "s", 1) for i, t in rows], "doc_id long, text string, label string, component_id int")
