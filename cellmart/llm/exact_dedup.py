@@ -91,10 +91,11 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, with the columns of ``df``."""
-    gone = exact_dedup(df, id_col, text_col).where("NOT kept").select(
-        F.col(id_col).alias("__dedup_gone"), F.col("norm_chars").alias("__dedup_len"))
-    gone = written(gone, "dedup-dropped")
-    rows = df.withColumn("__dedup_norm", F.length(normalised(F.col(text_col))))
-    hit = F.col(id_col).eqNullSafe(F.col("__dedup_gone")) & (F.col("__dedup_norm") == F.col("__dedup_len"))
+    """The rows of ``df`` that stay, with the columns of ``df``. Rows are judged by id and text: an id
+    may be null or stand at other texts too."""
+    gone = exact_dedup(df, id_col, text_col, carry={"__dedup_gone_hash": F.sha2("_norm", 256)}).where("NOT kept").select(
+        F.col(id_col).alias("__dedup_gone"), "__dedup_gone_hash")
+    gone = written(gone.distinct(), "dedup-dropped")
+    rows = df.withColumn("__dedup_hash", F.sha2(normalised(F.col(text_col)), 256))
+    hit = F.col(id_col).eqNullSafe(F.col("__dedup_gone")) & (F.col("__dedup_hash") == F.col("__dedup_gone_hash"))
     return rows.join(gone, hit, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])

@@ -47,6 +47,14 @@ def test_exact_dedup_repeated_null_empty(spark):
     assert exact_dedup.exact_dedup(df.where("doc_id > 9")).count() == 0
 
 
+def test_drop_copies_judges_texts_not_ids(spark):
+    long = "p" * 70
+    rows = [(None, "a"), (None, "b"), (5, "a"), (6, "c"), (7, "c"), (7, "d"), (8, long + "x"), (9, long + "x"), (9, long + "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = sorted(((r["doc_id"], r["text"]) for r in exact_dedup.drop_copies(df).collect()), key=str)
+    assert got == sorted([(None, "b"), (5, "a"), (6, "c"), (7, "d"), (8, long + "x"), (9, long + "y")], key=str)
+
+
 # ---- operator 3
 
 def test_section_tokens(spark):
