@@ -9,13 +9,17 @@ of a value are its context. From counts over all documents a term ``t`` is judge
     PMI(t, e) = log2 (p(t, e) / (p(t) p(e)))
     disclosure(t, e) = PMI / IC = 1 + log2 (n(t, e) / n(t)) / IC(e)
 
-A term that stands in at least ``MIN_CONTEXTS`` different contexts of an entity and whose disclosure
-reaches ``GENERALISE`` is generalised wherever it stands; from ``REMOVE`` on it is removed. Ordinary
-words stand mostly elsewhere and fall far below.
+A term whose disclosure for an entity reaches ``GENERALISE`` is generalised wherever it stands; from
+``REMOVE`` on it is removed. Ordinary words stand mostly elsewhere and fall far below. It needs support:
+``MIN_CONTEXTS`` contexts that differ in their words or in the text around them (copies of a text count
+once), or an entity with fewer contexts than that, or two occurrences or more that all stand in the
+entity's contexts. So these are left although their disclosure may reach the threshold, all of
+entities with ``MIN_CONTEXTS`` contexts or more: terms that occur once in the corpus, and terms in fewer
+contexts of the entity that also stand elsewhere.
 
 Nothing that grows is broadcast: tasks get a bitmap of ``2**BITMAP_BITS`` bits over the hashes of the
 risky terms (1 MB at any size), mark the words that hit it, and only those are joined to the exact
-terms. Counts combine in the tasks; copies of a context count once.
+terms. Counts combine in the tasks; a word near two occurrences of a value counts once.
 
 Defined results: a null or empty text has no spans; matches of a kind are leftmost and do not
 overlap; a match that fails its check is dropped without a retry; a term span never overlaps a base
@@ -24,6 +28,7 @@ span; rows that repeat are marked alike; other columns are ignored. Offsets are
 
 from __future__ import annotations
 
+import math
 import re
 from functools import partial
 
@@ -126,16 +131,19 @@ def _find(batches):
                 own = slice(first[i], first[i + 1])
                 w, s0, e0 = words[own], starts[own] - lo, ends[own] - lo
                 clear = ~_overlaps(s0, e0, found) if found else None
-                rows = []
+                rows, counted = [], {}
                 for k, s, e in found:
                     left = np.searchsorted(e0, s, "right")
                     right = np.searchsorted(s0, e, "left")
                     near = np.concatenate([np.arange(max(0, left - WINDOW), left), np.arange(right, min(len(w), right + WINDOW))])
                     near = near[clear[near]]
-                    terms = w[near]
-                    rows.append({"entity": xxhash.xxh64_intdigest(bytes([k]) + raw[s:e].lower()) - (1 << 63),
-                                 "context": xxhash.xxh64_intdigest(terms.tobytes()) - (1 << 63),
-                                 "terms": terms.view(np.int64).tolist()})
+                    entity = xxhash.xxh64_intdigest(bytes([k]) + raw[s:e].lower()) - (1 << 63)
+                    own_words = counted.setdefault(entity, set())
+                    new = [i for i in near.tolist() if i not in own_words]
+                    own_words.update(new)
+                    rows.append({"entity": entity,
+                                 "context": xxhash.xxh64_intdigest(w[near].tobytes()) - (1 << 63),
+                                 "terms": w[new].view(np.int64).tolist()})
                 contexts.append(rows)
             n = len(off) - 1
             yield pa.RecordBatch.from_arrays([
@@ -195,25 +203,39 @@ def _mark(batches, bitmap):
                 ["doc_id", "text_hash", "term", "start", "end"])
 
 
-def term_disclosure(found: DataFrame, counts: DataFrame, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
-    """term, disclosure: the largest over the entities in whose contexts a term recurs. ``found``
-    is the table of contexts by document, ``counts`` the occurrences of every term."""
-    seen = found.select(F.explode("contexts").alias("c")).select("c.entity", "c.context", "c.terms")
-    entities = seen.groupBy("entity").agg(F.sum(F.size("terms")).alias("words")).where("words > 0")
-    pairs = seen.select("entity", "context", F.explode("terms").alias("term"))
-    # Occurrences by context first: a context that is copied very often combines in the tasks.
-    pairs = pairs.groupBy("entity", "term", "context").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(
-        F.sum("n").alias("near"), F.count("*").alias("contexts")).where(F.col("contexts") >= min_contexts)
-    pairs = written(pairs, "pii-pairs").join(written(entities, "pii-entities"), "entity")
+def term_disclosure(found: DataFrame, counts: DataFrame, generalise: float = GENERALISE,
+                    min_contexts: int | None = None) -> DataFrame:
+    """term, disclosure: the largest over the entities for which a term has support, if it reaches
+    ``generalise``. ``found`` is the table of contexts by document, ``counts`` the occurrences of every
+    term. Given ``min_contexts``, every term needs so many contexts."""
+    seen = found.select("text_hash", F.explode("contexts").alias("c")).select("text_hash", "c.entity", "c.context", "c.terms")
+    # Copies of a text first: what is copied very often combines in the tasks.
+    entities = seen.groupBy("entity", "text_hash", "context").agg(F.sum(F.size("terms")).alias("words")).groupBy("entity").agg(
+        F.sum("words").alias("words"), F.count("*").alias("contexts")).where("words > 0")
+    pairs = seen.select("entity", "text_hash", "context", F.explode("terms").alias("term"))
+    pairs = pairs.groupBy("entity", "term", "text_hash", "context").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(
+        F.sum("n").alias("near"), F.count("*").alias("support"))
+    if min_contexts is not None:
+        pairs = pairs.where(F.col("support") >= min_contexts)
+    pairs = written(pairs, "pii-pairs")
     total = counts.agg(F.sum("n")).first()[0] or 1
+    # No entity has more information than log2(total): terms that stand elsewhere too often for any
+    # entity leave before pairs are joined.
+    least = 2 ** ((generalise - 1) * max(math.log2(total), 1e-9)) * (1 - 1e-9)
+    close = pairs.groupBy("term").agg(F.max("near").alias("most")).join(counts, "term").where(
+        F.col("most") >= F.lit(least) * F.col("n")).select("term", "n")
+    judged = pairs.join(written(close, "pii-close"), "term").join(written(entities, "pii-entities"), "entity")
+    if min_contexts is None:
+        judged = judged.where((F.col("support") >= MIN_CONTEXTS) | (F.col("contexts") < MIN_CONTEXTS)
+                              | (F.col("n") > 1) & (F.col("near") >= F.col("n")))
     information = -F.log2(F.col("words") / total)
     share = F.least(F.col("near") / F.col("n"), F.lit(1.0))
-    judged = pairs.join(counts, "term").withColumn("disclosure", 1 + F.log2(share) / F.greatest(information, F.lit(1e-9)))
-    return judged.groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+    judged = judged.withColumn("disclosure", 1 + F.log2(share) / F.greatest(information, F.lit(1e-9)))
+    return judged.groupBy("term").agg(F.max("disclosure").alias("disclosure")).where(F.col("disclosure") >= generalise)
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE,
-                       remove: float = REMOVE, min_contexts: int = MIN_CONTEXTS) -> DataFrame:
+                       remove: float = REMOVE, min_contexts: int | None = None) -> DataFrame:
     """Per document: id, ``text_hash`` and ``spans``: array of (kind, start, end, action), by kind as
     in ``KINDS``, then start; kind 4 are disclosing terms, action is ``mask``, ``generalise`` or
     ``remove``."""
@@ -225,7 +247,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "contexts array<struct<entity:long,context:long,terms:array<long>>>"), "pii-base")
     counts = written(rows.select("text").mapInArrow(_count, "term long, n long").groupBy("term").agg(
         F.sum("n").alias("n")), "pii-counts")
-    risky = written(term_disclosure(found, counts, min_contexts).where(F.col("disclosure") >= generalise), "pii-risky")
+    risky = written(term_disclosure(found, counts, generalise, min_contexts), "pii-risky")
 
     place = F.shiftrightunsigned("term", 64 - BITMAP_BITS)
     # One row for each 64 bits of the bitmap: a fixed number.

@@ -73,6 +73,28 @@ def test_disclosing_terms(spark):
     assert all(s[3] == "mask" for i, _ in rows for s in got[i] if s[0] < 4)
 
 
+def test_terms_of_one_signature_and_of_rare_values(spark):
+    rnd = random.Random(7)
+    common = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
+    rows = corpus()
+    # One context in many different texts; the name stands once elsewhere.
+    signature = " ".join(common[:7]) + " Quillfeather quill@corp.example.org"
+    rows += [(4000 + i, " ".join(rnd.choice(common) for _ in range(20)) + " " + signature) for i in range(6)]
+    rows.append((4100, "the quillfeather alone"))
+    # Values that occur once and twice.
+    rows.append((4200, " ".join(common[10:15]) + " Xanthippe solo@corp.example.org " + common[20]))
+    rows += [(4300 + i, f"{common[i]} Mirabelle twice@corp.example.org {common[30 + i]}") for i in range(2)]
+    # A term that stands only with a frequent value, twice.
+    rows += [(4400 + i, f"{common[40 + i]} Oberon jo@corp.example.org {common[50 + i]}") for i in range(2)]
+    got = spans(spark, rows)
+    terms = {i: [(t[a:b].lower(), action) for k, a, b, action in got[i] if k == 4] for i, t in rows}
+    assert all(terms[4000 + i] == [("quillfeather", "generalise")] for i in range(6)) and terms[4100] == [("quillfeather", "generalise")]
+    assert terms[4200] == [("xanthippe", "remove")]
+    assert terms[4300] == terms[4301] == [("mirabelle", "remove")]
+    assert terms[4400] == terms[4401] == [("oberon", "remove")]
+    assert all(not terms[i] for i, _ in rows if i < 1000 or 2000 <= i < 3000)
+
+
 def test_disclosure_values(spark):
     rows = corpus()
     near = [re.findall("[a-z]+", t.split(" jo@")[0].lower())[-8:] + re.findall("[a-z]+", t.split("org")[1].lower())[:8]
