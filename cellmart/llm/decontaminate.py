@@ -1,14 +1,17 @@
 """Benchmark decontamination with suffix arrays over the training documents.
 
 Each task builds suffix arrays over shards of its own documents: the positions of a shard's words
-sorted by the word sequence that starts there (prefix doubling over 64-bit word hashes, up to
-``SORT_WORDS`` words deep). Every suffix of every benchmark item is then binary-searched in every
-shard. The neighbours at the insertion point give the longest verbatim match of the suffix and
-its places; the range of suffixes that begin with the item's window gives all its occurrences.
+sorted by the word sequence that starts there (prefix doubling over 64-bit word hashes, as deep as
+the window, ``SORT_WORDS`` words at least). Every suffix of every benchmark item is then binary-searched
+in every shard. The neighbours at the insertion point give the longest match of the suffix within that
+depth, the range of suffixes that begin with it all its places; a match of the whole depth is followed
+word by word to its end (``longest_matches``). The range of suffixes that begin with the item's window
+gives all the window's occurrences (``contamination``): hits need every occurrence of a window, also
+where a longer match stands elsewhere, so they are searched by themselves.
 
 No document row is shuffled: a document's hits depend on the document alone. The benchmark is
 the stated query set; it is read in blocks of at most ``BLOCK_WORDS`` words (a documented
-bound; a block's broadcast takes 140 bytes a word) that each task searches one after the other.
+bound; a block's broadcast takes 170 bytes a word) that each task searches one after the other.
 
 Words are lower-cased (A-Z) and match ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``. A window is
 ``window`` consecutive words of an item; an item with fewer words, but not none, is one window.
@@ -29,21 +32,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import written
 from .textkit import BLOCK_BYTES, alphanumeric, blocks, expand, lower_ascii, word_hashes
 
 WINDOW = 13
 SHARD_WORDS = 1 << 19
 SORT_WORDS = 16
 BLOCK_WORDS = 1 << 17
+PAIRS = 1 << 20
 
 
 class Shard:
     """A suffix array over the words of a run of documents."""
 
-    def __init__(self, words: np.ndarray, row_end: np.ndarray, vocabulary: np.ndarray):
+    def __init__(self, words: np.ndarray, row_end: np.ndarray, vocabulary: np.ndarray, sort_words: int = SORT_WORDS):
         """``row_end[i]``: where the document of word ``i`` ends. Only suffixes that begin with
         a word of ``vocabulary`` (the benchmark's sorted words) are kept: no other is ever
-        found by a search."""
+        found by a search. Queries may have ``sort_words`` words."""
         self.ids = np.searchsorted(vocabulary, words)
         known = np.take(vocabulary, self.ids, mode="clip") == words if len(vocabulary) else np.zeros(len(words), bool)
         # Benchmark words get 1, 2, ...; all others are 0, which no query holds.
@@ -52,7 +57,7 @@ class Shard:
         at = np.flatnonzero(known)
         rank = self.ids.copy()
         depth = 1
-        while depth < SORT_WORDS and len(at):
+        while depth < sort_words and len(at):
             # Rank by 2 * depth words: the rank of the first half, then that of the second.
             after = np.minimum(at + depth, len(rank) - 1)
             second = np.where(at + depth < row_end[at], rank[after] + 1, 0)
@@ -83,9 +88,8 @@ class Shard:
             common[live] = i + 1
         return common, sign
 
-    def search(self, query: np.ndarray, length: np.ndarray):
-        """For each query: the range of suffixes that begin with it, and the words of its
-        longest match with any suffix and where that stands (-1: none)."""
+    def bounds(self, query: np.ndarray, length: np.ndarray):
+        """For each query: the range of suffixes that begin with it."""
         bounds = []
         for upper in (False, True):
             low = np.zeros(len(query), np.int64)
@@ -97,16 +101,17 @@ class Shard:
                 low[live[right]] = middle[right] + 1
                 high[live[~right]] = middle[~right]
             bounds.append(low)
+        return bounds
+
+    def longest(self, query: np.ndarray, length: np.ndarray):
+        """For each query: the words of its longest match with any suffix."""
+        insertion, _ = self.bounds(query, length)
         longest = np.zeros(len(query), np.int64)
-        place = np.full(len(query), -1, np.int64)
-        for neighbour in (bounds[0] - 1, bounds[0]):
+        for neighbour in (insertion - 1, insertion):
             live = np.flatnonzero((neighbour >= 0) & (neighbour < len(self.suffixes)))
-            suffix = self.suffixes[neighbour[live]]
-            common, _ = self.compare(suffix, query[live], length[live])
-            better = common > longest[live]
-            longest[live[better]] = common[better]
-            place[live[better]] = suffix[better]
-        return bounds[0], bounds[1], longest, place
+            common, _ = self.compare(self.suffixes[neighbour[live]], query[live], length[live])
+            longest[live] = np.maximum(longest[live], common)
+        return longest
 
 
 class Queries:
@@ -137,12 +142,14 @@ class Queries:
         # of a shorter item.
         self.window = np.where(left >= window, window, np.where((count[item] < window) & (start == first[:-1][item]), left, 0))
         self.item, self.word = item, start - first[:-1][item]
+        # The whole suffixes: ``left`` words of ``flat`` from ``start`` on.
+        self.flat, self.start, self.left = flat, start, left
         # Each distinct window and suffix is searched once.
         if len(flat):
             self.rows, back = np.unique(np.column_stack([self.rows, self.length, self.window]), axis=0, return_inverse=True)
             self.length, self.window, self.rows = self.rows[:, -2], self.rows[:, -1], self.rows[:, :-2]
             order = np.argsort(back, kind="stable")
-            self.item, self.word = item[order], self.word[order]
+            self.item, self.word, self.start, self.left = item[order], self.word[order], start[order], left[order]
             self.of = np.searchsorted(back[order], np.arange(len(self.rows) + 1))
         else:
             self.of = np.zeros(1, np.int64)
@@ -172,22 +179,60 @@ def _blocks_of(batch):
         yield batch.column(0).slice(row, len(off) - 1), words, first
 
 
+def _extend(words: np.ndarray, place: np.ndarray, end: np.ndarray, q, entry: np.ndarray, common: np.ndarray):
+    """Words that the text at each place has in common with a whole suffix, known to be ``common`` at least."""
+    n = common.copy()
+    live = np.arange(len(n))
+    while len(live):
+        live = live[(place[live] + n[live] < end[live]) & (n[live] < q.left[entry[live]])]
+        live = live[words[place[live] + n[live]] == q.flat[q.start[entry[live]] + n[live]]]
+        n[live] += 1
+    return n
+
+
+def _matches(words: np.ndarray, first: np.ndarray, q, best: np.ndarray):
+    """(suffix of an item, place, words) of the longest matches of every shard, all places of each,
+    without suffixes of which a longer match is known (``best``, kept up)."""
+    depth = q.rows.shape[1]
+    for lo, hi, row_end in shards(words, first, depth):
+        shard = Shard(words[lo:hi], row_end, q.vocabulary, depth)
+        # A suffix in the overlap belongs to the next part.
+        shard.suffixes = shard.suffixes[shard.suffixes < SHARD_WORDS]
+        longest = shard.longest(q.rows, q.length)
+        some = np.flatnonzero(longest > 0)
+        low, high = shard.bounds(q.rows[some], longest[some])
+        copies = q.of[some + 1] - q.of[some]
+        entry, of = expand(q.of[some], copies), np.repeat(np.arange(len(some)), copies)
+        able = (longest[some][of] == depth) | (longest[some][of] >= best[entry])
+        entry, of = entry[able], of[able]
+        count = (high - low)[of]
+        # About PAIRS places at a time, all those of a suffix together.
+        part = np.cumsum(count) // PAIRS
+        for own in np.split(np.arange(len(entry)), np.flatnonzero(np.diff(part)) + 1):
+            pair = np.repeat(own, count[own])
+            place = lo + shard.suffixes[expand(low[of[own]], count[own])]
+            end = first[np.searchsorted(first, place, "right")]
+            n = longest[some][of[pair]]
+            full = np.flatnonzero(n == depth)
+            n[full] = _extend(words, place[full], end[full], q, entry[pair[full]], n[full])
+            np.maximum.at(best, entry[pair], n)
+            most = n == best[entry[pair]]
+            yield entry[pair[most]], place[most], n[most]
+
+
 def _longest(batches, parts):
+    best = [np.zeros(len(sent.value.item), np.int64) for _, sent in parts]
     for batch in batches:
         for ids, words, first in _blocks_of(batch):
-            for names, sent in parts:
+            for k, (names, sent) in enumerate(parts):
                 q = sent.value
-                for lo, hi, row_end in shards(words, first, SORT_WORDS):
-                    shard = Shard(words[lo:hi], row_end, q.vocabulary)
-                    _, _, longest, place = shard.search(q.rows, q.length)
-                    some = np.flatnonzero(longest > 0)
-                    suffix = expand(q.of[some], q.of[some + 1] - q.of[some])
-                    which = np.repeat(some, q.of[some + 1] - q.of[some])
-                    doc = np.searchsorted(first, place[which] + lo, "right") - 1
+                for entry, place, n in _matches(words, first, q, best[k]):
+                    doc = np.searchsorted(first, place, "right") - 1
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([names[i] for i in q.item[suffix].tolist()], pa.string()), pa.array(q.word[suffix]),
-                        pa.array(longest[which]), ids.take(pa.array(doc)), pa.array(place[which] + lo - first[doc])],
-                        ["item_id", "item_word", "n_words", "doc_id", "doc_word"])
+                        pa.array(np.full(len(entry), k), pa.int32()), pa.array(entry),
+                        pa.array([names[i] for i in q.item[entry].tolist()], pa.string()), pa.array(q.word[entry]),
+                        pa.array(n), ids.take(pa.array(doc)), pa.array(place - first[doc])],
+                        ["block", "entry", "item_id", "item_word", "n_words", "doc_id", "doc_word"])
 
 
 def _hits(words: np.ndarray, first: np.ndarray, q):
@@ -196,8 +241,8 @@ def _hits(words: np.ndarray, first: np.ndarray, q):
     change = np.zeros(len(words) + 1, np.int64)
     pairs = [np.zeros((0, 2), np.int64)]
     for lo, hi, row_end in shards(words, first, q.rows.shape[1]):
-        shard = Shard(words[lo:hi], row_end, q.vocabulary)
-        low, high, _, _ = shard.search(q.rows[lead], q.window[lead])
+        shard = Shard(words[lo:hi], row_end, q.vocabulary, q.rows.shape[1])
+        low, high = shard.bounds(q.rows[lead], q.window[lead])
         count = high - low
         places = lo + shard.suffixes[expand(low, count)]
         np.add.at(change, places, 1)
@@ -247,13 +292,16 @@ def _parts(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text: str,
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """For each benchmark suffix and each shard that has its first word: the words of its longest
-    verbatim match (up to ``SORT_WORDS`` or ``window``) and one place of it: item_id, item_word,
-    n_words, doc_id, doc_word."""
+    """For each benchmark suffix (the words of an item from one on) its longest verbatim match with any
+    document, of any length, and all places of it: item_id, item_word, n_words, doc_id, doc_word.
+    Suffixes without a match have no row."""
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(
+    found = docs.select(id_col, text_col).mapInArrow(
         partial(_longest, parts=_parts(docs, benchmark, item_col, item_text, window)),
-        f"item_id string, item_word long, n_words long, doc_id {kind}, doc_word long")
+        f"block int, entry long, item_id string, item_word long, n_words long, doc_id {kind}, doc_word long")
+    found = written(found, "matches-of-shards")
+    most = written(found.groupBy("block", "entry").agg(F.max("n_words").alias("n_words")), "matches-longest")
+    return found.join(most, ["block", "entry", "n_words"]).select("item_id", "item_word", "n_words", "doc_id", "doc_word")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

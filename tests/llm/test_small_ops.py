@@ -244,3 +244,49 @@ def test_longest_matches_and_empty(spark):
     none = decontaminate.contamination(docs, items.where("item_id < 0")).collect()
     assert [r["n_hit"] for r in none] == [0, 0, 0]
     assert decontaminate.contamination(docs.where("doc_id > 5"), items).count() == 0
+
+
+def brute_longest(docs, bench):
+    out = []
+    for item, passage in bench:
+        b = words_of(passage)
+        for at in range(len(b)):
+            found = []
+            for doc, text in docs:
+                w = words_of(text)
+                for i in range(len(w)):
+                    n = 0
+                    while at + n < len(b) and i + n < len(w) and b[at + n] == w[i + n]:
+                        n += 1
+                    found.append((n, doc, i))
+            most = max(n for n, _, _ in found)
+            out += [(str(item), at, n, doc, i) for n, doc, i in found if n == most and n]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("shard,pairs", [(1 << 19, 1 << 20), (50, 40)])
+def test_longest_matches_end_where_the_texts_differ(spark, monkeypatch, shard, pairs):
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", shard)
+    monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+    rnd = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(40)]
+    item = [rnd.choice(vocabulary) for _ in range(150)]
+    bench = [(1, " ".join(item)), (2, " ".join(item[20:60] + ["other"])), (3, "w1 w2 unseen")]
+    docs = [(1, " ".join(["x", *item, "y"])), (2, " ".join(item[:130])), (3, " ".join(item + ["z"])), (4, "w1 w2 w1"), (5, None)]
+    docs += [(6 + i, " ".join(rnd.choice(vocabulary) for _ in range(60))) for i in range(4)]
+    got = decontaminate.longest_matches(spark.createDataFrame(docs, "doc_id long, text string").repartition(2),
+                                        spark.createDataFrame(bench, "item_id long, text string")).collect()
+    want = brute_longest(docs, bench)
+    assert sorted(map(tuple, got)) == want
+    assert {("1", 0, 150, 1, 1), ("1", 0, 150, 3, 0)} <= set(want)
+
+
+def test_windows_longer_than_the_least_order(spark):
+    rnd = random.Random(10)
+    lead = [f"w{i}" for i in range(16)]
+    tails = [[rnd.choice("abcdef") for _ in range(14)] for _ in range(60)]
+    docs = [(i, " ".join(lead + tail)) for i, tail in enumerate(tails)]
+    bench = [(i, " ".join(lead + tails[i])) for i in range(0, 60, 3)]
+    got = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1),
+                                      spark.createDataFrame(bench, "item_id long, text string"), window=28).collect()
+    assert [(r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in sorted(got, key=lambda r: r["doc_id"])] == brute_hits(docs, bench, 28)
