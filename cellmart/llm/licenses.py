@@ -1,21 +1,21 @@
 """License scan: MinHash bands over text windows, verified by exact shingle containment.
 
-A template is the text of a license notice; its set holds its distinct ``K``-word shingles. Texts are
-looked at in half-blocks of as many shingles as the template has; two neighbours make a window,
-so windows overlap by half and every place where the template could stand lies in one of them.
-``BANDS`` minima of independent hashes are kept for every half-block, the lesser of two
-neighbours' is the window's. A window is retrieved for a template when any band (one minimum)
-is equal; then the template's distinct shingles within the window are counted exactly, and
-the window matches when it holds at least ``CONTAINMENT`` of them.
-
-Band settings: a window that matches holds ``c >= 0.8`` of the template's n shingles among at
-most 2n, so its Jaccard similarity is at least 0.8 / 2.2 = 0.364 and one of 24 bands agrees with
-probability 1 - (1 - 0.364)**24 > 0.9999 (``collision_probability``).
+A template is the text of a license notice; its set holds its n distinct ``K``-word shingles. A place
+matches when ``2 * n`` neighbouring shingles of the text, from any one on, hold at least ``CONTAINMENT`` of
+them. Texts are cut into blocks of an eighth of n shingles; as many neighbours as every such run
+lies in make a window, so windows start at every block. ``BANDS`` minima of independent hashes are kept for
+every block, the least of its blocks' is the window's. A window is retrieved for a template when any
+band (one minimum) is equal; in the retrieved stretch the template's distinct shingles are then counted
+exactly for the run from every shingle on.
+
+Band settings: a window has at most 2.25 n shingles. One with a match holds ``c >= 0.8`` of the template's
+n, so its Jaccard similarity is at least 0.8 / 2.45 = 0.327 and one of 24 bands agrees with
+probability 1 - (1 - 0.327)**24 > 0.9999 (``collision_probability``).
 
 All documents are read whole and no row is shuffled: a task keeps the templates' sets (a given
 query set) and one block of text. Defined results: words are runs of digits, letters and non-ASCII
 characters, A-Z in lower case; null and empty texts match nothing; a template without words is an error;
-a document matches a license once, at its best window, the first of equals; rows that repeat are scanned
+a document matches a license once, at its best run, the first of equals; rows that repeat are scanned
 row by row; other columns are ignored.
 """
 
@@ -80,34 +80,87 @@ def template_sets(templates, k: int = K) -> list[tuple[str, np.ndarray]]:
     return out
 
 
-def windows(begin: np.ndarray, size: int):
-    """Half-blocks of ``size`` shingles from each row's start: their first shingles, and whether
-    the next one belongs to the same row."""
-    count = -(-np.diff(begin) // size)
+def shape(size: int) -> tuple[int, int]:
+    """Shingles of a block, and blocks of a window: any ``2 * size`` neighbours lie in one window."""
+    step = max(1, size // 8)
+    return step, -(-(2 * size - 1) // step) + 1
+
+
+def windows(begin: np.ndarray, step: int):
+    """Blocks of ``step`` shingles from each row's start: their first shingles and their rows."""
+    count = -(-np.diff(begin) // step)
     row = np.repeat(np.arange(len(count)), count)
     number = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    follows = np.concatenate((row[1:] == row[:-1], [False])) if len(row) else np.zeros(0, bool)
-    return begin[:-1][row] + number * size, follows, row
+    return begin[:-1][row] + number * step, row
+
+
+def _shifts(row: np.ndarray, blocks_of_window: int):
+    """Steps by which minima of ever more blocks meet, and where the next lies in the same row."""
+    out, width = [], 1
+    while width < blocks_of_window:
+        d = min(width, blocks_of_window - width)
+        out.append((d, row[d:] == row[:-d]))
+        width += d
+    return out
 
 
 def retrieve(shingles: np.ndarray, begin: np.ndarray, sets) -> list[tuple[int, np.ndarray]]:
-    """(template number, windows retrieved by a band), windows numbered as by ``windows``."""
+    """(template number, windows retrieved by a band), windows numbered by their first block."""
     by_size: dict[int, list[int]] = {}
     for i, (_, own) in enumerate(sets):
         by_size.setdefault(len(own), []).append(i)
-    shape = {size: windows(begin, size) for size in by_size}
-    found = {i: np.zeros(len(shape[len(own)][0]), bool) for i, (_, own) in enumerate(sets)}
+    first, shifts = {}, {}
+    for size in by_size:
+        step, wide = shape(size)
+        first[size], row = windows(begin, step)
+        shifts[size] = _shifts(row, wide)
+    found = {i: np.zeros(len(first[len(own)]), bool) for i, (_, own) in enumerate(sets)}
     for factor in _multipliers():
         values = shingles * factor
         for size, members in by_size.items():
-            first, follows, _ = shape[size]
-            least = np.minimum.reduceat(values, first)
-            least[:-1] = np.where(follows[:-1], np.minimum(least[:-1], least[1:]), least[:-1])
+            least = np.minimum.reduceat(values, first[size])
+            for d, same in shifts[size]:
+                least[:-d] = np.where(same, np.minimum(least[:-d], least[d:]), least[:-d])
             for i in members:
                 found[i] |= least == (sets[i][1] * factor).min()
     return [(i, np.flatnonzero(hit)) for i, hit in found.items()]
 
 
+def stretches(hits: np.ndarray, at: np.ndarray, rows: np.ndarray, begin: np.ndarray, span: int):
+    """(row, first shingle, end) of the unions of overlapping retrieved windows."""
+    out: list[list[int]] = []
+    for w in hits.tolist():
+        row, lo = int(rows[w]), int(at[w])
+        hi = min(lo + span, int(begin[row + 1]))
+        if out and out[-1][0] == row and lo <= out[-1][2]:
+            out[-1][2] = hi
+        else:
+            out.append([row, lo, hi])
+    return out
+
+
+def densest(text: np.ndarray, own: np.ndarray, width: int) -> tuple[int, int, int]:
+    """The most distinct shingles of ``own`` that ``width`` neighbours hold, and the first and last
+    place of them, in the first run that does."""
+    place = np.flatnonzero(np.isin(text, own))
+    if not len(place):
+        return 0, 0, 0
+    order = np.argsort(text[place], kind="stable")
+    again = text[place][order][1:] == text[place][order][:-1]
+    before = np.full(len(place), -1)
+    before[order[1:][again]] = place[order[:-1][again]]
+    # A place counts for the runs that reach it and start behind the same shingle's place before.
+    change = np.zeros(len(text) + 1, np.int64)
+    np.add.at(change, np.maximum(before + 1, place - width + 1), 1)
+    np.add.at(change, place + 1, -1)
+    count = np.cumsum(change)[:-1]
+    start = int(np.argmax(count))
+    less = np.flatnonzero(count[start:] < count[start])
+    start += (int(less[0]) if len(less) else len(count) - start) - 1
+    inside = (place >= start) & (place < start + width) & (before < start)
+    return int(count[start]), int(place[inside][0]), int(place[inside][-1])
+
+
 def _scan(batches, templates, containment: float):
     sets = template_sets(templates)
     fold, keep = lower_ascii(), alphanumeric()
@@ -118,17 +171,15 @@ def _scan(batches, templates, containment: float):
             best: dict[tuple[int, str], tuple[float, int, int]] = {}
             for i, hits in retrieve(shingles, begin, sets) if len(shingles) else ():
                 name, own = sets[i]
-                at, _, rows = windows(begin, len(own))
-                for w in hits.tolist():
-                    row = int(rows[w])
-                    lo, hi = int(at[w]), min(int(at[w]) + 2 * len(own), int(begin[row + 1]))
-                    inside = np.isin(shingles[lo:hi], own)
-                    share = len(np.unique(shingles[lo:hi][inside])) / len(own)
-                    place = np.flatnonzero(inside)
+                step, wide = shape(len(own))
+                at, rows = windows(begin, step)
+                for row, lo, hi in stretches(hits, at, rows, begin, step * wide):
+                    held, start, last = densest(shingles[lo:hi], own, 2 * len(own))
+                    share = held / len(own)
                     if share >= containment and share > best.get((row, name), (0.0,))[0]:
                         # From the first to the last word of the matching shingles.
-                        a = first[row] + lo + place[0] - begin[row]
-                        b = min(first[row] + lo + place[-1] - begin[row] + K, first[row + 1]) - 1
+                        a = first[row] + lo + start - begin[row]
+                        b = min(first[row] + lo + last - begin[row] + K, first[row + 1]) - 1
                         best[row, name] = (share, int(starts[a]), int(ends[b]))
             if not best:
                 continue

@@ -63,3 +63,17 @@ def test_settings_and_odd_rows(spark):
     got = [(r["doc_id"], r["license"], r["containment"], r["start"], r["end"]) for r in licenses.scan_licenses(df).collect()]
     assert sorted(got, key=str) == [(1, "MIT", 1.0, 0, 30), (1, "MIT", 1.0, 0, 30), (None, "MIT", 1.0, 0, 30)]
     assert licenses.scan_licenses(df.where("doc_id = 9")).count() == 0
+
+
+def test_copies_stretched_by_an_insertion(spark):
+    own = [f"t{i}" for i in range(64)]
+    rows = []
+    for at in range(60):
+        lead, foreign = [f"a{i}" for i in range(at)], [f"f{i}" for i in range(30)]
+        rows.append((at, " ".join(lead + own[:32] + foreign + own[32:] + ["z"] * 70)))
+    rows.append((100, " ".join(own[:32] + [f"f{i}" for i in range(90)] + own[32:])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = {r["doc_id"]: (r["containment"], words_of(rows[r["doc_id"]][1][r["start"]:r["end"]]))
+           for r in licenses.scan_licenses(df, [("T", " ".join(own))]).collect()}
+    want = own[:32] + [f"f{i}" for i in range(30)] + own[32:]
+    assert got == {at: (56 / 60, want) for at in range(60)}
