@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, jaccard, licenses, pii, quality, repeats, token_counts, warc
+from . import bpe, decontaminate, exact_dedup, jaccard, licenses, pii, prefix_trie, quality, repeats, token_counts, warc
 from .tables import table
 
 
@@ -73,6 +73,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations")).drop("rep")
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_exact_dedup": op2_exact_dedup,
@@ -84,6 +88,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_personal_data": op10_personal_data,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES = {
@@ -154,4 +159,46 @@ ORACLES = {
                coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w.w) AS contaminated
         FROM documents d JOIN words w ON w.kind = 'd' AND w.id = CAST(d.doc_id AS VARCHAR)
         LEFT JOIN hit h ON h.id = w.id LEFT JOIN items t ON t.id = w.id""",
+    "op13_prefix_trie": r"""
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+            FROM conversations WHERE conv_id IS NOT NULL),
+        -- CRC-32, bit by bit: a byte is followed by eight shifts.
+        ids AS (
+            SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(list_prepend(
+                CAST(4294967295 AS BIGINT), flatten(list_transform(
+                    string_split(CAST(conv_id AS VARCHAR), ''),
+                    lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+                lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 4 AS h
+            FROM (SELECT DISTINCT conv_id FROM turns)),
+        built AS (
+            SELECT i.conv_id, 0 AS part, t.pos, t.role, t.text FROM ids i JOIN turns t ON t.conv_id = i.base AND t.pos < i.h
+            UNION ALL
+            SELECT i.conv_id, 1, t.pos, t.role, t.text FROM ids i JOIN turns t ON t.conv_id = i.conv_id AND t.pos >= i.h),
+        whole AS (
+            SELECT i.conv_id, coalesce(list({'role': b.role, 'text': b.text} ORDER BY b.part, b.pos)
+                                       FILTER (WHERE b.part IS NOT NULL), []) AS s
+            FROM ids i LEFT JOIN built b ON b.conv_id = i.conv_id GROUP BY i.conv_id),
+        prefixes AS (
+            SELECT conv_id, d, s[1:d] AS p, d = len(s) AS ending,
+                   CASE WHEN d > 0 THEN len(regexp_extract_all(s[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words
+            FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM whole)),
+        nodes AS (
+            SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ending), '')) AS ends_sha256
+            FROM prefixes GROUP BY p, d),
+        runs AS (SELECT x.conv_id, x.d, n.conv_id AS node FROM prefixes x JOIN nodes n ON n.d = x.d AND n.p = x.p),
+        links AS (
+            SELECT n.conv_id, n.d, n.n_convs, n.words, n.ends_sha256, r.node AS parent
+            FROM nodes n LEFT JOIN runs r ON r.conv_id = n.conv_id AND r.d = n.d - 1),
+        kids AS (SELECT parent AS conv_id, d - 1 AS d, count(*) AS n FROM links WHERE d > 0 GROUP BY ALL),
+        below AS (
+            SELECT r.node AS conv_id, r.d, sum((l.n_convs - 1) * l.words) AS saved, count(*) FILTER (WHERE k.n IS NULL) AS leaves
+            FROM links l JOIN runs r ON r.conv_id = l.conv_id AND r.d <= l.d
+            LEFT JOIN kids k ON k.conv_id = l.conv_id AND k.d = l.d GROUP BY r.node, r.d)
+        SELECT l.conv_id, l.d AS depth, l.parent AS parent_conv_id, l.n_convs, coalesce(k.n, 0) AS n_children,
+               b.leaves AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, l.ends_sha256
+        FROM links l JOIN below b ON b.conv_id = l.conv_id AND b.d = l.d
+        LEFT JOIN kids k ON k.conv_id = l.conv_id AND k.d = l.d""",
 }

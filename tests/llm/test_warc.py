@@ -5,7 +5,7 @@ import hashlib
 import random
 
 from cellmart.llm import warc
-from cellmart.session import local_path, scratch_path
+from cellmart.session import scratch_path
 
 
 def pages(spark, rows):
@@ -46,7 +46,7 @@ def test_archive_files(spark):
     rows = sample()
     path = scratch_path(spark, "warc-test")
     mark = warc.write_archives(pages(spark, rows), path)
-    raw = b"".join(gzip.decompress(f.read_bytes()) for f in __import__("pathlib").Path(local_path(path)).glob("*.gz"))
+    raw = b"".join(gzip.decompress(f.read_bytes()) for f in __import__("pathlib").Path(path.removeprefix("file:")).glob("*.gz"))
     starts = (warc.VERSION + mark).encode()
     assert raw.count(starts) == len(rows)
     assert raw.count(b"\r\nWARC-Type: revisit\r\n") == sum(w[2] == "revisit" for w in want(rows).values())
