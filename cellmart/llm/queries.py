@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, jaccard, licenses, pii, prefix_trie, quality, repeats, token_counts, warc
+from . import bpe, decontaminate, exact_dedup, jaccard, licenses, pii, prefix_trie, quality, repeats, token_counts, warc, whitening
 from .tables import table
 
 
@@ -73,6 +73,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations")).drop("rep")
 
@@ -88,6 +92,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_personal_data": op10_personal_data,
+    "op12_whitening": op12_whitening,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
