@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, jaccard, licenses, pii, prefix_trie, quality, repeats, token_counts, warc, whitening
+from . import bpe, decontaminate, exact_dedup, jaccard, licenses, packing, pii, prefix_trie, quality, repeats, token_counts, warc, whitening
 from .tables import table
 
 
@@ -73,6 +73,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -92,6 +96,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_personal_data": op10_personal_data,
+    "op11_packing": op11_packing,
     "op12_whitening": op12_whitening,
     "op13_prefix_trie": op13_prefix_trie,
 }
