@@ -27,7 +27,8 @@ counters (a fixed number).
 Defined results: words are runs of other bytes than 20 and 09-0D, A-Z in lower case; a text with
 fewer than ``k`` words, but not none, has one shingle, the whole sequence; null and empty texts and
 texts without words have an empty set, size 0, and are components of their own. Rows that repeat
-an id are one node. A null id is not linked; its component is null. Other columns are ignored.
+an id with different texts are one document: what links with one of them is linked with all. A
+null id is not linked; its component is null. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -163,6 +164,28 @@ def _near(batches, percent: int):
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
+def fold_width(step: int, percent: int) -> int:
+    """Bits of the bitmaps that are compared for a size step: about one for each shingle of the smallest set
+    of the step below, so no set of the pair has a narrower bitmap of its own."""
+    return 1 << max(6, int(np.ceil(np.log2((100 / percent) ** (step - 1) * (1 - 1e-6)))))
+
+
+def _folds(batches, percent: int):
+    """The bitmap of each set at the widths of its own size step and the next, in words of 64 bits; only
+    widths over ``FOLD_BITS``."""
+    for batch in batches:
+        out = []
+        for gid, step, bits in zip(*(c.to_pylist() for c in batch.columns)):
+            full = np.frombuffer(bits, np.uint8)
+            for at in (step, step + 1):
+                if (width := fold_width(at, percent)) > FOLD_BITS:
+                    out.append((gid, at, np.bitwise_xor.reduce(full.reshape(-1, width // 8), axis=0).view(np.int64)))
+        for part in (out[i:i + 256] for i in range(0, len(out), 256)):
+            yield pa.RecordBatch.from_arrays([
+                pa.array([x[0] for x in part], pa.int64()), pa.array([x[1] for x in part], pa.int64()),
+                pa.array([x[2] for x in part], pa.list_(pa.int64()))], ["gid", "step", "words"])
+
+
 class Join:
     """The written tables of one join."""
 
@@ -231,8 +254,16 @@ class Join:
         # Sizes of a link differ by less than one step, so a group meets its own and the next.
         step = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / self.percent)) + F.lit(1e-9))
         entries = written(entries.join(mixed, "token", "left_semi").join(fold, "gid").withColumn("step", step), "jaccard-mixed-entries")
-        x = entries.withColumn("step", F.explode(F.array("step", F.col("step") + 1))).alias("x")
-        y = entries.alias("y")
+        # Short bitmaps tell large sets apart no longer: from a size on, wider ones are compared as well.
+        large = entries.where(F.col("n") > FOLD_BITS).select("gid", "step").distinct()
+        wide = self.members.select("gid", "id").join(large, "gid").join(self.nodes.select("id", "bits"), "id").select(
+            "gid", "step", "bits").mapInArrow(partial(_folds, percent=self.percent), "gid long, step long, words array<long>")
+        wide = wide.select("gid", "step", F.posexplode("words").alias("i", "w")).groupBy("gid", "step", "i").agg(
+            F.bit_and("w").alias("a"), F.bit_or("w").alias("o"))
+        wide = wide.groupBy("gid", "step").agg(F.sort_array(F.collect_list(F.struct("i", "a", "o"))).alias("w"))
+        wide = written(wide.select("gid", "step", F.col("w.a").alias("wa"), F.col("w.o").alias("wo")), "jaccard-wide")
+        x = entries.withColumn("step", F.explode(F.array("step", F.col("step") + 1))).join(wide, ["gid", "step"], "left").alias("x")
+        y = entries.join(wide, ["gid", "step"], "left").alias("y")
         need = F.ceil(self.percent * (F.col("x.n") + F.col("y.n")) / (100 + self.percent))
         shared = (F.least("x.pos", "y.pos") + 1
                   + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) - 1)
@@ -240,7 +271,9 @@ class Join:
                        & ((F.col("x.n") < F.col("y.n")) | (F.col("x.n") == F.col("y.n")) & (F.col("x.gid") < F.col("y.gid")))
                        & (F.least("x.lo", "y.lo") < F.greatest("x.hi", "y.hi"))
                        & (F.col("x.n") >= need) & (shared >= need)
-                       & (_differing_bits() <= F.col("x.n") + F.col("y.n") - 2 * need)).select(
+                       & (_differing_bits() <= F.col("x.n") + F.col("y.n") - 2 * need)
+                       & (F.col("x.wa").isNull() | F.col("y.wa").isNull()
+                          | (_differing_words() <= F.col("x.n") + F.col("y.n") - 2 * need))).select(
             F.col("x.gid").alias("ga"), F.col("y.gid").alias("gb")).distinct()
         pairs = written(pairs, "jaccard-group-pairs")
         own = members.where("members > 1").join(groups.where("lo < hi").select("gid"), "gid", "left_semi")
@@ -256,11 +289,21 @@ class Join:
         # The second round's links join components: they are contracted as links between labels.
         for side in ("a", "b"):
             links = links.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"l{side}")), side, "left")
-        more = components(links.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
-        named = self.classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        links = links.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+        named = written(self.classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "jaccard-classified")
+        # An id with several texts is one document: the components of its texts are one.
+        several = self.sets.where("id IS NOT NULL AND n > 0").groupBy("id").agg(F.min("s1").alias("low"), F.max("s1").alias("high")).where("low < high")
+        own = self.sets.join(several.select("id"), "id", "left_semi").select("id", "s1", "s2", "n").distinct().join(named, ["s1", "s2", "n"])
+        least = own.groupBy("id").agg(F.min("label").alias("b"))
+        same = own.join(least, "id").select(F.col("label").alias("a"), "b")
+        more = components(links.unionByName(same))
         named = named.join(more.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left")
         named = written(named.select("s1", "s2", "n", F.coalesce("root", "label").alias("component_id")), "jaccard-named")
         rows = self.sets.select("id", "n", "s1", "s2").join(named, ["s1", "s2", "n"], "left")
+        # Rows without words go with the other rows of their id.
+        empty = rows.where("n > 0").groupBy("id").agg(F.min("component_id").alias("of_id"))
+        empty = empty.join(self.sets.where("n = 0").select("id").distinct(), "id", "left_semi")
+        rows = rows.join(empty, "id", "left").withColumn("component_id", F.coalesce("component_id", "of_id"))
         return rows.select("id", F.col("n").alias("n_shingles"), F.when(
             F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
 
@@ -271,6 +314,12 @@ def _differing_bits():
     return F.expr(" + ".join(f"bit_count((x.a{i} & ~y.o{i}) | (y.a{i} & ~x.o{i}))" for i in range(FOLD_BITS // 64)))
 
 
+def _differing_words():
+    """The same for the wide bitmaps."""
+    return F.expr("""aggregate(zip_with(zip_with(x.wa, y.wo, (p, q) -> p & ~q), zip_with(y.wa, x.wo, (p, q) -> p & ~q),
+                                       (p, q) -> bit_count(p | q)), 0, (s, b) -> s + b)""")
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 

@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from cellmart.llm import jaccard
 from cellmart.llm.components import components
 from cellmart.llm.jaccard import drop_near_copies, jaccard_components
 
@@ -114,6 +115,36 @@ def test_odd_rows_and_stage(spark):
     assert jaccard_components(df.where("doc_id > 50")).count() == 0
 
 
+def test_rows_of_one_id_are_one_document(spark):
+    a, b, c = ("a b c d e f g", "h i j k l m n", "o p q r s t")
+    rows = [(3, a), (5, a), (5, b), (9, b), (11, c), (9, ""), (12, ""), (None, c)]
+    got = {(r["doc_id"], r["n_shingles"]): r["component_id"]
+           for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(3, 4): 3, (5, 4): 3, (9, 4): 3, (9, 0): 3, (11, 3): 11, (12, 0): 12, (None, 3): None}
+
+
+def test_large_texts_with_a_common_half_make_no_pairs(spark, monkeypatch):
+    """The lists of the common half hold all texts; the wide bitmaps tell them apart within the join."""
+    rnd = random.Random(6)
+    common = [f"c{i}" for i in range(1100)]
+    texts = [[f"{d}-{rnd.random()}" for _ in range(900)] + common for d in range(30)]
+    texts += [t[:700] + [f"x{i}" for i in range(60)] + t[760:] for t in texts[:3]]
+    counts = {}
+    plain = jaccard.written
+
+    def counted(df, name):
+        out = plain(df, name)
+        counts[name] = counts.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"])
+           for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), k=5, percent=80).collect()}
+    assert got == brute(rows, 5, 80)
+    assert counts["jaccard-group-pairs"] <= 3
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(260, 7), (1, 159), (300, 300)]
     df = spark.createDataFrame(edges, "a long, b long")
