@@ -37,8 +37,8 @@ from .tables import written
 from .textkit import blocks, prefix_sums, span_hashes
 
 LEXICON_WORDS = 1 << 16
-CACHED_WORDS = 1 << 17
-FLUSH_WORDS = 1 << 17
+CACHED_WORDS = 1 << 14
+FLUSH_WORDS = 1 << 15
 SHORT_WORD = 64
 
 

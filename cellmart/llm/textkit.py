@@ -8,6 +8,7 @@ block of its own.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,15 +63,24 @@ def column_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[off[0]:off[-1]], off - off[0]
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def blocks(column, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Split a column into runs of rows of at most ``limit`` bytes (one row at least):
-    (first row, bytes, offsets)."""
+    (first row, bytes, offsets). Memory is given back after the last one."""
     data, off = column_bytes(column)
     row, n = 0, len(off) - 1
     while row < n:
         last = max(row + 1, int(np.searchsorted(off, off[row] + limit, "right")) - 1)
         yield row, data[off[row]:off[last]], off[row:last + 1] - off[row]
         row = last
+    release()
 
 
 def lower_ascii() -> np.ndarray:
