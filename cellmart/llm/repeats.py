@@ -351,7 +351,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     twice = shared.groupBy("gram", "window").agg(F.count("*").alias("n")).where("n > 1").select("gram", "window")
     across = shared.where("single").join(twice, ["gram", "window"], "left_semi").select("doc_id", "text_hash", "start", "end")
     found = ranges.where("gram IS NULL").select("doc_id", "text_hash", "start", "end").unionByName(across)
-    found = found.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    found = found.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
     return _by_document(rows, found, "left").select("doc_id", "text_hash", "n_bytes", "packed", "ranges").mapInArrow(
         _remove, f"doc_id {kind}, n_bytes long, n_removed long, removed array<struct<start:long,end:long>>, kept binary",
     ).withColumnRenamed("doc_id", id_col)
