@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from cellmart.plans import devices, loads, subscribers, usage
+from cellmart.plans import devices, ledger, loads, subscribers, usage
 from cellmart.sinks import writers
 
 
@@ -53,7 +53,7 @@ def monthly_close(spark: SparkSession, t: CloseTables, as_of: dt.date, record_ts
     base = subscribers.subscriber_base(spark.read.parquet(t.daily_base), spark.read.parquet(t.legacy_base), as_of)
     writers.replace_partitions(base.withColumn("record_ts", F.lit(record_ts)), t.base, ["agg_mth"])
 
-    use = spark.read.parquet(t.usage)
+    use = ledger.read_loaded(spark, t.usage)
     dev = spark.read.parquet(t.devices)
     # The month's history replaces itself when the close runs again.
     writers.replace_partitions(devices.best_device_history(use, dev, as_of, record_ts), t.device_history, ["MONTH_ID"])

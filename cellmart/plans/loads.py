@@ -1,17 +1,18 @@
 """Loads: landing files -> staging -> final tables, reference refreshes, the cell dimension
 upsert, key backfills, staging copies and the monthly close sequence.
 
-Each load is a scan with a declared schema, column expressions, and one write. Tables are
-parquet folders partitioned by their date column (``call_date`` / ``month_date``), which is
-what the readers filter on, so a period read lists and scans only its partition folders.
+Each load is a scan with a declared schema, column expressions, and one write. Usage loads append:
+a ledger (``plans/ledger``) says which landed files are in the table, so a later file of a loaded day
+or month adds its rows and none is taken twice. Tables are parquet folders partitioned by their date column
+(``call_date`` / ``month_date``) and load; a period read lists and scans only its partition folders.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +21,10 @@ from cellmart.functions.calendar import date_from_day_key, month_start, month_st
 from cellmart.functions.text import trim_ws
 from cellmart.operators import quality
 from cellmart.operators.changes import conditional_update, stamp_missing, upsert
+from cellmart.plans import ledger
 from cellmart.session import scratch_path
 from cellmart.sinks import writers
+from cellmart.sinks.snapshots import Snapshots
 from cellmart.sources.delimited import read_delimited
 from cellmart.sources.files import count_files, manifest_counts
 
@@ -31,13 +34,13 @@ MONTHLY_COLUMNS = ["month_date", "month_id"] + schemas.USAGE_COLUMNS + ["record_
 MONTHLY_CLUSTER = ["msisdn", "imei", "imsi"]
 
 
-def staged_daily(spark: SparkSession, landing_glob: str, sep: str = "|") -> DataFrame:
+def staged_daily(spark: SparkSession, paths: str | Sequence[str], sep: str = "|") -> DataFrame:
     """Daily staging scan: declared 60-column layout, header skipped, FAILFAST."""
-    return read_delimited(spark, landing_glob, schemas.DAILY_STAGING, sep=sep)
+    return read_delimited(spark, paths, schemas.DAILY_STAGING, sep=sep)
 
 
-def staged_monthly(spark: SparkSession, landing_glob: str, sep: str = "|") -> DataFrame:
-    return read_delimited(spark, landing_glob, schemas.MONTHLY_STAGING, sep=sep)
+def staged_monthly(spark: SparkSession, paths: str | Sequence[str], sep: str = "|") -> DataFrame:
+    return read_delimited(spark, paths, schemas.MONTHLY_STAGING, sep=sep)
 
 
 def daily_final_rows(staging: DataFrame, record_ts) -> DataFrame:
@@ -64,28 +67,37 @@ def export_final_rows(staging: DataFrame, record_ts) -> DataFrame:
     return stamp_missing(out, "record_ts", record_ts)
 
 
-def load_monthly_export(spark: SparkSession, landing_glob: str, table_path: str, record_ts) -> None:
-    """Comma-delimited monthly export into the temp table (created when absent); the months of the
-    export replace what the table has of them."""
-    rows = export_final_rows(staged_monthly(spark, landing_glob, sep=","), record_ts)
-    writers.replace_partitions(rows, table_path, ["month_date"], MONTHLY_COLUMNS, MONTHLY_CLUSTER)
-
-
-def load_daily(spark: SparkSession, landing_glob: str, table_path: str, record_ts, sep: str = "|") -> None:
-    """Daily usage load: the landed days replace their partitions of the final table, so a load that
-    runs again does not double them."""
-    rows = daily_final_rows(staged_daily(spark, landing_glob, sep), record_ts)
-    writers.replace_partitions(rows, table_path, ["call_date"], DAILY_COLUMNS)
+def load_monthly_export(spark: SparkSession, landing: str, table_path: str, record_ts, glob: str = "*.gz") -> ledger.LoadReport:
+    """New files of the comma-delimited monthly export appended to the temp table."""
+    return ledger.load_new(
+        spark, landing, glob, table_path, record_ts,
+        lambda paths: export_final_rows(staged_monthly(spark, paths, sep=","), record_ts),
+        partition_by=["month_date"], columns=MONTHLY_COLUMNS, cluster_by=MONTHLY_CLUSTER, measure="home_mo_count")
+
+
+def load_daily(spark: SparkSession, landing: str, table_path: str, record_ts, sep: str = "|", glob: str = "*.gz",
+               archive: str | None = None) -> ledger.LoadReport:
+    """Daily usage load: the rows of files that landed since the last load are appended to their days;
+    loaded files are moved to ``archive`` after the commit."""
+    report = ledger.load_new(
+        spark, landing, glob, table_path, record_ts,
+        lambda paths: daily_final_rows(staged_daily(spark, paths, sep), record_ts),
+        partition_by=["call_date"], columns=DAILY_COLUMNS, measure="home_mo_count")
+    if archive:
+        ledger.archive_loaded(spark, landing, glob, table_path, archive)
+    return report
 
 
-def load_monthly(spark: SparkSession, landing_glob: str, table_path: str, record_ts,
-                 sep: str = "|") -> int:
-    """Monthly usage load: the landed months replace their partitions. Returns the number of rows
-    written (observed during the write, so the files are parsed once)."""
-    rows = monthly_final_rows(staged_monthly(spark, landing_glob, sep), record_ts)
-    rows, obs = quality.observed_count(rows)
-    writers.replace_partitions(rows, table_path, ["month_date"], MONTHLY_COLUMNS, MONTHLY_CLUSTER)
-    return int(obs.get["rows"])
+def load_monthly(spark: SparkSession, landing: str, table_path: str, record_ts, sep: str = "|", glob: str = "*.gz",
+                 archive: str | None = None) -> ledger.LoadReport:
+    """Monthly usage load: as ``load_daily``, by month."""
+    report = ledger.load_new(
+        spark, landing, glob, table_path, record_ts,
+        lambda paths: monthly_final_rows(staged_monthly(spark, paths, sep), record_ts),
+        partition_by=["month_date"], columns=MONTHLY_COLUMNS, cluster_by=MONTHLY_CLUSTER, measure="home_mo_count")
+    if archive:
+        ledger.archive_loaded(spark, landing, glob, table_path, archive)
+    return report
 
 
 @dataclass
@@ -93,7 +105,7 @@ class MonthlyLoadReport:
     month: str
     files: int
     rows_before: int       # rows of the other months, before the load
-    rows_loaded: int       # rows staged for the month
+    rows_loaded: int       # rows of the month: loaded before and by this load
     rows_expected: int     # what the manifests say
     rows_after: int        # rows of the table, after the load
 
@@ -107,36 +119,42 @@ def monthly_load_with_checks(spark: SparkSession, *, landing_dir: str, month: st
                              name_glob: str = "*") -> MonthlyLoadReport:
     """File gate -> staging -> reconciliation with the manifest -> publish, for one month.
 
-    The files are parsed into a staging folder. Only when its rows are the manifest's number and
-    all of the month does it replace the month's partition, so a failed check leaves the table as it was
-    and a repeated load does not double it. ``name_glob`` and the month in a file's name say which files
-    the gate counts."""
+    The month's new files are parsed into a staging folder. Only when the month's rows, with those loaded
+    before, are the manifest's number and all of the month are they appended, so a failed check leaves
+    the table as it was and a repeated load adds nothing. ``name_glob`` and the month in a file's name say
+    which files the gate counts."""
     files = quality.require_files(count_files(spark, landing_dir, name_glob, recursive=True, contains=month), min_files)
     expected = int(manifest_counts(spark, f"{landing_dir}/{manifest_glob}").agg(F.sum("expected_rows")).head()[0] or 0)
-    staging = scratch_path(spark, f"staged-{month}")
-    loaded = load_monthly(spark, f"{landing_dir}/{data_glob}", staging, record_ts)
-    if loaded != expected:
-        raise quality.GateError(f"{loaded} rows landed for {month}, the manifest says {expected}; nothing was published")
-    staged = spark.read.parquet(staging)
-    if other := staged.filter(F.col("month_id") != int(month)).count():
-        raise quality.GateError(f"{other} landed rows are not of month {month}; nothing was published")
-    before = _count(spark, table_path, F.col("month_id") != int(month))
-    writers.replace_partitions(staged, table_path, ["month_date"], MONTHLY_COLUMNS, MONTHLY_CLUSTER)
-    report = MonthlyLoadReport(month, files, before, loaded, expected, _count(spark, table_path))
+    here, _, glob = data_glob.rpartition("/")
+    new = ledger.new_files(spark, f"{landing_dir}/{here}".rstrip("/"), glob, table_path).collect()
+    earlier, others = _loaded(spark, table_path, int(month))
+    loaded = 0
+    if new:
+        staging = scratch_path(spark, f"staged-{month}")
+        rows, seen = quality.observed_count(monthly_final_rows(staged_monthly(spark, [f["path"] for f in new]), record_ts))
+        writers.append(rows, staging, MONTHLY_COLUMNS)
+        loaded = int(seen.get["rows"])
+    if earlier + loaded != expected:
+        raise quality.GateError(f"{earlier + loaded} rows landed for {month}, the manifest says {expected}; nothing was published")
+    if new:
+        staged = spark.read.parquet(staging)
+        if wrong := staged.filter(~F.col("month_id").eqNullSafe(int(month))).count():
+            raise quality.GateError(f"{wrong} landed rows are not of month {month}; nothing was published")
+        ledger.publish(spark, staged, new, table_path, record_ts, partition_by=["month_date"], columns=MONTHLY_COLUMNS,
+                       cluster_by=MONTHLY_CLUSTER, measure="home_mo_count")
+    report = MonthlyLoadReport(month, files, others, earlier + loaded, expected, sum(_loaded(spark, table_path, int(month))))
     if not report.ok:
-        raise quality.GateError(f"the table has {report.rows_after} rows, {before} + {loaded} were to be there")
+        raise quality.GateError(f"the table has {report.rows_after} rows, {others} + {earlier} + {loaded} were to be there")
     return report
 
 
-def _count(spark: SparkSession, path: str, predicate: Column | None = None) -> int:
-    """Rows of a table; a table that does not exist yet has none. Any other failure is raised."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return 0
-        raise
-    return (df if predicate is None else df.filter(predicate)).count()
+def _loaded(spark: SparkSession, path: str, month: int) -> tuple[int, int]:
+    """Committed rows of the month and of all others; none before the first load."""
+    if ledger.ledger(spark, path).isEmpty():
+        return 0, 0
+    own = F.count(F.when(F.col("month_id") == month, 1)).alias("own")
+    own, rows = ledger.read_loaded(spark, path).agg(own, F.count(F.lit(1)).alias("rows")).head()
+    return own, rows - own
 
 
 def reference_refresh(source: DataFrame, table_path: str, record_ts, *, keep: Column | None = None,
@@ -169,6 +187,17 @@ def key_backfill_monthly(df: DataFrame, from_month: int) -> DataFrame:
     return conditional_update(df, F.col("month_id") >= F.lit(from_month), {"msisdn": trim_ws("msisdn")})
 
 
+def backfill_keys(tables: Snapshots, since: dt.date, from_month: int) -> int:
+    """The key backfill on the stored tables, daily then monthly, as one rewrite: both change or neither.
+    Only partitions that hold a row under the condition are written again."""
+    daily, monthly = tables.read("daily"), tables.read("monthly")
+    days = daily.filter(F.to_date("record_ts") > F.lit(since)).select("call_date").distinct()
+    months = monthly.filter(F.col("month_id") >= F.lit(from_month)).select("month_date").distinct()
+    return tables.rewrite({
+        "daily": (key_backfill_daily(daily.join(days, "call_date", "left_semi"), since), ["call_date"]),
+        "monthly": (key_backfill_monthly(monthly.join(months, "month_date", "left_semi"), from_month), ["month_date"])})
+
+
 def staging_copy(spark: SparkSession, staging: DataFrame, columns, target_path: str) -> DataFrame:
     """Explicit projection of a staging table appended to a temp table (created if absent)."""
     writers.append(staging.select(*columns), target_path)

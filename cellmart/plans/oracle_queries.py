@@ -421,7 +421,7 @@ SELECT {", ".join(_cell_column(*column) for column in CELL74)}, record_ts FROM m
 
 _PADDED = """,
 padded AS (
-  SELECT month_id, date_of_call, imei, imsi,
+  SELECT month_id, month_date, date_of_call, call_date, imei, imsi,
          CASE WHEN work_mo_count % 2 = 0 THEN ' ' || msisdn || chr(9) ELSE msisdn END AS msisdn,
          CAST(call_date + 1 AS TIMESTAMP) AS record_ts
   FROM usage
@@ -524,6 +524,34 @@ ORACLES["daily_usage_load"] = with_roles(["usage"], _LOADED.format(
     key="call_date, date_of_call",
     columns="exbr_account_num, home_mo_count, work_mo_count, home_mo_duration_secs, home_data_out_volume_kb"))
 
+# Every delivered row once, whichever delivery it came in; numbers are blank on some rows.
+ORACLES["daily_load_twice"] = ORACLES["daily_usage_load"].replace(
+    trim_ws("' ' || msisdn") + " AS msisdn", "CASE WHEN work_mo_count <> 3 THEN " + trim_ws("' ' || msisdn") + " END AS msisdn")
+
+ORACLES["load_audit"] = with_roles(["usage"], """,
+per AS (
+  SELECT CASE WHEN exbr_account_num % 40 = 0 THEN 2 ELSE 1 END AS load_number, count(*) AS rows_loaded,
+         count(*) FILTER (work_mo_count = 3) AS null_keys, CAST(sum(home_mo_count) AS BIGINT) AS home_mo_count
+  FROM usage GROUP BY 1)
+SELECT CAST(p.load_number AS BIGINT) AS load_number, CAST(coalesce(sum(e.rows_loaded), 0) AS BIGINT) AS rows_before, p.rows_loaded,
+       CAST(coalesce(sum(e.rows_loaded), 0) + p.rows_loaded AS BIGINT) AS rows_after, p.null_keys, p.home_mo_count,
+       TIMESTAMP '2001-08-15 06:00:00' AS record_ts
+FROM per p LEFT JOIN per e ON e.load_number < p.load_number
+GROUP BY p.load_number, p.rows_loaded, p.null_keys, p.home_mo_count""")
+
+ORACLES["landing_archive"] = with_roles(["usage"], """
+SELECT month_id, CASE WHEN month_id <= 200107 THEN 'archive' ELSE 'landing' END AS place,
+       count(*) FILTER (month_id <= 200107) AS rows_loaded
+FROM usage GROUP BY month_id""")
+
+ORACLES["backfill_stored"] = with_roles(["usage"], _PADDED + f"""
+SELECT 'daily' AS table_name, call_date AS period, imei, imsi,
+       CASE WHEN CAST(record_ts AS DATE) > DATE '2000-07-12' THEN {trim_ws('msisdn')} ELSE msisdn END AS msisdn
+FROM padded
+UNION ALL
+SELECT 'monthly', month_date, imei, imsi, CASE WHEN month_id >= 200001 THEN {trim_ws('msisdn')} ELSE msisdn END
+FROM padded""")
+
 ORACLES["period_cursor"] = with_roles(["usage"], """,
 m AS (SELECT max(month_id) AS m FROM usage),
 nxt AS (SELECT strftime(CAST(strptime(CAST(m AS VARCHAR), '%Y%m') AS DATE) + INTERVAL 1 MONTH, '%Y%m') AS next_month FROM m)

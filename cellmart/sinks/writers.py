@@ -8,6 +8,7 @@ within partitions. Every write is one Spark job, so a lost executor only re-runs
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 
 from cellmart.functions.calendar import lit_date
 
+# Fixed value: the folder of rows without a partition date. They never expire.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _layout(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]):
     if partition_by:
@@ -91,13 +95,19 @@ def write_text(df: DataFrame, path: str, columns: Sequence[str], sep: str = ",",
     w.text(path)
 
 
-def expire_partitions(spark: SparkSession, path: str, kept_path: str, date_col: str, ttl_days: int, as_of) -> DataFrame:
-    """The next version of a table without its expired partitions, written to ``kept_path``. Expired
-    partitions are pruned, not read; the old version stays until the caller drops it, so a
-    failed run loses nothing."""
-    table = spark.read.parquet(path)
-    refresh(retain(table, date_col, ttl_days, as_of), kept_path, [date_col])
-    return spark.read.schema(table.schema).parquet(kept_path)
+def expire_partitions(spark: SparkSession, path: str, date_col: str, ttl_days: int, as_of) -> list[str]:
+    """Drop the folders of expired date partitions; returns their dates. Only folder names are read: no row
+    of the table is read or rewritten, and a run that broke is finished by the next one."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    last = (as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(str(as_of)[:10])) - dt.timedelta(days=ttl_days)
+    gone = []
+    for status in fs.globStatus(hadoop.Path(f"{path.rstrip('/')}/{date_col}=*")):
+        value = status.getPath().getName().split("=", 1)[1]
+        if value != NULL_PARTITION and dt.date.fromisoformat(value) <= last:
+            fs.delete(status.getPath(), True)
+            gone.append(value)
+    return sorted(gone)
 
 
 def retain(df: DataFrame, date_col: str, ttl_days: int, as_of) -> DataFrame:

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def list_files(spark: SparkSession, directory: str, glob: str = "*", recursive: bool = False,
-               contains: str | None = None) -> DataFrame:
-    """Paths (and sizes) of files matching ``glob`` below ``directory``; with ``contains``, only
+               contains: str | None = None, columns: Sequence[str] = ("path", "length")) -> DataFrame:
+    """Paths and sizes (or other ``columns`` of file metadata) of files matching ``glob`` below ``directory``; with ``contains``, only
     files whose own name holds that marker, not as part of a longer number (a folder named
     like the month, or a day of it, does not count). Only file metadata is read: the ``binaryFile`` source is pruned to ``path`` /
     ``length``, so no content is loaded. Hidden files (``_SUCCESS``, ``.crc``) and empty
     (zero-byte) files are not counted."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", str(recursive).lower()).load(directory)
-             .select("path", "length"))
+             .select(*columns))
     if not contains:
         return files
     name = F.element_at(F.split("path", "/"), -1)

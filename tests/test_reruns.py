@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from cellmart import schemas, session
 from cellmart.operators.changes import update_from, upsert
 from cellmart.operators.quality import GateError
-from cellmart.plans import loads, oracle_queries, roles, usage
+from cellmart.plans import ledger, loads, oracle_queries, roles, usage
 from cellmart.sinks import writers
 from cellmart.sources.delimited import read_delimited
 from cellmart.sources.files import count_files
@@ -50,12 +50,13 @@ def test_a_refused_load_leaves_no_rows_and_a_repeated_one_no_doubles(spark, tmp_
     assert spark.read.parquet(table).count() == 3
 
 
-def test_count_raises_on_broken_files(spark, tmp_path):
-    assert loads._count(spark, str(tmp_path / "absent")) == 0
-    (tmp_path / "broken").mkdir()
-    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"PAR1 no parquet PAR1")
-    with pytest.raises(Exception, match="FOOTER|footer"):
-        loads._count(spark, str(tmp_path / "broken"))
+def test_a_broken_ledger_is_an_error_and_an_absent_one_is_empty(spark, tmp_path):
+    assert ledger.ledger(spark, str(tmp_path / "absent")).count() == 0
+    folder = tmp_path / "broken__ledger"
+    folder.mkdir()
+    (folder / "part-0.parquet").write_bytes(b"PAR1 no parquet PAR1")
+    with pytest.raises(Exception, match="FOOTER|footer|parquet"):
+        ledger.ledger(spark, str(tmp_path / "broken")).collect()
 
 
 def test_gate_counts_file_names_of_the_month_only(spark, tmp_path):
@@ -113,9 +114,13 @@ def test_upsert_does_not_shuffle_the_target(spark):
 def test_expired_partitions_go(spark, tmp_path):
     days = spark.createDataFrame([(dt.date(2024, 1, d), d) for d in (1, 5, 9)], "day date, v int")
     writers.append(days, str(tmp_path / "t"), partition_by=["day"])
-    kept = writers.expire_partitions(spark, str(tmp_path / "t"), str(tmp_path / "kept"), "day", 5, dt.date(2024, 1, 9))
-    assert sorted(r["v"] for r in kept.collect()) == [5, 9]
-    assert not os.path.exists(tmp_path / "kept" / "day=2024-01-01")
+    writers.append(spark.createDataFrame([(None, 0)], "day date, v int"), str(tmp_path / "t"), partition_by=["day"])
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "t").glob("day=2024-01-0[59]/*.parquet")}
+    assert writers.expire_partitions(spark, str(tmp_path / "t"), "day", 5, dt.date(2024, 1, 9)) == ["2024-01-01"]
+    assert sorted(r["v"] for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [0, 5, 9]
+    # The kept files are the same ones, and a second run finds nothing.
+    assert files == {f: f.stat().st_mtime_ns for f in (tmp_path / "t").glob("day=2024-01-0[59]/*.parquet")}
+    assert writers.expire_partitions(spark, str(tmp_path / "t"), "day", 5, dt.date(2024, 1, 9)) == []
 
 
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
