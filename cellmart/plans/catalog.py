@@ -608,6 +608,17 @@ def q_site_usage(spark, d):
     return network.site_usage(roles.usage(spark, d), roles.cells(spark, d))
 
 
+@register("site_usage_clustered")
+def q_site_usage_clustered(spark, d):
+    """The site mart stored by month in buckets of its site, then read and joined to the sites by bucket."""
+    cells = roles.cells(spark, d)
+    sites = cells.groupBy("site_id").agg(F.min("latitude").alias("latitude"), F.min("longitude").alias("longitude"))
+    path = scratch_path(spark, "site_usage")
+    stored = network.store_site_usage(network.site_usage(roles.usage(spark, d), cells), sites, "site_usage_" + path[-12:], path)
+    return network.monthly_site_totals(*stored).select(
+        "month_date", "site_id", F.col("latitude").cast("double"), F.col("longitude").cast("double"), "mart_rows", "calls_4g")
+
+
 @register("protocol_site_usage")
 def q_protocol_site_usage(spark, d):
     return network.protocol_site_usage(roles.usage(spark, d), roles.cells(spark, d), roles.devices(spark, d),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cellmart.functions.calendar import trailing_whole_months
 from cellmart.operators.joins import attribute_join, prefix_join
 from cellmart.plans.usage import tech_of_cell
+from cellmart.sinks import writers
 
 DASHBOARD_COLUMNS = [
     "call_date", "date_of_call", "msisdn", "exbr_account_num", "imei", "imsi", "first_cell_data_id",
@@ -78,6 +79,25 @@ def site_usage(usage_dly: DataFrame, cells: DataFrame) -> DataFrame:
     return sums.groupBy(*keys).agg(*_spread(_PLAIN))
 
 
+#: Buckets of the stored site marts and of the site dimension that is joined to them.
+SITE_BUCKETS = 16
+
+
+def store_site_usage(mart: DataFrame, sites: DataFrame, table: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """The site mart stored by month and clustered by site, and the site dimension in the same buckets."""
+    mart = mart.withColumn("month_date", F.trunc("call_date", "MM"))
+    return (writers.store_clustered(mart, table, f"{path}/mart", ["month_date"], "site_id", SITE_BUCKETS, ["call_date", "msisdn"]),
+            writers.store_clustered(sites.withColumn("layer", F.lit("site")), f"{table}_sites", f"{path}/sites", ["layer"], "site_id", SITE_BUCKETS))
+
+
+def monthly_site_totals(mart: DataFrame, sites: DataFrame) -> DataFrame:
+    """Per month and site of the stored mart: its place, rows and 4G calls. Join and group run within the
+    buckets."""
+    j = mart.join(sites, "site_id")
+    return j.groupBy("month_date", "site_id", "latitude", "longitude").agg(
+        F.count(F.lit(1)).alias("mart_rows"), F.sum("TOTAL_CALLS_4G").alias("calls_4g"))
+
+
 def protocol_site_usage(usage_mth: DataFrame, cells: DataFrame, devices: DataFrame,
                         subscribers: DataFrame) -> DataFrame:
     """Per month x site x subscriber x handset: totals by technology, handset attributes and

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cellmart import schemas
 from cellmart.operators.quality import GateError
-from cellmart.plans import ledger, loads
+from cellmart.plans import ledger, loads, network
 from cellmart.sinks import writers
 from cellmart.sinks.snapshots import Snapshots
 
@@ -123,3 +123,27 @@ def test_retention_by_snapshot_reads_and_writes_no_rows(spark, tmp_path):
     assert sorted((tmp_path / "base").rglob("*.parquet")) == files
     assert tables.expire("t", 5, dt.date(2024, 1, 9)) == []
     assert tables.expire("t", 0, dt.date(2024, 2, 1)) and tables.read("t").count() == 0
+
+
+def test_clustered_site_mart_opens_one_bucket_and_joins_without_exchange(spark, tmp_path):
+    rows = spark.range(4000).selectExpr(
+        "date_add(DATE'2001-06-01', cast(id % 60 AS int)) AS call_date", "cast(id % 97 AS string) AS site_id",
+        "cast(id AS string) AS msisdn", "id % 7 AS TOTAL_CALLS_4G")
+    sites = spark.range(97).selectExpr("cast(id AS string) AS site_id", "1.5D AS latitude", "2.5D AS longitude")
+    mart, dim = network.store_site_usage(rows, sites, "site_mart_test", str(tmp_path / "t"))
+    months = list((tmp_path / "t" / "mart").glob("month_date=*"))
+    assert len(months) == 2 and all(len(list(m.glob("*.parquet"))) <= network.SITE_BUCKETS for m in months)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        one = mart.filter("month_date = DATE'2001-06-01' AND site_id = '13'")
+        assert "SelectedBucketsCount: 1 out of 16" in one._jdf.queryExecution().executedPlan().toString()
+        total = network.monthly_site_totals(mart, dim)
+        got = total.collect()
+        assert "Exchange" not in total._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert sum(r["mart_rows"] for r in got) == 4000 and len(got) == 2 * 97
+    assert sum(r["calls_4g"] for r in got) == sum(i % 7 for i in range(4000))
