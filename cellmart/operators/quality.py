@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 class GateError(ValueError):
@@ -51,6 +52,26 @@ def reconcile(before: DataFrame, after: DataFrame, expected: DataFrame | int) ->
                       (loaded == F.col("rows_expected")).alias("ok"))
 
 
+class LayoutDrift(GateError):
+    """An extract does not have its declared layout; ``drift`` says where."""
+
+    def __init__(self, drift: list[tuple[str, str, str | None, str | None]]):
+        super().__init__("; ".join(f"{column} {problem}: declared {declared}, found {found}" for column, problem, declared, found in drift))
+        self.drift = drift
+
+
+def layout_drift(found: StructType, declared: StructType) -> list[tuple[str, str, str | None, str | None]]:
+    """(column, problem, declared type, found type) of columns that are missing, added or retyped. Order and
+    nullability are free; a timestamp may stand for a date, which the load narrows."""
+    have = {f.name: f.dataType.simpleString() for f in found}
+    want = {f.name: f.dataType.simpleString() for f in declared}
+    out = [(c, "missing", t, None) for c, t in want.items() if c not in have]
+    out += [(c, "added", None, t) for c, t in have.items() if c not in want]
+    narrows = {("date", "timestamp"), ("date", "timestamp_ntz")}
+    out += [(c, "retyped", t, have[c]) for c, t in want.items() if c in have and have[c] != t and (t, have[c]) not in narrows]
+    return sorted(out, key=lambda x: x[:2])
+
+
 def observed_count(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     """Attach a row-count metric that is filled in when the DataFrame is written."""
     obs = Observation(name)

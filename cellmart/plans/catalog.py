@@ -341,11 +341,44 @@ def q_full_refresh(spark, d):
     src = roles.products2(spark, d)
     path = scratch_path(spark, "ref_product2")
     writers.refresh(src.withColumn("record_ts", F.lit(INITIAL_TS)), path)   # the stale content
-    loads.reference_refresh(src, path, LOAD_TS, keep=F.col("product_line") == "BT Mobile",
-                            date_cols=("start_date", "end_date"))
+    loads.declared_refresh(src, schemas.PRODUCT2_EXTRACT, path, LOAD_TS, keep=F.col("product_line") == "BT Mobile")
     return spark.read.parquet(path)
 
 
+@register("device_refresh")
+def q_device_refresh(spark, d):
+    path = scratch_path(spark, "ref_device")
+    loads.declared_refresh(roles.devices(spark, d), schemas.DEVICE_EXTRACT, path, LOAD_TS)
+    return spark.read.parquet(path)
+
+
+@register("product_refresh")
+def q_product_refresh(spark, d):
+    """The first catalogue; its dates come as datetimes and are narrowed."""
+    path = scratch_path(spark, "ref_product")
+    src = roles.products(spark, d)
+    src = src.withColumns({c: F.col(c).cast("timestamp") for c in ("effective_date", "expiration_date")})
+    loads.declared_refresh(src, schemas.PRODUCT_EXTRACT, path, LOAD_TS)
+    return spark.read.parquet(path)
+
+
+@register("refresh_drift")
+def q_refresh_drift(spark, d):
+    """A device extract with one column renamed and one retyped is refused: the drift, and the rows that
+    the table has after it (those of the refresh before)."""
+    path = scratch_path(spark, "ref_device")
+    devices_ = roles.devices(spark, d)
+    loads.declared_refresh(devices_, schemas.DEVICE_EXTRACT, path, LOAD_TS)
+    changed = devices_.withColumnRenamed("model", "model_name").withColumn("tac", F.col("tac").cast("long"))
+    try:
+        loads.declared_refresh(changed.limit(1), schemas.DEVICE_EXTRACT, path, LOAD_TS)
+        drift = []
+    except quality.LayoutDrift as refused:
+        drift = refused.drift
+    kept = spark.read.parquet(path).count()
+    return spark.createDataFrame([(*x, kept) for x in drift], "column_name string, problem string, declared string, found string, rows_kept long")
+
+
 DELIVERIES_REQUIRED = 5
 
 

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cellmart import schemas
 from cellmart.functions.calendar import date_from_day_key, month_start, month_start_datetime
@@ -169,6 +170,15 @@ def reference_refresh(source: DataFrame, table_path: str, record_ts, *, keep: Co
     writers.refresh(stamp_missing(df, "record_ts", record_ts), table_path)
 
 
+def declared_refresh(source: DataFrame, declared: StructType, table_path: str, record_ts, *, keep: Column | None = None) -> None:
+    """Full refresh of an extract with a declared layout. Missing, added or retyped columns refuse it
+    before anything is written; columns are taken by name, datetimes narrowed to declared dates."""
+    if drift := quality.layout_drift(source.schema, declared):
+        raise quality.LayoutDrift(drift)
+    dates = [f.name for f in declared if f.dataType.simpleString() == "date"]
+    reference_refresh((source if keep is None else source.filter(keep)).select(*declared.fieldNames()), table_path, record_ts, date_cols=dates)
+
+
 def cell_upsert(spark: SparkSession, dim: DataFrame, landing_glob: str, staging_path: str, stamp, sep: str = "|") -> DataFrame:
     """Cell dimension upsert (keyed on ``cell_data_id``): the landed feed in its 74-column layout replaces
     the staging table, which is then merged into the dimension."""

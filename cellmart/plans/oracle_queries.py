@@ -501,6 +501,13 @@ SELECT curr_product_code, start_date, end_date, mobile_data_speed, product_group
        mobile_service_type, product_line, TIMESTAMP '2001-08-15 06:00:00' AS record_ts
 FROM products2 WHERE product_line = 'BT Mobile'""")
 
+ORACLES["device_refresh"] = with_roles(["devices"], "SELECT *, TIMESTAMP '2001-08-15 06:00:00' AS record_ts FROM devices")
+ORACLES["product_refresh"] = with_roles(["products"], "SELECT *, TIMESTAMP '2001-08-15 06:00:00' AS record_ts FROM products")
+ORACLES["refresh_drift"] = """
+SELECT column_name, problem, declared, found, (SELECT count(*) FROM part) AS rows_kept
+FROM (VALUES ('model', 'missing', 'string', NULL), ('model_name', 'added', NULL, 'string'),
+             ('tac', 'retyped', 'string', 'bigint')) v(column_name, problem, declared, found)"""
+
 ORACLES["file_gate"] = with_roles(["usage"], """,
 d AS (SELECT DISTINCT month_id, exbr_account_num % (3 + month_id % 4) AS delivery FROM usage)
 SELECT month_id, count(*) AS files, CAST(5 AS BIGINT) AS minimum, count(*) >= 5 AS ok FROM d GROUP BY month_id""")

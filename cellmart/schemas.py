@@ -80,3 +80,17 @@ CELL74 = [
 ]
 
 CELL_FEED = struct(CELL74)
+
+
+def _texts(names: str) -> list:
+    return [(n, "string") for n in names.split()]
+
+
+# Declared layouts of the reference extracts.
+DEVICE_EXTRACT = struct(_texts("tac marketing_name manufacturer model protocol device_type volte_flag vowifi_flag"))
+PRODUCT_EXTRACT = struct(
+    _texts("product_code protocol product_rollup base_type product_group product_description base_type_level1 product_type brand")
+    + [("effective_date", "date"), ("expiration_date", "date")])
+PRODUCT2_EXTRACT = struct(
+    _texts("curr_product_code") + [("start_date", "date"), ("end_date", "date")]
+    + _texts("mobile_data_speed product_group product_name mobile_service_type product_line"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellmart import schemas
-from cellmart.operators.quality import GateError
+from cellmart.operators.quality import GateError, LayoutDrift, layout_drift
 from cellmart.plans import ledger, loads, network
 from cellmart.sinks import writers
 from cellmart.sinks.snapshots import Snapshots
@@ -147,3 +147,15 @@ def test_clustered_site_mart_opens_one_bucket_and_joins_without_exchange(spark,
         spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
     assert sum(r["mart_rows"] for r in got) == 4000 and len(got) == 2 * 97
     assert sum(r["calls_4g"] for r in got) == sum(i % 7 for i in range(4000))
+
+
+def test_layout_drift_refuses_a_refresh(spark, tmp_path):
+    good = spark.createDataFrame([("x",) * 8], schemas.DEVICE_EXTRACT)
+    loads.declared_refresh(good, schemas.DEVICE_EXTRACT, str(tmp_path / "t"), TS)
+    for bad in (good.drop("tac"), good.withColumn("more", F.lit(1)), good.withColumn("tac", F.lit(1))):
+        with pytest.raises(LayoutDrift):
+            loads.declared_refresh(bad, schemas.DEVICE_EXTRACT, str(tmp_path / "t"), TS)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1
+    dates = spark.createDataFrame([("c", TS, None)], "product_code string, effective_date timestamp, expiration_date timestamp")
+    drift = {x[0] for x in layout_drift(dates.schema, schemas.PRODUCT_EXTRACT)}
+    assert "effective_date" not in drift and "brand" in drift
