@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cellmart import schemas
 from cellmart.operators.quality import GateError
-from cellmart.plans import roles
+from cellmart.plans import close, roles
 from cellmart.plans.close import CloseTables, monthly_close
 from cellmart.sinks import writers
 
@@ -59,3 +59,34 @@ def test_monthly_close_gate(spark, tmp_path):
     with pytest.raises(GateError):
         monthly_close(spark, t, AS_OF, TS, min_files=102, data_glob="EE_USAGE_200107/*.csv.gz",
                       manifest_glob="EE_200107_HASH/*.txt")
+
+
+def test_a_close_that_breaks_goes_on_at_the_step_that_broke(spark, tmp_path, monkeypatch):
+    t, n = _setup(spark, tmp_path)
+    calls = []
+
+    def run(broken=None):
+        with monkeypatch.context() as m:
+            for step, owner, name in (("load", close.loads, "monthly_load_with_checks"), ("base", close.subscribers, "subscriber_base"),
+                                      ("history", close.devices, "best_device_history"), ("mart", close.usage, "publish_and_flag")):
+                plain = getattr(owner, name)
+
+                def work(*args, step=step, plain=plain, **kwargs):
+                    calls.append(step)
+                    if step == broken:
+                        raise RuntimeError(step)
+                    return plain(*args, **kwargs)
+
+                m.setattr(owner, name, work)
+            return monthly_close(spark, t, AS_OF, TS, min_files=3, data_glob="EE_USAGE_200107/*.csv.gz",
+                                 manifest_glob="EE_200107_HASH/*.txt", journal=str(tmp_path / "journal"))
+
+    for step in close.STEPS:
+        with pytest.raises(RuntimeError, match=step):
+            run(step)
+    out = run()
+    # Each step ran once to its end, and was tried once before.
+    assert calls == [s for step in close.STEPS for s in (step, step)]
+    assert out["rows_loaded"] == out["rows_expected"] == n and out["base_rows"] > 0 and out["mart_rows"] > 0
+    before = len(calls)
+    assert run() == out and len(calls) == before
