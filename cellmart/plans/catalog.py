@@ -23,7 +23,7 @@ from cellmart.streaming.landing import landing_stream, run_once
 from cellmart.operators.joins import effective_dated_join
 from cellmart.operators.pivot import conditional_sums
 from cellmart.operators.rank import rank_first
-from cellmart.plans import devices, ledger, loads, network, roles, subscribers, text_flows, usage, views
+from cellmart.plans import close, devices, ledger, loads, network, roles, subscribers, text_flows, usage, views
 from cellmart.plans.roles import EVENTS_AS_OF, LOAD_TS, ORDERS_AS_OF
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -472,6 +472,29 @@ MONTHLY_OUT = ["month_date", "month_id", "msisdn", "imei", "imsi", "first_cell_d
                "home_mo_count", "work_mo_count", "home_data_in_volume_kb", "record_ts"]
 
 
+@register("monthly_close")
+def q_monthly_close(spark, d):
+    """The month-end sequence, run three times: with a manifest that refuses the load, with the right one,
+    and once more, when the journal skips every step. Per step: how often it was finished, and the rows
+    that it stored."""
+    path = scratch_path(spark, "close")
+    t = close.CloseTables(**{name: f"{path}/{name}" for name in close.CloseTables.__dataclass_fields__})
+    for name, rows in (("daily_base", roles.daily_base), ("legacy_base", roles.legacy_base), ("devices", roles.devices),
+                       ("products", roles.products), ("products2", roles.products2), ("cells", roles.cells)):
+        writers.refresh(rows(spark, d), getattr(t, name))
+    for surplus in (3, 0, 0):
+        t.landing = _land_month(spark, d, surplus)
+        try:
+            close.monthly_close(spark, t, ORDERS_AS_OF, LOAD_TS, min_files=0, data_glob=f"{LOAD_MONTH}/*.csv.gz",
+                                manifest_glob="manifest/*.txt", journal=f"{path}/journal")
+        except quality.GateError:
+            continue
+    stored = {"load": ledger.read_loaded(spark, t.usage), "base": spark.read.parquet(t.base), "history": spark.read.parquet(t.device_history)}
+    rows = spark.createDataFrame([(step, df.count()) for step, df in stored.items()], "step string, rows long")
+    runs = spark.read.parquet(f"{path}/journal").groupBy("step").agg(F.count(F.lit(1)).alias("finished"))
+    return runs.join(rows, "step", "left")
+
+
 @register("monthly_usage_load")
 def q_monthly_usage_load(spark, d):
     """All months landed as pipe-delimited files and loaded."""

@@ -559,6 +559,12 @@ UNION ALL
 SELECT 'monthly', month_date, imei, imsi, CASE WHEN month_id >= 200001 THEN {trim_ws('msisdn')} ELSE msisdn END
 FROM padded""")
 
+ORACLES["monthly_close"] = f"""
+SELECT 'load' AS step, CAST(1 AS BIGINT) AS finished, count(*) AS rows FROM ({ORACLES["monthly_usage_load"]}) WHERE month_id = 200107
+UNION ALL SELECT 'base', 1, count(*) FROM ({ORACLES["subscriber_base"]})
+UNION ALL SELECT 'history', 1, count(*) FROM ({ORACLES["best_device"]})
+UNION ALL SELECT 'mart', 1, NULL"""
+
 ORACLES["period_cursor"] = with_roles(["usage"], """,
 m AS (SELECT max(month_id) AS m FROM usage),
 nxt AS (SELECT strftime(CAST(strptime(CAST(m AS VARCHAR), '%Y%m') AS DATE) + INTERVAL 1 MONTH, '%Y%m') AS next_month FROM m)
