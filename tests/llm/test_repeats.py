@@ -76,3 +76,12 @@ def test_repeated_rows_and_empty_table(spark):
     got = sorted((str(r["doc_id"]), r["n_removed"]) for r in remove_repeats(df).collect())
     assert got == [("1", 270), ("1", 270), ("2", 0), ("None", 270)]
     assert remove_repeats(df.where("doc_id > 5")).count() == 0
+
+
+def test_many_rows_of_a_null_id(spark):
+    text = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(700))
+    rows = [(None, text)] * 1000 + [(1, "x" + text[:350])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = remove_repeats(df)
+    assert {(r["doc_id"], r["n_bytes"], r["n_removed"]) for r in got.collect()} == {(None, 700, 700), (1, 351, 350)}
+    assert got.count() == 1001
