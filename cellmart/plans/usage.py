@@ -20,20 +20,21 @@ Plan, with the scale decisions:
    (month, subscriber) with a partial WindowGroupLimit before the shuffle. A window count
    per (msisdn, month) gives k, the number of first-ranked contract rows; it leaves the
    contracts hash-partitioned on the key of the join below.
-2. Usage is read once and aggregated *before* any join with the contracts: one hash
-   aggregate per (msisdn, month, SIM identity) computes the 40 technology buckets from raw
-   integer sums (map-side partial aggregation, so a subscriber holding a third of the rows
-   is combined before the shuffle). A window per subscriber-month adds the month totals to
-   each of its (few) rows; rows of valid identities form the identity list. The reference
-   joins every usage row to every first-ranked contract row, which multiplies the sums by k;
-   that factor is applied after the aggregate (k * sum is exact on integers).
-3. Contracts left-join the per-identity usage rows on (msisdn, month); the final 19-key
-   aggregate then sees one row per contract row and identity, not per usage row.
+2. Usage is aggregated *before* any join with the contracts: one hash aggregate per (msisdn, month)
+   computes the 40 technology buckets from raw integer sums (map-side partial aggregation, so a
+   subscriber holding a third of the rows is combined before the shuffle) and says which of 64
+   parts hold its SIM identities. The reference joins every usage row to every first-ranked contract
+   row, which multiplies the sums by k; that factor is applied after the aggregate (k * sum is
+   exact on integers).
+3. Contracts left-join the totals (one row per key), are dealt out by part and left-join the
+   identity list (distinct over four columns of usage) on (msisdn, month, part): no window holds the
+   identities of a subscriber-month, and a number with very many of them goes to many
+   tasks. The final 19-key aggregate then sees one row per contract row and identity.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellmart.session import scratch_path
@@ -47,6 +48,8 @@ from cellmart.operators.joins import effective_dated_join
 from cellmart.operators.rank import rank_first
 
 HORIZON_MONTHS = 13
+#: Parts over which the SIM identities of one subscriber-month are spread (bits of a long, at most 64).
+IDENTITY_PARTS = 64
 
 # Measures of the pivot: name -> (home column, work column, unit divisor or None)
 MEASURES = {
@@ -155,19 +158,28 @@ def usage_by_tech(usage: DataFrame, cells: DataFrame, as_of) -> DataFrame:
     return j.groupBy("msisdn", "month_id", "month_date", "interp_tech").agg(*aggs)
 
 
-def _usage_pivot_by_identity(usage: DataFrame, cells: DataFrame, as_of) -> DataFrame:
-    """Integer bucket sums per (raw msisdn, month_id, month_date, imsi): the one pass over the
-    usage rows that feeds both the per-subscriber pivot and the identity list. The generated
-    aggregates are SQL expression strings (one JVM parse per column)."""
+def _subscriber_month_totals(usage: DataFrame, cells: DataFrame, as_of) -> DataFrame:
+    """Per (trimmed msisdn, month): integer bucket sums of the usage rows and a bitmap of the parts in which
+    the subscriber-month has valid SIM identities (0: none). All buffers have a fixed width, so rows of
+    one number are combined in their tasks before the shuffle. The generated aggregates are SQL
+    expression strings (one JVM parse per column)."""
     cols = sorted({c for home, work, _ in MEASURES.values() for c in (home, work)})
-    u = usage.select("msisdn", "month_id", "month_date", "imsi", "first_cell_data_id", *cols) \
+    u = usage.select("msisdn", "month_date", "imsi", "first_cell_data_id", *cols) \
              .filter(date_window("month_date", as_of, HORIZON_MONTHS))
     cd = cells.select(F.col("cell_data_id").alias("__cell_id"), "technology", "cell", "global_cell_id")
-    j = u.join(cd, u["first_cell_data_id"] == cd["__cell_id"], "left").withColumn("interp_tech", tech_of_cell())
+    j = u.join(cd, u["first_cell_data_id"] == cd["__cell_id"], "left") \
+         .withColumn("interp_tech", tech_of_cell()).withColumn("__part", _identity_part())
     aggs = [F.expr(f"sum(CASE WHEN interp_tech = '{value}' THEN {home} + {work} ELSE 0 END)")
-            .alias(f"{name}_{suffix}")
+            .alias(f"t_{name}_{suffix}")
             for name, (home, work, _) in MEASURES.items() for value, suffix in MEASURE_BUCKETS[name]]
-    return j.groupBy("msisdn", "month_id", "month_date", "imsi").agg(*aggs)
+    parts = F.expr("coalesce(bit_or(shiftleft(1L, __part)), 0L)").alias("t_parts")
+    return j.groupBy(trim_ws("msisdn").alias("t_msisdn"), F.col("month_date").alias("t_month")).agg(*aggs, parts)
+
+
+def _identity_part() -> Column:
+    """Part (0 to IDENTITY_PARTS - 1) of a valid SIM identity, NULL for the others."""
+    valid = ~trim_ws("imsi").isin(*rules.INVALID_IMSI)
+    return F.when(valid, F.pmod(F.xxhash64("imsi"), F.lit(IDENTITY_PARTS)).cast("int"))
 
 
 def identity_list(usage: DataFrame) -> DataFrame:
@@ -189,23 +201,19 @@ def usage_mart(base: DataFrame, products: DataFrame, products2: DataFrame, usage
     k = F.count(F.lit(1)).over(Window.partitionBy("msisdn", "__month"))
     c = cdm.withColumn("k", k).filter(F.col("base_type") != "MIFI")
 
-    # One aggregate over the usage rows of the 13-month window, per (msisdn, month, imsi),
-    # serves both the pivot and the identity list. A window per subscriber-month (a handful of
-    # rows each after the aggregate) adds the subscriber-month totals to every row; rows of a
-    # valid SIM identity are the identity list, and a subscriber-month without one keeps a
-    # single row with a NULL identity, as the reference's left join does.
-    by_id = _usage_pivot_by_identity(usage, cells, as_of) \
-        .withColumn("t_msisdn", trim_ws("msisdn")).withColumnRenamed("month_date", "t_month")
-    key = Window.partitionBy("t_msisdn", "t_month")
-    valid = F.coalesce(~trim_ws("imsi").isin(*rules.INVALID_IMSI), F.lit(False))
-    first = F.row_number().over(key.orderBy("month_id", "msisdn", "imsi"))
-    t = by_id.select(
-        "t_msisdn", "t_month", F.when(valid, F.col("imsi")).alias("IMSI"), valid.alias("__valid"),
-        F.max(valid.cast("int")).over(key).alias("__any_valid"), first.alias("__first"),
-        *[F.sum(p).over(key).alias(f"t_{p}") for p in PIVOT_COLUMNS])
-    t = t.filter(F.col("__valid") | ((F.col("__any_valid") == 0) & (F.col("__first") == 1))) \
-         .withColumn("t_hit", F.lit(True)).drop("__valid", "__any_valid", "__first")
-    f = c.join(t, (c["msisdn"] == t["t_msisdn"]) & (c["__month"] == t["t_month"]), "left")
+    # The totals of a subscriber-month are one row, so this join multiplies nothing and the contracts
+    # keep their partitioning. A subscriber-month is then dealt out by the parts that hold its
+    # identities and joined to the identity list by part: a placeholder number with very many SIM
+    # identities goes to many tasks. One without a valid identity keeps a single row with a NULL
+    # identity, as the reference's left join does.
+    totals = _subscriber_month_totals(usage, cells, as_of).withColumn("t_hit", F.lit(True))
+    t = c.join(totals, (c["msisdn"] == totals["t_msisdn"]) & (c["__month"] == totals["t_month"]), "left")
+    parts = F.filter(F.sequence(F.lit(0), F.lit(IDENTITY_PARTS - 1)), lambda p: F.getbit("t_parts", p) == 1)
+    t = t.withColumn("__part", F.explode_outer(F.when(F.col("t_parts") != 0, parts)))
+    ids = (identity_list(usage.filter(date_window("month_date", as_of, HORIZON_MONTHS)))
+           .select(trim_ws("msisdn").alias("i_msisdn"), F.col("month_date").alias("i_month"), F.col("imsi").alias("IMSI"),
+                   _identity_part().alias("i_part")))
+    f = t.join(ids, (t["msisdn"] == ids["i_msisdn"]) & (t["__month"] == ids["i_month"]) & (t["__part"] == ids["i_part"]), "left")
 
     keyed = f.select(
         zero_prefix("msisdn").alias("MSISDN"), "IMSI", F.col("agg_mth").alias("AGG_MTH"),
