@@ -17,7 +17,6 @@ import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,12 +47,10 @@ def ledger_path(table: str) -> str:
 
 def ledger(spark: SparkSession, table: str) -> DataFrame:
     """One row per loaded file; none when the table has no load yet."""
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path(table))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    place = spark._jvm.org.apache.hadoop.fs.Path(ledger_path(table))
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
         return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path(table))
 
 
 def loads_of(spark: SparkSession, table: str) -> DataFrame:
@@ -105,12 +102,17 @@ def publish(spark: SparkSession, rows: DataFrame, files: Sequence, table: str, r
     if check:
         check(report)
     total = m["measure"] if measure else None
-    committed = [(load_id, f["path"], f["length"], f["modified"], number, before, report.rows_loaded, report.null_keys, total,
-                  int(m["keys"]), record_ts) for f in files]
-    spark.createDataFrame(committed, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(ledger_path(table))
+    commit(spark, table, files, (number, before, report.rows_loaded, report.null_keys, total, int(m["keys"]), record_ts))
     return report
 
 
+def commit(spark: SparkSession, table: str, files: Sequence, counted: tuple) -> None:
+    """The load's rows in the ledger, one a file: from here on the files are taken."""
+    load_id = load_id_of(files)
+    rows = [(load_id, f["path"], f["length"], f["modified"], *counted) for f in files]
+    spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(ledger_path(table))
+
+
 def load_new(spark: SparkSession, landing: str, glob: str, table: str, record_ts,
              rows_of: Callable[[list[str]], DataFrame], **layout) -> LoadReport:
     """Take the files that landed since the last load; without any, nothing is written."""

@@ -25,6 +25,7 @@ from cellmart.operators.changes import conditional_update, stamp_missing, upsert
 from cellmart.plans import ledger
 from cellmart.session import scratch_path
 from cellmart.sinks import writers
+from cellmart.sinks.keyed import KeyedTable, MergeReport
 from cellmart.sinks.snapshots import Snapshots
 from cellmart.sources.delimited import read_delimited
 from cellmart.sources.files import count_files, manifest_counts
@@ -187,6 +188,25 @@ def cell_upsert(spark: SparkSession, dim: DataFrame, landing_glob: str, staging_
     return upsert(dim, staging, ["cell_data_id"], stamp_col="record_ts", stamp=stamp)
 
 
+def load_cells(spark: SparkSession, dim: KeyedTable, landing: str, staging_path: str, stamp, sep: str = "|", glob: str = "*.gz",
+               archive: str | None = None) -> MergeReport:
+    """Cell dimension load: the feed files that landed since the last load replace the staging table and are
+    merged into the buckets that they touch; files are committed to the dimension's ledger after the merge
+    and then moved to ``archive``. A run that broke between merge and commit merges the same rows again,
+    which changes nothing."""
+    report = MergeReport(0, 0, 0)
+    if files := ledger.new_files(spark, landing, glob, dim.path).collect():
+        writers.refresh(read_delimited(spark, [f["path"] for f in files], schemas.CELL_FEED, sep=sep), staging_path)
+        staging = spark.read.schema(schemas.CELL_FEED).parquet(staging_path)
+        earlier = ledger.loads_of(spark, dim.path).agg(F.max("load_number").alias("n"), F.sum("rows_loaded").alias("rows")).head()
+        report = dim.merge(staging, stamp_col="record_ts", stamp=stamp)
+        m = staging.agg(F.count(F.lit(1)), F.count(F.when(F.col("cell_data_id").isNull(), 1)), F.approx_count_distinct("cell_data_id")).head()
+        ledger.commit(spark, dim.path, files, ((earlier["n"] or 0) + 1, earlier["rows"] or 0, m[0], m[1], None, m[2], stamp))
+    if archive:
+        ledger.archive_loaded(spark, landing, glob, dim.path, archive)
+    return report
+
+
 def key_backfill_daily(df: DataFrame, since: dt.date) -> DataFrame:
     """Trim the number on daily rows loaded after ``since``."""
     return conditional_update(df, F.to_date("record_ts") > F.lit(since), {"msisdn": trim_ws("msisdn")})

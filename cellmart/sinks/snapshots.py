@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -52,11 +52,14 @@ class Snapshots:
             raise RuntimeError(f"snapshot {number + 1} of {self.base} exists: another rewrite was first")
         return number + 1
 
-    def rewrite(self, changed: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> int:
+    def rewrite(self, changed: Mapping[str, tuple[DataFrame | Callable, Sequence[str]]]) -> int:
         """Replace the partitions that the rows of each table hold (rows, partition columns); the
-        other partitions stay as they are. All tables change at once."""
+        other partitions stay as they are. All tables change at once. Rows may be given as a function of
+        the rows that this rewrite has written for the tables before it, by name."""
         number, tables = self.state()
+        written: dict[str, DataFrame] = {}
         for name, (rows, partition_by) in changed.items():
+            rows = rows(written) if callable(rows) else rows
             version = f"snapshot_version=w{uuid.uuid4().hex[:12]}"
             rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(f"{self.base}/{name}/{version}")
             found = self.fs.globStatus(self.hadoop.Path(f"{self.base}/{name}/{version}/" + "/".join(f"{c}=*" for c in partition_by)))
@@ -64,6 +67,7 @@ class Snapshots:
             new = {s.getPath().toString().removeprefix(root): f"{name}/{version}" for s in found}
             kept = tables.get(name, {"folders": {}})["folders"]
             tables[name] = {"schema": rows.schema.json(), "folders": {**kept, **new}}
+            written[name] = self.spark.read.schema(rows.schema).parquet(f"{self.base}/{name}/{version}").select(*rows.columns)
         return self._commit(number, tables)
 
     def read(self, name: str) -> DataFrame:
