@@ -17,6 +17,7 @@ from cellmart.operators import quality
 from cellmart.operators.changes import stamp_missing, upsert
 from cellmart.session import scratch_path
 from cellmart.sinks import writers
+from cellmart.sinks.keyed import KeyedTable
 from cellmart.sinks.snapshots import Snapshots
 from cellmart.sources import delimited, files
 from cellmart.streaming.landing import landing_stream, run_once
@@ -227,6 +228,27 @@ def q_cell_upsert(spark, d):
     return stored.select(*[F.col(c).cast("double") if t.startswith("decimal") else c for c, t in stored.dtypes])
 
 
+#: Buckets of the stored cell dimension, and the share of its feed that comes in a second delivery.
+CELL_BUCKETS, LATE_CELLS = 8, 5
+
+
+@register("cell_merge")
+def q_cell_merge(spark, d):
+    """Cell dimension stored in key buckets; its feed lands in two deliveries, which are merged into the buckets
+    they touch and archived, and a third run finds nothing. The query reads the stored dimension."""
+    target, source = _cell_target_source(spark, d)
+    landing, archive, staging = (scratch_path(spark, n) for n in ("cell_landing", "cell_archive", "cell_staging"))
+    dim = KeyedTable(Snapshots(spark, scratch_path(spark, "dimensions")), "cells", ["cell_data_id"])
+    dim.create(_full_cells(target), CELL_BUCKETS)
+    late = F.col("cell_data_id") % LATE_CELLS == 0
+    for k, feed in enumerate((source.filter(~late), source.filter(late))):
+        writers.write_csv(_full_cells(feed), f"{landing}/{k}", schemas.CELL_FEED.fieldNames(), sep="|", compression="gzip")
+        loads.load_cells(spark, dim, landing, staging, LOAD_TS, archive=archive)
+    loads.load_cells(spark, dim, landing, staging, LOAD_TS, archive=archive)
+    stored = dim.read()
+    return stored.select(*[F.col(c).cast("double") if t.startswith("decimal") else c for c, t in stored.dtypes])
+
+
 def _padded_usage(spark, d):
     u = roles.usage(spark, d)
     padded = F.when(F.col("work_mo_count") % 2 == 0, F.concat(F.lit(" "), F.col("msisdn"), F.lit("\t"))) \
@@ -675,6 +697,38 @@ def q_site_usage_clustered(spark, d):
         "month_date", "site_id", F.col("latitude").cast("double"), F.col("longitude").cast("double"), "mart_rows", "calls_4g")
 
 
+@register("site_usage_incremental")
+def q_site_usage_incremental(spark, d):
+    """Daily usage is loaded in two deliveries into a table stored by month; after each the stored site mart
+    takes the new load."""
+    columns = ["date_of_call"] + schemas.USAGE_COLUMNS
+    landing, table = scratch_path(spark, "dly_landing"), scratch_path(spark, "t_agg_dly")
+    tables, mart = Snapshots(spark, scratch_path(spark, "marts")), network.site_mart(roles.cells(spark, d), F.col("month_date"))
+
+    def rows_of(paths):
+        rows = loads.daily_final_rows(loads.staged_daily(spark, paths), LOAD_TS)
+        return rows.withColumn("month_date", F.trunc("call_date", "MM"))
+
+    for k, rows in enumerate(_deliveries(spark, d, columns, schemas.DAILY_STAGING)):
+        writers.write_csv(rows, f"{landing}/{k}", columns, sep="|", compression="gzip")
+        ledger.load_new(spark, landing, "*.gz", table, LOAD_TS, rows_of, partition_by=["month_date"])
+        mart.refresh(tables, table)
+    return mart.read(tables)
+
+
+@register("protocol_site_usage_incremental")
+def q_protocol_site_usage_incremental(spark, d):
+    """Monthly usage is loaded in two deliveries; after each the stored protocol mart takes the new load."""
+    landing, table = scratch_path(spark, "mth_landing"), scratch_path(spark, "t_agg_mth")
+    tables = Snapshots(spark, scratch_path(spark, "marts"))
+    mart = network.protocol_mart(roles.cells(spark, d), roles.devices(spark, d), roles.subscribers(spark, d))
+    for k, rows in enumerate(_deliveries(spark, d, STAGED_MONTHLY, schemas.MONTHLY_STAGING)):
+        writers.write_csv(rows, f"{landing}/{k}", STAGED_MONTHLY, sep="|", compression="gzip")
+        loads.load_monthly(spark, landing, table, LOAD_TS)
+        mart.refresh(tables, table)
+    return mart.read(tables)
+
+
 @register("protocol_site_usage")
 def q_protocol_site_usage(spark, d):
     return network.protocol_site_usage(roles.usage(spark, d), roles.cells(spark, d), roles.devices(spark, d),

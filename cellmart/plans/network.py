@@ -8,11 +8,12 @@ technology per row from its first cell, buckets summed with 0 for an empty bucke
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellmart.functions.calendar import trailing_whole_months
 from cellmart.operators.joins import attribute_join, prefix_join
+from cellmart.plans.incremental import IncrementalMart
 from cellmart.plans.usage import tech_of_cell
 from cellmart.sinks import writers
 
@@ -104,8 +105,31 @@ def protocol_site_usage(usage_mth: DataFrame, cells: DataFrame, devices: DataFra
     3G / 4G usage flags ('Y' when any 3G / 4G usage was summed). Usage is summed by month, cell,
     number, handset, SIM and account before the dimensions are joined; an attribute row that
     matches twice counts the sums twice, as it would count the rows."""
-    own = ["month_date", "first_cell_data_id", "msisdn", "imei", "imsi", "exbr_account_num"]
-    j = _with_tech(usage_mth.groupBy(*own).agg(*_plain_sums(TOTALS)), cells, ["site_id", "latitude", "longitude"])
+    return protocol_of_sums(usage_mth.groupBy(*PROTOCOL_KEYS).agg(*_plain_sums(TOTALS)), cells, devices, subscribers)
+
+
+#: Keys by which usage is summed before the dimensions are joined.
+PROTOCOL_KEYS = ["month_date", "first_cell_data_id", "msisdn", "imei", "imsi", "exbr_account_num"]
+SITE_KEYS = ["date_of_call", "call_date", "first_cell_data_id", "msisdn", "imei", "imsi", "exbr_account_num"]
+
+
+def site_mart(cells: DataFrame, period: Column | None = None) -> IncrementalMart:
+    """``site_usage`` kept up to date by month from a usage table of daily rows, stored by day or, with its month
+    as ``period``, by month."""
+    period = F.trunc("call_date", "MM") if period is None else period
+    keys = ["date_of_call", "call_date", "msisdn", "imei", "imsi", "exbr_account_num", "site_id"]
+    return IncrementalMart("site_usage", SITE_KEYS, _plain_sums(_PLAIN), period,
+                           lambda sums: _with_tech(sums, cells, ["site_id"]).groupBy("period", *keys).agg(*_spread(_PLAIN)))
+
+
+def protocol_mart(cells: DataFrame, devices: DataFrame, subscribers: DataFrame) -> IncrementalMart:
+    """``protocol_site_usage`` kept up to date by month from the monthly usage table."""
+    return IncrementalMart("protocol_site_usage", PROTOCOL_KEYS, _plain_sums(TOTALS), F.col("month_date"),
+                           lambda sums: protocol_of_sums(sums, cells, devices, subscribers).withColumn("period", F.col("date_of_call_month_date")))
+
+
+def protocol_of_sums(sums: DataFrame, cells: DataFrame, devices: DataFrame, subscribers: DataFrame) -> DataFrame:
+    j = _with_tech(sums, cells, ["site_id", "latitude", "longitude"])
     dev = devices.select(F.col("tac").alias("__dtac"), F.col("protocol").alias("DEVICE_PROTOCOL"),
                          F.col("device_type").alias("DEVICE_TYPE"), F.col("model").alias("MODEL"),
                          F.col("marketing_name").alias("MARKETING_NAME"), F.col("volte_flag").alias("VOLTE_FLAG"))

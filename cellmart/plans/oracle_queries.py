@@ -419,6 +419,9 @@ def _cell_column(name: str, kind: str) -> str:
 ORACLES["cell_upsert"] = with_roles(["cells"], _UPSERT.replace("SELECT t.* FROM t", ", merged AS (SELECT t.* FROM t", 1) + f""")
 SELECT {", ".join(_cell_column(*column) for column in CELL74)}, record_ts FROM merged""")
 
+# Two deliveries of one feed, each row in one of them, end in the same dimension.
+ORACLES["cell_merge"] = ORACLES["cell_upsert"]
+
 _PADDED = """,
 padded AS (
   SELECT month_id, month_date, date_of_call, call_date, imei, imsi,
@@ -646,6 +649,11 @@ SELECT *,
                  + coalesce(TOTAL_DATA_MB_4G, 0) > 0 THEN 'Y' ELSE 'N' END AS FLAG_4G_USAGE
 FROM g""")
 
+# Rows of two deliveries, whichever came first; numbers are blank on some rows.
+for _name in ("site_usage", "protocol_site_usage"):
+    ORACLES[f"{_name}_incremental"] = ORACLES[_name].replace(
+        "SELECT u.*, radio.site_id", "SELECT u.* REPLACE (CASE WHEN work_mo_count <> 3 THEN msisdn END AS msisdn), radio.site_id")
+
 ORACLES["site_usage_clustered"] = f"""
 SELECT m.*, CAST(s.latitude AS DOUBLE) AS latitude, CAST(s.longitude AS DOUBLE) AS longitude
 FROM (SELECT CAST(date_trunc('month', call_date) AS DATE) AS month_date, site_id, count(*) AS mart_rows,
