@@ -9,9 +9,14 @@ word by word to its end (``longest_matches``). The range of suffixes that begin
 gives all the window's occurrences (``contamination``): hits need every occurrence of a window, also
 where a longer match stands elsewhere, so they are searched by themselves.
 
-No document row is shuffled: a document's hits depend on the document alone. The benchmark is
-the stated query set; it is read in blocks of at most ``BLOCK_WORDS`` words (a documented
-bound; a block's broadcast takes 170 bytes a word) that each task searches one after the other.
+The benchmark is the stated query set. It is read in blocks of at most ``BLOCK_WORDS`` words (a
+block's broadcast takes 170 bytes a word), ``PASS_BLOCKS`` of them in a pass over the documents: tasks
+hold the blocks of one pass, the driver those of two, whatever the size of the benchmark. An item of more words is cut
+into pieces that overlap by a window less a word, so it has all its windows (``longest_matches`` does
+not cut it: its suffixes go on to the item's end). A benchmark of one pass is judged where the documents
+are read, without a shuffle. With more passes each writes the texts that it hits, with the words hit, once
+a text however many documents share it; the driver then releases its blocks and goes on. A document finds
+the hits of its text by the SHA-256 of the text.
 
 Words are lower-cased (A-Z) and match ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``. A window is
 ``window`` consecutive words of an item; an item with fewer words, but not none, is one window.
@@ -23,13 +28,15 @@ longer than ``SHARD_WORDS`` words is cut into shards that overlap by a window.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
+from itertools import chain, islice
 from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import written
@@ -39,6 +46,7 @@ WINDOW = 13
 SHARD_WORDS = 1 << 19
 SORT_WORDS = 16
 BLOCK_WORDS = 1 << 17
+PASS_BLOCKS = 4
 PAIRS = 1 << 20
 
 
@@ -220,7 +228,7 @@ def _matches(words: np.ndarray, first: np.ndarray, q, best: np.ndarray):
             yield entry[pair[most]], place[most], n[most]
 
 
-def _longest(batches, parts):
+def _longest(batches, parts, first_block: int):
     best = [np.zeros(len(sent.value.item), np.int64) for _, sent in parts]
     for batch in batches:
         for ids, words, first in _blocks_of(batch):
@@ -229,7 +237,7 @@ def _longest(batches, parts):
                 for entry, place, n in _matches(words, first, q, best[k]):
                     doc = np.searchsorted(first, place, "right") - 1
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(entry), k), pa.int32()), pa.array(entry),
+                        pa.array(np.full(len(entry), first_block + k), pa.int32()), pa.array(entry),
                         pa.array([names[i] for i in q.item[entry].tolist()], pa.string()), pa.array(q.word[entry]),
                         pa.array(n), ids.take(pa.array(doc)), pa.array(place - first[doc])],
                         ["block", "entry", "item_id", "item_word", "n_words", "doc_id", "doc_word"])
@@ -251,8 +259,8 @@ def _hits(words: np.ndarray, first: np.ndarray, q):
     return np.cumsum(change)[:-1] > 0, np.unique(np.concatenate(pairs), axis=0)
 
 
-def _judge(batches, parts):
-    """Per document: its words, the hit ones over all blocks of the benchmark, the items."""
+def _searched(batches, parts):
+    """For runs of rows: ids, first word of each row, the words that are hit, the items of each row."""
     for batch in batches:
         for ids, words, first in _blocks_of(batch):
             hit = np.zeros(len(words), bool)
@@ -263,31 +271,92 @@ def _judge(batches, parts):
                 hit |= mask
                 for row, window in pairs.tolist():
                     items[row].update(names[i] for i in q.item[q.of[window]:q.of[window + 1]].tolist())
-            covered = np.concatenate(([0], np.cumsum(hit)))[first]
-            yield pa.RecordBatch.from_arrays([
-                ids, pa.array(np.diff(first).astype(np.int64)), pa.array(np.diff(covered).astype(np.int64)),
-                pa.array([sorted(x) for x in items], pa.list_(pa.string()))], ["doc_id", "n_words", "n_hit", "items"])
+            yield ids, first, hit, items
 
 
-def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[tuple[list, list]]:
-    """The benchmark in blocks of at most ``BLOCK_WORDS`` words (one item at least): a word has
-    at least two bytes with its separator, so bytes bound words."""
+def _judge(batches, parts):
+    """Per document: its words, the hit ones over all blocks of the benchmark, the items."""
+    for ids, first, hit, items in _searched(batches, parts):
+        covered = np.concatenate(([0], np.cumsum(hit)))[first]
+        yield pa.RecordBatch.from_arrays([
+            ids, pa.array(np.diff(first).astype(np.int64)), pa.array(np.diff(covered).astype(np.int64)),
+            pa.array([sorted(x) for x in items], pa.list_(pa.string()))], ["doc_id", "n_words", "n_hit", "items"])
+
+
+def _hit_spans(batches, parts):
+    """Per document with a hit: its words, the runs of hit words as (start, end), the items."""
+    for ids, first, hit, items in _searched(batches, parts):
+        rows = np.flatnonzero([len(x) > 0 for x in items])
+        spans = []
+        for row in rows.tolist():
+            edge = np.diff(np.concatenate(([0], hit[first[row]:first[row + 1]], [0])))
+            spans.append([{"start": a, "end": b} for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())])
+        yield pa.RecordBatch.from_arrays([
+            ids.take(pa.array(rows)), pa.array(np.diff(first)[rows].astype(np.int64)),
+            pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+            pa.array([sorted(items[row]) for row in rows.tolist()], pa.list_(pa.string()))], ["text_key", "n_words", "spans", "items"])
+
+
+def _pieces(text: str, window: int | None) -> Iterator[str]:
+    """A text of more than a block's bytes in pieces of ``BLOCK_WORDS`` words that together hold all its windows."""
+    if window is None or len(text.encode()) <= 2 * BLOCK_WORDS:
+        yield text
+        return
+    words = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text)
+    size = max(BLOCK_WORDS, window)
+    for at in range(0, max(1, len(words) - window + 1), size - window + 1):
+        yield " ".join(words[at:at + size])
+
+
+def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int | None = None) -> Iterator[tuple[list, list]]:
+    """The benchmark in blocks of at most ``BLOCK_WORDS`` words (one piece of an item at least, the whole item
+    without ``window``): a word has at least two bytes with its separator, so bytes bound words."""
     names, texts, size = [], [], 0
     rows = benchmark.select(F.col(item_col).cast("string"), F.coalesce(F.col(text_col), F.lit(""))).orderBy(item_col)
     for name, text in rows.toLocalIterator():
-        if texts and size + len(text.encode()) > 2 * BLOCK_WORDS:
-            yield names, texts
-            names, texts, size = [], [], 0
-        names.append("null" if name is None else name)
-        texts.append(text)
-        size += len(text.encode())
+        for piece in _pieces(text, window):
+            if texts and size + len(piece.encode()) > 2 * BLOCK_WORDS:
+                yield names, texts
+                names, texts, size = [], [], 0
+            names.append("null" if name is None else name)
+            texts.append(piece)
+            size += len(piece.encode())
     yield names, texts
 
 
-def _parts(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text: str, window: int):
+def _passes(docs: DataFrame, block_texts: Iterator[tuple[list, list]], window: int) -> Iterator[list]:
+    """The blocks of one pass after the other, as names and broadcast queries."""
     context = docs.sparkSession.sparkContext
-    return [(names, context.broadcast(SimpleNamespace(**vars(Queries(texts, window)))))
-            for names, texts in benchmark_blocks(benchmark, item_col, item_text)]
+    while part := list(islice(block_texts, PASS_BLOCKS)):
+        yield [(names, context.broadcast(SimpleNamespace(**vars(Queries(texts, window))))) for names, texts in part]
+
+
+def _release(parts) -> None:
+    """Free the blocks of a pass whose rows are written: nothing computes them again."""
+    for _, sent in parts:
+        sent.destroy()
+
+
+def _text_key(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def _hits_by_text(docs: DataFrame, text_col: str, passes: Iterator[list]) -> DataFrame:
+    """One row per text that a pass hits: ``text_key``, ``n_words``, ``n_hit``, ``items``. The rows of a text are alike
+    within a pass and are made one in their tasks first; over the passes a text has a row each at most."""
+    found = []
+    for parts in passes:
+        hits = docs.select(_text_key(docs[text_col]).alias("text_key"), text_col).mapInArrow(
+            partial(_hit_spans, parts=parts),
+            "text_key string, n_words long, spans array<struct<start: long, end: long>>, items array<string>")
+        once = hits.groupBy("text_key").agg(*[F.first(c).alias(c) for c in ("n_words", "spans", "items")])
+        found.append(written(once, "hits-of-pass"))
+        _release(parts)
+    covered = F.expr("""aggregate(array_sort(flatten(collect_list(spans))), named_struct('n', 0L, 'upto', 0L),
+        (a, s) -> named_struct('n', a.n + greatest(0L, s.end - greatest(a.upto, s.start)), 'upto', greatest(a.upto, s.end)), a -> a.n)""")
+    return reduce(DataFrame.unionByName, found).groupBy("text_key").agg(
+        F.first("n_words").alias("n_words"), covered.alias("n_hit"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -296,10 +365,14 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     document, of any length, and all places of it: item_id, item_word, n_words, doc_id, doc_word.
     Suffixes without a match have no row."""
     kind = docs.schema[id_col].dataType.simpleString()
-    found = docs.select(id_col, text_col).mapInArrow(
-        partial(_longest, parts=_parts(docs, benchmark, item_col, item_text, window)),
-        f"block int, entry long, item_id string, item_word long, n_words long, doc_id {kind}, doc_word long")
-    found = written(found, "matches-of-shards")
+    found = []
+    for k, parts in enumerate(_passes(docs, benchmark_blocks(benchmark, item_col, item_text), window)):
+        places = docs.select(id_col, text_col).mapInArrow(
+            partial(_longest, parts=parts, first_block=k * PASS_BLOCKS),
+            f"block int, entry long, item_id string, item_word long, n_words long, doc_id {kind}, doc_word long")
+        found.append(written(places, "matches-of-shards"))
+        _release(parts)
+    found = reduce(DataFrame.unionByName, found)
     most = written(found.groupBy("block", "entry").agg(F.max("n_words").alias("n_words")), "matches-longest")
     return found.join(most, ["block", "entry", "n_words"]).select("item_id", "item_word", "n_words", "doc_id", "doc_word")
 
@@ -309,12 +382,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per document: id, ``n_words``, ``n_hit``, ``items`` (item ids as sorted strings),
     ``contaminated`` (a hit, and at least a twentieth of the words)."""
     kind = docs.schema[id_col].dataType.simpleString()
-    hits = docs.select(id_col, text_col).mapInArrow(
-        partial(_judge, parts=_parts(docs, benchmark, item_col, item_text, window)),
-        f"doc_id {kind}, n_words long, n_hit long, items array<string>")
+    passes = _passes(docs, benchmark_blocks(benchmark, item_col, item_text, window), window)
+    parts, more = list(islice(passes, 2)), passes
+    if len(parts) == 1:
+        hits = docs.select(id_col, text_col).mapInArrow(
+            partial(_judge, parts=parts[0]), f"doc_id {kind}, n_words long, n_hit long, items array<string>")
+    else:
+        texts = _hits_by_text(docs, text_col, chain(parts, more)).drop("n_words")
+        key = F.struct(F.col(id_col).alias("id"), _text_key(docs[text_col]).alias("text_key"))
+        own = docs.select(key.alias("doc_id"), text_col).mapInArrow(
+            partial(_judge, parts=[]), f"doc_id struct<id: {kind}, text_key: string>, n_words long, n_hit long, items array<string>")
+        hits = own.select(F.col("doc_id.id").alias("doc_id"), F.col("doc_id.text_key").alias("text_key"), "n_words").join(texts, "text_key", "left")
+        hits = hits.withColumn("n_hit", F.coalesce("n_hit", F.lit(0).cast("long"))) \
+                   .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
     return hits.select(
         F.col("doc_id").alias(id_col), "n_words", "n_hit", "items",
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+        _over_a_twentieth().alias("contaminated"))
+
+
+def _over_a_twentieth():
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
 
 def _clean(batches, parts, at: int):
@@ -331,6 +418,12 @@ def _contaminated(judged) -> np.ndarray:
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                         item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """The rows that are not contaminated, with their columns; no row is shuffled."""
-    parts = _parts(docs, benchmark, item_col, item_text, window)
-    return docs.mapInArrow(partial(_clean, parts=parts, at=docs.columns.index(text_col)), docs.schema)
+    """The rows that are not contaminated, with their columns; with a benchmark of one pass no row is
+    shuffled."""
+    passes = _passes(docs, benchmark_blocks(benchmark, item_col, item_text, window), window)
+    parts, more = list(islice(passes, 2)), passes
+    if len(parts) == 1:
+        return docs.mapInArrow(partial(_clean, parts=parts[0], at=docs.columns.index(text_col)), docs.schema)
+    gone = _hits_by_text(docs, text_col, chain(parts, more)).filter(_over_a_twentieth()).select("text_key")
+    gone = written(gone, "contaminated-texts")
+    return docs.join(gone, _text_key(docs[text_col]) == gone["text_key"], "left_anti")

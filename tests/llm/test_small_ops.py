@@ -236,6 +236,28 @@ def test_contamination(spark, monkeypatch, window, shard, block):
     assert sorted(r["doc_id"] for r in clean.collect()) == [i for i, w in sorted(want.items()) if not w[3]]
 
 
+def test_passes_over_repeated_texts_and_a_cut_item(spark, monkeypatch):
+    """Blocks of six words, one in a pass: an item of more words is cut, hits of several passes overlap in one text,
+    and rows that repeat a text or have no id are judged one by one."""
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 6)
+    monkeypatch.setattr(decontaminate, "PASS_BLOCKS", 1)
+    item = "a b c d e f g h i j k l m n"
+    bench = [(1, item), (2, "c d e f q"), (3, None), (4, "short")]
+    texts = [f"x {item} y", "b c d e f", "nothing of it", None, "", "a b c e f g short", "c d e f Q c d e f q"]
+    docs = [(None if k % 3 else k, t, "x") for k in range(4) for t in texts]
+    df = spark.createDataFrame(docs, "doc_id long, text string, text_key string").repartition(3)
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    got = decontaminate.contamination(df, items, window=4).collect()
+    want = [(i, *w) for (i, _, _), w in zip(docs, brute_hits([d[:2] for d in docs], bench, 4))]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    assert any(w[2] == 14 for w in want)
+    clean = decontaminate.remove_contaminated(df, items, window=4)
+    assert clean.columns == df.columns
+    assert sorted(map(repr, map(tuple, clean.collect()))) == sorted(repr(d) for d, w in zip(docs, want) if not w[4])
+    longest = decontaminate.longest_matches(df.filter("doc_id is not null"), items, window=4).collect()
+    assert {("1", 0, 14, 0, 1), ("2", 0, 5, 3, 0)} <= set(map(tuple, longest))
+
+
 def test_longest_matches_and_empty(spark):
     docs = spark.createDataFrame([(1, "x a b c d y"), (2, "a b q"), (2, "a b q")], "doc_id long, text string").coalesce(1)
     items = spark.createDataFrame([(7, "a b c z")], "item_id long, text string")
