@@ -729,6 +729,24 @@ def q_protocol_site_usage_incremental(spark, d):
     return mart.read(tables)
 
 
+@register("usage_mart_incremental")
+def q_usage_mart_incremental(spark, d):
+    """Monthly usage is loaded in two deliveries; after each the stored published mart takes the new load. Months
+    of the base that have no usage are derived once."""
+    landing, table = scratch_path(spark, "mth_landing"), scratch_path(spark, "t_agg_mth")
+    tables, base, done = Snapshots(spark, scratch_path(spark, "marts")), roles.base(spark, d), set()
+    mart = usage.published_mart(base, roles.products(spark, d), roles.products2(spark, d), roles.cells(spark, d), ORDERS_AS_OF)
+    for k, rows in enumerate(_deliveries(spark, d, STAGED_MONTHLY, schemas.MONTHLY_STAGING)):
+        writers.write_csv(rows, f"{landing}/{k}", STAGED_MONTHLY, sep="|", compression="gzip")
+        loads.load_monthly(spark, landing, table, LOAD_TS)
+        done.update(mart.refresh(tables, table))
+    # One row a month comes to the driver.
+    months = {r["m"] for r in base.select(month_start("agg_mth").alias("m")).distinct().collect()}
+    if months - done:
+        mart.derive_again(tables, sorted(months - done, key=str))
+    return mart.read(tables)
+
+
 @register("protocol_site_usage")
 def q_protocol_site_usage(spark, d):
     return network.protocol_site_usage(roles.usage(spark, d), roles.cells(spark, d), roles.devices(spark, d),

@@ -5,12 +5,13 @@ committed since the last refresh, only their rows are summed, added to the store
 touch, and the mart is derived again for these periods. Sums, mart and the names of the loads taken
 change in one snapshot, so a load is never counted twice and a refresh that breaks leaves the old state.
 
-The sums hold no attribute of a dimension: after a change of cells, devices or subscribers ``derive_again`` builds
-the mart of all periods from them, without reading usage.
+The sums hold no attribute of a dimension: after a change of cells, devices, subscribers or a month of the
+subscriber base ``derive_again`` builds the mart of all periods, or of those named, from them, without reading usage.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -19,6 +20,17 @@ from pyspark.sql import functions as F
 
 from cellmart.plans import ledger
 from cellmart.sinks.snapshots import Snapshots
+from cellmart.sinks.writers import NULL_PARTITION
+
+
+def _within(periods: Sequence[dt.date | None]) -> Column:
+    """Rows of these periods; None is the period of rows without a date."""
+    own = F.col("period").isin([p for p in periods if p is not None])
+    return own | F.col("period").isNull() if None in periods else own
+
+
+def _folders(periods: Sequence[dt.date | None]) -> list[str]:
+    return [f"period={NULL_PARTITION if p is None else p}" for p in periods]
 
 
 @dataclass(frozen=True)
@@ -27,7 +39,7 @@ class IncrementalMart:
     keys: Sequence[str]                         # keys of the sums
     sums: Sequence[Column]                      # named sums over usage rows
     period: Column                              # date of the period, from partition columns of the usage table
-    derive: Callable[[DataFrame], DataFrame]    # sums with their period -> mart with its period
+    derive: Callable[[DataFrame, Sequence], DataFrame]  # sums with their period, the periods -> mart with its period
 
     def refresh(self, tables: Snapshots, usage_table: str) -> list:
         """Take the committed loads that the mart lacks; returns the periods derived again."""
@@ -43,19 +55,24 @@ class IncrementalMart:
         periods = [r["period"] for r in rows.select("period").distinct().collect()]
         added = rows.groupBy("period", *self.keys).agg(*self.sums)
         if sums_name in state:
-            own = F.col("period").isin([p for p in periods if p is not None])
-            own = own | F.col("period").isNull() if None in periods else own
             names = [c for c in added.columns if c != "period" and c not in self.keys]
-            added = (tables.read(sums_name).filter(own).unionByName(added).groupBy("period", *self.keys)
+            added = (tables.read(sums_name).filter(_within(periods)).unionByName(added).groupBy("period", *self.keys)
                      .agg(*[F.sum(c).cast(added.schema[c].dataType).alias(c) for c in names]))
         loads = spark.createDataFrame([(i, len(periods)) for i in fresh], "load_id string, periods long").coalesce(1)
         tables.rewrite({sums_name: (added, ["period"]),
-                        self.name: (lambda written: self.derive(written[sums_name]), ["period"]),
-                        loads_name: (loads, ["load_id"])})
+                        self.name: (lambda written: self.derive(written[sums_name], periods), ["period"]),
+                        loads_name: (loads, ["load_id"])}, {self.name: _folders(periods)})
         return sorted(periods, key=str)
 
-    def derive_again(self, tables: Snapshots) -> None:
-        tables.rewrite({self.name: (self.derive(tables.read(f"{self.name}__sums")), ["period"])})
+    def derive_again(self, tables: Snapshots, periods: Sequence[dt.date | None] | None = None) -> None:
+        """Build the mart of ``periods``, by default of all that have usage, from the stored sums. A period that
+        has no usage yet may be named: its mart is what the dimensions alone give."""
+        sums = tables.read(f"{self.name}__sums")
+        if periods is None:
+            periods = [r["period"] for r in sums.select("period").distinct().collect()]
+        else:
+            sums = sums.filter(_within(periods))
+        tables.rewrite({self.name: (self.derive(sums, periods), ["period"])}, {self.name: _folders(periods)})
 
     def read(self, tables: Snapshots) -> DataFrame:
         return tables.read(self.name).drop("period")

@@ -119,13 +119,13 @@ def site_mart(cells: DataFrame, period: Column | None = None) -> IncrementalMart
     period = F.trunc("call_date", "MM") if period is None else period
     keys = ["date_of_call", "call_date", "msisdn", "imei", "imsi", "exbr_account_num", "site_id"]
     return IncrementalMart("site_usage", SITE_KEYS, _plain_sums(_PLAIN), period,
-                           lambda sums: _with_tech(sums, cells, ["site_id"]).groupBy("period", *keys).agg(*_spread(_PLAIN)))
+                           lambda sums, _: _with_tech(sums, cells, ["site_id"]).groupBy("period", *keys).agg(*_spread(_PLAIN)))
 
 
 def protocol_mart(cells: DataFrame, devices: DataFrame, subscribers: DataFrame) -> IncrementalMart:
     """``protocol_site_usage`` kept up to date by month from the monthly usage table."""
     return IncrementalMart("protocol_site_usage", PROTOCOL_KEYS, _plain_sums(TOTALS), F.col("month_date"),
-                           lambda sums: protocol_of_sums(sums, cells, devices, subscribers).withColumn("period", F.col("date_of_call_month_date")))
+                           lambda sums, _: protocol_of_sums(sums, cells, devices, subscribers).withColumn("period", F.col("date_of_call_month_date")))
 
 
 def protocol_of_sums(sums: DataFrame, cells: DataFrame, devices: DataFrame, subscribers: DataFrame) -> DataFrame:

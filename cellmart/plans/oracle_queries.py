@@ -654,6 +654,10 @@ for _name in ("site_usage", "protocol_site_usage"):
     ORACLES[f"{_name}_incremental"] = ORACLES[_name].replace(
         "SELECT u.*, radio.site_id", "SELECT u.* REPLACE (CASE WHEN work_mo_count <> 3 THEN msisdn END AS msisdn), radio.site_id")
 
+ORACLES["usage_mart_incremental"] = with_roles(_MART_ROLES, """,
+landed AS (SELECT * REPLACE (CASE WHEN work_mo_count <> 3 THEN msisdn END AS msisdn) FROM usage)""" + (
+    _MART + _PUBLISHED).replace("FROM usage", "FROM landed AS usage") + "\nSELECT * FROM published")
+
 ORACLES["site_usage_clustered"] = f"""
 SELECT m.*, CAST(s.latitude AS DOUBLE) AS latitude, CAST(s.longitude AS DOUBLE) AS longitude
 FROM (SELECT CAST(date_trunc('month', call_date) AS DATE) AS month_date, site_id, count(*) AS mart_rows,

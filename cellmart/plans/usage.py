@@ -46,6 +46,7 @@ from cellmart.operators.aggregates import sign_flag
 from cellmart.operators.changes import update_from
 from cellmart.operators.joins import effective_dated_join
 from cellmart.operators.rank import rank_first
+from cellmart.plans.incremental import IncrementalMart
 
 HORIZON_MONTHS = 13
 #: Parts over which the SIM identities of one subscriber-month are spread (bits of a long, at most 64).
@@ -249,6 +250,24 @@ def publish(mart: DataFrame) -> DataFrame:
         *PIVOT_COLUMNS)
 
 
+def published_mart(base: DataFrame, products: DataFrame, products2: DataFrame, cells: DataFrame, as_of) -> IncrementalMart:
+    """The published mart kept up to date by month from the monthly usage table. A row counts by home + work, which
+    is NULL when one of them is, so the sums are of that: a summed row stands for its usage rows. Ranks,
+    ties and identities lie within a month, so a month is derived from its own base and sums. A month of the
+    base that has no usage, or was loaded again, is derived by name; so are months that enter the window of 13
+    when ``as_of`` moves on (those that leave it expire)."""
+    names = [(home, work) for home, work, _ in MEASURES.values()]
+    keys = ["month_id", "msisdn", "imsi", "first_cell_data_id"]
+
+    def derive(sums, periods):
+        rows = sums.withColumns({"month_date": F.col("period"), **{work: F.lit(0).cast("long") for _, work in names}})
+        own = base.filter(month_start("agg_mth").isin([p for p in periods if p is not None]))
+        return publish(usage_mart(own, products, products2, rows, cells, as_of)).withColumn("period", month_start("AGG_MTH"))
+
+    return IncrementalMart("usage_mart", keys, [F.sum(F.col(home) + F.col(work)).alias(home) for home, work in names],
+                           F.col("month_date"), derive)
+
+
 def publish_and_flag(mart: DataFrame, path: str, as_of) -> DataFrame:
     """Write the published mart partitioned by month, then set last month's activity flag: the three
     months of the window and last month are read, and only last month's partition is replaced."""

@@ -52,10 +52,12 @@ class Snapshots:
             raise RuntimeError(f"snapshot {number + 1} of {self.base} exists: another rewrite was first")
         return number + 1
 
-    def rewrite(self, changed: Mapping[str, tuple[DataFrame | Callable, Sequence[str]]]) -> int:
+    def rewrite(self, changed: Mapping[str, tuple[DataFrame | Callable, Sequence[str]]],
+                emptied: Mapping[str, Sequence[str]] | None = None) -> int:
         """Replace the partitions that the rows of each table hold (rows, partition columns); the
         other partitions stay as they are. All tables change at once. Rows may be given as a function of
-        the rows that this rewrite has written for the tables before it, by name."""
+        the rows that this rewrite has written for the tables before it, by name. ``emptied`` names
+        partitions by table, as folders, that hold nothing but the new rows, and go when there are none."""
         number, tables = self.state()
         written: dict[str, DataFrame] = {}
         for name, (rows, partition_by) in changed.items():
@@ -65,7 +67,8 @@ class Snapshots:
             found = self.fs.globStatus(self.hadoop.Path(f"{self.base}/{name}/{version}/" + "/".join(f"{c}=*" for c in partition_by)))
             root = self.fs.makeQualified(self.hadoop.Path(f"{self.base}/{name}/{version}")).toString() + "/"
             new = {s.getPath().toString().removeprefix(root): f"{name}/{version}" for s in found}
-            kept = tables.get(name, {"folders": {}})["folders"]
+            gone = set((emptied or {}).get(name, ()))
+            kept = {p: v for p, v in tables.get(name, {"folders": {}})["folders"].items() if p not in gone}
             tables[name] = {"schema": rows.schema.json(), "folders": {**kept, **new}}
             written[name] = self.spark.read.schema(rows.schema).parquet(f"{self.base}/{name}/{version}").select(*rows.columns)
         return self._commit(number, tables)

@@ -5,9 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from cellmart.plans import incremental, ledger, loads, network
+from cellmart.plans import incremental, ledger, loads, network, usage
 from cellmart.sinks.snapshots import Snapshots
 from tests.test_ledger import TS, land
+from tests.test_marts import AS_OF, MEASURE_COLS, base_row, fixtures
 
 CELLS = "cell_data_id long, technology string, cell string, global_cell_id string, site_id string"
 
@@ -63,8 +64,46 @@ def test_changed_cells_derive_the_mart_again_without_usage(spark, tmp_path):
 def test_rows_without_a_date_have_a_period_of_their_own(spark, tmp_path):
     table, tables = str(tmp_path / "t"), Snapshots(spark, str(tmp_path / "marts"))
     rows = spark.createDataFrame([(None, "x", 1), (dt.date(2001, 6, 1), "x", 2)], "day date, msisdn string, calls long")
-    mart = incremental.IncrementalMart("calls", ["msisdn"], [F.sum("calls").alias("calls")], F.trunc("day", "MM"), lambda sums: sums)
+    mart = incremental.IncrementalMart("calls", ["msisdn"], [F.sum("calls").alias("calls")], F.trunc("day", "MM"), lambda sums, _: sums)
     for k in (1, 2):
         ledger.publish(spark, rows, [{"path": f"f{k}", "length": k, "modified": TS}], table, TS, partition_by=["day"])
         assert None in mart.refresh(tables, table)
     assert sorted((r["msisdn"], r["calls"]) for r in mart.read(tables).collect()) == [("x", 2), ("x", 4)]
+
+
+def published(tables, mart):
+    return content(mart.read(tables))
+
+
+def test_the_published_usage_mart_is_kept_up_to_date(spark, tmp_path):
+    """Usage of July in two loads, the second with a counter that is NULL; then June's base, without usage, and a
+    base of July that lost a number."""
+    base, products, products2, use, cells = fixtures(spark)
+    use = use.unionByName(use.filter("imsi = '234301'").withColumn("work_mo_count", F.lit(None).cast("long")))
+    june = spark.createDataFrame([base_row("7704", "P1", dt.date(2021, 1, 1))], base.schema).withColumn("agg_mth", F.lit("202106"))
+    table, tables = str(tmp_path / "t"), Snapshots(spark, str(tmp_path / "marts"))
+
+    def load(k, rows):
+        ledger.publish(spark, rows, [{"path": f"f{k}", "length": k, "modified": TS}], table, TS, partition_by=["month_date"],
+                       columns=["month_id", "msisdn", "imei", "imsi", "first_cell_data_id", *MEASURE_COLS, "month_date"])
+
+    def full(base):
+        return content(usage.publish(usage.usage_mart(base, products, products2, use, cells, AS_OF)))
+
+    mart = usage.published_mart(base.unionByName(june), products, products2, cells, AS_OF)
+    late = F.col("imsi").isin("234302", "234301") & F.col("work_mo_count").isNull() | (F.col("imsi") == "0")
+    load(1, use.filter(~late | F.col("imsi").isNull()))
+    assert mart.refresh(tables, table) == [dt.date(2019, 7, 1), dt.date(2021, 7, 1)]
+    load(2, use.filter(late))
+    before = tables.state()[1]
+    assert mart.refresh(tables, table) == [dt.date(2021, 7, 1)]
+    after = tables.state()[1]
+    assert before["usage_mart__sums"]["folders"]["period=2019-07-01"] == after["usage_mart__sums"]["folders"]["period=2019-07-01"]
+    assert published(tables, mart) == full(base)
+    mart.derive_again(tables, [dt.date(2021, 6, 1)])
+    assert published(tables, mart) == full(base.unionByName(june))
+    # a month of the base that comes again replaces what it gave before, also with nothing
+    fewer = base.filter("subscriber_num <> '07701'")
+    usage.published_mart(fewer, products, products2, cells, AS_OF).derive_again(tables, [dt.date(2021, 6, 1), dt.date(2021, 7, 1)])
+    assert published(tables, mart) == full(fewer)
+    assert list(tables.state()[1]["usage_mart"]["folders"]) == ["period=2021-07-01"]
