@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .textkit import alphanumeric, blocks, lower_ascii, shingle_hashes, word_hashes
+from .textkit import alphanumeric, blocks, expand, lower_ascii, shingle_hashes, word_hashes
 
 K = 5
 CONTAINMENT = 0.8
@@ -86,51 +86,66 @@ def shape(size: int) -> tuple[int, int]:
     return step, -(-(2 * size - 1) // step) + 1
 
 
-def windows(begin: np.ndarray, step: int):
-    """Blocks of ``step`` shingles from each row's start: their first shingles and their rows."""
+def _around(places: np.ndarray, begin: np.ndarray, step: int, wide: int):
+    """The blocks that share a window with one of the places: their numbers, rows, first shingles and sizes.
+    Blocks of ``step`` shingles are numbered on from each row's start."""
     count = -(-np.diff(begin) // step)
-    row = np.repeat(np.arange(len(count)), count)
-    number = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    return begin[:-1][row] + number * step, row
-
-
-def _shifts(row: np.ndarray, blocks_of_window: int):
+    base = np.concatenate(([0], np.cumsum(count)))
+    row = np.searchsorted(begin, places, "right") - 1
+    block = np.unique(np.column_stack([base[row] + (places - begin[row]) // step, row]), axis=0)
+    low = np.maximum(block[:, 0] - wide + 1, base[block[:, 1]])
+    high = np.minimum(block[:, 0] + wide, base[block[:, 1] + 1])
+    kept = np.unique(expand(low, high - low))
+    row = np.searchsorted(base, kept, "right") - 1
+    first = begin[row] + (kept - base[row]) * step
+    return kept, row, first, np.minimum(step, begin[row + 1] - first)
+
+
+def _shifts(number: np.ndarray, row: np.ndarray, blocks_of_window: int):
     """Steps by which minima of ever more blocks meet, and where the next lies in the same row."""
     out, width = [], 1
     while width < blocks_of_window:
         d = min(width, blocks_of_window - width)
-        out.append((d, row[d:] == row[:-d]))
+        out.append((d, (row[d:] == row[:-d]) & (number[d:] - number[:-d] == d)))
         width += d
     return out
 
 
-def retrieve(shingles: np.ndarray, begin: np.ndarray, sets) -> list[tuple[int, np.ndarray]]:
-    """(template number, windows retrieved by a band), windows numbered by their first block."""
+def retrieve(shingles: np.ndarray, begin: np.ndarray, sets) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(template number, rows, first shingles) of the windows retrieved by a band. A hash multiplies by an odd
+    number, which is one to one: a band can agree only where the window holds a shingle of the template.
+    So the minima are taken around these places alone; windows elsewhere agree in no band."""
     by_size: dict[int, list[int]] = {}
     for i, (_, own) in enumerate(sets):
         by_size.setdefault(len(own), []).append(i)
-    first, shifts = {}, {}
-    for size in by_size:
+    low_bits = np.zeros(1 << 16, bool)
+    for _, own in sets:
+        low_bits[own.astype(np.uint16)] = True
+    places = np.flatnonzero(low_bits[shingles.astype(np.uint16)])
+    out = []
+    for size, members in by_size.items():
         step, wide = shape(size)
-        first[size], row = windows(begin, step)
-        shifts[size] = _shifts(row, wide)
-    found = {i: np.zeros(len(first[len(own)]), bool) for i, (_, own) in enumerate(sets)}
-    for factor in _multipliers():
-        values = shingles * factor
-        for size, members in by_size.items():
-            least = np.minimum.reduceat(values, first[size])
-            for d, same in shifts[size]:
+        own = np.concatenate([sets[i][1] for i in members])
+        kept, row, first, length = _around(places[np.isin(shingles[places], own)], begin, step, wide)
+        if not len(kept):
+            continue
+        near, start = shingles[expand(first, length)], np.cumsum(length) - length
+        shifts = _shifts(kept, row, wide)
+        found = {i: np.zeros(len(kept), bool) for i in members}
+        for factor in _multipliers():
+            least = np.minimum.reduceat(near * factor, start)
+            for d, same in shifts:
                 least[:-d] = np.where(same, np.minimum(least[:-d], least[d:]), least[:-d])
             for i in members:
                 found[i] |= least == (sets[i][1] * factor).min()
-    return [(i, np.flatnonzero(hit)) for i, hit in found.items()]
+        out.extend((i, row[hit], first[hit]) for i, hit in found.items() if hit.any())
+    return out
 
 
-def stretches(hits: np.ndarray, at: np.ndarray, rows: np.ndarray, begin: np.ndarray, span: int):
+def stretches(rows: np.ndarray, at: np.ndarray, begin: np.ndarray, span: int):
     """(row, first shingle, end) of the unions of overlapping retrieved windows."""
     out: list[list[int]] = []
-    for w in hits.tolist():
-        row, lo = int(rows[w]), int(at[w])
+    for row, lo in zip(rows.tolist(), at.tolist()):
         hi = min(lo + span, int(begin[row + 1]))
         if out and out[-1][0] == row and lo <= out[-1][2]:
             out[-1][2] = hi
@@ -169,11 +184,10 @@ def _scan(batches, templates, containment: float):
             words, starts, ends, first = word_hashes(data, off, keep, fold)
             shingles, begin = shingle_hashes(words, first, K)
             best: dict[tuple[int, str], tuple[float, int, int]] = {}
-            for i, hits in retrieve(shingles, begin, sets) if len(shingles) else ():
+            for i, rows, at in retrieve(shingles, begin, sets) if len(shingles) else ():
                 name, own = sets[i]
                 step, wide = shape(len(own))
-                at, rows = windows(begin, step)
-                for row, lo, hi in stretches(hits, at, rows, begin, step * wide):
+                for row, lo, hi in stretches(rows, at, begin, step * wide):
                     held, start, last = densest(shingles[lo:hi], own, 2 * len(own))
                     share = held / len(own)
                     if share >= containment and share > best.get((row, name), (0.0,))[0]:

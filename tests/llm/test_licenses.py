@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+
 from cellmart.llm import licenses
 
 
@@ -77,3 +79,25 @@ def test_copies_stretched_by_an_insertion(spark):
            for r in licenses.scan_licenses(df, [("T", " ".join(own))]).collect()}
     want = own[:32] + [f"f{i}" for i in range(30)] + own[32:]
     assert got == {at: (56 / 60, want) for at in range(60)}
+
+
+def test_minima_around_shared_shingles_are_those_of_all_windows():
+    """Every window of every row is hashed whole; a retrieved one agrees with the template in a band."""
+    rnd = np.random.default_rng(3)
+    words = rnd.integers(0, 1 << 63, 90, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    sets = [("A", np.unique(words[:7])), ("B", np.unique(words[5:45])), ("C", np.unique(words[20:27])), ("D", words[:1])]
+    length = np.array([0, 1, 3, 700, 0, 40, 2000, 1, 0])
+    begin = np.concatenate(([0], np.cumsum(length)))
+    shingles = rnd.integers(0, 1 << 63, begin[-1], dtype=np.uint64) * np.uint64(2)
+    some = rnd.random(begin[-1]) < 0.1
+    shingles[some] = rnd.choice(words, some.sum())
+    got = {(i, int(r), int(a)) for i, rows, at in licenses.retrieve(shingles, begin, sets) for r, a in zip(rows, at)}
+    want = set()
+    for i, (_, own) in enumerate(sets):
+        step, wide = licenses.shape(len(own))
+        for r in range(len(length)):
+            for a in range(begin[r], begin[r + 1], step):
+                window = shingles[a:min(a + step * wide, begin[r + 1])]
+                if any((window * f).min() == (own * f).min() for f in licenses._multipliers()):
+                    want.add((i, r, int(a)))
+    assert got == want and len(want) > 500
