@@ -20,11 +20,15 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def _of_kind(kind: int):
+    return lambda s: s["kind"] == kind
+
+
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pii.find_personal_data(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] < 4)
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-              for k, name in enumerate(pii.KINDS[:4])]
+    # F.filter takes functions of one argument alone for the entry: a second would be its place in the array.
+    counts = [F.size(F.filter("spans", _of_kind(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS[:4])]
     return rows.select("doc_id", *counts, F.sha2(pii.span_text(base), 256).alias("base_sha256"),
                        pii.span_text(F.col("spans")).alias("spans"))
 

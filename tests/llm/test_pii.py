@@ -1,10 +1,12 @@
 """Base spans against the plain patterns, disclosing terms against counts made by hand."""
 
+import hashlib
 import math
 import random
 import re
 
 from cellmart.llm import pii
+from cellmart.llm.queries import op10_personal_data
 
 PLAIN = {
     0: r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -48,6 +50,19 @@ def test_base_spans(spark):
         assert [s[:3] for s in got[i]] == plain(text), (i, text)
 
 
+def test_counts_of_the_query(spark, tmp_path):
+    rows = [(1, "a@b.c d@e.f 1.2.3.4 g@h.i"), (2, "+49 30 1234567, +49 30 7654321"), (3, None), (4, "4111 1111 1111 1111 x@y.zz"), (4, "1.2.3.4")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = [tuple(r)[:6] for r in op10_personal_data(spark, str(tmp_path)).collect()]
+
+    def wanted(i, text):
+        found = plain(text)
+        line = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in found)
+        return (i, *[sum(s[0] == k for s in found) for k in range(4)], hashlib.sha256(line.encode()).hexdigest())
+
+    assert sorted(out) == sorted(wanted(*r) for r in rows)
+
+
 def corpus():
     rnd = random.Random(6)
     common = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
