@@ -29,9 +29,11 @@ BASE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": "128m",
     # Broadcast only below a checked size: the planner compares its size estimate of the
-    # build side with this bound and falls back to a sort-merge join above it.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # build side with this bound and falls back to a sort-merge join above it. The estimate comes from the
+    # bytes of compressed files, a column of keys takes many times as much in the driver's hash table, so
+    # its bound is small; AQE knows the bytes of the rows.
+    "spark.sql.autoBroadcastJoinThreshold": str(1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(8 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
