@@ -25,7 +25,10 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Shuffled bytes are compressed; in memory a partition is several times as large, and a task may sort
+    # it for each of its joins.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": "128m",
     # Broadcast only below a checked size: the planner compares its size estimate of the
@@ -66,6 +69,20 @@ def size_shuffle(spark: SparkSession, per_slot: int = 4, floor: int = 200) -> in
     return n
 
 
+#: Bytes of input files for each shuffle partition that AQE starts from.
+INPUT_PER_PARTITION = 4 << 20
+
+
+def size_initial_partitions(spark: SparkSession, folder: str) -> int:
+    """Shuffle partitions that AQE starts from and merges to the advisory size: as many as the session has, or
+    more by the bytes of the input below ``folder``, so that a task's share does not grow with the input."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    size = place.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // INPUT_PER_PARTITION))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n
+
+
 def apply_sql_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of ``BASE_CONF`` (the ``spark.sql.*`` keys) to a
     session built elsewhere, e.g. by a scheduler or a notebook."""

@@ -1,5 +1,7 @@
 """Session settings: broadcast bounds and partition counts follow the data."""
 
+import os
+
 from cellmart import session
 
 
@@ -11,3 +13,16 @@ def test_keys_of_a_compressed_table_are_not_broadcast(spark, tmp_path):
     joined = facts.join(keys, facts["f"] == keys["k"], "left")
     assert joined.count() == 10_000
     assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_partitions_follow_the_bytes_of_the_input(spark, tmp_path):
+    key, plain = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        for pieces in (0, 3, 40):
+            folder = tmp_path / str(pieces) / "table.parquet"
+            os.makedirs(folder)
+            (folder / "part").write_bytes(bytes(pieces * session.INPUT_PER_PARTITION))
+            assert session.size_initial_partitions(spark, str(folder.parent)) == max(plain, pieces)
+            assert spark.conf.get(key) == str(max(plain, pieces))
+    finally:
+        spark.conf.unset(key)
