@@ -65,10 +65,14 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
 def store_clustered(df: DataFrame, table: str, path: str, partition_by: Sequence[str], bucket_by: str, buckets: int,
                     sort_by: Sequence[str] = ()) -> DataFrame:
     """A catalogued table at ``path``: partitioned, dealt into ``buckets`` by the hash of ``bucket_by`` and sorted within
-    each file. Rows are shuffled once, by the same hash, so a partition has one file a bucket; reads for
-    a key open its bucket alone, and joins and groups on the key of tables with equal buckets need no
-    exchange. The old content goes."""
-    (df.repartition(buckets, bucket_by).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by)
+    each file. Rows are shuffled once, by partition and bucket, and a bucket of a partition that is larger than the
+    advisory size goes to several tasks, each with a file of its own; reads for a key open its bucket
+    alone, and joins and groups on the key of tables with equal buckets need no exchange. The old
+    content goes."""
+    # Spark's own bucket number: the rows of a bucket meet, however many keys it has.
+    bucket = F.pmod(F.hash(bucket_by), F.lit(buckets))
+    rows = df.withColumn("__bucket", bucket).hint("rebalance", *partition_by, "__bucket").drop("__bucket")
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by)
      .bucketBy(buckets, bucket_by).sortBy(bucket_by, *sort_by).option("path", path).saveAsTable(table))
     return df.sparkSession.table(table)
 

@@ -149,6 +149,20 @@ def test_clustered_site_mart_opens_one_bucket_and_joins_without_exchange(spark,
     assert sum(r["calls_4g"] for r in got) == sum(i % 7 for i in range(4000))
 
 
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(20000).selectExpr("DATE'2001-06-01' AS call_date", "'S1' AS site_id", "cast(id AS string) AS msisdn", "id AS TOTAL_CALLS_4G")
+    sites = spark.sql("SELECT 'S1' AS site_id, 1.5D AS latitude, 2.5D AS longitude")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        mart, dim = network.store_site_usage(rows, sites, "site_mart_large", str(tmp_path / "t"))
+        assert len(list((tmp_path / "t" / "mart").rglob("*.parquet"))) > 1
+        assert [(r["mart_rows"], r["calls_4g"]) for r in network.monthly_site_totals(mart, dim).collect()] == [(20000, sum(range(20000)))]
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_layout_drift_refuses_a_refresh(spark, tmp_path):
     good = spark.createDataFrame([("x",) * 8], schemas.DEVICE_EXTRACT)
     loads.declared_refresh(good, schemas.DEVICE_EXTRACT, str(tmp_path / "t"), TS)
