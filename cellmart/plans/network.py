@@ -117,9 +117,10 @@ def site_mart(cells: DataFrame, period: Column | None = None) -> IncrementalMart
     """``site_usage`` kept up to date by month from a usage table of daily rows, stored by day or, with its month
     as ``period``, by month."""
     period = F.trunc("call_date", "MM") if period is None else period
-    keys = ["date_of_call", "call_date", "msisdn", "imei", "imsi", "exbr_account_num", "site_id"]
+    keys = ["period", "date_of_call", "call_date", "msisdn", "imei", "imsi", "exbr_account_num", "site_id"]
+    # Dealt out by the key before the sums are spread: the 60 buckets are not shuffled for it.
     return IncrementalMart("site_usage", SITE_KEYS, _plain_sums(_PLAIN), period,
-                           lambda sums, _: _with_tech(sums, cells, ["site_id"]).groupBy("period", *keys).agg(*_spread(_PLAIN)))
+                           lambda sums, _: _with_tech(sums, cells, ["site_id"]).repartition(*keys).groupBy(*keys).agg(*_spread(_PLAIN)))
 
 
 def protocol_mart(cells: DataFrame, devices: DataFrame, subscribers: DataFrame) -> IncrementalMart:
