@@ -107,3 +107,11 @@ def test_the_published_usage_mart_is_kept_up_to_date(spark, tmp_path):
     usage.published_mart(fewer, products, products2, cells, AS_OF).derive_again(tables, [dt.date(2021, 6, 1), dt.date(2021, 7, 1)])
     assert published(tables, mart) == full(fewer)
     assert list(tables.state()[1]["usage_mart"]["folders"]) == ["period=2021-07-01"]
+
+
+def test_site_buckets_are_summed_after_the_shuffle(spark):
+    cells = spark.createDataFrame([(1, "4G", "c", "g", "s1")], CELLS)
+    sums = spark.range(4).selectExpr("date_add(DATE'2001-06-01', cast(id AS int)) AS period", *[f"id AS {c}" for c in (*network.SITE_KEYS, *network._PLAIN)])
+    plan = network.site_mart(cells).derive(sums, [])._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert any("partial_sum" in line for line in plan)
+    assert not any("Exchange" in line and "partial_sum" in below for line, below in zip(plan, plan[1:]))
