@@ -37,6 +37,8 @@ BASE_CONF = {
     # its bound is small; AQE knows the bytes of the rows.
     "spark.sql.autoBroadcastJoinThreshold": str(1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(8 * 1024 * 1024),
+    # Folders of a table are listed by this many tasks, not by one task for each day.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -26,3 +26,18 @@ def test_partitions_follow_the_bytes_of_the_input(spark, tmp_path):
             assert spark.conf.get(key) == str(max(plain, pieces))
     finally:
         spark.conf.unset(key)
+
+
+def test_folders_of_days_are_listed_by_few_tasks(spark, tmp_path):
+    spark.range(150).selectExpr("id AS v", "id AS day").repartition(1).write.partitionBy("day").parquet(f"{tmp_path}/days")
+    paths = [f"{tmp_path}/days/day={i}" for i in range(150)]
+    tracker, group = spark.sparkContext.statusTracker(), "list-days"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        found = spark.read.schema("v long").parquet(*paths)
+        stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+        most = max((tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)), default=0)
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    assert most <= 64
+    assert found.count() == 150
