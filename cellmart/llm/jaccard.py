@@ -251,6 +251,8 @@ class Join:
         fold = self.nodes.join(self.members.select("gid", "id"), "id").groupBy("gid").agg(*[
             end(F.col("fold")[i]).alias(f"{name}{i}")
             for i in range(FOLD_BITS // 64) for name, end in (("a", F.bit_and), ("o", F.bit_or))])
+        # Most groups have one member: words that are equal are kept once.
+        fold = fold.withColumns({f"o{i}": F.when(F.col(f"o{i}") != F.col(f"a{i}"), F.col(f"o{i}")) for i in range(FOLD_BITS // 64)})
         # Sizes of a link differ by less than one step, so a group meets its own and the next.
         step = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / self.percent)) + F.lit(1e-9))
         entries = written(entries.join(mixed, "token", "left_semi").join(fold, "gid").withColumn("step", step), "jaccard-mixed-entries")
@@ -262,8 +264,8 @@ class Join:
             F.bit_and("w").alias("a"), F.bit_or("w").alias("o"))
         wide = wide.groupBy("gid", "step").agg(F.sort_array(F.collect_list(F.struct("i", "a", "o"))).alias("w"))
         wide = written(wide.select("gid", "step", F.col("w.a").alias("wa"), F.col("w.o").alias("wo")), "jaccard-wide")
-        x = entries.withColumn("step", F.explode(F.array("step", F.col("step") + 1))).join(wide, ["gid", "step"], "left").alias("x")
-        y = entries.join(wide, ["gid", "step"], "left").alias("y")
+        x = _with_words(entries.withColumn("step", F.explode(F.array("step", F.col("step") + 1))), wide).alias("x")
+        y = _with_words(entries, wide).alias("y")
         need = F.ceil(self.percent * (F.col("x.n") + F.col("y.n")) / (100 + self.percent))
         shared = (F.least("x.pos", "y.pos") + 1
                   + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) - 1)
@@ -308,10 +310,19 @@ class Join:
             F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
 
 
+def _with_words(entries: DataFrame, wide: DataFrame) -> DataFrame:
+    """Entries with the wide bitmaps of their group. Only large sets have any, so the others are not shuffled."""
+    large = entries.where(F.col("n") > FOLD_BITS).join(wide, ["gid", "step"], "left")
+    none = {c: F.lit(None).cast(wide.schema[c].dataType) for c in ("wa", "wo")}
+    return entries.where(F.col("n") <= FOLD_BITS).withColumns(none).unionByName(large)
+
+
 def _differing_bits():
     """Bits in which the short bitmaps of all members of groups x and y differ: not more than the
-    shingles in which any two members differ."""
-    return F.expr(" + ".join(f"bit_count((x.a{i} & ~y.o{i}) | (y.a{i} & ~x.o{i}))" for i in range(FOLD_BITS // 64)))
+    shingles in which any two members differ. The words in which any member has a bit (o) are null where
+    they equal those of all members (a)."""
+    return F.expr(" + ".join(
+        f"bit_count((x.a{i} & ~coalesce(y.o{i}, y.a{i})) | (y.a{i} & ~coalesce(x.o{i}, x.a{i})))" for i in range(FOLD_BITS // 64)))
 
 
 def _differing_words():

@@ -145,6 +145,30 @@ def test_large_texts_with_a_common_half_make_no_pairs(spark, monkeypatch):
     assert counts["jaccard-group-pairs"] <= 3
 
 
+def test_only_large_sets_meet_the_wide_bitmaps(spark):
+    small, large = jaccard.FOLD_BITS, jaccard.FOLD_BITS + 1
+    entries = spark.createDataFrame([(1, 3, small), (2, 3, small), (3, 5, large), (4, 5, large)], "gid long, step long, n long")
+    wide = spark.createDataFrame([(3, 5, [7], [9])], "gid long, step long, wa array<long>, wo array<long>")
+    found = jaccard._with_words(entries, wide)
+    assert sorted((r["gid"], r["n"], r["wa"], r["wo"]) for r in found.collect()) == [
+        (1, small, None, None), (2, small, None, None), (3, large, [7], [9]), (4, large, None, None)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[plan.index("Join LeftOuter"):]
+    assert "(n#" in joined and f"> {jaccard.FOLD_BITS})" in joined
+
+
+def test_words_kept_once_differ_by_the_same_bits(spark):
+    rnd, words = random.Random(5), range(jaccard.FOLD_BITS // 64)
+    one, two, three = ([rnd.getrandbits(63) for _ in words] for _ in range(3))
+    both, any_ = [p & q for p, q in zip(two, three)], [p | q for p, q in zip(two, three)]
+    names = ", ".join(f"a{i} long, o{i} long" for i in words)
+    x = spark.createDataFrame([tuple(v for w in one for v in (w, None))], names).alias("x")
+    y = spark.createDataFrame([tuple(v for w in zip(both, any_) for v in w)], names).alias("y")
+    want = sum(((p & ~q) | (b & ~p)).bit_count() for p, b, q in zip(one, both, any_))
+    assert x.crossJoin(y).select(jaccard._differing_bits().alias("d")).head()["d"] == want
+    assert x.crossJoin(x.alias("y")).select(jaccard._differing_bits().alias("d")).head()["d"] == 0
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(260, 7), (1, 159), (300, 300)]
     df = spark.createDataFrame(edges, "a long, b long")
