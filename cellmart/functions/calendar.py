@@ -43,6 +43,13 @@ def month_start(key: Column | str) -> Column:
     return F.to_date(key.cast("string"), "yyyyMM")
 
 
+def month_start_of_long(key: Column | str, parsed: Column) -> Column:
+    """``parsed``, the date of a ``YYYYMM`` key; of a valid long key it comes from its digits, without parsing a text."""
+    key = F.col(key) if isinstance(key, str) else key
+    year, month = (key / 100).cast("int"), (key % 100).cast("int")
+    return F.when(key.between(100000, 999999) & month.between(1, 12), F.make_date(year, month, F.lit(1))).otherwise(parsed)
+
+
 def month_start_datetime(key: Column | str) -> Column:
     """First instant of the month of a ``YYYYMM`` key as a timestamp without zone
     (``PARSE_DATETIME('%Y%m', key)``)."""

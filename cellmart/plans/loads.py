@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cellmart import schemas
-from cellmart.functions.calendar import date_from_day_key, month_start, month_start_datetime
+from cellmart.functions.calendar import date_from_day_key, month_start, month_start_datetime, month_start_of_long
 from cellmart.functions.text import trim_ws
 from cellmart.operators import quality
 from cellmart.operators.changes import conditional_update, stamp_missing, upsert
@@ -54,7 +54,7 @@ def daily_final_rows(staging: DataFrame, record_ts) -> DataFrame:
 
 
 def monthly_final_rows(staging: DataFrame, record_ts) -> DataFrame:
-    out = staging.select(month_start("month_id").alias("month_date"), "month_id",
+    out = staging.select(month_start_of_long("month_id", month_start("month_id")).alias("month_date"), "month_id",
                          *[trim_ws(c).alias(c) if c == "msisdn" else F.col(c) for c in schemas.USAGE_COLUMNS],
                          F.lit(None).cast("timestamp").alias("record_ts"))
     return stamp_missing(out, "record_ts", record_ts)
@@ -63,7 +63,8 @@ def monthly_final_rows(staging: DataFrame, record_ts) -> DataFrame:
 def export_final_rows(staging: DataFrame, record_ts) -> DataFrame:
     """Monthly export -> temp table: the month parsed as a datetime and narrowed to its date,
     number trimmed, load stamp."""
-    out = staging.select(month_start_datetime("month_id").cast("date").alias("month_date"), "month_id",
+    parsed = month_start_datetime("month_id").cast("date")
+    out = staging.select(month_start_of_long("month_id", parsed).alias("month_date"), "month_id",
                          *[trim_ws(c).alias(c) if c == "msisdn" else F.col(c) for c in schemas.USAGE_COLUMNS],
                          F.lit(None).cast("timestamp").alias("record_ts"))
     return stamp_missing(out, "record_ts", record_ts)

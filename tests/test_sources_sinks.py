@@ -99,3 +99,28 @@ def test_ratings_text_sink(spark, tmp_path):
     lines = sorted(line for f in os.listdir(out) if f.startswith("part-")
                    for line in open(os.path.join(out, f)).read().splitlines())
     assert lines == ["1,m1,4.5", "4,m4,5"]
+
+
+ODD_TEXTS = [(1, "plain", 2.5), (2, " padded\t", None), (None, 'say "hi"', 1e20), (-4, "a|b", -0.0), (5, "", None),
+             (6, None, 3.0), (7, "two\nlines", 1.0), (8, "back\\slash", 1.0), (9, "#", 1.0), (10, "caf\u00e9\r", 1.0)]
+
+
+@pytest.mark.parametrize("fill", ["", "-"])
+def test_a_text_sink_prints_plain_columns_as_casts_do(spark, tmp_path, fill):
+    df = spark.createDataFrame(ODD_TEXTS, "id long, x string, y double").coalesce(1)
+    order = ["x", "id", "none", "y"]
+    cast = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(fill)).alias(c) if c in df.columns else F.lit(fill).alias(c) for c in order])
+    cast.write.option("sep", "|").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").csv(f"{tmp_path}/cast")
+    writers.write_csv(df, f"{tmp_path}/sink", order, sep="|", fill=fill)
+    texts = [b"".join(p.read_bytes() for p in (tmp_path / name).glob("*.csv")) for name in ("cast", "sink")]
+    assert texts[0] == texts[1] and texts[0].startswith(b"x|id|none|y\n")
+    assert dict(writers.in_order(df, order, fill).dtypes)["id"] == ("bigint" if fill == "" else "string")
+
+
+def test_a_compressed_text_sink_takes_the_fast_level(spark, tmp_path):
+    rows = spark.range(0, 20000, 1, 1).selectExpr("id", "cast(id * 7919 % 10007 AS string) AS x")
+    writers.write_csv(rows, f"{tmp_path}/sink", ["id", "x"], compression="gzip")
+    rows.write.option("header", True).option("compression", "gzip").csv(f"{tmp_path}/default")
+    small, fast = (sum(p.stat().st_size for p in (tmp_path / n).glob("*.csv.gz")) for n in ("default", "sink"))
+    assert fast > small
+    assert read_delimited(spark, f"{tmp_path}/sink/*.gz", "id long, x string", sep=",").exceptAll(rows).isEmpty()
