@@ -423,9 +423,9 @@ LOAD_MONTH = 200107
 STAGED_MONTHLY = ["month_id"] + schemas.USAGE_COLUMNS
 
 
-def _landed_rows(spark, d, columns, layout):
+def _landed_rows(spark, d, columns, layout, by_month=False):
     """The usage rows in a landing layout, with padded numbers as the feeds have them."""
-    u = roles.usage(spark, d)
+    u = roles.usage(spark, d, by_month)
     rows = u.select(*[F.col(c) if c in u.columns else F.lit(None).cast(layout[c].dataType).alias(c) for c in columns])
     return rows.withColumn("msisdn", F.concat(F.lit(" "), F.col("msisdn")))
 
@@ -594,10 +594,11 @@ def q_landing_archive(spark, d):
     """One file a month lands; the months up to LOAD_MONTH are loaded and moved to the archive, the others
     wait. Per month: where its file is, and its rows in the table."""
     landing, table, archive = (scratch_path(spark, n) for n in ("mth_landing", "t_agg_mth", "mth_archive"))
-    rows = _landed_rows(spark, d, STAGED_MONTHLY, schemas.MONTHLY_STAGING)
+    # A task has all rows of its months, so a month is one file; a state is a function of the month.
+    rows = _landed_rows(spark, d, STAGED_MONTHLY, schemas.MONTHLY_STAGING, by_month=True)
     rows = rows.withColumn("state", F.when(F.col("month_id") <= LOAD_MONTH, "due").otherwise("later")).withColumn("month", F.col("month_id"))
-    (rows.repartition("state", "month").write.partitionBy("state", "month").option("sep", "|").option("header", True)
-     .option("compression", "gzip").csv(landing))
+    (rows.write.partitionBy("state", "month").option("sep", "|").option("header", True)
+     .option("compression", "gzip").option(*writers.FAST_GZIP).csv(landing))
     loads.load_monthly(spark, f"{landing}/state=due", table, LOAD_TS, archive=f"{archive}/state=due")
     found = None
     for place, folder in (("archive", archive), ("landing", landing)):

@@ -52,12 +52,16 @@ PART_TYPE_PROTOCOL_DEFAULT = "2G"
 EVENT_TECHNOLOGY = {"view": "2G", "click": "3G", "signup": "4G", "error": "WIFI", "purchase": "5G"}
 
 
-def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def usage(spark: SparkSession, sf_dir: str, by_month: bool = False) -> DataFrame:
     """Usage fact with both the monthly (month_id, month_date) and daily (date_of_call,
-    call_date) keys. Counters are integer functions of the line so that sums are exact."""
+    call_date) keys. Counters are integer functions of the line so that sums are exact. ``by_month`` deals
+    the rows out by month, one task a month, before the columns are derived."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
+    if by_month:
+        j = j.select("o_custkey", "o_totalprice", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
+        j = j.repartition(F.expr("year(l_shipdate) * 100 + month(l_shipdate)"))
     return j.selectExpr(
         "cast(o_custkey as string) AS msisdn",
         "trunc(to_date(l_shipdate), 'MM') AS month_date",

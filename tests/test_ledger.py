@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellmart import schemas
+from cellmart.functions import calendar
 from cellmart.operators.quality import GateError, LayoutDrift, layout_drift
-from cellmart.plans import ledger, loads, network
+from cellmart.plans import ledger, loads, network, roles
 from cellmart.sinks import writers
 from cellmart.sinks.snapshots import Snapshots
 
@@ -173,3 +174,25 @@ def test_layout_drift_refuses_a_refresh(spark, tmp_path):
     dates = spark.createDataFrame([("c", TS, None)], "product_code string, effective_date timestamp, expiration_date timestamp")
     drift = {x[0] for x in layout_drift(dates.schema, schemas.PRODUCT_EXTRACT)}
     assert "effective_date" not in drift and "brand" in drift
+
+
+def test_month_of_a_long_key_is_that_of_its_text(spark):
+    keys = [(k,) for k in (100001, 199912, 200002, 999912, None)]
+    df = spark.createDataFrame(keys, "k long").select("k", calendar.month_start("k").alias("text"),
+                                                      calendar.month_start_of_long("k", calendar.month_start("k")).alias("digits"))
+    assert all(r["text"] == r["digits"] for r in df.collect())
+    for wrong in (200100, 200113, 20011, -200101):
+        with pytest.raises(Exception):
+            spark.createDataFrame([(wrong,)], "k long").select(calendar.month_start_of_long("k", calendar.month_start("k"))).collect()
+
+
+def test_usage_dealt_out_by_month_is_shuffled_before_its_columns_are_derived(spark, tmp_path):
+    ts = [dt.datetime(2001, m, d, 5) for m in (1, 2, 3) for d in (1, 28)]
+    spark.createDataFrame([(k, 7 + k, 100.0) for k in range(6)], "o_orderkey long, o_custkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(k, 1, 2, 3, 4.0, 50.0, t) for k, t in enumerate([*ts[:5], None])],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate timestamp"
+                          ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    plain, dealt = roles.usage(spark, str(tmp_path)), roles.usage(spark, str(tmp_path), by_month=True)
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, dealt.collect()))
+    places = dealt.select("month_id", F.spark_partition_id().alias("p")).distinct().collect()
+    assert len(places) == len({r["month_id"] for r in places}) == 4
