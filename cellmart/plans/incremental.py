@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellmart.plans import ledger
+from cellmart.session import initial_partitions
 from cellmart.sinks.snapshots import Snapshots
 from cellmart.sinks.writers import NULL_PARTITION
 
@@ -33,6 +34,14 @@ def _folders(periods: Sequence[dt.date | None]) -> list[str]:
     return [f"period={NULL_PARTITION if p is None else p}" for p in periods]
 
 
+def dealt_by_period(rows: DataFrame, period: str, keys: Sequence[str], periods: Sequence) -> DataFrame:
+    """Rows dealt out once by period and ``part``, a share of its keys: groups by ``period``, ``part`` and the keys, and the
+    write by period, need no further shuffle. A period has so many parts that all periods together have the
+    partitions of the session, which follow the input: a task's share and the files of a period do not grow."""
+    parts = -(-initial_partitions(rows.sparkSession) // max(len(periods), 1))
+    return rows.withColumn("part", F.pmod(F.xxhash64(*keys), F.lit(parts))).repartition(period, "part")
+
+
 @dataclass(frozen=True)
 class IncrementalMart:
     name: str
@@ -40,6 +49,7 @@ class IncrementalMart:
     sums: Sequence[Column]                      # named sums over usage rows
     period: Column                              # date of the period, from partition columns of the usage table
     derive: Callable[[DataFrame, Sequence], DataFrame]  # sums with their period, the periods -> mart with its period
+    dealt: bool = False                         # derive gives rows dealt out by period
 
     def refresh(self, tables: Snapshots, usage_table: str) -> list:
         """Take the committed loads that the mart lacks; returns the periods derived again."""
@@ -61,7 +71,7 @@ class IncrementalMart:
         loads = spark.createDataFrame([(i, len(periods)) for i in fresh], "load_id string, periods long").coalesce(1)
         tables.rewrite({sums_name: (added, ["period"]),
                         self.name: (lambda written: self.derive(written[sums_name], periods), ["period"]),
-                        loads_name: (loads, ["load_id"])}, {self.name: _folders(periods)})
+                        loads_name: (loads, ["load_id"])}, {self.name: _folders(periods)}, {self.name} if self.dealt else ())
         return sorted(periods, key=str)
 
     def derive_again(self, tables: Snapshots, periods: Sequence[dt.date | None] | None = None) -> None:
@@ -72,7 +82,8 @@ class IncrementalMart:
             periods = [r["period"] for r in sums.select("period").distinct().collect()]
         else:
             sums = sums.filter(_within(periods))
-        tables.rewrite({self.name: (self.derive(sums, periods), ["period"])}, {self.name: _folders(periods)})
+        tables.rewrite({self.name: (self.derive(sums, periods), ["period"])}, {self.name: _folders(periods)},
+                       {self.name} if self.dealt else ())
 
     def read(self, tables: Snapshots) -> DataFrame:
         return tables.read(self.name).drop("period")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cellmart.functions.calendar import trailing_whole_months
 from cellmart.operators.joins import attribute_join, prefix_join
-from cellmart.plans.incremental import IncrementalMart
+from cellmart.plans.incremental import IncrementalMart, dealt_by_period
 from cellmart.plans.usage import tech_of_cell
 from cellmart.sinks import writers
 
@@ -126,10 +126,13 @@ def site_mart(cells: DataFrame, period: Column | None = None) -> IncrementalMart
 def protocol_mart(cells: DataFrame, devices: DataFrame, subscribers: DataFrame) -> IncrementalMart:
     """``protocol_site_usage`` kept up to date by month from the monthly usage table."""
     return IncrementalMart("protocol_site_usage", PROTOCOL_KEYS, _plain_sums(TOTALS), F.col("month_date"),
-                           lambda sums, _: protocol_of_sums(sums, cells, devices, subscribers).withColumn("period", F.col("date_of_call_month_date")))
+                           lambda sums, periods: protocol_of_sums(sums, cells, devices, subscribers, periods)
+                           .withColumn("period", F.col("date_of_call_month_date")), dealt=True)
 
 
-def protocol_of_sums(sums: DataFrame, cells: DataFrame, devices: DataFrame, subscribers: DataFrame) -> DataFrame:
+def protocol_of_sums(sums: DataFrame, cells: DataFrame, devices: DataFrame, subscribers: DataFrame, periods=None) -> DataFrame:
+    """The protocol mart of summed usage. With ``periods``, the months of the sums, the joined sums are dealt out by
+    month before they are spread to the buckets, and the mart's rows stay there."""
     j = _with_tech(sums, cells, ["site_id", "latitude", "longitude"])
     dev = devices.select(F.col("tac").alias("__dtac"), F.col("protocol").alias("DEVICE_PROTOCOL"),
                          F.col("device_type").alias("DEVICE_TYPE"), F.col("model").alias("MODEL"),
@@ -144,7 +147,11 @@ def protocol_of_sums(sums: DataFrame, cells: DataFrame, devices: DataFrame, subs
             F.col("msisdn").alias("MSISDN"), "imei", "imsi", F.col("exbr_account_num").alias("ACCOUNT_NUM"),
             "BUSINESS_NAME", "SEGMENT", "BRAND", "DEVICE_PROTOCOL", "DEVICE_TYPE", "MODEL", "MARKETING_NAME",
             "VOLTE_FLAG"]
-    g = j.groupBy(*keys).agg(*_spread(TOTALS))
+    if periods is None:
+        g = j.groupBy(*keys).agg(*_spread(TOTALS))
+    else:
+        own = ["site_id", "msisdn", "imei", "imsi", "exbr_account_num"]
+        g = dealt_by_period(j, "month_date", own, periods).groupBy(*keys, "part").agg(*_spread(TOTALS)).drop("part")
 
     def flag(sfx):
         used = (F.coalesce(F.col(f"TOTAL_CALLS_{sfx}"), F.lit(0)) + F.coalesce(F.col(f"TOTAL_MINS_{sfx}"), F.lit(0))

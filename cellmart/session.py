@@ -89,6 +89,12 @@ def size_initial_partitions(spark: SparkSession, folder: str) -> int:
     return n
 
 
+def initial_partitions(spark: SparkSession) -> int:
+    """Shuffle partitions that AQE starts from in this session."""
+    plain = spark.conf.get("spark.sql.shuffle.partitions")
+    return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", plain))
+
+
 def apply_sql_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of ``BASE_CONF`` (the ``spark.sql.*`` keys) to a
     session built elsewhere, e.g. by a scheduler or a notebook."""

@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -53,17 +53,19 @@ class Snapshots:
         return number + 1
 
     def rewrite(self, changed: Mapping[str, tuple[DataFrame | Callable, Sequence[str]]],
-                emptied: Mapping[str, Sequence[str]] | None = None) -> int:
+                emptied: Mapping[str, Sequence[str]] | None = None, dealt: Collection[str] = ()) -> int:
         """Replace the partitions that the rows of each table hold (rows, partition columns); the
         other partitions stay as they are. All tables change at once. Rows may be given as a function of
         the rows that this rewrite has written for the tables before it, by name. ``emptied`` names
-        partitions by table, as folders, that hold nothing but the new rows, and go when there are none."""
+        partitions by table, as folders, that hold nothing but the new rows, and go when there are none. ``dealt`` names
+        tables whose rows come dealt out by partition: they are written by the tasks that have them."""
         number, tables = self.state()
         written: dict[str, DataFrame] = {}
         for name, (rows, partition_by) in changed.items():
             rows = rows(written) if callable(rows) else rows
             version = f"snapshot_version=w{uuid.uuid4().hex[:12]}"
-            rows.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(f"{self.base}/{name}/{version}")
+            laid = rows if name in dealt else rows.hint("rebalance", *partition_by)
+            laid.write.partitionBy(*partition_by).parquet(f"{self.base}/{name}/{version}")
             found = self.fs.globStatus(self.hadoop.Path(f"{self.base}/{name}/{version}/" + "/".join(f"{c}=*" for c in partition_by)))
             root = self.fs.makeQualified(self.hadoop.Path(f"{self.base}/{name}/{version}")).toString() + "/"
             new = {s.getPath().toString().removeprefix(root): f"{name}/{version}" for s in found}

@@ -115,3 +115,26 @@ def test_site_buckets_are_summed_after_the_shuffle(spark):
     plan = network.site_mart(cells).derive(sums, [])._jdf.queryExecution().executedPlan().toString().splitlines()
     assert any("partial_sum" in line for line in plan)
     assert not any("Exchange" in line and "partial_sum" in below for line, below in zip(plan, plan[1:]))
+
+
+def test_the_protocol_mart_shuffles_its_sums_once_after_the_joins(spark, tmp_path):
+    """Nothing wider than the joined sums is shuffled, and each month has the rows of the full mart."""
+    cells = spark.createDataFrame([(1, "4G", "c", "g", "s1", "50", "-1"), (2, "3G UMTS", "c", "g", "s2", "51", "-2")], CELLS + ", latitude string, longitude string")
+    devices = spark.createDataFrame([("00000001", "4G", "Tablet", "m", "n", "Y")], "tac string, protocol string, device_type string, model string, marketing_name string, volte_flag string")
+    subs = spark.createDataFrame([("x", 1, "s", "b"), ("x", 2, "s", "b")], "msisdn string, business_name long, segment string, brand string")
+    counters = sorted({c for e in network._PLAIN.values() for c in e.split(" + ")})
+    days = [dt.date(2001, 6, 1), dt.date(2001, 7, 1), None]
+    rows = spark.range(60).select(F.element_at(F.array(*[F.lit(x).cast("date") for x in days]), (F.col("id") % 3 + 1).cast("int")).alias("month_date"),
+                                  (F.col("id") % 4).alias("first_cell_data_id"), F.when(F.col("id") % 7 < 5, "x").alias("msisdn"),
+                                  F.when(F.col("id") % 5 < 4, "000000010000001").alias("imei"), F.lit("i").alias("imsi"), (F.col("id") % 2).alias("exbr_account_num"),
+                                  *[F.col("id").alias(c) for c in counters]).localCheckpoint()
+    table, tables = str(tmp_path / "t"), Snapshots(spark, str(tmp_path / "marts"))
+    mart = network.protocol_mart(cells, devices, subs)
+    for k, part in enumerate((rows.filter("home_mo_count < 50"), rows.filter("home_mo_count >= 50"))):
+        ledger.publish(spark, part, [{"path": f"f{k}", "length": k, "modified": TS}], table, TS, partition_by=["month_date"])
+        assert len(mart.refresh(tables, table)) == 3
+    assert content(mart.read(tables)) == content(network.protocol_site_usage(rows, cells, devices, subs))
+    sums = rows.groupBy(*network.PROTOCOL_KEYS).agg(*network._plain_sums(network.TOTALS))
+    plan = mart.derive(sums, days)._jdf.queryExecution().executedPlan().toString().splitlines()
+    spread = [k for k, line in enumerate(plan) if "Aggregate" in line and "partial_sum(CASE" in line]
+    assert spread and not any("Exchange" in line for line in plan[:spread[0]])
