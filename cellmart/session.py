@@ -37,9 +37,6 @@ BASE_CONF = {
     # its bound is small; AQE knows the bytes of the rows.
     "spark.sql.autoBroadcastJoinThreshold": str(1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(8 * 1024 * 1024),
-    # A join whose smaller side has partitions of at most this many bytes builds hash maps of them and sorts
-    # neither side; it takes effect from the advisory size on.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "16m",
     "spark.sql.parquet.compression.codec": "zstd",
     # Folders of a table are listed by this many tasks, not by one task for each day.
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
