@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import written
+from .tables import sifted, written
 
 #: ASCII white space, 20 and 09-0D.
 SPACE = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -68,7 +68,9 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     survivors = thin.join(prefixes, keys, "left_semi").select("_id", *keys)
     same = (F.col("r._id").eqNullSafe(F.col("s._id")) & (F.col("r._len") == F.col("s._len"))
             & (F.col("r._prefix") == F.col("s._prefix")))
-    full = rows.alias("r").join(survivors.alias("s"), same, "left_semi").select(
+    # Texts of other rows are not shuffled.
+    near, _ = sifted(rows, F.xxhash64(*keys), prefixes.select(F.xxhash64(*keys).alias("key")))
+    full = near.alias("r").join(survivors.alias("s"), same, "left_semi").select(
         "_id", *keys, "_chars", F.sha2("_norm", 256).alias("_hash"), *extra)
     full = written(full, "dedup-survivors")
     most = full.groupBy("_hash").agg(F.count("*").alias("_size"), F.max("_chars").alias("_chars")).where("_size > 1")
@@ -96,6 +98,8 @@ def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     gone = exact_dedup(df, id_col, text_col, carry={"__dedup_gone_hash": F.sha2("_norm", 256)}).where("NOT kept").select(
         F.col(id_col).alias("__dedup_gone"), "__dedup_gone_hash")
     gone = written(gone.distinct(), "dedup-dropped")
-    rows = df.withColumn("__dedup_hash", F.sha2(normalised(F.col(text_col)), 256))
+    # Rows whose id has no dropped text stay where they are.
+    maybe, rest = sifted(df, F.xxhash64(id_col), gone.select(F.xxhash64("__dedup_gone").alias("key")))
+    rows = maybe.withColumn("__dedup_hash", F.sha2(normalised(F.col(text_col)), 256))
     hit = F.col(id_col).eqNullSafe(F.col("__dedup_gone")) & (F.col("__dedup_hash") == F.col("__dedup_gone_hash"))
-    return rows.join(gone, hit, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    return rest.unionByName(rows.join(gone, hit, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns]))

@@ -9,7 +9,9 @@ A document's set holds its distinct ``k``-word shingles (64-bit hashes); two doc
    shingles, so it can only make a shingle look too frequent; any order gives the right result.)
    Sets that link share a shingle within their first ``n - ceil(percent * n / 100) + 1``: the prefix.
 3. Classes with the same prefix and size are collapsed into one group. Only groups enter the
-   lists of prefix shingles, so many near copies cost one entry.
+   lists of prefix shingles, so many near copies cost one entry. A shingle of one prefix alone has no list: marks
+   of those that occur again are found from 32 bits of each hash and sent to the tasks (a fixed number; shingles that
+   share a mark only make it keep too much), and only marked shingles become entries.
 4. First round: each group is paired with the smallest and the largest of each list, each member
    of a group with the group's smallest. Pairs are filtered by size and by the parity bitmaps of
    the sets (the bits that differ cannot outnumber the shingles that differ), the rest is verified
@@ -37,17 +39,21 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import written
+from .tables import sifted, written
 from .textkit import blocks, lower_ascii, mix, non_space, shingle_hashes, word_hashes
 
 K = 4
 PERCENT = 85
 SKETCH_BITS = 20
 _CHUNK = 1 << 12
+_ENTRIES = 1 << 16
+#: Leading bits of a shingle's hash that choose its segment, and all bits that choose its mark (32 MB of marks).
+SEGMENT_BITS, MARK_BITS = 12, 28
 #: Width of the short parity bitmap that the second round's join compares.
 FOLD_BITS = 512
 
@@ -101,6 +107,61 @@ def frequency_classes(docs: DataFrame, text_col: str, k: int) -> np.ndarray:
     return np.log2(np.maximum(counts.ravel(), 1)).astype(np.uint8)
 
 
+def _fingerprints(batches):
+    """Per segment of the hashes, the next 32 bits of the shingles of a batch: each at most twice."""
+    for batch in batches:
+        tokens = np.sort(batch.column(0).flatten().to_numpy().view(np.uint64) >> np.uint64(64 - SEGMENT_BITS - 32))
+        tokens = tokens[np.concatenate((tokens[:2] == tokens[:2], tokens[2:] != tokens[:-2]))]
+        segment = (tokens >> np.uint64(32)).astype(np.int32)
+        first = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1]))[:len(segment)])
+        marks = tokens.astype("<u4").tobytes()
+        bounds = [*first.tolist(), len(tokens)]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(segment[first]), pa.array([marks[4 * a:4 * b] for a, b in zip(bounds, bounds[1:])], pa.binary())], ["segment", "marks"])
+
+
+def _repeated(batches):
+    """Per segment, the marks of the shingles that occur again."""
+    found: dict[int, list[bytes]] = {}
+    for batch in batches:
+        for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            found.setdefault(i, []).append(raw)
+    for i in found:
+        values = np.sort(np.frombuffer(b"".join(found[i]), "<u4"))
+        again = values[1:][values[1:] == values[:-1]] >> np.uint32(32 - (MARK_BITS - SEGMENT_BITS))
+        if len(again):
+            bits = np.zeros(1 << (MARK_BITS - SEGMENT_BITS), np.uint8)
+            bits[again] = 1
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary())], ["segment", "marks"])
+
+
+def repeated_marks(prefixes: DataFrame) -> np.ndarray:
+    """A bit for each value of the leading ``MARK_BITS`` of the hashes: set where a shingle of two prefixes
+    lies. The driver gets 32 MB of them at any size of the input."""
+    schema = "segment int, marks binary"
+    marks = prefixes.mapInArrow(_fingerprints, schema).repartition("segment").mapInArrow(_repeated, schema)
+    out = np.zeros((1 << SEGMENT_BITS, 1 << (MARK_BITS - SEGMENT_BITS - 3)), np.uint8)
+    for r in marks.toLocalIterator():
+        out[r["segment"]] = np.frombuffer(r["marks"], np.uint8)
+    return out
+
+
+def _entries(batches, marks):
+    """The marked shingles of each prefix: place, shingle, group, size."""
+    bits = np.frombuffer(marks.value, np.uint8)
+    for batch in batches:
+        prefix = batch.column(2)
+        tokens, count = prefix.flatten(), pc.list_value_length(prefix).to_numpy()
+        at = tokens.to_numpy().view(np.uint64) >> np.uint64(64 - MARK_BITS)
+        keep = np.flatnonzero(bits[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8) & 1)
+        row = np.repeat(np.arange(len(count)), count)
+        place = np.arange(len(row)) - (np.cumsum(count) - count)[row]
+        for part in (keep[i:i + _ENTRIES] for i in range(0, len(keep), _ENTRIES)):
+            yield pa.RecordBatch.from_arrays([
+                pa.array(place[part].astype(np.int32)), tokens.take(pa.array(part)), *(batch.column(c).take(pa.array(row[part])) for c in (0, 1))],
+                ["pos", "token", "gid", "n"])
+
+
 def _sums(values: np.ndarray, begin: np.ndarray) -> pa.Array:
     total = np.concatenate(([0], np.cumsum(values, dtype=np.uint64))).astype(np.uint64)
     return pa.array((total[begin[1:]] - total[begin[:-1]]).view(np.int64))
@@ -198,14 +259,23 @@ class Join:
             partial(_sets, k=k, percent=percent, classes=classes),
             "id long, n long, s1 long, s2 long, ps long, prefix array<long>, bits binary, fold array<long>"), "jaccard-sets")
         key = ["s1", "s2", "n"]
-        self.classes = written(
-            self.sets.where("n > 0 AND id IS NOT NULL").groupBy(*key).agg(F.min("id").alias("node")), "jaccard-classes")
-        nodes = self.sets.join(self.classes.withColumnRenamed("node", "id"), [*key, "id"]).dropDuplicates(["id", *key])
-        self.nodes = written(nodes.select("id", "n", "ps", "prefix", "bits", "fold"), "jaccard-nodes")
+        classes = written(self.sets.where("n > 0 AND id IS NOT NULL").groupBy(*key).agg(
+            F.min("id").alias("node"), F.count("*").alias("rows")), "jaccard-classes")
+        self.classes = classes.drop("rows")
+        # Only sets of several rows are shuffled; the others are nodes as they are.
+        several = classes.where("rows > 1").select(F.xxhash64(*key).alias("key"))
+        maybe, single = sifted(self.sets.where("n > 0 AND id IS NOT NULL"), F.xxhash64(*key), several)
+        nodes = maybe.join(self.classes.withColumnRenamed("node", "id"), [*key, "id"]).dropDuplicates(["id", *key])
+        columns = ["id", "n", "ps", "prefix", "bits", "fold"]
+        self.nodes = single.select(*columns).unionByName(written(nodes.select(*columns), "jaccard-nodes"))
         groups = written(self.nodes.groupBy("ps", "n").agg(F.min("id").alias("gid"), F.count("*").alias("members")), "jaccard-groups")
         self.members = written(self.nodes.join(groups, ["ps", "n"]).select("gid", "id", "members"), "jaccard-members")
-        entries = self.nodes.join(groups.withColumnRenamed("gid", "id"), ["ps", "n", "id"]).select(
-            F.posexplode("prefix").alias("pos", "token"), F.col("id").alias("gid"), "n")
+        several = groups.where("members > 1").select(F.xxhash64("ps", "n").alias("key"))
+        maybe, single = sifted(self.nodes.select("ps", "n", "id", "prefix"), F.xxhash64("ps", "n"), several)
+        heads = maybe.join(groups.withColumnRenamed("gid", "id"), ["ps", "n", "id"])
+        heads = single.select("id", "n", "prefix").unionByName(heads.select("id", "n", "prefix"))
+        marks = spark.sparkContext.broadcast(repeated_marks(heads.select("prefix")).tobytes())
+        entries = written(heads.mapInArrow(partial(_entries, marks=marks), "pos int, token long, gid long, n long"), "jaccard-marked")
         lists = written(entries.groupBy("token").agg(
             F.count("*").alias("entries"), F.min("gid").alias("low"), F.max("gid").alias("high")).where("entries > 1"), "jaccard-lists")
         self.entries = written(entries.join(lists, "token"), "jaccard-entries")
@@ -219,7 +289,8 @@ class Join:
             near = near.join(bits.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col("bits").alias(f"bits_{side}")), side)
         near = written(near.mapInArrow(partial(_near, percent=self.percent), "a long, b long"), "jaccard-near")
         wanted = written(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "jaccard-wanted")
-        arrays = written(self.docs.join(wanted, "id", "left_semi").mapInArrow(
+        texts, _ = sifted(self.docs, F.xxhash64("id"), wanted.select(F.xxhash64("id").alias("key")))
+        arrays = written(texts.join(wanted, "id", "left_semi").mapInArrow(
             partial(_arrays, k=self.k), "id long, set array<long>"), "jaccard-full")
         for side in ("a", "b"):
             near = near.join(arrays.select(F.col("id").alias(side), F.col("set").alias(f"set_{side}")), side)
@@ -255,17 +326,24 @@ class Join:
         fold = fold.withColumns({f"o{i}": F.when(F.col(f"o{i}") != F.col(f"a{i}"), F.col(f"o{i}")) for i in range(FOLD_BITS // 64)})
         # Sizes of a link differ by less than one step, so a group meets its own and the next.
         step = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / self.percent)) + F.lit(1e-9))
+        entries, _ = sifted(entries, F.xxhash64("token"), mixed.select(F.xxhash64("token").alias("key")))
         entries = written(entries.join(mixed, "token", "left_semi").join(fold, "gid").withColumn("step", step), "jaccard-mixed-entries")
+        # Within a list only the sizes that hold an entry to meet, of another component, are joined.
+        x = entries.withColumn("own", F.col("step")).withColumn("step", F.explode(F.array("step", F.col("step") + 1)))
+        cells = x.groupBy("token", "step").agg(
+            F.min("lo").alias("l"), F.max("hi").alias("h"), F.count("*").alias("c"), F.max(F.col("own") == F.col("step")).alias("o"))
+        cells = written(cells.where("l < h AND c > 1 AND o").select(F.xxhash64("token", "step").alias("key")), "jaccard-cells")
+        (x, _), (y, _) = (sifted(side, F.xxhash64("token", "step"), cells) for side in (x, entries))
         # Short bitmaps tell large sets apart no longer: from a size on, wider ones are compared as well.
-        large = entries.where(F.col("n") > FOLD_BITS).select("gid", "step").distinct()
+        large = F.col("n") > FOLD_BITS
+        large = x.where(large).select("gid", F.col("own").alias("step")).unionByName(y.where(large).select("gid", "step")).distinct()
         wide = self.members.select("gid", "id").join(large, "gid").join(self.nodes.select("id", "bits"), "id").select(
             "gid", "step", "bits").mapInArrow(partial(_folds, percent=self.percent), "gid long, step long, words array<long>")
         wide = wide.select("gid", "step", F.posexplode("words").alias("i", "w")).groupBy("gid", "step", "i").agg(
             F.bit_and("w").alias("a"), F.bit_or("w").alias("o"))
         wide = wide.groupBy("gid", "step").agg(F.sort_array(F.collect_list(F.struct("i", "a", "o"))).alias("w"))
         wide = written(wide.select("gid", "step", F.col("w.a").alias("wa"), F.col("w.o").alias("wo")), "jaccard-wide")
-        x = _with_words(entries.withColumn("step", F.explode(F.array("step", F.col("step") + 1))), wide).alias("x")
-        y = _with_words(entries, wide).alias("y")
+        x, y = _with_words(x, wide).alias("x"), _with_words(y, wide).alias("y")
         need = F.ceil(self.percent * (F.col("x.n") + F.col("y.n")) / (100 + self.percent))
         shared = (F.least("x.pos", "y.pos") + 1
                   + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) - 1)
@@ -347,4 +425,6 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = jaccard_components(docs, id_col, text_col, k, percent)
     gone = written(found.where(F.col("component_id") < F.col(id_col)).select(
         F.col(id_col).cast("long").alias("__copy_id")).distinct(), "jaccard-dropped")
-    return docs.join(gone, F.col(id_col) == F.col("__copy_id"), "left_anti")
+    # Rows of other ids stay where they are.
+    maybe, rest = sifted(docs, F.xxhash64(F.col(id_col).cast("long")), gone.select(F.xxhash64("__copy_id").alias("key")))
+    return rest.unionByName(maybe.join(gone, F.col(id_col) == F.col("__copy_id"), "left_anti"))

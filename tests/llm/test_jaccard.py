@@ -4,10 +4,12 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from cellmart.llm import jaccard
 from cellmart.llm.components import components
 from cellmart.llm.jaccard import drop_near_copies, jaccard_components
+from cellmart.llm.tables import sifted
 
 
 def shingles(text, k):
@@ -174,3 +176,26 @@ def test_components_of_chains_and_stars(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     got = {r["node"]: r["label"] for r in components(df).collect()}
     assert got == {1: 1, **{i: 1 for i in range(100, 161)}, 7: 7, **{i: 7 for i in range(200, 261)}}
+
+
+def test_only_repeated_shingles_become_entries(spark):
+    """A shingle of one prefix alone makes no entry and is not shuffled; those of two prefixes keep both entries."""
+    texts = [f"only{i} a{i} b{i} c{i} d{i} e{i}" for i in range(40)] + ["x y z u v w one", "x y z u v w two"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    join = jaccard.Join(docs, "doc_id", "text", 2, 60)
+    prefixes = [(r["id"], t) for r in join.nodes.select("id", "prefix").collect() for t in r["prefix"]]
+    again = {t for i, t in prefixes for j, u in prefixes if i < j and t == u}
+    assert again
+    assert sorted((r["gid"], r["token"]) for r in join.entries.collect()) == sorted((i, t) for i, t in prefixes if t in again)
+    marked = spark.read.parquet(join.entries.inputFiles()[0].split("/jaccard-entries")[0] + "/jaccard-marked-*")
+    assert marked.where("gid < 40").count() == 0
+
+
+def test_sifted_parts_hold_all_rows(spark):
+    rows = spark.createDataFrame([(i % 500 if i % 7 else None, i) for i in range(2000)], "id long, v long")
+    wanted = spark.createDataFrame([(i,) for i in range(0, 500, 50)] + [(None,)], "id long")
+    maybe, rest = sifted(rows, F.xxhash64("id"), wanted.select(F.xxhash64("id").alias("key")))
+    held = {None, *range(0, 500, 50)}
+    assert sorted(r["v"] for r in maybe.unionByName(rest).collect()) == list(range(2000))
+    assert not any(r["id"] in held for r in rest.collect())
+    assert "SortMergeJoin" not in rest._jdf.queryExecution().executedPlan().toString()
