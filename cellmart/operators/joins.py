@@ -1,6 +1,6 @@
 """Joins of facts to reference data.
 
-No operator here forces a broadcast. Dimension sides are joined plainly and the planner
+No operator here forces a broadcast of rows that it has not measured (``bounded``). Dimension sides are joined plainly and the planner
 decides: it compares its size estimate of the build side with
 ``spark.sql.autoBroadcastJoinThreshold`` (broadcast hash join below it, sort-merge join
 above), and AQE re-checks with the real shuffle sizes at run time. A catalogue that grows
@@ -17,6 +17,18 @@ from pyspark.sql import functions as F
 
 from cellmart.functions.text import trim_ws
 
+#: A table whose rows, as they lie in memory, take no more than this is sent to every executor by ``bounded``.
+SENT_BYTES = 64 << 20
+
+
+def bounded(dim: DataFrame) -> DataFrame:
+    """A dimension marked for a broadcast when its rows, measured by a scan, stay below a bound; else as it is. The
+    planner's own check of a join comes when both sides are shuffled already."""
+    fixed = 16 + sum(24 if t == "string" else 8 for _, t in dim.dtypes)
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in dim.dtypes if t == "string"]
+    size = dim.agg(F.sum(sum(texts, F.lit(fixed).cast("long")))).head()[0] or 0
+    return F.broadcast(dim) if size <= SENT_BYTES else dim
+
 
 def prefix_join(fact: DataFrame, dim: DataFrame, fact_col: str, dim_key: str, length: int,
                 how: str = "left", prefix_col: str | None = None) -> DataFrame:

@@ -556,13 +556,37 @@ def q_daily_usage_load(spark, d):
 LATE_ACCOUNTS = 40
 
 
-def _deliveries(spark, d, columns, layout):
+def _delivered_rows(spark, d, columns, layout):
+    """The landed rows, and whether a row comes late."""
     rows = _landed_rows(spark, d, columns, layout)
     rows = rows.withColumn("msisdn", F.when(F.col("work_mo_count") != 3, F.col("msisdn")))
-    late = F.col("exbr_account_num") % LATE_ACCOUNTS == 0
+    return rows, F.col("exbr_account_num") % LATE_ACCOUNTS == 0
+
+
+def _deliveries(spark, d, columns, layout):
+    rows, late = _delivered_rows(spark, d, columns, layout)
     return rows.filter(~late), rows.filter(late)
 
 
+def _send(spark, d, columns, layout) -> list[str]:
+    """Folders with the files of both deliveries: one pass over the usage writes them, before any has arrived."""
+    sent = scratch_path(spark, "sent")
+    rows, late = _delivered_rows(spark, d, columns, layout)
+    rows = rows.filter(late.isNotNull()).withColumn("delivery", late.cast("int"))
+    writers.write_csv(rows, sent, columns, sep="|", compression="gzip", partition_by=["delivery"])
+    return [f"{sent}/delivery={k}" for k in range(2)]
+
+
+def _land(spark, sent: str, landing: str) -> None:
+    """The files of a delivery, if it has any, arrive in the landing folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(sent)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(landing))
+    if fs.exists(place):
+        files = ledger.landed_files(spark, sent, "*.gz").select("path").collect()
+        ledger.move_files(spark, [f["path"] for f in files], sent, landing)
+
+
 @register("daily_load_twice")
 def q_daily_load_twice(spark, d):
     """All days are loaded, then late files of the same days, then the same landing again, which adds
@@ -710,8 +734,8 @@ def q_site_usage_incremental(spark, d):
         rows = loads.daily_final_rows(loads.staged_daily(spark, paths), LOAD_TS)
         return rows.withColumn("month_date", F.trunc("call_date", "MM"))
 
-    for k, rows in enumerate(_deliveries(spark, d, columns, schemas.DAILY_STAGING)):
-        writers.write_csv(rows, f"{landing}/{k}", columns, sep="|", compression="gzip")
+    for k, sent in enumerate(_send(spark, d, columns, schemas.DAILY_STAGING)):
+        _land(spark, sent, f"{landing}/{k}")
         ledger.load_new(spark, landing, "*.gz", table, LOAD_TS, rows_of, partition_by=["month_date"])
         mart.refresh(tables, table)
     return mart.read(tables)

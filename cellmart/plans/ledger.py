@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cellmart.operators.quality import GateError
+from cellmart.session import FREE_SHUFFLES, sql_conf
 from cellmart.sinks import writers
 from cellmart.sources.files import list_files
 
@@ -96,7 +97,8 @@ def publish(spark: SparkSession, rows: DataFrame, files: Sequence, table: str, r
     if measure:
         metrics.append(F.sum(F.col(measure).cast("long")).alias("measure"))
     rows = (rows.select(*columns) if columns else rows).observe(seen, *metrics).withColumn("load_id", F.lit(load_id))
-    writers.replace_partitions(rows, table, [*partition_by, "load_id"], cluster_by=cluster_by)
+    with sql_conf(spark, FREE_SHUFFLES):
+        writers.replace_partitions(rows, table, [*partition_by, "load_id"], cluster_by=cluster_by)
     m = seen.get
     report = LoadReport(len(files), before, int(m["rows"]), int(m["null_keys"]))
     if check:

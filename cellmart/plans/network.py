@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellmart.functions import rules
 from cellmart.functions.calendar import trailing_whole_months
-from cellmart.operators.joins import attribute_join, prefix_join
+from cellmart.operators.joins import attribute_join, bounded, prefix_join
 from cellmart.plans.incremental import IncrementalMart, dealt_by_period
 from cellmart.plans.usage import tech_of_cell
 from cellmart.sinks import writers
@@ -42,6 +43,16 @@ def _with_tech(usage: DataFrame, cells: DataFrame, cell_cols) -> DataFrame:
     return j.withColumn("interp_tech", tech_of_cell())
 
 
+def _with_bounded_tech(sums: DataFrame, cells: DataFrame, cell_cols) -> DataFrame:
+    """``_with_tech`` with the technology derived once a cell, and the cells sent to the sums as long as they are
+    few; the cell itself is not kept."""
+    cd = bounded(cells.select(F.col("cell_data_id").alias("__cell_id"), tech_of_cell().alias("__tech"), *cell_cols))
+    no_cell = rules.radio_technology(**dict.fromkeys(("technology", "cell", "global_cell_id"), F.lit(None).cast("string")))
+    j = sums.join(cd, sums["first_cell_data_id"] == cd["__cell_id"], "left")
+    return j.withColumn("interp_tech", F.when(F.col("__cell_id").isNull(), no_cell).otherwise(F.col("__tech"))) \
+            .drop("__cell_id", "__tech", "first_cell_data_id")
+
+
 # Plain measures of a usage row (SQL expressions).
 _PLAIN = {
     "mo_calls": "home_mo_count + work_mo_count", "mt_calls": "home_mt_count + work_mt_count",
@@ -58,6 +69,14 @@ def _plain_sums(names):
     return [F.expr(f"sum({_PLAIN[name]})").alias(name) for name in names]
 
 
+def _measures(names):
+    return [F.expr(_PLAIN[name]).alias(name) for name in names]
+
+
+def _sums_of(names):
+    return [F.sum(name).alias(name) for name in names]
+
+
 def _spread(names):
     """The plain sums of each technology as bucket columns (one JVM parse per column)."""
     out = []
@@ -117,10 +136,15 @@ def site_mart(cells: DataFrame, period: Column | None = None) -> IncrementalMart
     """``site_usage`` kept up to date by month from a usage table of daily rows, stored by day or, with its month
     as ``period``, by month."""
     period = F.trunc("call_date", "MM") if period is None else period
-    keys = ["period", "date_of_call", "call_date", "msisdn", "imei", "imsi", "exbr_account_num", "site_id"]
-    # Dealt out by the key before the sums are spread: the 60 buckets are not shuffled for it.
-    return IncrementalMart("site_usage", SITE_KEYS, _plain_sums(_PLAIN), period,
-                           lambda sums, _: _with_tech(sums, cells, ["site_id"]).repartition(*keys).groupBy(*keys).agg(*_spread(_PLAIN)))
+    own = ["date_of_call", "call_date", "msisdn", "imei", "imsi", "exbr_account_num", "site_id"]
+
+    # Dealt out by month before the sums are spread: the 60 buckets are not shuffled, and are written where they are.
+    def derive(sums, periods):
+        dealt = dealt_by_period(_with_bounded_tech(sums, cells, ["site_id"]), "period", own, periods)
+        return dealt.groupBy("period", *own, "part").agg(*_spread(_PLAIN)).drop("part")
+
+    return IncrementalMart("site_usage", SITE_KEYS, _sums_of(_PLAIN), period, derive, dealt=True, apart=True, measures=_measures(_PLAIN),
+                           adds=True, subject=("msisdn", "msisdn"))
 
 
 def protocol_mart(cells: DataFrame, devices: DataFrame, subscribers: DataFrame) -> IncrementalMart:

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -101,6 +103,28 @@ def apply_sql_conf(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
+@contextmanager
+def sql_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Settings of the session for the writes within."""
+    old = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+#: The shuffle files of a write go when it has ended. Else they stay on the disks until the driver collects its
+#: garbage, through a chain of writes for good.
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+#: Rows that lie by partition already, or nearly so, are written as they come: a task keeps this many files open before it
+#: sorts its rows by partition.
+OPEN_FILES = {"spark.sql.maxConcurrentOutputFileWriters": "32"}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder. A private one is created only when none is set and the
     master is ``local[...]``: executors on other machines would write to their own disks."""

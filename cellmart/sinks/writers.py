@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellmart.functions.calendar import lit_date
+from cellmart.session import FREE_SHUFFLES, OPEN_FILES, sql_conf
 
 # Fixed value: the folder of rows without a partition date. They never expire.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -98,16 +99,20 @@ def in_order(df: DataFrame, order: Sequence[str], fill: str = "") -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, order: Sequence[str] | None = None, sep: str = ",",
-              header: bool = True, fill: str = "", compression: str | None = None) -> None:
+              header: bool = True, fill: str = "", compression: str | None = None, partition_by: Sequence[str] = ()) -> None:
     """Delimited text sink: given column order, missing columns filled, quotes doubled
-    (``"a""b"``), fields with the separator or a quote quoted."""
+    (``"a""b"``), fields with the separator or a quote quoted. ``partition_by`` names columns that are not in the
+    files: each of their values, a few, has files in a folder of its own."""
     if order:
-        df = in_order(df, order, fill)
+        df = in_order(df, [*order, *partition_by], fill)
     w = (df.write.mode("overwrite").option("sep", sep).option("header", header)
          .option("quote", '"').option("escape", '"').option("emptyValue", ""))
     if compression:
         w = w.option("compression", compression).option(*FAST_GZIP)
-    w.csv(path)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    with sql_conf(df.sparkSession, FREE_SHUFFLES | OPEN_FILES):
+        w.csv(path)
 
 
 def write_text(df: DataFrame, path: str, columns: Sequence[str], sep: str = ",",
