@@ -747,8 +747,8 @@ def q_protocol_site_usage_incremental(spark, d):
     landing, table = scratch_path(spark, "mth_landing"), scratch_path(spark, "t_agg_mth")
     tables = Snapshots(spark, scratch_path(spark, "marts"))
     mart = network.protocol_mart(roles.cells(spark, d), roles.devices(spark, d), roles.subscribers(spark, d))
-    for k, rows in enumerate(_deliveries(spark, d, STAGED_MONTHLY, schemas.MONTHLY_STAGING)):
-        writers.write_csv(rows, f"{landing}/{k}", STAGED_MONTHLY, sep="|", compression="gzip")
+    for k, sent in enumerate(_send(spark, d, STAGED_MONTHLY, schemas.MONTHLY_STAGING)):
+        _land(spark, sent, f"{landing}/{k}")
         loads.load_monthly(spark, landing, table, LOAD_TS)
         mart.refresh(tables, table)
     return mart.read(tables)

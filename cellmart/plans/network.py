@@ -149,15 +149,16 @@ def site_mart(cells: DataFrame, period: Column | None = None) -> IncrementalMart
 
 def protocol_mart(cells: DataFrame, devices: DataFrame, subscribers: DataFrame) -> IncrementalMart:
     """``protocol_site_usage`` kept up to date by month from the monthly usage table."""
-    return IncrementalMart("protocol_site_usage", PROTOCOL_KEYS, _plain_sums(TOTALS), F.col("month_date"),
+    return IncrementalMart("protocol_site_usage", PROTOCOL_KEYS, _sums_of(TOTALS), F.col("month_date"),
                            lambda sums, periods: protocol_of_sums(sums, cells, devices, subscribers, periods)
-                           .withColumn("period", F.col("date_of_call_month_date")), dealt=True)
+                           .withColumn("period", F.col("date_of_call_month_date")), dealt=True, apart=True, measures=_measures(TOTALS),
+                           adds=True, subject=("msisdn", "MSISDN"))
 
 
 def protocol_of_sums(sums: DataFrame, cells: DataFrame, devices: DataFrame, subscribers: DataFrame, periods=None) -> DataFrame:
     """The protocol mart of summed usage. With ``periods``, the months of the sums, the joined sums are dealt out by
     month before they are spread to the buckets, and the mart's rows stay there."""
-    j = _with_tech(sums, cells, ["site_id", "latitude", "longitude"])
+    j = (_with_tech if periods is None else _with_bounded_tech)(sums, cells, ["site_id", "latitude", "longitude"])
     dev = devices.select(F.col("tac").alias("__dtac"), F.col("protocol").alias("DEVICE_PROTOCOL"),
                          F.col("device_type").alias("DEVICE_TYPE"), F.col("model").alias("MODEL"),
                          F.col("marketing_name").alias("MARKETING_NAME"), F.col("volte_flag").alias("VOLTE_FLAG"))

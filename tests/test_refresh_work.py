@@ -99,3 +99,27 @@ def test_only_a_measured_dimension_is_broadcast(spark, monkeypatch):
     assert hinted()
     monkeypatch.setattr(joins, "SENT_BYTES", 100)
     assert not hinted()
+
+
+def test_a_load_derives_the_protocol_mart_of_its_numbers_alone(spark, tmp_path, monkeypatch):
+    """Numbers with two attribute rows, none, and no number; the second load names one of them, in turns of a month."""
+    cells = spark.createDataFrame([(1, "4G", "c", "g", "s1", "50", "-1"), (1, "3G", "c", "g", "s1", "50", "-1")], CELLS + ", latitude string, longitude string")
+    devices = spark.createDataFrame([("00000001", "4G", "Tablet", "m", "n", "Y")], "tac string, protocol string, device_type string, model string, marketing_name string, volte_flag string")
+    subs = spark.createDataFrame([("x", 1, "s", "b"), ("x", 2, "s", "b"), ("y", 1, "s", "b")], "msisdn string, business_name long, segment string, brand string")
+    counters = sorted({c for e in network._PLAIN.values() for c in e.split(" + ")})
+    rows = spark.range(40).selectExpr("CASE id % 3 WHEN 0 THEN DATE'2001-06-01' WHEN 1 THEN DATE'2001-07-01' END AS month_date", "id % 3 AS first_cell_data_id",
+                                      "element_at(array('x', 'y', 'z', NULL), cast(id % 4 + 1 AS int)) AS msisdn", "'000000010000001' AS imei", "'i' AS imsi",
+                                      "id % 2 AS exbr_account_num", *[f"CASE WHEN id % 5 < 4 THEN id END AS {c}" for c in counters]).localCheckpoint()
+    table, tables, derived = str(tmp_path / "t"), Snapshots(spark, str(tmp_path / "marts")), []
+    spread = network._with_bounded_tech
+    monkeypatch.setattr(network, "_with_bounded_tech", lambda sums, *a: derived.append(sums) or spread(sums, *a))
+    monkeypatch.setattr(incremental, "TURN_ROWS", 1)
+    mart = network.protocol_mart(cells, devices, subs)
+    later = F.coalesce(F.col("msisdn") == "x", F.lit(False)) & (F.col("home_mo_count") > 20)
+    for k, part in enumerate((rows.filter(~F.coalesce(later, F.lit(False))), rows.filter(later))):
+        derived.clear()
+        ledger.publish(spark, part, [{"path": f"f{k}", "length": k, "modified": TS}], table, TS, partition_by=["month_date"])
+        mart.refresh(tables, table)
+        assert len(derived) > 1
+    assert {r["msisdn"] for d in derived for r in d.collect()} == {"x"}
+    assert content(mart.read(tables)) == content(network.protocol_site_usage(rows, cells, devices, subs))
