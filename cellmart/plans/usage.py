@@ -264,8 +264,8 @@ def published_mart(base: DataFrame, products: DataFrame, products2: DataFrame, c
         own = base.filter(month_start("agg_mth").isin([p for p in periods if p is not None]))
         return publish(usage_mart(own, products, products2, rows, cells, as_of)).withColumn("period", month_start("AGG_MTH"))
 
-    return IncrementalMart("usage_mart", keys, [F.sum(F.col(home) + F.col(work)).alias(home) for home, work in names],
-                           F.col("month_date"), derive)
+    return IncrementalMart("usage_mart", keys, [F.sum(home).alias(home) for home, _ in names], F.col("month_date"), derive,
+                           measures=[(F.col(home) + F.col(work)).alias(home) for home, work in names], adds=True)
 
 
 def publish_and_flag(mart: DataFrame, path: str, as_of) -> DataFrame:

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from cellmart import schemas
 from cellmart.operators import joins
-from cellmart.plans import catalog, incremental, ledger, loads, network
+from cellmart.plans import catalog, incremental, ledger, loads, network, usage
 from cellmart.sinks import writers
 from cellmart.sinks.snapshots import Snapshots
 from tests.test_incremental import CELLS, content, full
 from tests.test_ledger import TS, land
+from tests.test_marts import AS_OF, MEASURE_COLS, fixtures
 
 FIRST = [(20010601, "x", 1), (20010601, "x", 2), (20010602, "y", 3), (20010702, "y", 5), (20010703, None, None), (20010703, None, 4)]
 LATER = [[(20010601, "y", 7), (20010604, "z", 1)], [(20010605, None, 2), (20010703, None, 2)], [(20010602, "y", 1), (20010801, "x", 8)]]
@@ -82,6 +83,21 @@ def test_a_refresh_leaves_no_shuffle_files(spark, tmp_path):
     assert not left
 
 
+def test_sums_of_layers_are_usage_rows_for_the_published_mart(spark, tmp_path):
+    base, products, products2, use, cells = fixtures(spark)
+    use = use.unionByName(use.filter("imsi = '234301'").withColumn("work_mo_count", F.lit(None).cast("long")))
+    table, tables = str(tmp_path / "t"), Snapshots(spark, str(tmp_path / "marts"))
+    mart = usage.published_mart(base, products, products2, cells, AS_OF)
+    for k, rows in enumerate((use.filter("work_mo_count IS NOT NULL"), use.filter("work_mo_count IS NULL"), use.filter("imsi = '234302'"))):
+        ledger.publish(spark, rows, [{"path": f"f{k}", "length": k, "modified": TS}], table, TS, partition_by=["month_date"],
+                       columns=["month_id", "msisdn", "imei", "imsi", "first_cell_data_id", *MEASURE_COLS, "month_date"])
+        mart.refresh(tables, table)
+    folders = tables.state()[1]["usage_mart__sums"]["folders"]
+    assert max(len(v) if isinstance(v, list) else 1 for v in folders.values()) == 3
+    whole = use.unionByName(use.filter("imsi = '234302'"))
+    assert content(mart.read(tables)) == content(usage.publish(usage.usage_mart(base, products, products2, whole, cells, AS_OF)))
+
+
 def test_both_deliveries_are_written_by_one_pass(spark, tmp_path):
     """Each has the rows of a file written for it alone."""
     sf, columns, layout = "/root/testdata/sf0.001", catalog.STAGED_MONTHLY, schemas.MONTHLY_STAGING
