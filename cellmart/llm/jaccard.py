@@ -35,6 +35,7 @@ null id is not linked; its component is null. Other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from functools import partial
 
 import numpy as np
@@ -275,10 +276,11 @@ class Join:
         heads = maybe.join(groups.withColumnRenamed("gid", "id"), ["ps", "n", "id"])
         heads = single.select("id", "n", "prefix").unionByName(heads.select("id", "n", "prefix"))
         marks = spark.sparkContext.broadcast(repeated_marks(heads.select("prefix")).tobytes())
-        entries = written(heads.mapInArrow(partial(_entries, marks=marks), "pos int, token long, gid long, n long"), "jaccard-marked")
+        own = f"jaccard-{uuid.uuid4().hex[:12]}"
+        entries = written(heads.mapInArrow(partial(_entries, marks=marks), "pos int, token long, gid long, n long"), f"{own}/jaccard-marked")
         lists = written(entries.groupBy("token").agg(
             F.count("*").alias("entries"), F.min("gid").alias("low"), F.max("gid").alias("high")).where("entries > 1"), "jaccard-lists")
-        self.entries = written(entries.join(lists, "token"), "jaccard-entries")
+        self.entries = written(entries.join(lists, "token"), f"{own}/jaccard-entries")
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The linked pairs among candidate pairs (a, b), a < b."""
